@@ -16,10 +16,10 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass, field, replace
 from decimal import Decimal
+from functools import reduce
 from typing import Any, Callable, Iterable, Sequence, Union
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from .columns import all_of, any_of, fresh
 from .literals import bind, column_type, typed_literal
@@ -213,17 +213,13 @@ class _Types:
     """Column types by name, looked up once each over the frames a condition may read."""
 
     def __init__(self, frames: Sequence[DataFrame]):
-        self.frames, self.seen = frames, {}
+        # joined only to look names up: nothing of this plan ever runs
+        self.scope = reduce(lambda a, b: a.join(b, F.lit(True)), frames) if frames else None
+        self.seen: dict[str, T.DataType] = {}
 
-    def __call__(self, name: str):
+    def __call__(self, name: str) -> T.DataType:
         if name not in self.seen:
-            for i, frame in enumerate(self.frames):
-                try:
-                    self.seen[name] = column_type(frame, name)
-                    break
-                except AnalysisException:
-                    if i == len(self.frames) - 1:
-                        raise
+            self.seen[name] = column_type(self.scope, name)
         return self.seen[name]
 
 

@@ -185,6 +185,9 @@ def aggregate(
 
 
 def resolves(df: DataFrame, name: str) -> bool:
+    """Whether a frame has a column of this (possibly alias-qualified) name."""
+    if name.rsplit(".", 1)[-1].strip("`").lower() not in [c.lower() for c in df.columns]:
+        return False
     try:
         df.select(F.col(name)).schema
         return True

@@ -42,16 +42,17 @@ def literal_rows(df: DataFrame, rows: Sequence[Mapping[str, Any]]) -> DataFrame:
     """Rows given as values, in the types of ``df``. Unnamed columns are null; values adapt, ``"1"`` fits an int."""
     if not rows:
         raise ValueError("an insert needs at least one row")
-    names = list(dict.fromkeys(n for row in rows for n in row))
-    own = _column_names(df, names)
+    own = _column_names(df, [n for row in rows for n in row])
+    rows = [{own[n]: value for n, value in row.items()} for row in rows]
+    names = list(dict.fromkeys(own.values()))
     fields = {f.name: f.dataType for f in df.schema.fields}
     nested = (T.ArrayType, T.StructType, T.MapType, T.BinaryType)
-    as_is = {n for n in names if isinstance(fields[own[n]], nested)}
-    schema = T.StructType([T.StructField(n, fields[own[n]] if n in as_is else T.StringType()) for n in names])
+    as_is = {n for n in names if isinstance(fields[n], nested)}
+    schema = T.StructType([T.StructField(n, fields[n] if n in as_is else T.StringType()) for n in names])
     data = [tuple(row.get(n) if n in as_is else _as_text(row.get(n)) for n in names) for row in rows]
     texts = df.sparkSession.createDataFrame(data, schema)
-    given = {own[n]: F.col(f"`{n}`").cast(fields[own[n]]) for n in names}
-    return texts.select(*[given.get(c, F.lit(None).cast(fields[c])).alias(c) for c in df.columns])
+    given = {n: F.col(f"`{n}`") for n in names}
+    return texts.select(*[given.get(c, F.lit(None)).cast(fields[c]).alias(c) for c in df.columns])
 
 
 def selected_rows(df: DataFrame, query: DataFrame) -> DataFrame:
