@@ -28,8 +28,10 @@ OTHER_DATE_TIME_FORMATS = (
     "d MMM yyyy",
 )
 
+_BLANKS = " \t\n\x0b\x0c\r\x85\xa0"
 _ISO = r"^\d{4}-\d{2}-\d{2}([ T]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?)?( ?(Z|z|[+-]\d{2}:\d{2}))?$"
 _OFFSET = r"(?i)( ?(Z|UTC|GMT|[+-]\d{2}:\d{2}))$"
+_NO_SECONDS = r"^(.{10}[ T]\d{2}:\d{2})((?: ?(?:Z|z|[+-]\d{2}:\d{2}))?)$"
 _TIME = r"^(\d{1,2}):(\d{2})(?::(\d{2})(?:\.(\d{1,7}))?)?(?: ?([AaPp][Mm]))?$"
 _DECIMAL = r"^(?:[+-]?(?:\d[\d,]*(?:\.\d*)?|\.\d+)|(?:\d[\d,]*(?:\.\d*)?|\.\d+)[+-])$"
 _DOUBLE = r"^[+-]?(?:\d[\d,]*(?:\.\d*)?|\.\d+)(?:[eE][+-]?\d+)?$"
@@ -57,11 +59,11 @@ class _Target:
 
     def checked(self, value: Column, result: Column, dtype: T.DataType) -> Column:
         """``result`` where it is not null; a null result of a non-null value is a value that does not fit."""
-        return F.when(value.isNull() | result.isNotNull(), result).otherwise(self.refuse(value, dtype))
+        return F.coalesce(result.cast(dtype), F.when(value.isNotNull(), self.refuse(value, dtype)))
 
 
 def _text(value: Column) -> Column:
-    return F.regexp_replace(value.cast("string"), r"^\s+|\s+$", "")
+    return F.btrim(value.cast("string"), F.lit(_BLANKS))
 
 
 def _wrong_input(kind: str, dtype: T.DataType) -> ValueError:
@@ -83,21 +85,27 @@ def to_bool(value: Column, dtype: T.DataType, on_error: str = "raise") -> Column
     return _Target("bool", on_error).checked(value, answer, T.BooleanType())
 
 
+def _shape(form: str) -> str:
+    """The pattern text must have before a date-time format is tried on it: a failed parse is dear, a look is cheap."""
+    tokens = {"yyyy": r"\d{4}", "MMM": "[A-Za-z]{3}", "a": "[AaPp][Mm]"}
+    parts = [tokens.get(t, r"\d{1,2}" if t.isalpha() else t) for t in re.findall(r"[A-Za-z]+|[^A-Za-z]", form)]
+    return rf"^(?:[A-Za-z]{{3,9}}, )?{''.join(parts)}(?: ?(?:Z|UTC|GMT))?$"
+
+
 def _instant(text: Column) -> Column:
     """Text to an instant, null when no accepted form fits."""
-    text = F.regexp_replace(text, r"^(\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2})(?!:)", "$1:00")
-    has_offset = text.rlike(_OFFSET)
-    iso = F.when(
-        text.rlike(_ISO),
-        F.when(has_offset, text)
+    seconds_added = F.when(text.rlike(_NO_SECONDS), F.regexp_replace(text, _NO_SECONDS, "$1:00$2")).otherwise(text)
+    with_offset = (
+        F.when(text.rlike(_OFFSET), seconds_added)
         .when(F.length(text) == 10, F.concat(text, F.lit("T00:00:00Z")))
-        .otherwise(F.concat(text, F.lit("Z")))
-        .try_cast("timestamp"),
+        .otherwise(F.concat(seconds_added, F.lit("Z")))
     )
-    plain = F.regexp_replace(F.regexp_replace(text, r"(?i)^[a-z]{3,9}, ", ""), r"(?i) ?(Z|UTC|GMT)$", "")
-    with_zone = F.concat(plain, F.lit(" Z"))
-    others = [F.try_to_timestamp(with_zone, F.lit(f"{form} X")) for form in OTHER_DATE_TIME_FORMATS]
-    return F.coalesce(iso, F.when(~text.rlike(_ISO), F.coalesce(*others)))
+    plain = F.regexp_replace(text, r"(?i)^[a-z]{3,9}, |( ?(Z|UTC|GMT))$", "")
+    found = F.when(text.rlike(_ISO), with_offset.try_cast("timestamp"))
+    for form in OTHER_DATE_TIME_FORMATS:
+        parsed = F.try_to_timestamp(F.concat(plain, F.lit(" Z")), F.lit(f"{form} X"))
+        found = found.when(text.rlike(_shape(form)), parsed)
+    return found
 
 
 def to_timestamp_utc(value: Column, dtype: T.DataType, on_error: str = "raise") -> Column:
@@ -334,8 +342,8 @@ def _json_value(text: Column, dtype: T.DataType, on_error: str) -> Column:
 def parse_json_list(text: Column, element: T.StructType, on_error: str = "raise") -> Column:
     """JSON array text as ``array<element>``.
 
-    Null, blank, ``[]`` and ``null`` are the empty list. Property names match in any case (the last of several wins),
-    unknown ones are ignored and missing ones are null. The whole list, or an inner one, may be a JSON string that
+    Null, blank, ``[]`` and ``null`` are the empty list. Property names match in any case (the exact one first, then
+    the last of several), unknown ones are ignored and missing ones are null. The whole list, or an inner one, may be a JSON string that
     holds the array text. Numbers stand for Unix seconds where a timestamp is expected.
     """
     target = T.ArrayType(element)
@@ -346,19 +354,21 @@ def parse_json_list(text: Column, element: T.StructType, on_error: str = "raise"
     empty = text.isNull() | unwrapped.rlike(r"^\s*(\[\s*\]|null)?\s*$")
     objects = F.from_json(F.when(unwrapped.rlike(r"^\s*\["), unwrapped), "array<map<string,string>>")
 
-    def typed(pairs: Column) -> Column:
-        entries = F.map_entries(pairs)
-
+    def texts(pairs: Column) -> Column:
         def found(name: str) -> Column:
-            matching = F.filter(entries, lambda e: F.lower(e["key"]) == name.lower())
-            return F.try_element_at(matching, F.lit(-1))["value"]
+            matching = F.filter(F.map_entries(pairs), lambda e: F.lower(e["key"]) == name.lower())
+            return F.coalesce(F.try_element_at(pairs, F.lit(name)), F.try_element_at(matching, F.lit(-1))["value"])
+
+        return F.when(pairs.isNotNull(), F.struct(*[found(f.name).alias(f.name) for f in element.fields]))
 
-        made = F.struct(*[_json_value(found(f.name), f.dataType, on_error).alias(f.name) for f in element.fields])
-        return F.when(pairs.isNotNull(), made)
+    def typed(found: Column) -> Column:
+        made = F.struct(*[_json_value(found[f.name], f.dataType, on_error).alias(f.name) for f in element.fields])
+        return F.when(found.isNotNull(), made)
 
-    parsed = F.transform(objects, typed)
+    # two passes, so that each property is looked up once however often its conversion reads it
+    parsed = F.transform(F.transform(objects, texts), typed)
     refused = _Target("JSON list", on_error).refuse(text, target)
-    return F.when(empty, F.array().cast(target)).when(objects.isNull(), refused).otherwise(parsed).cast(target)
+    return F.when(empty, F.array().cast(target)).otherwise(F.coalesce(parsed.cast(target), refused))
 
 
 def conform(df: DataFrame, schema: T.StructType, on_error: str = "raise") -> DataFrame:

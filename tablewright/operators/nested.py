@@ -39,12 +39,11 @@ from ..functions.predicates import (
     condition,
     split_at_or,
 )
-from .ranges import SortKey, range_bucket, sort_keys, split_points
+from .ranges import SortKey, default_splits, range_bucket, sort_keys, split_points
 from .relational import resolves
 
 MAX_ITEMS = 1_000_000
 CHUNK_ROWS = 10_000
-CHUNK_SPLITS = 128
 _MIRRORED = {"=": "=", ">": "<", ">=": "<=", "<": ">", "<=": ">="}
 
 Fields = Sequence[str | tuple[str, str] | Column]
@@ -215,14 +214,15 @@ def nested_chunks(
     sort: Keys,
     *,
     chunk_rows: int = CHUNK_ROWS,
-    splits: int = CHUNK_SPLITS,
+    splits: int | None = None,
 ) -> DataFrame:
     """The parent rows, once per piece of their list: ``chunk`` (from 0) and ``alias`` with up to ``chunk_rows`` items.
 
     Pieces in ``chunk`` order put together are exactly the list of :func:`nested_list`; a childless parent has one empty
     piece. The correlate is one or more equalities, and the sort keys should order the children totally.
 
-    No task ever holds one parent's rows: they are numbered inside (key, range of the sort key) groups, whose sizes are
+    ``splits`` is the number of ranges, by default the session's shuffle
+    partitions. No task ever holds one parent's rows: they are numbered inside (key, range of the sort key) groups, whose sizes are
     counted map-side and summed up to offsets, and are then regrouped by (key, chunk). The parent row is repeated per
     chunk before the join, so that join is even too.
     """
@@ -242,7 +242,7 @@ def nested_chunks(
         *[F.col(k.name).alias(s.name) for k, s in zip(sort, inner)],
         F.struct(*_element_fields(child, fields)).alias("_v"),
     ).where(all_of([F.col(k).isNotNull() for k in keys]))
-    rows = rows.withColumn("_range", range_bucket(split_points(rows, inner, splits)))
+    rows = rows.withColumn("_range", range_bucket(split_points(rows, inner, splits or default_splits(rows))))
 
     sizes = rows.groupBy(*keys, "_range").agg(F.count(F.lit(1)).alias("_n"))
     per_key = Window.partitionBy(*keys).orderBy("_range")

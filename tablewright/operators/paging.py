@@ -7,7 +7,7 @@ from typing import Any, Sequence
 
 from pyspark.sql import DataFrame, Row, functions as F
 
-from .ranges import SortKey, range_bucket, sort_keys, split_points
+from .ranges import SortKey, in_ranges, range_bucket, sort_keys, split_points
 
 Keys = Sequence[str | tuple[str, bool] | SortKey]
 
@@ -34,35 +34,38 @@ def page(df: DataFrame, keys: Keys, num: int, size: int, deep_offset: int = DEEP
     _check(num, size)
     offset = (num - 1) * size
     if offset > deep_offset:
-        return deep_page(df, keys, num, size)
+        return deep_page(df, keys, num, size, near=deep_offset)
     return sort_rows(df, *keys).offset(offset).limit(size)
 
 
-def deep_page(df: DataFrame, keys: Keys, num: int, size: int, splits: int = DEEP_SPLITS) -> DataFrame:
+def deep_page(df: DataFrame, keys: Keys, num: int, size: int, splits: int = DEEP_SPLITS, near: int = DEEP_OFFSET) -> DataFrame:
     """The same page, for any depth.
 
     A top-k would gather every row up to the page's end in one task. Here the rows are counted per sort-key range (one
-    aggregation whose result has ``splits`` rows), the ranges before the page are skipped by their exact counts, and
-    only the ranges that hold the page are sorted.
+    aggregation whose result has ``splits`` rows) and the ranges before the page are skipped by their exact counts;
+    what is left is cut again until the page starts within ``near`` rows of its range. Only then is anything sorted.
     """
     _check(num, size)
-    keys = sort_keys(keys)
-    offset = (num - 1) * size
-    points = split_points(df, keys, splits)
-    bucket = range_bucket(points)
-    counts = {r["b"]: r["n"] for r in df.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    before, first, skipped, last = 0, None, 0, None
-    for b in range(len(points.points) + 1):
-        n = counts.get(b, 0)
-        if first is None and before + n > offset:
-            first, skipped = b, before
-        if first is not None and last is None and before + n >= offset + size:
-            last = b
-        before += n
-    if first is None:
-        return df.where(F.lit(False))
-    last = len(points.points) if last is None else last
-    return sort_rows(df.where(bucket.between(first, last)), *keys).offset(offset - skipped).limit(size)
+    keys, offset = sort_keys(keys), (num - 1) * size
+    while True:
+        points = split_points(df, keys, splits)
+        counted = df.groupBy(range_bucket(points).alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()
+        counts, before, first, skipped = {r["b"]: r["n"] for r in counted}, 0, None, 0
+        last = len(points.points)
+        for b in range(len(points.points) + 1):
+            if first is None and before + counts.get(b, 0) > offset:
+                first, skipped = b, before
+            before += counts.get(b, 0)
+            if first is not None and before >= offset + size:
+                last = b
+                break
+        if first is None:
+            return df.where(F.lit(False))
+        narrowed = (first, last) != (0, len(points.points))
+        if narrowed:
+            df, offset = df.where(in_ranges(points, first, last)), offset - skipped
+        if offset <= near or not narrowed:
+            return sort_rows(df, *keys).offset(offset).limit(size)
 
 
 def total_count(df: DataFrame, alias: str = "total") -> DataFrame:

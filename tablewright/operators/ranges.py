@@ -14,9 +14,16 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from ..functions.columns import all_of
 from ..functions.literals import column_type
 
-SAMPLES_PER_SPLIT = 40
+SAMPLES_PER_SPLIT = 20
+MOST_SPLITS = 4096
+
+
+def default_splits(df: DataFrame) -> int:
+    """As many ranges as the session has shuffle partitions, within 128 and 4096."""
+    return min(MOST_SPLITS, max(128, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
 
 
 @dataclass(frozen=True)
@@ -109,3 +116,19 @@ def range_bucket(splits: Splits, columns: Sequence[str] | None = None) -> Column
         return F.when(further, passed + step).otherwise(passed)
 
     return F.aggregate(steps, F.lit(0), advance)
+
+
+def in_ranges(splits: Splits, first: int, last: int) -> Column:
+    """Rows of the ranges ``first`` to ``last``, with bounds on the leading key that a scan can skip row groups by."""
+    lead, dtype = splits.keys[0], splits.types[0]
+    column = F.col(lead.name)
+    bounds = [range_bucket(splits).between(first, last)]
+    start = splits.points[first - 1][0] if first > 0 else None
+    stop = splits.points[last][0] if last < len(splits.points) else None
+    low, high = (start, stop) if lead.ascending else (stop, start)
+    if low is not None:
+        bounds.append(column >= F.lit(low).cast(dtype))
+    if high is not None:
+        beyond = column <= F.lit(high).cast(dtype)
+        bounds.append(beyond if low is not None else beyond | column.isNull())
+    return all_of(bounds)

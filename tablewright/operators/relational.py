@@ -22,7 +22,7 @@ from ..functions.predicates import (
     split_at_or,
     where,
 )
-from .ranges import SortKey, range_bucket, split_points
+from .ranges import SortKey, default_splits, range_bucket, split_points
 
 JOIN_TYPES = ("inner", "left")
 
@@ -118,7 +118,7 @@ def join_on(
 
 
 def inequality_join(
-    left: DataFrame, right: DataFrame, on: tuple[str, str, str], *terms: Term, how: str = "inner", splits: int = 64
+    left: DataFrame, right: DataFrame, on: tuple[str, str, str], *terms: Term, how: str = "inner", splits: int | None = None
 ) -> DataFrame:
     """A join whose only link is an inequality between two columns, without a nested loop over both tables.
 
@@ -132,7 +132,7 @@ def inequality_join(
     left_name, right_name, relation = on
     if relation not in (">", ">=", "<", "<="):
         raise ValueError(f"an inequality join uses > >= < or <=, not {relation!r}")
-    points = split_points(left, [SortKey(left_name)], splits)
+    points = split_points(left, [SortKey(left_name)], splits or default_splits(left))
     last = len(points.points)
     own = range_bucket(points, [right_name])
     if relation in (">", ">="):

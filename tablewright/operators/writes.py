@@ -10,6 +10,7 @@ from dataclasses import dataclass, field
 from functools import reduce
 from typing import Any, Callable, Mapping, Sequence, Union
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.columns import fresh
@@ -48,9 +49,13 @@ def literal_rows(df: DataFrame, rows: Sequence[Mapping[str, Any]]) -> DataFrame:
     fields = {f.name: f.dataType for f in df.schema.fields}
     nested = (T.ArrayType, T.StructType, T.MapType, T.BinaryType)
     as_is = {n for n in names if isinstance(fields[n], nested)}
-    schema = T.StructType([T.StructField(n, fields[n] if n in as_is else T.StringType()) for n in names])
-    data = [tuple(row.get(n) if n in as_is else _as_text(row.get(n)) for n in names) for row in rows]
-    texts = df.sparkSession.createDataFrame(data, schema)
+    if as_is:
+        schema = T.StructType([T.StructField(n, fields[n] if n in as_is else T.StringType()) for n in names])
+        data = [tuple(row.get(n) if n in as_is else _as_text(row.get(n)) for n in names) for row in rows]
+        texts = df.sparkSession.createDataFrame(data, schema)
+    else:
+        columns = {n: pa.array([_as_text(row.get(n)) for row in rows], pa.string()) for n in names}
+        texts = df.sparkSession.createDataFrame(pa.table(columns))
     given = {n: F.col(f"`{n}`") for n in names}
     return texts.select(*[given.get(c, F.lit(None)).cast(fields[c]).alias(c) for c in df.columns])
 
