@@ -187,19 +187,18 @@ def nested_list(
     else:
         names, has_raw = _parent_columns(tree)
         names = list(dict.fromkeys([*names, *(reads or ())]))
-        if has_raw and reads is None:
-            values = parent.distinct()
-            columns = [F.col(f"`{c}`") for c in parent.columns]
-        else:
-            columns = [F.col(n) for n in names]
-            values = parent.select(*columns).distinct()
+        whole_row = has_raw and reads is None
+        columns = [F.col(f"`{c}`") for c in parent.columns] if whole_row else [F.col(n) for n in names]
         keys = [fresh("key") for _ in columns]
+        values = parent.select(*columns, *[c.alias(k) for c, k in zip(columns, keys)]).distinct()
+        # what the list needs is named before the join, where parent and child columns may be called alike
+        items = child.select("*", *ordering, value)
         found = []
         branches = _branches(tree, (child, values))
         for i, branch in enumerate(branches):
             earlier = [~F.coalesce(b, F.lit(False)) for b in branches[:i]]
-            joined = values.join(child, all_of([branch, *earlier]), "inner")
-            found.append(joined.select(*[c.alias(k) for c, k in zip(columns, keys)], *ordering, value))
+            joined = values.join(items, all_of([branch, *earlier]), "inner")
+            found.append(joined.select(*keys, *[f"_s{i}" for i in range(len(sort))], "_v"))
         lists = _collected(reduce(lambda a, b: a.union(b), found), keys, sort, alias, max_items)
         match = all_of([c.eqNullSafe(F.col(k)) for c, k in zip(columns, keys)])
     return _or_empty(parent.join(lists, match, "left").drop(*keys), alias)

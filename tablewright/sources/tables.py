@@ -179,7 +179,12 @@ class TableSet:
         """Paths to keep naming, and files to rewrite. A folder is spelled out only once one of its files goes."""
         kept, rewritten = [], []
         for path in stored.paths:
-            files = self._read(_Stored(stored.schema, (path,))).inputFiles()
+            if path.endswith(".parquet"):
+                files = [path]
+            else:
+                # the listing spells addresses its own way, so only the names are taken from it
+                names = [f.rsplit("/", 1)[-1] for f in self._read(_Stored(stored.schema, (path,))).inputFiles()]
+                files = [f"{path}/{name}" for name in names]
             gone = [f for f in files if _tail(f) in touched]
             rewritten += gone
             kept += [f for f in files if _tail(f) not in touched] if gone else [path]
