@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
 import re
 from decimal import Decimal, InvalidOperation
 from typing import Any
@@ -25,6 +26,16 @@ def _number(text: str, name: str) -> int | float | Decimal:
     return int(value) if value == value.to_integral_value() else value
 
 
+def _fitted(value: int | float | Decimal, dtype: T.DataType) -> int | float | Decimal:
+    """A number in a form that does not make Spark convert the column: 8.0 meets a bigint as 8."""
+    finite = math.isfinite(value)
+    if isinstance(dtype, T.IntegralType) and finite and value == int(value):
+        return int(value)
+    if isinstance(dtype, T.DecimalType) and isinstance(value, float) and finite:
+        return Decimal(repr(value))
+    return int(value) if isinstance(value, bool) else value
+
+
 def _moment(value: Any, dtype: T.DataType, name: str) -> Column:
     text = value.isoformat(sep=" ") if isinstance(value, dt.datetime) else str(value).strip()
     try:
@@ -43,12 +54,10 @@ def typed_literal(value: Any, dtype: T.DataType, name: str = "") -> Column:
     column's type is refused here, before any job starts.
     """
     if isinstance(dtype, T.NumericType):
-        if isinstance(value, bool):
-            return F.lit(int(value))
         if isinstance(value, str):
             return F.lit(_number(value, name))
         if isinstance(value, (int, float, Decimal)):
-            return F.lit(value)
+            return F.lit(_fitted(value, dtype))
         raise ValueError(f"{value!r} cannot be compared with numeric column {name}")
     if isinstance(dtype, T.BooleanType):
         if isinstance(value, (bool, int)) and value in (0, 1):

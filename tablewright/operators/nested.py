@@ -19,6 +19,7 @@ row each, numbered across ranges of the sort key so that one parent's rows are s
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 from typing import Sequence
 
@@ -50,8 +51,18 @@ Fields = Sequence[str | tuple[str, str] | Column]
 Keys = Sequence[str | tuple[str, bool] | SortKey]
 
 
-def _element_fields(child: DataFrame, fields: Fields) -> list[Column]:
-    """Struct fields of one element; a field is called by its alias, else by what follows the last dot."""
+@dataclass(frozen=True)
+class _Items:
+    """What is carried per child row: flat columns, each once, whether they are element fields, sort keys or both."""
+
+    columns: tuple[Column, ...]
+    names: tuple[str, ...]
+    element: Column
+    order: tuple[SortKey, ...]
+
+
+def _items(child: DataFrame, fields: Fields, sort: Sequence[SortKey]) -> _Items:
+    """A field is called by its alias, else by what follows the last dot."""
     if not fields:
         raise ValueError("a nested list needs explicit fields; their aliases name the element's fields")
     made = [F.col(f[0]).alias(f[1]) if isinstance(f, tuple) else F.col(f) if isinstance(f, str) else f for f in fields]
@@ -61,7 +72,18 @@ def _element_fields(child: DataFrame, fields: Fields) -> list[Column]:
             raise ValueError(f"field name {name} contains quotes")
     if len(set(n.lower() for n in names)) != len(names):
         raise ValueError(f"element fields {names} are not distinct")
-    return [column.alias(name) for column, name in zip(made, names)]
+    carried = [f"_f{i}" for i in range(len(names))]
+    columns = [column.alias(c) for column, c in zip(made, carried)]
+    element = F.struct(*[F.col(c).alias(name) for c, name in zip(carried, names)])
+    place = {f[0] if isinstance(f, tuple) else f: c for f, c in zip(fields, carried) if not isinstance(f, Column)}
+    order = []
+    for i, key in enumerate(sort):
+        if key.name not in place:
+            place[key.name] = f"_s{i}"
+            columns.append(F.col(key.name).alias(f"_s{i}"))
+            carried.append(f"_s{i}")
+        order.append(SortKey(place[key.name], key.ascending))
+    return _Items(tuple(columns), tuple(carried), element, tuple(order))
 
 
 def _oriented(tree: Group, child: DataFrame, parent: DataFrame) -> Group:
@@ -126,20 +148,20 @@ def _branches(tree: Group, frames: Sequence[DataFrame]) -> list[Column]:
     return branches
 
 
-def _collected(rows: DataFrame, keys: Sequence[str], sort: Sequence[SortKey], alias: str, max_items: int) -> DataFrame:
-    """Rows (key columns, sort columns s0…, value v) grouped into one ordered list per key.
+def _collected(rows: DataFrame, keys: Sequence[str], items: _Items, alias: str, max_items: int) -> DataFrame:
+    """Rows grouped into one ordered list per key.
 
     The row number is what orders the list, so any mix of directions works; it runs over sorted, spillable input, and
     stops an over-long list before any of it is gathered. Numbering and grouping share one shuffle on the key.
     """
-    order = [SortKey(f"_s{i}", k.ascending).order for i, k in enumerate(sort)]
-    window = Window.partitionBy(*keys).orderBy(*(order or [F.lit(0)]))
+    window = Window.partitionBy(*keys).orderBy(*([k.order for k in items.order] or [F.lit(0)]))
     number = F.row_number().over(window)
     too_many = F.lit(f"a list of {alias} has more than {max_items} items; read it with nested_chunks")
     guarded = F.when(number > max_items, F.raise_error(too_many)).otherwise(number)
-    numbered = rows.select(*keys, F.struct(guarded.alias("n"), F.col("_v").alias("v")).alias("_item"))
-    items = F.sort_array(F.collect_list("_item")) if order else F.collect_list("_item")
-    return numbered.groupBy(*keys).agg(F.transform(items, lambda x: x["v"]).alias(alias))
+    numbered = rows.withColumn("_n", guarded)
+    gathered = F.collect_list(F.struct(F.col("_n").alias("n"), items.element.alias("v")))
+    gathered = F.sort_array(gathered) if items.order else gathered
+    return numbered.groupBy(*keys).agg(gathered["v"].alias(alias))
 
 
 def _or_empty(df: DataFrame, alias: str) -> DataFrame:
@@ -169,20 +191,17 @@ def nested_list(
         raise ValueError("a nested list needs an alias")
     alias = alias.strip()
     tree, sort = _correlate(correlate, child, parent), sort_keys(sort)
-    element = _element_fields(child, fields)
-    value = F.struct(*element).alias("_v")
-    ordering = [F.col(k.name).alias(f"_s{i}") for i, k in enumerate(sort)]
-    pairs = _equalities(tree)
+    items, pairs = _items(child, fields, sort), _equalities(tree)
     if pairs is not None:
         keys = [fresh("key") for _ in pairs]
-        rows = child.select(*[F.col(c).alias(k) for (c, _), k in zip(pairs, keys)], *ordering, value)
+        rows = child.select(*[F.col(c).alias(k) for (c, _), k in zip(pairs, keys)], *items.columns)
         rows = rows.where(all_of([F.col(k).isNotNull() for k in keys]))
         if prune_child:
             wanted = [fresh("key") for _ in pairs]
             present = parent.select(*[F.col(p).alias(w) for (_, p), w in zip(pairs, wanted)]).distinct()
             matches = all_of([F.col(k) == F.col(w) for k, w in zip(keys, wanted)])
             rows = rows.join(present, matches, "left_semi")
-        lists = _collected(rows, keys, sort, alias, max_items)
+        lists = _collected(rows, keys, items, alias, max_items)
         match = all_of([F.col(p) == F.col(k) for (_, p), k in zip(pairs, keys)])
     else:
         names, has_raw = _parent_columns(tree)
@@ -192,14 +211,14 @@ def nested_list(
         keys = [fresh("key") for _ in columns]
         values = parent.select(*columns, *[c.alias(k) for c, k in zip(columns, keys)]).distinct()
         # what the list needs is named before the join, where parent and child columns may be called alike
-        items = child.select("*", *ordering, value)
+        named = child.select("*", *items.columns)
         found = []
         branches = _branches(tree, (child, values))
         for i, branch in enumerate(branches):
             earlier = [~F.coalesce(b, F.lit(False)) for b in branches[:i]]
-            joined = values.join(items, all_of([branch, *earlier]), "inner")
-            found.append(joined.select(*keys, *[f"_s{i}" for i in range(len(sort))], "_v"))
-        lists = _collected(reduce(lambda a, b: a.union(b), found), keys, sort, alias, max_items)
+            joined = values.join(named, all_of([branch, *earlier]), "inner")
+            found.append(joined.select(*keys, *items.names))
+        lists = _collected(reduce(lambda a, b: a.union(b), found), keys, items, alias, max_items)
         match = all_of([c.eqNullSafe(F.col(k)) for c, k in zip(columns, keys)])
     return _or_empty(parent.join(lists, match, "left").drop(*keys), alias)
 
@@ -235,13 +254,10 @@ def nested_chunks(
         raise ValueError("nested_chunks needs sort keys")
     alias = alias.strip()
     keys = [fresh("key") for _ in pairs]
-    inner = [SortKey(f"_s{i}", k.ascending) for i, k in enumerate(sort)]
-    rows = child.select(
-        *[F.col(c).alias(k) for (c, _), k in zip(pairs, keys)],
-        *[F.col(k.name).alias(s.name) for k, s in zip(sort, inner)],
-        F.struct(*_element_fields(child, fields)).alias("_v"),
-    ).where(all_of([F.col(k).isNotNull() for k in keys]))
-    rows = rows.withColumn("_range", range_bucket(split_points(rows, inner, splits or default_splits(rows))))
+    items = _items(child, fields, sort)
+    rows = child.select(*[F.col(c).alias(k) for (c, _), k in zip(pairs, keys)], *items.columns)
+    rows = rows.where(all_of([F.col(k).isNotNull() for k in keys]))
+    rows = rows.withColumn("_range", range_bucket(split_points(rows, items.order, splits or default_splits(rows))))
 
     sizes = rows.groupBy(*keys, "_range").agg(F.count(F.lit(1)).alias("_n"))
     per_key = Window.partitionBy(*keys).orderBy("_range")
@@ -251,17 +267,17 @@ def nested_chunks(
         (F.sum("_n").over(per_key) - F.col("_n")).alias("_offset"),
     )
     same_range = [F.col(k) == F.col(f"{k}_o") for k in keys] + [F.col("_range") == F.col("_range_o")]
-    local = F.row_number().over(Window.partitionBy(*keys, "_range").orderBy(*[k.order for k in inner]))
+    local = F.row_number().over(Window.partitionBy(*keys, "_range").orderBy(*[k.order for k in items.order]))
     numbered = rows.withColumn("_local", local).join(offsets, all_of(same_range))
     position = F.col("_offset") + F.col("_local") - 1
     pieces = (
         numbered.select(
             *keys,
             F.floor(position / chunk_rows).cast("long").alias("_piece"),
-            F.struct(position.alias("n"), F.col("_v").alias("v")).alias("_item"),
+            F.struct(position.alias("n"), items.element.alias("v")).alias("_item"),
         )
         .groupBy(*keys, "_piece")
-        .agg(F.transform(F.sort_array(F.collect_list("_item")), lambda x: x["v"]).alias(alias))
+        .agg(F.sort_array(F.collect_list("_item"))["v"].alias(alias))
     )
 
     totals = sizes.groupBy(*[F.col(k).alias(f"{k}_t") for k in keys]).agg(F.sum("_n").alias("_total"))
