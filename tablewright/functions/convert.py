@@ -32,7 +32,9 @@ _BLANKS = " \t\n\x0b\x0c\r\x85\xa0"
 _ISO = r"^\d{4}-\d{2}-\d{2}([ T]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?)?( ?(Z|z|[+-]\d{2}:\d{2}))?$"
 _OFFSET = r"(?i)( ?(Z|UTC|GMT|[+-]\d{2}:\d{2}))$"
 _NO_SECONDS = r"^(.{10}[ T]\d{2}:\d{2})((?: ?(?:Z|z|[+-]\d{2}:\d{2}))?)$"
-_TIME = r"^(\d{1,2}):(\d{2})(?::(\d{2})(?:\.(\d{1,7}))?)?(?: ?([AaPp][Mm]))?$"
+_SECONDS = r"(?::[0-5]\d(?:\.\d{1,7})?)?"
+_TIME_24 = rf"^(?:[01]?\d|2[0-3]):[0-5]\d{_SECONDS}$"
+_TIME_12 = rf"^(?:0?[1-9]|1[0-2]):[0-5]\d{_SECONDS} ?[AaPp][Mm]$"
 _DECIMAL = r"^(?:[+-]?(?:\d[\d,]*(?:\.\d*)?|\.\d+)|(?:\d[\d,]*(?:\.\d*)?|\.\d+)[+-])$"
 _DOUBLE = r"^[+-]?(?:\d[\d,]*(?:\.\d*)?|\.\d+)(?:[eE][+-]?\d+)?$"
 _DOUBLE_NAMES = r"(?i)^[+-]?(?:nan|infinity)$"
@@ -155,25 +157,18 @@ def to_time(value: Column, dtype: T.DataType, on_error: str = "raise") -> Column
     if not isinstance(dtype, T.StringType):
         raise _wrong_input("time", dtype)
     text = _text(value)
-    hour, minute, second, fraction, half = (F.regexp_extract(text, _TIME, i) for i in range(1, 6))
-    number = hour.try_cast("int")
-    on_clock = F.when(half == "", number).when(F.upper(half) == "AM", number % 12).otherwise(number % 12 + 12)
-    fits = (
-        text.rlike(_TIME)
-        & F.when(half == "", number < 24).otherwise(number.between(1, 12))
-        & (minute.try_cast("int") < 60)
-        & ((second == "") | (second.try_cast("int") < 60))
+    padded = F.when(F.substring(text, 2, 1) == ":", F.concat(F.lit("0"), text)).otherwise(text)
+    hour, half = F.substring(padded, 1, 2).try_cast("int") % 12, F.upper(F.right(text, F.lit(2)))
+    on_clock = F.lpad(F.when(half == "PM", hour + 12).otherwise(hour).cast("string"), 2, "0")
+    body = F.rtrim(F.regexp_replace(padded, "(?i)[ap]m$", ""))
+    twelve = F.concat(on_clock, F.substring(body, 3, 20))
+    clock = F.when(text.rlike(_TIME_24), padded).when(text.rlike(_TIME_12), twelve)
+    whole = (
+        F.when(F.length(clock) == 5, F.concat(clock, F.lit(":00")))
+        .when(F.length(clock) > 8, F.rtrim(F.rtrim(clock, F.lit("0")), F.lit(".")))
+        .otherwise(clock)
     )
-    tail = F.regexp_replace(fraction, "0+$", "")
-    clock = F.concat(
-        F.lpad(on_clock.cast("string"), 2, "0"),
-        F.lit(":"),
-        minute,
-        F.lit(":"),
-        F.when(second == "", "00").otherwise(second),
-        F.when(tail == "", "").otherwise(F.concat(F.lit("."), tail)),
-    )
-    return _Target("time", on_error).checked(value, F.when(fits, clock), T.StringType())
+    return _Target("time", on_error).checked(value, whole, T.StringType())
 
 
 def to_decimal(

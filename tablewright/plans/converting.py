@@ -112,7 +112,8 @@ _JSON_ROWS = """SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k
 
 
 def _items(lists: DataFrame) -> DataFrame:
-    flat = lists.select("event_id", F.inline("items"))
+    # every list here has two items; for the plain inline Spark infers a filter that would parse each list twice
+    flat = lists.select("event_id", F.inline_outer("items"))
     return flat.select("event_id", "k", "ok", F.unix_seconds("at").alias("seconds"), "label")
 
 

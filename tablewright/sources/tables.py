@@ -178,9 +178,12 @@ class TableSet:
     def _split(self, stored: _Stored, touched: set[str]) -> tuple[tuple[str, ...], tuple[str, ...]]:
         """Paths to keep naming, and files to rewrite. A folder is spelled out only once one of its files goes."""
         kept, rewritten = [], []
+        folders = {tail.split("/")[0] for tail in touched}
         for path in stored.paths:
             if path.endswith(".parquet"):
                 files = [path]
+            elif path.rsplit("/", 1)[-1] not in folders:
+                files = []
             else:
                 # the listing spells addresses its own way, so only the names are taken from it
                 names = [f.rsplit("/", 1)[-1] for f in self._read(_Stored(stored.schema, (path,))).inputFiles()]
