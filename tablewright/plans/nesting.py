@@ -191,6 +191,24 @@ def nested_list_page(t: Data) -> DataFrame:
     return _as_json(lists, "orders")
 
 
+@query(f"""SELECT c.c_custkey, coalesce(to_json(k.l), '[]')::VARCHAR AS orders FROM
+             (SELECT * FROM customer ORDER BY c_acctbal DESC, c_custkey LIMIT 25 OFFSET 50) c LEFT JOIN
+             (SELECT o_custkey, list({{'key': o_orderkey, 'lines': coalesce(i.l, [])}} ORDER BY o_orderkey) AS l
+              FROM orders LEFT JOIN (SELECT l_orderkey, list({_LINE}) AS l FROM lineitem GROUP BY l_orderkey) i
+                ON i.l_orderkey = o_orderkey
+              GROUP BY o_custkey) k ON k.o_custkey = c.c_custkey""")
+def nested_list_page_deep(t: Data) -> DataFrame:
+    """Cut down from the top, nest from the bottom: only the page's orders and their lines are shuffled."""
+    parents = page(t.customer.alias("c"), [("c_acctbal", False), "c_custkey"], 3, 25)
+    parents = project(parents, "c.c_custkey")
+    orders = where(t.orders.alias("o"), P.in_query("o.o_custkey", parents))
+    orders = nested.nested_list(
+        orders, t.lineitem.alias("l"), _OF_ORDER, _LINE_FIELDS, "lines", _LINE_SORT, prune_child=True
+    )
+    fields = [("o.o_orderkey", "key"), "lines"]
+    return _as_json(nested.nested_list(parents, orders, _OF_CUSTOMER, fields, "orders", ["o.o_orderkey"]), "orders")
+
+
 @query("""SELECT n.n_nationkey, coalesce(k.chunk, 0) AS chunk, coalesce(to_json(k.l), '[]')::VARCHAR AS customers
           FROM nation n LEFT JOIN
             (SELECT c_nationkey, chunk, list({'key': c_custkey, 'name': c_name} ORDER BY c_acctbal, c_custkey) AS l FROM
