@@ -148,15 +148,20 @@ def _branches(tree: Group, frames: Sequence[DataFrame]) -> list[Column]:
     return branches
 
 
-def _collected(rows: DataFrame, keys: Sequence[str], items: _Items, alias: str, max_items: int) -> DataFrame:
+def _collected(
+    rows: DataFrame, keys: Sequence[str], items: _Items, alias: str, max_items: int, count_first: bool
+) -> DataFrame:
     """Rows grouped into one ordered list per key.
 
     The row number is what orders the list, so any mix of directions works; it runs over sorted, spillable input, and
     stops an over-long list before any of it is gathered. Numbering and grouping share one shuffle on the key.
     """
+    too_many = F.lit(f"a list of {alias} has more than {max_items} items; read it with nested_chunks")
+    if count_first:
+        largest = rows.groupBy(*keys).count().agg(F.max("count")).scalar()
+        rows = rows.where(F.when(largest > max_items, F.raise_error(too_many).cast("boolean")).otherwise(True))
     window = Window.partitionBy(*keys).orderBy(*([k.order for k in items.order] or [F.lit(0)]))
     number = F.row_number().over(window)
-    too_many = F.lit(f"a list of {alias} has more than {max_items} items; read it with nested_chunks")
     guarded = F.when(number > max_items, F.raise_error(too_many)).otherwise(number)
     numbered = rows.withColumn("_n", guarded)
     gathered = F.collect_list(F.struct(F.col("_n").alias("n"), items.element.alias("v")))
@@ -179,13 +184,15 @@ def nested_list(
     reads: Sequence[str] | None = None,
     prune_child: bool = False,
     max_items: int = MAX_ITEMS,
+    count_first: bool = False,
 ) -> DataFrame:
     """The parent rows plus the array column ``alias``; ``[]``, never null, where no child matches.
 
     ``child`` is any frame: filter, join or group it first (for one list of groups per parent, group by the correlate
     column and the group keys). ``reads`` names the parent columns raw correlate text uses; without it all parent
     columns count. ``prune_child`` drops children of absent parents before they are shuffled: worth it when the parents
-    are a page or a narrow filter.
+    are a page or a narrow filter. ``count_first`` looks for over-long lists by a map-side count of the keys, before any
+    child row is shuffled or sorted: one more pass over the key columns, for data whose keys may be badly skewed.
     """
     if not alias or not alias.strip():
         raise ValueError("a nested list needs an alias")
@@ -201,7 +208,7 @@ def nested_list(
             present = parent.select(*[F.col(p).alias(w) for (_, p), w in zip(pairs, wanted)]).distinct()
             matches = all_of([F.col(k) == F.col(w) for k, w in zip(keys, wanted)])
             rows = rows.join(present, matches, "left_semi")
-        lists = _collected(rows, keys, items, alias, max_items)
+        lists = _collected(rows, keys, items, alias, max_items, count_first)
         match = all_of([F.col(p) == F.col(k) for (_, p), k in zip(pairs, keys)])
     else:
         names, has_raw = _parent_columns(tree)
@@ -218,7 +225,7 @@ def nested_list(
             earlier = [~F.coalesce(b, F.lit(False)) for b in branches[:i]]
             joined = values.join(named, all_of([branch, *earlier]), "inner")
             found.append(joined.select(*keys, *items.names))
-        lists = _collected(reduce(lambda a, b: a.union(b), found), keys, items, alias, max_items)
+        lists = _collected(reduce(lambda a, b: a.union(b), found), keys, items, alias, max_items, count_first)
         match = all_of([c.eqNullSafe(F.col(k)) for c, k in zip(columns, keys)])
     return _or_empty(parent.join(lists, match, "left").drop(*keys), alias)
 
@@ -239,10 +246,10 @@ def nested_chunks(
     Pieces in ``chunk`` order put together are exactly the list of :func:`nested_list`; a childless parent has one empty
     piece. The correlate is one or more equalities, and the sort keys should order the children totally.
 
-    ``splits`` is the number of ranges, by default the session's shuffle
-    partitions. No task ever holds one parent's rows: they are numbered inside (key, range of the sort key) groups, whose sizes are
-    counted map-side and summed up to offsets, and are then regrouped by (key, chunk). The parent row is repeated per
-    chunk before the join, so that join is even too.
+    ``splits`` is the number of ranges, by default the session's shuffle partitions. No task ever holds one parent's
+    rows: they are numbered inside (key, range of the sort key) groups, whose sizes are counted map-side and summed up to
+    offsets, and are then regrouped by (key, chunk). The parent row is repeated per chunk before the join, so that join
+    is even too.
     """
     if chunk_rows < 1:
         raise ValueError(f"a chunk holds at least one row, not {chunk_rows}")

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from ..functions import predicates as P
-from ..functions.predicates import and_, and_not, or_, where
+from ..functions.predicates import and_, or_, where
 from ..operators import setops
 from ..operators.paging import page, page_with_total, single_row_frame, sort_rows, total_count
 from ..operators.relational import aggregate, expression, inequality_join, join_on, project

@@ -116,8 +116,11 @@ def test_refusals(spark):
 def test_a_list_too_long_is_refused_not_cut(spark):
     p, c, _ = family(spark)
     assert lists(nested_list(p, c, OF_PARENT, ["c.id"], "kids", ["c.id"], max_items=2))["p1"] == [("c1",), ("c2",)]
-    with pytest.raises(Exception, match="more than 1 items"):
-        nested_list(p, c, OF_PARENT, ["c.id"], "kids", ["c.id"], max_items=1).collect()
+    counted = nested_list(p, c, OF_PARENT, ["c.id"], "kids", ["c.id"], max_items=2, count_first=True)
+    assert lists(counted)["p1"] == [("c1",), ("c2",)]
+    for count_first in (False, True):
+        with pytest.raises(Exception, match="more than 1 items"):
+            nested_list(p, c, OF_PARENT, ["c.id"], "kids", ["c.id"], max_items=1, count_first=count_first).collect()
 
 
 @pytest.mark.parametrize("sort", [["d.v", "d.i"], [("d.v", False), "d.i"], [("d.i", False)]])
