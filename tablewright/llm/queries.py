@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, top_k
+from . import bpe, chat, top_k, url_graph
+from .url_graph import Rule
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -35,5 +36,63 @@ OP10_SQL = """
     r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
     SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5"""
 
-QUERIES = {f.__name__: f for f in (op5_byte_bpe, op10_exact_top_k)}
-SQL = {"op10_exact_top_k": OP10_SQL}
+
+URL_RULES = [Rule("block", "net", "/"), Rule("allow", "example.net", "/en/"), Rule("block", "example.com", "/de/"), Rule("allow", "org", "/fr/")]
+DAMPING, ROUNDS, THRESHOLD = 0.85, 20, 0.5
+
+
+def op9_url_graph(spark: SparkSession, folder: str) -> DataFrame:
+    return url_graph.judge_urls(_table(spark, folder, "pages"), URL_RULES, damping=DAMPING, rounds=ROUNDS, threshold=THRESHOLD)
+
+
+def _op9_sql() -> str:
+    fits = lambda r: f"(host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}')"
+    longest = sorted(URL_RULES, key=lambda r: -len(r.host + r.path))
+    case = lambda what: "CASE " + " ".join(f"WHEN {fits(r)} THEN '{what(r)}'" for r in longest) + " END"
+    lower = lambda x: f"translate({x}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    link = url_graph.LINK.replace("'", "''")
+    one, rest, big = url_graph.ONE, 1 - DAMPING, "::BIGINT"
+    steps = [f"""
+        r0 AS (SELECT host, floor({rest!r} * trust){big} AS trust, floor({rest!r} * distrust){big} AS distrust FROM seeds)"""]
+    for i in range(1, ROUNDS + 1):
+        steps.append(f"""
+        r{i} AS MATERIALIZED (SELECT host, sum(trust){big} AS trust, sum(distrust){big} AS distrust FROM (SELECT * FROM r0
+          UNION ALL SELECT dst, floor({DAMPING!r} * trust * links / of_src){big}, 0 FROM edges JOIN r{i - 1} ON src = host
+          UNION ALL SELECT src, 0, floor({DAMPING!r} * distrust * links / of_dst){big} FROM edges JOIN r{i - 1} ON dst = host) GROUP BY host)""")
+    return f"""
+    WITH rest AS (SELECT page_id, html, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS x FROM pages),
+    split AS (SELECT page_id, html, {lower("regexp_extract(x, '^[^/?#]*')")} AS host, regexp_extract(x, '^[^/?#]*([^?#]*)', 1) AS path FROM rest),
+    ruled AS (SELECT page_id, html, host, path, {case(lambda r: r.host + r.path)} AS rule, {case(lambda r: r.verdict)} AS ruled FROM split),
+    links AS (SELECT host AS src, {lower(f"unnest(regexp_extract_all(html, '{link}', 1))")} AS dst FROM ruled WHERE host <> ''),
+    pairs AS (SELECT src, dst, count(*) AS links FROM links WHERE src <> dst GROUP BY ALL),
+    edges AS MATERIALIZED (SELECT *, sum(links) OVER (PARTITION BY src)::DOUBLE AS of_src, sum(links) OVER (PARTITION BY dst)::DOUBLE AS of_dst FROM pairs),
+    seeds AS (SELECT host, floor({one}::DOUBLE * (count(*) FILTER (ruled = 'allow'))::DOUBLE / count(*)) AS trust,
+                     floor({one}::DOUBLE * (count(*) FILTER (ruled = 'block'))::DOUBLE / count(*)) AS distrust FROM ruled WHERE host <> '' GROUP BY host),
+    {",".join(steps)}
+    SELECT page_id, host, path, rule, coalesce(trust, 0) AS trust, coalesce(distrust, 0) AS distrust,
+           coalesce(ruled, CASE WHEN distrust - trust >= {int(THRESHOLD * rest * one)} THEN 'block' ELSE 'allow' END) AS verdict
+    FROM ruled LEFT JOIN r{ROUNDS} USING (host)"""
+
+
+def op3_perspectives(spark: SparkSession, folder: str) -> DataFrame:
+    views = chat.rotate_perspectives(_table(spark, folder, "conversations"))
+    return views.withColumn("mask", chat.mask_text(F.col("mask")))
+
+
+OP3_SQL = """
+    WITH t AS (SELECT conv_id, coalesce(turn, 9223372036854775807) AS turn,
+                      translate(replace(coalesce(role, 'unknown'), '<|', '< |'), chr(10), ' ') AS who,
+                      replace(coalesce(text, ''), '<|', '< |') AS text FROM conversations),
+    n AS (SELECT *, turn // 1024 AS part, row_number() OVER (PARTITION BY conv_id ORDER BY turn, who, text) AS i FROM t),
+    v AS (SELECT DISTINCT conv_id, who AS speaker FROM t WHERE who <> 'system'),
+    p AS (SELECT n.conv_id, speaker, part, i, who = speaker AS own, text, '<|im_start|>' || CASE WHEN who = speaker THEN 'assistant'
+                 WHEN who = 'system' THEN 'system' ELSE 'user name=' || who END || chr(10) AS head
+          FROM n JOIN v ON n.conv_id IS NOT DISTINCT FROM v.conv_id),
+    q AS (SELECT *, head || text || '<|im_end|>' || chr(10) AS piece FROM p),
+    s AS (SELECT *, (sum(length(piece)) OVER (PARTITION BY conv_id, speaker, part ORDER BY i))::BIGINT AS stop FROM q)
+    SELECT conv_id, speaker, part, count(*) AS n_turns, string_agg(piece, '' ORDER BY i) AS text,
+           coalesce(string_agg(CASE WHEN own THEN (stop - length(piece) + length(head)) || '-' || stop END, ',' ORDER BY i), '') AS mask
+    FROM s GROUP BY conv_id, speaker, part"""
+
+QUERIES = {f.__name__: f for f in (op3_perspectives, op5_byte_bpe, op9_url_graph, op10_exact_top_k)}
+SQL = {"op3_perspectives": OP3_SQL, "op9_url_graph": _op9_sql(), "op10_exact_top_k": OP10_SQL}
