@@ -7,17 +7,23 @@ a run of bytes, and may hold only a part of a character.
 
 from __future__ import annotations
 
+import codecs
 import functools
+import hashlib
 import json
 import os
+from collections.abc import Iterator
 from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, types as T
 
 from .shared import unused
 
+#: Texts in the tokenizer's hands at a time.
+_TEXTS = 32
+
 
 @functools.cache
 def byte_characters() -> dict[str, int]:
@@ -52,6 +58,15 @@ def token_bytes(vocabulary: str) -> list[bytes]:
     return found
 
 
+def encoded_lists(texts: pa.Array, vocabulary: str) -> Iterator[list[int]]:
+    """The ids of each text, a few texts at a time: an encoding takes many times the memory of its text."""
+    tokenizer = _tokenizer(vocabulary)
+    for start in range(0, len(texts), _TEXTS):
+        part = [text or "" for text in texts.slice(start, _TEXTS).to_pylist()]
+        for encoding in tokenizer.encode_batch_fast(part, add_special_tokens=False):
+            yield encoding.ids
+
+
 def decode_bytes(ids: list[int], vocabulary: str) -> bytes:
     """The bytes of a list of ids; any list is valid, the result may begin or end inside a character."""
     return b"".join(map(token_bytes(vocabulary).__getitem__, ids))
@@ -62,8 +77,6 @@ def decode_pieces(ids: list[int], vocabulary: str) -> list[str]:
 
     Bytes that are no valid text become U+FFFD, at the latest in the last piece.
     """
-    import codecs
-
     decoder = codecs.getincrementaldecoder("utf-8")("replace")
     table = token_bytes(vocabulary)
     return [decoder.decode(table[i], final=k == len(ids) - 1) for k, i in enumerate(ids)]
@@ -98,20 +111,17 @@ def encode(texts: DataFrame, vocabulary: str, text_column: str = "text", ids_col
     where = texts.columns.index(text_column)
 
     def run(batches):
-        tokenizer = _tokenizer(vocabulary)
         for batch in batches:
-            ids, spans = [], ([], [])
-            # a few texts at a time: an encoding takes many times the memory of its ids
-            for start in range(0, batch.num_rows, 64):
-                part = [text or "" for text in batch.column(where).slice(start, 64).to_pylist()]
-                for text, encoding in zip(part, tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                    ids.append(np.array(encoding.ids, np.int32))
+            for start in range(0, batch.num_rows, _TEXTS):
+                part, ids, spans = batch.slice(start, _TEXTS), [], ([], [])
+                for text, found in zip(part.column(where), encoded_lists(part.column(where), vocabulary)):
+                    ids.append(np.array(found, np.int32))
                     if with_offsets:
-                        for spot, found in zip(spans, offsets(encoding.ids, text.encode(), vocabulary)):
-                            spot.append(found)
-            columns = [pa.array(ids, pa.list_(pa.int32()))]
-            columns += [pa.array(spot, pa.list_(pa.int64())) for spot in spans if with_offsets]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*batch.schema.names, *names])
+                        for spot, at in zip(spans, offsets(found, (text.as_py() or "").encode(), vocabulary)):
+                            spot.append(at)
+                columns = [pa.array(ids, pa.list_(pa.int32()))]
+                columns += [pa.array(spot, pa.list_(pa.int64())) for spot in spans if with_offsets]
+                yield pa.RecordBatch.from_arrays([*part.columns, *columns], names=[*part.schema.names, *names])
 
     return texts.mapInArrow(run, schema)
 
@@ -124,16 +134,35 @@ def decode(encoded: DataFrame, vocabulary: str, ids_column: str = "ids", bytes_c
 
     def run(batches):
         for batch in batches:
-            found = [decode_bytes(ids or [], vocabulary) for ids in batch.column(where).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.binary())], names=[*batch.schema.names, name])
+            for start in range(0, batch.num_rows, _TEXTS):
+                part = batch.slice(start, _TEXTS)
+                found = [decode_bytes(ids or [], vocabulary) for ids in part.column(where).to_pylist()]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, pa.binary())], names=[*part.schema.names, name])
 
     return encoded.mapInArrow(run, schema)
 
 
-def digests(encoded: DataFrame, ids_column: str = "ids", bytes_column: str = "decoded"):
-    """Columns n_tokens, ids_sha256 and decoded_sha256 of an encoded and decoded frame."""
-    return (
-        F.size(ids_column).cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col(ids_column).cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
-        F.sha2(F.col(bytes_column), 256).alias("decoded_sha256"),
-    )
+def round_trip_digests(texts: DataFrame, vocabulary: str, text_column: str = "text") -> DataFrame:
+    """The frame without its texts, with n_tokens, ids_sha256 and decoded_sha256: encoded, decoded and hashed in one pass.
+
+    ids_sha256 is of the decimal ids joined by a space, decoded_sha256 of the decoded bytes, both in lower-case hex. The
+    ids never leave the task. Nulls, names and row order as in ``encode``.
+    """
+    rest = [c for c in texts.columns if c != text_column]
+    names = [unused(name, texts) for name in ("n_tokens", "ids_sha256", "decoded_sha256")]
+    kinds = [T.LongType(), T.StringType(), T.StringType()]
+    schema = T.StructType([*(texts.schema[c] for c in rest), *(T.StructField(n, k, False) for n, k in zip(names, kinds))])
+    where, others = texts.columns.index(text_column), [texts.columns.index(c) for c in rest]
+
+    def run(batches):
+        decimal = list(map(str, range(len(token_bytes(vocabulary)))))
+        for batch in batches:
+            counts, hashes, decoded = [], [], []
+            for ids in encoded_lists(batch.column(where), vocabulary):
+                counts.append(len(ids))
+                hashes.append(hashlib.sha256(" ".join(map(decimal.__getitem__, ids)).encode()).hexdigest())
+                decoded.append(hashlib.sha256(decode_bytes(ids, vocabulary)).hexdigest())
+            columns = [pa.array(counts, pa.int64()), pa.array(hashes, pa.string()), pa.array(decoded, pa.string())]
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in others), *columns], names=[*rest, *names])
+
+    return texts.mapInArrow(run, schema)

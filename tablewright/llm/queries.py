@@ -18,8 +18,7 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def op5_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     vocabulary = public_tokenizers.path(VOCABULARY)
     documents = _table(spark, folder, "documents").select("doc_id", "text")
-    decoded = bpe.decode(bpe.encode(documents, vocabulary).drop("text"), vocabulary)
-    return decoded.select("doc_id", *bpe.digests(decoded))
+    return bpe.round_trip_digests(documents, vocabulary)
 
 
 def op10_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
