@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, chat, top_k, url_graph
+from . import bpe, chat, jaccard_join, top_k, url_graph
 from .url_graph import Rule
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -93,5 +93,22 @@ OP3_SQL = """
            coalesce(string_agg(CASE WHEN own THEN (stop - length(piece) + length(head)) || '-' || stop END, ',' ORDER BY i), '') AS mask
     FROM s GROUP BY conv_id, speaker, part"""
 
-QUERIES = {f.__name__: f for f in (op3_perspectives, op5_byte_bpe, op9_url_graph, op10_exact_top_k)}
-SQL = {"op3_perspectives": OP3_SQL, "op9_url_graph": _op9_sql(), "op10_exact_top_k": OP10_SQL}
+def op7_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.jaccard_components(_table(spark, folder, "documents"))
+
+
+OP7_SQL = r"""
+    WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    u AS (SELECT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' '))
+                 WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM w),
+    s AS MATERIALIZED (SELECT DISTINCT doc_id, hash(s) AS s FROM u),
+    n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+    p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+    l AS MATERIALIZED (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+    r AS (SELECT doc_id AS id, doc_id AS at FROM documents UNION SELECT id, b FROM r JOIN l ON l.a = r.at)
+    SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, min(r.at) AS component_id
+    FROM documents d LEFT JOIN n USING (doc_id) JOIN r ON r.id = d.doc_id GROUP BY d.doc_id, n.n"""
+
+QUERIES = {f.__name__: f for f in (op3_perspectives, op5_byte_bpe, op7_jaccard_join, op9_url_graph, op10_exact_top_k)}
+SQL = {"op3_perspectives": OP3_SQL, "op7_jaccard_join": OP7_SQL, "op9_url_graph": _op9_sql(), "op10_exact_top_k": OP10_SQL}
