@@ -135,20 +135,26 @@ def _marks(ids: DataFrame):
 
 
 def _sets(documents: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
-    """doc_id, tokens of the documents with these ids (and of a few more), read from the texts again."""
+    """doc_id, low, high of the documents with these ids (and of a few more), read from the texts again.
+
+    ``low`` has the tokens in the lowest quarter of the hashes' range, ``high`` the others.
+    """
     marks = _marks(ids)
-    schema = pa.schema([("doc_id", pa.int64()), ("tokens", pa.list_(pa.int64()))])
+    several = pa.list_(pa.int64())
+    schema = pa.schema([("doc_id", pa.int64()), ("low", several), ("high", several)])
 
     def run(batches):
         for batch in batches:
             batch = batch.filter(pa.array(marks.value[batch.column(2).to_numpy()]))
             for start in range(0, batch.num_rows, 500):
                 part = batch.slice(start, 500)
-                tokens = [x.view(np.int64) for x in hashing.shingle_sets(part.column(1), shingle)]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(tokens, pa.list_(pa.int64()))], schema=schema)
+                tokens = list(hashing.shingle_sets(part.column(1), shingle))
+                cut = [int(np.searchsorted(x, np.uint64(1 << 62))) for x in tokens]
+                halves = [x[:i].view(np.int64) for x, i in zip(tokens, cut)], [x[i:].view(np.int64) for x, i in zip(tokens, cut)]
+                yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(x, several) for x in halves)], schema=schema)
 
     known = documents.where("doc_id IS NOT NULL").withColumn("mark", _mark("doc_id"))
-    return known.mapInArrow(run, "doc_id long, tokens array<long>")
+    return known.mapInArrow(run, "doc_id long, low array<long>, high array<long>")
 
 
 class _Join:
@@ -168,15 +174,23 @@ class _Join:
         return met.where(F.col("met") + behind >= self.least_overlap("n_a", "n_b")).select("a", "b")
 
     def measured(self, pairs: DataFrame) -> DataFrame:
-        """a, b, distance, linked for pairs (a, b)."""
+        """a, b, distance, linked for those of pairs (a, b) that a quarter of their tokens doesn't rule out."""
         pairs = stored(pairs, "pairs")
         ids = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).distinct()
         sets = stored(_sets(self.documents, ids, self.shingle), "sets")
-        of_a = sets.select(F.col("doc_id").alias("a"), F.col("tokens").alias("x"))
-        of_b = sets.select(F.col("doc_id").alias("b"), F.col("tokens").alias("y"))
-        both = pairs.join(of_a, "a").join(of_b, "b").select("a", "b", F.size(F.array_intersect("x", "y")).alias("common"), (F.size("x") + F.size("y")).alias("sum"))
+
+        def joined(pairs: DataFrame, column: str) -> DataFrame:
+            size = F.size("low") + F.size("high")
+            of_a = sets.select(F.col("doc_id").alias("a"), F.col(column).alias("x"), size.alias("n_a"))
+            of_b = sets.select(F.col("doc_id").alias("b"), F.col(column).alias("y"), size.alias("n_b"))
+            return pairs.join(of_a, "a").join(of_b, "b")
+
+        # few pairs need all tokens: those outside the quarter can at most all be common to the smaller rest
+        quarter = joined(pairs, "low").select("a", "b", "n_a", "n_b", F.size(F.array_intersect("x", "y")).alias("common"), F.least(F.col("n_a") - F.size("x"), F.col("n_b") - F.size("y")).alias("rest"))
+        able = stored(quarter.where(F.col("common") + F.col("rest") >= self.least_overlap("n_a", "n_b")).select("a", "b", "common"), "able")
+        whole = joined(able, "high").select("a", "b", (F.col("common") + F.size(F.array_intersect("x", "y"))).alias("common"), (F.col("n_a") + F.col("n_b")).alias("sum"))
         united = F.col("sum") - F.col("common")
-        found = both.select("a", "b", (1 - F.col("common") / united).alias("distance"), (100 * F.col("common") >= self.percent * united).alias("linked"))
+        found = whole.select("a", "b", (1 - F.col("common") / united).alias("distance"), (100 * F.col("common") >= self.percent * united).alias("linked"))
         return stored(found, "distances")
 
 
