@@ -129,3 +129,30 @@ def shingle_sets(texts: pa.Array, size: int = 5) -> Iterator[np.ndarray]:
                 yield windows(hashes[a:b], b - a)
             else:
                 yield hashes[:0]
+
+
+def sequences(hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes of each run hashes[first[i]:first[i + 1]], in order; of an empty run 0."""
+    power, inverse = _powers(len(hashes) + 1)
+    found = []
+    for part in (hashes, mixed(hashes + np.uint64(_BASE))):
+        sums = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum(part * power[: len(part)], out=sums[1:])
+        size = (first[1:] - first[:-1]).astype(np.uint64)
+        found.append(np.where(size > 0, mixed((sums[first[1:]] - sums[first[:-1]]) * inverse[first[:-1]] + size), np.uint64(0)))
+    return found[0], found[1]
+
+
+def lines(raw: np.ndarray, ends_at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(bounds of all lines, one more than lines; first line of each text and one more) of texts that lie in raw.
+
+    Lines end with a line feed, which belongs to the line; every text has at least one line, which may be empty.
+    """
+    feeds = np.flatnonzero(raw == 10) + 1
+    text = np.searchsorted(ends_at, feeds, side="left")  # the text whose end is not before the feed's
+    number = np.concatenate([np.arange(len(ends_at) - 1), text - 1])
+    start = np.concatenate([ends_at[:-1], feeds])
+    order = np.lexsort((start, number))
+    bounds = np.append(start[order], len(raw))
+    first = np.searchsorted(number[order], np.arange(len(ends_at)))
+    return bounds, first
