@@ -146,9 +146,10 @@ def sequences(hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.nda
 def lines(raw: np.ndarray, ends_at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(bounds of all lines, one more than lines; first line of each text and one more) of texts that lie in raw.
 
-    Lines end with a line feed, which belongs to the line; every text has at least one line, which may be empty.
+    A line feed belongs to the line it ends, and one at a text's end begins no line; an empty text has one empty line.
     """
     feeds = np.flatnonzero(raw == 10) + 1
+    feeds = feeds[~np.isin(feeds, ends_at)]
     text = np.searchsorted(ends_at, feeds, side="left")  # the text whose end is not before the feed's
     number = np.concatenate([np.arange(len(ends_at) - 1), text - 1])
     start = np.concatenate([ends_at[:-1], feeds])

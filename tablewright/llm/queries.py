@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, chat, jaccard_join, top_k, url_graph
+from . import bpe, chat, jaccard_join, packing, top_k, toxicity, unit_dedup, url_graph
 from .url_graph import Rule
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -110,5 +110,43 @@ OP7_SQL = r"""
     SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, min(r.at) AS component_id
     FROM documents d LEFT JOIN n USING (doc_id) JOIN r ON r.id = d.doc_id GROUP BY d.doc_id, n.n"""
 
-QUERIES = {f.__name__: f for f in (op3_perspectives, op5_byte_bpe, op7_jaccard_join, op9_url_graph, op10_exact_top_k)}
-SQL = {"op3_perspectives": OP3_SQL, "op7_jaccard_join": OP7_SQL, "op9_url_graph": _op9_sql(), "op10_exact_top_k": OP10_SQL}
+def op4_best_fit(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(_table(spark, folder, "documents"))
+
+
+def op6_line_hashing(spark: SparkSession, folder: str) -> DataFrame:
+    cleaned = unit_dedup.remove_repeated_units(_table(spark, folder, "documents").select("doc_id", "text"))
+    spans = F.array_join(F.transform("kept", lambda s: F.concat_ws("-", s["start"].cast("string"), s["end"].cast("string"))), ",")
+    return cleaned.select("doc_id", "n_units", "n_removed", F.coalesce(spans, F.lit("")).alias("kept"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+
+
+OP6_SQL = r"""
+    WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS parts FROM documents),
+    u AS (SELECT doc_id, unnest(parts) AS part, generate_subscripts(parts, 1) AS i, len(parts) AS n FROM d),
+    v AS (SELECT doc_id, i, part || CASE WHEN i < n THEN chr(10) ELSE '' END AS piece,
+          trim(regexp_replace(translate(part, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x09-\x0D\x20-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]+', ' ', 'g'), ' ') AS unit
+          FROM u WHERE i < n OR part <> '' OR n = 1),
+    w AS (SELECT *, len(unit) > 0 AND len(string_split(unit, ' ')) >= 5 AS counts FROM v),
+    x AS (SELECT *, counts AND row_number() OVER (PARTITION BY counts, unit ORDER BY doc_id, i) > 1 AS gone,
+          (sum(length(piece)) OVER (PARTITION BY doc_id ORDER BY i))::BIGINT AS stop FROM w),
+    y AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, gone ORDER BY i) AS run FROM x),
+    z AS (SELECT doc_id, run, min(stop - length(piece)) AS a, max(stop) AS b FROM y WHERE NOT gone AND piece <> '' GROUP BY ALL),
+    s AS (SELECT doc_id, string_agg(a || '-' || b, ',' ORDER BY a) AS kept FROM z GROUP BY ALL),
+    t AS (SELECT doc_id, count(*) AS n_units, count(*) FILTER (gone) AS n_removed, coalesce(string_agg(CASE WHEN NOT gone THEN piece END, '' ORDER BY i), '') AS body FROM x GROUP BY ALL)
+    SELECT doc_id, coalesce(n_units, 0) AS n_units, coalesce(n_removed, 0) AS n_removed, coalesce(kept, '') AS kept, sha256(coalesce(body, '')) AS text_sha256
+    FROM documents LEFT JOIN t USING (doc_id) LEFT JOIN s USING (doc_id)"""
+
+
+#: Low quality comes first: what is junk tells something about what is toxic.
+CATEGORIES = {"low_quality": "quality = 0", "toxic": "toxic = 1"}
+
+
+def op8_classifier_chain(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _table(spark, folder, "documents").select("doc_id", "text")
+    scored = toxicity.score(documents, toxicity.fit_chain(documents, _table(spark, folder, "labels"), CATEGORIES)).drop("text")
+    toxic = F.col("p_toxic") >= 0.5
+    return scored.select("doc_id", F.round("p_low_quality", 6).alias("p_low_quality"), F.round("p_toxic", 6).alias("p_toxic"), toxic.alias("toxic"), (~toxic).alias("kept"))
+
+
+QUERIES = {f.__name__: f for f in (op3_perspectives, op4_best_fit, op5_byte_bpe, op6_line_hashing, op7_jaccard_join, op8_classifier_chain, op9_url_graph, op10_exact_top_k)}
+SQL = {"op3_perspectives": OP3_SQL, "op6_line_hashing": OP6_SQL, "op7_jaccard_join": OP7_SQL, "op9_url_graph": _op9_sql(), "op10_exact_top_k": OP10_SQL}
