@@ -16,7 +16,7 @@ import pyarrow as pa
 _BASE = 0x9E3779B97F4A7C15 | 1
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 #: Bytes hashed in one step; a longer text is one step of its own.
-_STEP = 1 << 20
+_STEP = 1 << 18
 
 
 @functools.cache

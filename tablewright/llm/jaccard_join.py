@@ -25,7 +25,7 @@ from .components import components
 from .shared import shared_folder, stored
 
 #: Bits of the table of documents to look at again; a false hit costs time only.
-_MARK_BITS = 24
+_MARK_BITS = 23
 
 
 def _digest(tokens: np.ndarray) -> bytes:
@@ -82,30 +82,45 @@ def _prefixes(documents: DataFrame, levels, shingle: int, percent: int) -> DataF
     return documents.mapInArrow(run, "token long, doc_id long, n int, place int, salt int")
 
 
-def _shared_tokens(rows: DataFrame) -> DataFrame:
-    """The rows whose token others may have: of rare tokens those met twice, told in one pass over sorted rows."""
+def _shared_tokens(rows: DataFrame, percent: int) -> DataFrame:
+    """token, doc_id, n, window, fits of the rows whose token others may have, told in one pass over sorted rows.
+
+    Two documents can be linked if each size is within the other's window, which narrows with the place of the first common
+    token. ``fits`` says that some other row of the token may be in a row's window, and it in that row's.
+    """
+    schema = pa.schema([("token", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int32()), ("window", pa.int64()), ("fits", pa.bool_())])
+
+    def judged(batch: pa.RecordBatch) -> pa.RecordBatch:
+        tokens, docs, n, place = (batch.column(i).to_numpy() for i in range(4))
+        frequent = batch.column(4).to_numpy() > 0
+        window = (100 + percent) * (n.astype(np.int64) - place) // percent - n
+        starts = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
+        size = np.diff(np.append(starts, len(tokens)))
+        fits = (window >= np.repeat(np.minimum.reduceat(n, starts), size)) & (n <= np.repeat(np.maximum.reduceat(window, starts), size))
+        keep = frequent | (np.repeat(size, size) > 1)
+        columns = [x[keep] for x in (tokens, docs, n, window, frequent | fits)]
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], schema=schema)
 
     def run(batches):
-        held = None  # the last row, until the next one is known
+        held = None  # the rows of the last token, of which the next batch may have more; a rare token has few
         for batch in batches:
-            if not batch.num_rows:
-                continue
             if held is not None:
                 batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
-            tokens, frequent = batch.column(0).to_numpy(), batch.column(4).to_numpy() > 0
-            same = tokens[1:] == tokens[:-1]
-            keep = frequent.copy()
-            keep[1:] |= same
-            keep[:-1] |= same
-            # a held row that matched what came before it is passed on now, and held again only to be compared
-            if held is not None and held_kept:
-                keep[0] = False
-                keep[1:2] |= same[:1]
-            held, held_kept = batch.slice(batch.num_rows - 1), bool(keep[-1]) or (batch.num_rows == 1 and held is not None and held_kept)
-            yield batch.filter(pa.array(keep))
+            if not batch.num_rows:
+                continue
+            tokens = batch.column(0).to_numpy()
+            last = int(np.searchsorted(tokens, tokens[-1]))
+            if batch.column(4)[batch.num_rows - 1].as_py():
+                last = batch.num_rows  # frequent tokens need not be together
+            held = batch.slice(last)
+            if last:
+                yield judged(batch.slice(0, last))
+        if held is not None and held.num_rows:
+            yield judged(held)
 
     # frequent tokens are dealt by document too, and kept unseen
-    return rows.repartition("token", "salt").sortWithinPartitions("token").mapInArrow(run, rows.schema).drop("salt")
+    dealt = rows.repartition("token", "salt").sortWithinPartitions("token")
+    return dealt.mapInArrow(run, "token long, doc_id long, n int, window long, fits boolean")
 
 
 def _mark(column: str) -> Column:
@@ -165,11 +180,11 @@ class _Join:
         """The smallest intersection of linked sets of n and m tokens."""
         return F.ceil(self.percent * (F.col(n) + F.col(m)) / (100 + self.percent))
 
-    def pruned(self, members: DataFrame, pairs: DataFrame) -> DataFrame:
+    def pruned(self, prefixes: DataFrame, pairs: DataFrame) -> DataFrame:
         """Those of pairs (a, n_a, b, n_b) that share enough prefix tokens to reach the overlap with all tokens behind."""
-        of_a = members.select(F.col("doc_id").alias("a"), "token")
-        of_b = members.select(F.col("doc_id").alias("b"), "token")
-        met = pairs.join(of_a, "a").join(of_b, ["b", "token"]).groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("met"))
+        of_a = prefixes.select(F.col("doc_id").alias("a"), F.col("tokens").alias("x"))
+        of_b = prefixes.select(F.col("doc_id").alias("b"), F.col("tokens").alias("y"))
+        met = pairs.join(of_a, "a").join(of_b, "b").withColumn("met", F.size(F.array_intersect("x", "y")))
         behind = F.ceil(self.percent * F.greatest("n_a", "n_b") / 100) - 1
         return met.where(F.col("met") + behind >= self.least_overlap("n_a", "n_b")).select("a", "b")
 
@@ -216,13 +231,11 @@ def jaccard_components(documents: DataFrame, id_column: str = "doc_id", text_col
     copies = stored(copies, "copies")
     links = copies.select(F.col("doc_id").alias("a"), F.col("first").alias("b"))
 
-    members = stored(_shared_tokens(_prefixes(documents, levels, shingle, percent)), "members")
-    # two members of a region can be linked if each size fits the other's window, which narrows behind the first places
-    window = F.floor((100 + percent) * (F.col("n") - F.col("place")) / percent) - F.col("n")
-    central = members.groupBy("doc_id").agg(F.count("*").alias("met"))
-    rows = members.join(central, "doc_id").withColumns({"window": window, "rank": F.struct((-F.col("met") / F.col("n")).alias("far"), "doc_id")})
-    bounds = rows.groupBy("token").agg(F.min("n").alias("least"), F.max("window").alias("widest"), F.count("*").alias("size"))
-    rows = rows.join(bounds, "token").where("size > 1 AND window >= least AND n <= widest").select("token", "doc_id", "n", "window", "rank")
+    members = stored(_shared_tokens(_prefixes(documents, levels, shingle, percent), percent), "members")
+    prefixes = stored(members.groupBy("doc_id").agg(F.collect_set("token").alias("tokens")), "prefixes")
+    central = prefixes.select("doc_id", F.size("tokens").alias("met"))
+    rows = members.where("fits").drop("fits").join(central, "doc_id")
+    rows = rows.withColumn("rank", F.struct((-F.col("met") / F.col("n")).alias("far"), "doc_id")).drop("met")
     regions = stored(rows, "regions")
     known = None
     while True:
@@ -243,7 +256,7 @@ def jaccard_components(documents: DataFrame, id_column: str = "doc_id", text_col
             break
         regions = stored(regions.drop("pivot_rank", "n_b", "own").join(pivots, "token", "left"), "regions")
         met = regions.where("component <> own AND n_b <= window").select(F.col("doc_id").alias("a"), F.col("n").alias("n_a"), F.col("pivot_rank.doc_id").alias("b"), "n_b").distinct()
-        distances = join.measured(join.pruned(members, met))
+        distances = join.measured(join.pruned(prefixes, met))
         known = distances if known is None else known.unionAll(distances)
         links = links.unionAll(distances.where("linked").select("a", "b"))
     if work[1]:
@@ -255,7 +268,7 @@ def jaccard_components(documents: DataFrame, id_column: str = "doc_id", text_col
         fits = "doc_id_a < doc_id_b AND component_a <> component_b AND n_a <= window_b AND n_b <= window_a"
         triangle = F.coalesce(F.abs(F.col("distance_a") - F.col("distance_b")) <= 1 - percent / 100 + 1e-9, F.lit(True))
         left = x.join(y, "token").where(fits).where(triangle).select(F.col("doc_id_a").alias("a"), "n_a", F.col("doc_id_b").alias("b"), "n_b").distinct()
-        links = links.unionAll(join.measured(join.pruned(members, left)).where("linked").select("a", "b"))
+        links = links.unionAll(join.measured(join.pruned(prefixes, left)).where("linked").select("a", "b"))
     label = components(links)
     done = sized.join(label, F.col("doc_id") == F.col("id"), "left")
     return done.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))

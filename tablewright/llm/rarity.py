@@ -16,7 +16,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 
 #: Cells, and cells to a part: a part is a row while counts are added up.
-CELL_BITS, PART_BITS = 24, 18
+CELL_BITS, PART_BITS = 22, 16
 COUNTS = "part int, counts binary"
 COUNTS_FIELDS = [("part", pa.int32()), ("counts", pa.binary())]
 
