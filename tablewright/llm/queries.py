@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, chat, jaccard_join, packing, top_k, toxicity, unit_dedup, url_graph
+from . import bpe, chat, jaccard_join, packing, quality, top_k, toxicity, unit_dedup, url_graph
 from .url_graph import Rule
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -73,6 +73,10 @@ def _op9_sql() -> str:
     FROM ruled LEFT JOIN r{ROUNDS} USING (host)"""
 
 
+def op1_robust_outliers(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.quality_rules(_table(spark, folder, "documents"))
+
+
 def op3_perspectives(spark: SparkSession, folder: str) -> DataFrame:
     views = chat.rotate_perspectives(_table(spark, folder, "conversations"))
     return views.withColumn("mask", chat.mask_text(F.col("mask")))
@@ -148,5 +152,5 @@ def op8_classifier_chain(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", F.round("p_low_quality", 6).alias("p_low_quality"), F.round("p_toxic", 6).alias("p_toxic"), toxic.alias("toxic"), (~toxic).alias("kept"))
 
 
-QUERIES = {f.__name__: f for f in (op3_perspectives, op4_best_fit, op5_byte_bpe, op6_line_hashing, op7_jaccard_join, op8_classifier_chain, op9_url_graph, op10_exact_top_k)}
+QUERIES = {f.__name__: f for f in (op1_robust_outliers, op3_perspectives, op4_best_fit, op5_byte_bpe, op6_line_hashing, op7_jaccard_join, op8_classifier_chain, op9_url_graph, op10_exact_top_k)}
 SQL = {"op3_perspectives": OP3_SQL, "op6_line_hashing": OP6_SQL, "op7_jaccard_join": OP7_SQL, "op9_url_graph": _op9_sql(), "op10_exact_top_k": OP10_SQL}
