@@ -18,15 +18,13 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from . import hashing, rarity
 from .components import components
+from .marks import mark, mark_table
 from .shared import shared_folder, stored
 
-#: Bits of the table of documents to look at again; a false hit costs time only.
-_MARK_BITS = 23
-
 
 def _digest(tokens: np.ndarray) -> bytes:
     return hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()
@@ -123,38 +121,12 @@ def _shared_tokens(rows: DataFrame, percent: int) -> DataFrame:
     return dealt.mapInArrow(run, "token long, doc_id long, n int, window long, fits boolean")
 
 
-def _mark(column: str) -> Column:
-    return F.shiftrightunsigned(F.xxhash64(column), 64 - _MARK_BITS)
-
-
-def _marks(ids: DataFrame):
-    """A table of fixed size that has a bit for each id, shared with all tasks."""
-    part_bits = _MARK_BITS - 6
-    schema = pa.schema([("part", pa.int64()), ("bits", pa.binary())])
-
-    def run(batches):
-        found: dict[int, np.ndarray] = {}
-        for batch in batches:
-            marks = batch.column(1).to_numpy()
-            for part in np.unique(marks >> part_bits).tolist():
-                bits = found.setdefault(part, np.zeros(1 << part_bits, bool))
-                bits[marks[marks >> part_bits == part] & ((1 << part_bits) - 1)] = True
-        for part, bits in found.items():
-            yield pa.RecordBatch.from_pylist([dict(part=part, bits=np.packbits(bits).tobytes())], schema=schema)
-
-    marked = ids.select(_mark("id").alias("mark")).distinct().select(F.shiftright("mark", part_bits).alias("part"), "mark")
-    marks = np.zeros((1 << _MARK_BITS - part_bits, 1 << part_bits), bool)
-    for row in marked.repartition("part").mapInArrow(run, "part long, bits binary").collect():
-        marks[row.part] = np.unpackbits(np.frombuffer(row.bits, np.uint8)).astype(bool)
-    return ids.sparkSession.sparkContext.broadcast(marks.reshape(-1))
-
-
 def _sets(documents: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
     """doc_id, low, high of the documents with these ids (and of a few more), read from the texts again.
 
     ``low`` has the tokens in the lowest quarter of the hashes' range, ``high`` the others.
     """
-    marks = _marks(ids)
+    marks = mark_table(ids.select(mark(F.xxhash64("id")).alias("mark")))
     several = pa.list_(pa.int64())
     schema = pa.schema([("doc_id", pa.int64()), ("low", several), ("high", several)])
 
@@ -168,7 +140,7 @@ def _sets(documents: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
                 halves = [x[:i].view(np.int64) for x, i in zip(tokens, cut)], [x[i:].view(np.int64) for x, i in zip(tokens, cut)]
                 yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(x, several) for x in halves)], schema=schema)
 
-    known = documents.where("doc_id IS NOT NULL").withColumn("mark", _mark("doc_id"))
+    known = documents.where("doc_id IS NOT NULL").withColumn("mark", mark(F.xxhash64("doc_id")))
     return known.mapInArrow(run, "doc_id long, low array<long>, high array<long>")
 
 

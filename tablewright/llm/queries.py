@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, chat, jaccard_join, packing, quality, top_k, toxicity, unit_dedup, url_graph
+from . import bpe, chat, jaccard_join, line_join, packing, quality, top_k, toxicity, unit_dedup, url_graph
 from .url_graph import Rule
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -77,6 +77,16 @@ def op1_robust_outliers(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_rules(_table(spark, folder, "documents"))
 
 
+def _cleaned(documents: DataFrame) -> DataFrame:
+    """What a removal of lines did to each document: counts, the spans kept, and the new text's digest."""
+    spans = F.array_join(F.transform("kept", lambda s: F.concat_ws("-", s["start"].cast("string"), s["end"].cast("string"))), ",")
+    return documents.select("doc_id", "n_units", "n_removed", F.coalesce(spans, F.lit("")).alias("kept"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+
+
+def op2_line_join(spark: SparkSession, folder: str) -> DataFrame:
+    return _cleaned(line_join.remove_near_repeats(_table(spark, folder, "documents").select("doc_id", "text")))
+
+
 def op3_perspectives(spark: SparkSession, folder: str) -> DataFrame:
     views = chat.rotate_perspectives(_table(spark, folder, "conversations"))
     return views.withColumn("mask", chat.mask_text(F.col("mask")))
@@ -119,26 +129,41 @@ def op4_best_fit(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_line_hashing(spark: SparkSession, folder: str) -> DataFrame:
-    cleaned = unit_dedup.remove_repeated_units(_table(spark, folder, "documents").select("doc_id", "text"))
-    spans = F.array_join(F.transform("kept", lambda s: F.concat_ws("-", s["start"].cast("string"), s["end"].cast("string"))), ",")
-    return cleaned.select("doc_id", "n_units", "n_removed", F.coalesce(spans, F.lit("")).alias("kept"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+    return _cleaned(unit_dedup.remove_repeated_units(_table(spark, folder, "documents").select("doc_id", "text")))
 
 
-OP6_SQL = r"""
-    WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS parts FROM documents),
+#: Lines with their number i, words joined by spaces (unit), and whether they have five words (counts); {gone} decides.
+_LINES = r"""
+    d AS (SELECT doc_id, text, string_split(text, chr(10)) AS parts FROM documents),
     u AS (SELECT doc_id, unnest(parts) AS part, generate_subscripts(parts, 1) AS i, len(parts) AS n FROM d),
     v AS (SELECT doc_id, i, part || CASE WHEN i < n THEN chr(10) ELSE '' END AS piece,
           trim(regexp_replace(translate(part, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x09-\x0D\x20-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]+', ' ', 'g'), ' ') AS unit
           FROM u WHERE i < n OR part <> '' OR n = 1),
-    w AS (SELECT *, len(unit) > 0 AND len(string_split(unit, ' ')) >= 5 AS counts FROM v),
-    x AS (SELECT *, counts AND row_number() OVER (PARTITION BY counts, unit ORDER BY doc_id, i) > 1 AS gone,
-          (sum(length(piece)) OVER (PARTITION BY doc_id ORDER BY i))::BIGINT AS stop FROM w),
-    y AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, gone ORDER BY i) AS run FROM x),
+    w AS MATERIALIZED (SELECT *, len(unit) > 0 AND len(string_split(unit, ' ')) >= 5 AS counts FROM v)"""
+_WITHOUT = """
+    y AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, gone ORDER BY i) AS run,
+          (sum(length(piece)) OVER (PARTITION BY doc_id ORDER BY i))::BIGINT AS stop FROM x),
     z AS (SELECT doc_id, run, min(stop - length(piece)) AS a, max(stop) AS b FROM y WHERE NOT gone AND piece <> '' GROUP BY ALL),
     s AS (SELECT doc_id, string_agg(a || '-' || b, ',' ORDER BY a) AS kept FROM z GROUP BY ALL),
     t AS (SELECT doc_id, count(*) AS n_units, count(*) FILTER (gone) AS n_removed, coalesce(string_agg(CASE WHEN NOT gone THEN piece END, '' ORDER BY i), '') AS body FROM x GROUP BY ALL)
     SELECT doc_id, coalesce(n_units, 0) AS n_units, coalesce(n_removed, 0) AS n_removed, coalesce(kept, '') AS kept, sha256(coalesce(body, '')) AS text_sha256
     FROM documents LEFT JOIN t USING (doc_id) LEFT JOIN s USING (doc_id)"""
+OP6_SQL = f"""WITH {_LINES},
+    x AS (SELECT *, counts AND row_number() OVER (PARTITION BY counts, unit ORDER BY doc_id, i) > 1 AS gone FROM w), {_WITHOUT}"""
+#: Sets of words; lines of equal sets collapse; tokens by rarity; candidates share one of the first; then the whole sets.
+OP2_SQL = f"""WITH {_LINES},
+    e AS (SELECT doc_id, i, list_sort(list_distinct(string_split(unit, ' '))) AS k FROM w WHERE counts),
+    f AS MATERIALIZED (SELECT k, len(k) AS n, min((doc_id, i)) AS first, row_number() OVER () AS c FROM e GROUP BY k),
+    g AS (SELECT c, n, unnest(k) AS token FROM f),
+    h AS (SELECT *, count(*) OVER (PARTITION BY token) AS df FROM g),
+    p AS MATERIALIZED (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY c ORDER BY df, token) AS place FROM h)
+          WHERE place <= n - ceil(0.8 * n) + 1 AND df > 1),
+    q AS (SELECT DISTINCT a.c AS a, b.c AS b FROM p a JOIN p b ON a.token = b.token AND a.c < b.c AND a.n <= 1.25 * b.n AND b.n <= 1.25 * a.n),
+    r AS (SELECT x.first AS fx, y.first AS fy, x.k AS kx, y.k AS ky, len(list_intersect(x.k, y.k)) AS m, x.n + y.n AS total
+          FROM q JOIN f x ON x.c = q.a JOIN f y ON y.c = q.b),
+    l AS (SELECT DISTINCT CASE WHEN fx > fy THEN fx ELSE fy END AS late FROM r WHERE 100 * m >= 80 * (total - m)),
+    x AS (SELECT w.*, e.k IS NOT NULL AND ((w.doc_id, w.i) <> f.first OR (w.doc_id, w.i) IN (SELECT late FROM l)) AS gone
+          FROM w LEFT JOIN e USING (doc_id, i) LEFT JOIN f USING (k)), {_WITHOUT}"""
 
 
 #: Low quality comes first: what is junk tells something about what is toxic.
@@ -152,5 +177,5 @@ def op8_classifier_chain(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", F.round("p_low_quality", 6).alias("p_low_quality"), F.round("p_toxic", 6).alias("p_toxic"), toxic.alias("toxic"), (~toxic).alias("kept"))
 
 
-QUERIES = {f.__name__: f for f in (op1_robust_outliers, op3_perspectives, op4_best_fit, op5_byte_bpe, op6_line_hashing, op7_jaccard_join, op8_classifier_chain, op9_url_graph, op10_exact_top_k)}
-SQL = {"op3_perspectives": OP3_SQL, "op6_line_hashing": OP6_SQL, "op7_jaccard_join": OP7_SQL, "op9_url_graph": _op9_sql(), "op10_exact_top_k": OP10_SQL}
+QUERIES = {f.__name__: f for f in (op1_robust_outliers, op2_line_join, op3_perspectives, op4_best_fit, op5_byte_bpe, op6_line_hashing, op7_jaccard_join, op8_classifier_chain, op9_url_graph, op10_exact_top_k)}
+SQL = {"op2_line_join": OP2_SQL, "op3_perspectives": OP3_SQL, "op6_line_hashing": OP6_SQL, "op7_jaccard_join": OP7_SQL, "op9_url_graph": _op9_sql(), "op10_exact_top_k": OP10_SQL}

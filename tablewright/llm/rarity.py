@@ -38,9 +38,17 @@ class CellCounts:
                 yield part, zlib.compress(cells.tobytes(), 1)
 
 
-def frequent_levels(counts: DataFrame) -> Broadcast:
+def code_of(count: float) -> int:
+    """The byte that stands for a count: eight steps to a doubling."""
+    return int(np.round(8 * np.log2(count + 1)))
+
+
+def frequent_levels(counts: DataFrame, graded: bool = False) -> Broadcast:
     """A byte for each cell, shared with all tasks: 0 for cells as full as chance makes them, else higher for fuller ones.
 
+    graded keeps the bytes of all cells (``code_of`` their counts), which orders a vocabulary that is not much larger than
+    the table from its rarest words on.
+
     Counts are added up part by part in tasks. What comes to the driver has the table's fixed size, 2^CELL_BITS bytes.
     """
     kinds = pa.schema([("part", pa.int32()), ("total", pa.int64()), ("codes", pa.binary())])
@@ -63,7 +71,8 @@ def frequent_levels(counts: DataFrame) -> Broadcast:
         levels[start : start + (1 << PART_BITS)] = np.frombuffer(zlib.decompress(row.codes), np.uint8)
     # beyond chance: eight deviations above the mean, and never fewer than a few occurrences
     usual = 8 * np.log2(mean + 8 * mean**0.5 + 8)
-    levels[levels <= usual] = 0
+    if not graded:
+        levels[levels <= usual] = 0
     return counts.sparkSession.sparkContext.broadcast(levels)
 
 
