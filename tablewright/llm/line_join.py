@@ -5,9 +5,10 @@ A line's tokens are its distinct words. They are ordered with the rare ones firs
 these tokens meet; the length filter, the positional filter and a bound from 128 bits that stand for a line's tokens rule
 out nearly all pairs before any set is looked at, and the rest is verified with whole sets.
 
-Equal lines are one class from the start. A token that more than MANY classes share is joined in rounds: against the
-region's most copied line first, then, for lines that are not yet known to be late, pair by pair. So a large group of
-variants costs about its size, and nothing is left out.
+Equal lines are one class from the start. A frequent token makes no region by itself: linked lines whose first common token
+it is have a second one, so its lines meet under pairs of tokens. A region of more than MANY classes, as a line with
+thousands of variants makes, is joined against its most copied lines first, and then only for lines that are not
+yet known to be late. Nothing is left out.
 """
 
 from __future__ import annotations
@@ -17,12 +18,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from . import hashing, rarity
-from .marks import mark, mark_of, mark_table
+from .marks import mark, mark_of, mark_table, marked
 from .shared import stored
 from .unit_dedup import PUNCTUATION, rebuilt
 
 #: Regions of more classes than this are joined in rounds.
-MANY = 64
+MANY = 1024
+#: Counts of a word from which it makes regions only with a second one, and from which these are dealt out by class.
+OFTEN, ALWAYS = 1024, 65536
+#: Rounds against a region's most copied lines.
+ROUNDS = 2
 #: A class of equal lines: a hash of its words in order, and the bits of its tokens.
 KEY = ["a", "m1", "m2"]
 _KEY_KINDS = "a long, m1 long, m2 long"
@@ -109,9 +114,9 @@ def _distinct(owner: np.ndarray, words: np.ndarray, level: np.ndarray) -> tuple[
 
 
 def _prefixes(documents: DataFrame, levels, percent: int, min_words: int) -> DataFrame:
-    """token, class, n, place, salt: the first tokens of each line that another line may have."""
+    """token, class, n, place, salt: the first tokens of each line, or pairs of them, that another line may have."""
     schema = pa.schema([("token", pa.int64()), *_KEY_FIELDS, ("n", pa.int32()), ("place", pa.int32()), ("salt", pa.int32())])
-    once, frequent = rarity.code_of(1), rarity.code_of(4096)
+    once, often, always = (rarity.code_of(count) for count in (1, OFTEN, ALWAYS))
 
     def run(batches):
         recent, table = rarity.Recent(), levels.value
@@ -122,11 +127,18 @@ def _prefixes(documents: DataFrame, levels, percent: int, min_words: int) -> Dat
                 n = np.bincount(owner, minlength=len(lines.kept))
                 place = np.arange(len(owner)) - (np.cumsum(n) - n)[owner]
                 size = n[owner]
+                prefix = size - -(-percent * size // 100) + 1
                 # a word counted once in the corpus is no one else's
-                keep = (place < size - -(-percent * size // 100) + 1) & (level > once)
-                owner, place, size, level = owner[keep], place[keep], size[keep], level[keep]
-                salt = np.where(level >= frequent, 1 + (lines.a[owner] >> np.uint64(58)).astype(np.int32), 0)
-                columns = [words[keep].view(np.int64), *lines.key(owner), size.astype(np.int32), place.astype(np.int32), salt.astype(np.int32)]
+                alone = np.flatnonzero((place < prefix) & (level > once) & (level < often))
+                # a second common word can lie one place behind the prefix
+                first = np.flatnonzero((place < prefix) & (level >= often))
+                behind = np.minimum(prefix, size - 1)[first] - place[first]
+                one = np.repeat(first, behind)
+                two = one + 1 + np.arange(len(one)) - np.repeat(np.cumsum(behind) - behind, behind)
+                token = np.concatenate([words[alone], hashing.mixed(words[one]) + words[two]])
+                at = np.concatenate([alone, one])
+                salt = np.where(level[at] >= always, 1 + (lines.a[owner[at]] >> np.uint64(58)).astype(np.int32), 0)
+                columns = [token.view(np.int64), *lines.key(owner[at]), size[at].astype(np.int32), place[at].astype(np.int32), salt.astype(np.int32)]
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], schema=schema)
 
     return documents.mapInArrow(run, f"token long, {_KEY_KINDS}, n int, place int, salt int")
@@ -151,15 +163,21 @@ def _meet(rows: DataFrame, percent: int) -> DataFrame:
         if len(some):
             columns = [pa.array(x[some]) for x in (tokens, a, m1, m2, n.astype(np.int32), window)]
             yield pa.RecordBatch.from_arrays([*columns, *(pa.nulls(len(some), pa.int64()) for _ in KEY)], schema=schema)
-        few = ~many
-        found = []
-        for gap in range(1, min(MANY, int(size.max(initial=1)))):
-            x = np.flatnonzero(few[:-gap] & (tokens[:-gap] == tokens[gap:]) & (n[:-gap] <= window[gap:]) & (n[gap:] <= window[:-gap]))
+        # pairs by their distance in the region; rows drop out where the region ends
+        found = [(np.zeros(0, np.int64),) * 2]
+        ends = np.repeat(starts + size, size)
+        x = np.flatnonzero(~many & (np.arange(len(tokens)) + 1 < ends))
+        gap = 1
+        while len(x):
             y = x + gap
-            differ = sum(np.bitwise_count((m[x] ^ m[y]).view(np.uint64)).astype(np.int64) for m in (m1, m2))
-            near = differ * (100 + percent) <= (n[x] + n[y]) * (100 - percent)
-            found.append((x[near], y[near]))
-        x, y = (np.concatenate(z) for z in zip(*found)) if found else (np.zeros(0, int),) * 2
+            fit = (n[x] <= window[y]) & (n[y] <= window[x])
+            i, j = x[fit], y[fit]
+            differ = sum(np.bitwise_count((m[i] ^ m[j]).view(np.uint64)).astype(np.int64) for m in (m1, m2))
+            near = differ * (100 + percent) <= (n[i] + n[j]) * (100 - percent)
+            found.append((i[near], j[near]))
+            gap += 1
+            x = x[x + gap < ends[x]]
+        x, y = (np.concatenate(z) for z in zip(*found))
         if len(x):
             one, two = ([k[z] for k in (a, m1, m2)] for z in (x, y))
             none = pa.nulls(len(x), pa.int64()), pa.nulls(len(x), pa.int32())
@@ -192,7 +210,7 @@ def _classes(documents: DataFrame, hashes: DataFrame, min_words: int) -> DataFra
     def run(batches):
         for batch in batches:
             for lines in _steps(batch, min_words):
-                asked = marks.value[mark_of(lines.a)]
+                asked = marked(marks.value, mark_of(lines.a))
                 if not asked.any():
                     continue
                 words, owner = lines.only(asked)
@@ -241,7 +259,7 @@ def near_repeats(documents: DataFrame, id_column: str = "doc_id", text_column: s
     """
     known = documents.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text")).where("doc_id IS NOT NULL AND text IS NOT NULL")
     scan = stored(_scan(known, min_words), "lines")
-    levels = rarity.frequent_levels(scan.where("part IS NOT NULL").select("part", "counts"), graded=True)
+    levels = rarity.cell_levels(scan.where("part IS NOT NULL").select("part", "counts"), logarithmic=True)
     lines = scan.where("part IS NULL").select(*KEY, "doc_id", "line")
     met = stored(_meet(_prefixes(known, levels, percent, min_words), percent), "met")
     pairs, regions = met.where("token IS NULL"), met.where("token IS NOT NULL").select("token", *KEY, "n", "window")
@@ -251,30 +269,21 @@ def near_repeats(documents: DataFrame, id_column: str = "doc_id", text_column: s
 
     regions = stored(regions.join(classes.select(*KEY, "first", F.struct((-F.col("copies")).alias("few"), "first", *KEY).alias("rank")), KEY), "regions")
     used = None
-    while True:
-        open_ = regions.join(late.withColumn("late", F.lit(True)), KEY, "left").withColumn("late", F.coalesce("late", F.lit(False)))
-        size = open_.groupBy("token").agg(F.count("*").alias("size"), F.count_if(~F.col("late")).alias("open"))
-        # a region is done when all its lines but the first are late
-        size = size.where("open > 1")
-        work = size.agg(F.sum(F.col("size") * F.col("open")), F.sum("size")).first()
-        if not work[1]:
-            break
-        regions_left = stored(open_.join(size.select("token"), "token", "left_semi"), "open")
-        if work[0] <= 16 * work[1]:
-            break
-        fresh = regions_left if used is None else regions_left.join(used, "token", "left").where("pivot IS NULL OR rank > pivot").drop("pivot")
-        pivots = fresh.groupBy("token").agg(F.min(F.struct("rank", *KEY, "n", "window", "first", "late")).alias("p"))
-        if pivots.isEmpty():
-            break
-        used = stored(pivots.select("token", F.col("p.rank").alias("pivot")), "pivots")
-        pivots = pivots.select("token", *(F.col(f"p.{c}").alias(f"{c}_2") for c in [*KEY, "n", "window", "first", "late"]))
-        asked = F.when(F.col("first") > F.col("first_2"), ~F.col("late")).otherwise(~F.col("late_2"))
-        more = regions_left.join(pivots, "token").where(asked & (F.col("first") != F.col("first_2")) & _near(percent))
-        late = stored(late.unionAll(_late(more, classes, percent)).distinct(), "late")
-    if work[1]:
-        x = regions_left.select("token", *KEY, "n", "window", "first")
-        y = _named(regions_left.where("NOT late").select("token", *KEY, "n", "window", "first"), "_2").withColumnRenamed("token_2", "token")
-        more = x.join(y, "token").where((F.col("first") < F.col("first_2")) & _near(percent))
+    for step in range(ROUNDS + 1):
+        left = regions.join(late.withColumn("late", F.lit(True)), KEY, "left").withColumn("late", F.coalesce("late", F.lit(False)))
+        # a region is done when all its lines but one are late
+        unsettled = left.groupBy("token").agg(F.count_if(~F.col("late")).alias("open")).where("open > 1").select("token")
+        left = stored(left.join(unsettled, "token", "left_semi"), "left")
+        if step < ROUNDS:
+            fresh = left if used is None else left.join(used, "token", "left").where("pivot IS NULL OR rank > pivot")
+            pivots = fresh.groupBy("token").agg(F.min(F.struct("rank", *KEY, "n", "window", "first", "late")).alias("p"))
+            used = stored(pivots.select("token", F.col("p.rank").alias("pivot")), "pivots")
+            other = pivots.select("token", *(F.col(f"p.{c}").alias(f"{c}_2") for c in [*KEY, "n", "window", "first", "late"]))
+            asked = F.when(F.col("first") > F.col("first_2"), ~F.col("late")).otherwise(~F.col("late_2")) & (F.col("first") != F.col("first_2"))
+        else:
+            other = _named(left.where("NOT late").select("token", *KEY, "n", "window", "first"), "_2").withColumnRenamed("token_2", "token")
+            asked = F.col("first") < F.col("first_2")
+        more = left.join(other, "token").where(asked & _near(percent))
         late = stored(late.unionAll(_late(more, classes, percent)).distinct(), "late")
 
     place = F.struct("doc_id", "line")
