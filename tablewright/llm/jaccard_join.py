@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from . import hashing, rarity
 from .components import components
-from .marks import mark, mark_table
+from .marks import mark, mark_table, marked
 from .shared import shared_folder, stored
 
 
@@ -69,7 +69,7 @@ def _prefixes(documents: DataFrame, levels, shingle: int, percent: int) -> DataF
                     continue
                 level = rarity.level_of(table, tokens)
                 keep = np.argsort(level, kind="stable")[: n + percent * n // -100 + 1]
-                salt = np.where(level[keep] > 0, 1 + doc % 64, 0).astype(np.int32)
+                salt = np.where(level[keep] >= rarity.FREQUENT, 1 + doc % 64, 0).astype(np.int32)
                 found.append((tokens[keep].view(np.int64), np.full(len(keep), doc, np.int64), np.full(len(keep), n, np.int32), np.arange(len(keep), dtype=np.int32), salt))
                 if len(found) >= 500:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*found)], schema=schema)
@@ -132,7 +132,7 @@ def _sets(documents: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            batch = batch.filter(pa.array(marks.value[batch.column(2).to_numpy()]))
+            batch = batch.filter(pa.array(marked(marks.value, batch.column(2).to_numpy())))
             for start in range(0, batch.num_rows, 500):
                 part = batch.slice(start, 500)
                 tokens = list(hashing.shingle_sets(part.column(1), shingle))
@@ -196,7 +196,7 @@ def jaccard_components(documents: DataFrame, id_column: str = "doc_id", text_col
     join = _Join(documents, shingle, percent)
 
     scan = stored(_scan(documents, shingle), "scan")
-    levels = rarity.frequent_levels(scan.where("part IS NOT NULL").select("part", "counts"))
+    levels = rarity.cell_levels(scan.where("part IS NOT NULL").select("part", "counts"))
     sized = scan.where("part IS NULL").select("doc_id", "n", "digest")
     first = sized.where("digest IS NOT NULL AND doc_id IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies"))
     copies = sized.join(first.where("copies > 1"), "digest").where("doc_id IS NOT NULL").select("doc_id", "first").distinct()
@@ -211,7 +211,8 @@ def jaccard_components(documents: DataFrame, id_column: str = "doc_id", text_col
     regions = stored(rows, "regions")
     known = None
     while True:
-        label = components(links).withColumnRenamed("id", "doc_id")
+        # copies are stars already
+        label = components(links).withColumnRenamed("id", "doc_id") if known is not None else copies.withColumnRenamed("first", "component")
         regions = regions.drop("component").join(label, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
         several = regions.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
         regions = stored(regions.join(several.select("token"), "token", "left_semi"), "regions")

@@ -166,9 +166,10 @@ def mcd(rows: DataFrame, subset: float = 0.75, steps: int = 6) -> DataFrame:
     the group's median distance to what a normal distribution has, and never below 1.
     """
     keys, each = ["g_lang", "g_source"], range(SIZE)
-    middle = stored(rows.groupBy(*keys).agg(*(F.percentile(f"v{i}", 0.5).alias(f"m{i}") for i in each)), "medians")
+    groups = rows.select(*keys).distinct().count()
+    middle = stored(rows.groupBy(*keys).agg(*(F.percentile(f"v{i}", 0.5).alias(f"m{i}") for i in each)), "medians", groups)
     away = rows.join(middle, keys).groupBy(*keys, *(f"m{i}" for i in each))
-    spread = stored(away.agg(*(F.percentile(F.abs(_v(i) - F.col(f"m{i}")), 0.5).alias(f"d{i}") for i in each)), "spreads")
+    spread = stored(away.agg(*(F.percentile(F.abs(_v(i) - F.col(f"m{i}")), 0.5).alias(f"d{i}") for i in each)), "spreads", groups)
     floors = [f * UNIT for f in PARTS.values()]
     wide = {f"d{i}": F.greatest(1.4826 * F.col(f"d{i}"), F.lit(floors[i])) for i in each}
     spread = spread.withColumns(wide)
@@ -177,18 +178,18 @@ def mcd(rows: DataFrame, subset: float = 0.75, steps: int = 6) -> DataFrame:
     # the tangents, put back to the vector's scale and rounded, have exact sums too
     bent = rows.join(spread, keys).select(*keys, *(F.round(F.col(f"m{i}") + F.col(f"d{i}") * F.tanh((_v(i) - F.col(f"m{i}")) / F.col(f"d{i}"))).cast("long").alias(f"v{i}") for i in each))
     tangent = _estimate(bent.groupBy(*keys).agg(*_sums()), keys)
-    state = stored(plain.withColumn("start", F.lit(0)).unionByName(tangent.withColumn("start", F.lit(1))), "state")
+    state = stored(plain.withColumn("start", F.lit(0)).unionByName(tangent.withColumn("start", F.lit(1))), "state", 2 * groups)
     keys_start = [*keys, "start"]
     for _ in range(steps):
         binned = _measured(rows, state).withColumn("bin", _bin(F.col("d")))
         bound = binned.groupBy(*keys_start).agg(F.percentile("bin", subset).alias("bound"))
         near = binned.join(bound, keys_start).where("bin <= bound")
-        state = stored(_estimate(near.groupBy(*keys_start).agg(*_sums()), keys_start), "state")
+        state = stored(_estimate(near.groupBy(*keys_start).agg(*_sums()), keys_start), "state", 2 * groups)
     best = state.groupBy(*keys).agg(F.min_by("start", F.struct("logdet", "start")).alias("start"))
     state = state.join(best, keys_start)
     binned = _measured(rows, state).withColumn("bin", _bin(F.col("d")))
     middle = binned.groupBy(*keys).agg(((F.pow(F.lit(2.0), F.percentile("bin", 0.5) / 70) - 1) / 64).alias("typical"))
-    return stored(state.join(middle, keys).withColumn("scale", F.greatest(F.col("typical") / CHI_MIDDLE, F.lit(1.0))), "mcd")
+    return stored(state.join(middle, keys).withColumn("scale", F.greatest(F.col("typical") / CHI_MIDDLE, F.lit(1.0))), "mcd", groups)
 
 
 def quality_rules(

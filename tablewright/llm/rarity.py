@@ -38,20 +38,34 @@ class CellCounts:
                 yield part, zlib.compress(cells.tobytes(), 1)
 
 
+#: Levels from this one on mean: more often than chance allows.
+FREQUENT = 160
+
+
 def code_of(count: float) -> int:
-    """The byte that stands for a count: eight steps to a doubling."""
+    """The byte that stands for a count on a logarithmic scale: eight steps to a doubling."""
     return int(np.round(8 * np.log2(count + 1)))
 
 
-def frequent_levels(counts: DataFrame, graded: bool = False) -> Broadcast:
-    """A byte for each cell, shared with all tasks: 0 for cells as full as chance makes them, else higher for fuller ones.
+def _deviation_levels(cells: np.ndarray, mean: float) -> np.ndarray:
+    """Fine steps of a cell's deviation from the mean up to where chance ends, then steps of an eighth of a doubling."""
+    spread = (mean + 1) ** 0.5
+    end = 6 * spread + mean + 4
+    fine = np.clip(np.round(16 * (cells - mean) / spread + 64), 0, FREQUENT - 1)
+    coarse = FREQUENT + 8 * np.log2(np.maximum(cells / end, 1))
+    return np.where(cells > end, np.minimum(coarse, 255), fine).astype(np.uint8)
+
 
-    graded keeps the bytes of all cells (``code_of`` their counts), which orders a vocabulary that is not much larger than
-    the table from its rarest words on.
+def cell_levels(counts: DataFrame, logarithmic: bool = False) -> Broadcast:
+    """A byte for each cell, higher for fuller ones, shared with all tasks.
 
-    Counts are added up part by part in tasks. What comes to the driver has the table's fixed size, 2^CELL_BITS bytes.
+    By default a level tells by how much a cell is fuller than chance makes it, so frequent hashes stand out whatever the
+    number of hashes; from FREQUENT on it is no chance. ``logarithmic`` gives ``code_of`` a cell's count: exact counts for a
+    vocabulary that is not much larger than the table.
+
+    Counts are added up part by part in tasks. What comes to the driver has a fixed size, 2^CELL_BITS counts.
     """
-    kinds = pa.schema([("part", pa.int32()), ("total", pa.int64()), ("codes", pa.binary())])
+    kinds = pa.schema([("part", pa.int32()), ("total", pa.int64()), ("cells", pa.binary())])
 
     def add(batches):
         sums: dict[int, np.ndarray] = {}
@@ -60,19 +74,17 @@ def frequent_levels(counts: DataFrame, graded: bool = False) -> Broadcast:
                 cells = np.frombuffer(zlib.decompress(blob.as_py()), np.uint16)
                 sums[part] = sums.get(part, 0) + cells.astype(np.int64)
         for part, cells in sums.items():
-            codes = np.round(8 * np.log2(cells + 1)).astype(np.uint8)
-            yield pa.RecordBatch.from_pylist([dict(part=part, total=int(cells.sum()), codes=zlib.compress(codes.tobytes(), 1))], schema=kinds)
-
-    found = counts.repartition("part").mapInArrow(add, "part int, total long, codes binary").collect()
-    levels = np.zeros(1 << CELL_BITS, np.uint8)
-    mean = sum(row.total for row in found) / len(levels)
+            blob = zlib.compress(np.minimum(cells, 2**32 - 1).astype(np.uint32).tobytes(), 1)
+            yield pa.RecordBatch.from_pylist([dict(part=part, total=int(cells.sum()), cells=blob)], schema=kinds)
+
+    found = counts.repartition("part").mapInArrow(add, "part int, total long, cells binary").collect()
+    mean = sum(row.total for row in found) / (1 << CELL_BITS)
+    empty = np.zeros(1, np.int64)
+    level = (lambda x: np.round(8 * np.log2(x + 1)).astype(np.uint8)) if logarithmic else (lambda x: _deviation_levels(x, mean))
+    levels = np.full(1 << CELL_BITS, level(empty)[0], np.uint8)
     for row in found:
         start = row.part << PART_BITS
-        levels[start : start + (1 << PART_BITS)] = np.frombuffer(zlib.decompress(row.codes), np.uint8)
-    # beyond chance: eight deviations above the mean, and never fewer than a few occurrences
-    usual = 8 * np.log2(mean + 8 * mean**0.5 + 8)
-    if not graded:
-        levels[levels <= usual] = 0
+        levels[start : start + (1 << PART_BITS)] = level(np.frombuffer(zlib.decompress(row.cells), np.uint32).astype(np.int64))
     return counts.sparkSession.sparkContext.broadcast(levels)
 
 
@@ -81,15 +93,15 @@ def level_of(levels: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 
 
 class Recent:
-    """Digests met lately in a task, so that copies which lie near each other are handled once. Bounded."""
+    """Keys met lately in a task, so that copies which lie near each other are handled once. Bounded: two generations."""
 
     def __init__(self, size: int = 50_000) -> None:
-        self.size, self.seen = size, {}
+        self.size, self.new, self.old = size, set(), set()
 
-    def again(self, digest: bytes) -> bool:
-        if digest in self.seen:
+    def again(self, key) -> bool:
+        if key in self.new:
             return True
-        if len(self.seen) >= self.size:
-            self.seen.pop(next(iter(self.seen)))
-        self.seen[digest] = None
-        return False
+        if len(self.new) >= self.size:
+            self.new, self.old = set(), self.new
+        self.new.add(key)
+        return key in self.old

@@ -22,9 +22,14 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def stored(frame: DataFrame, label: str) -> DataFrame:
-    """The frame, written to shared storage and read again: computed once, short lineage, safe from lost executors."""
+def stored(frame: DataFrame, label: str, rows: int | None = None) -> DataFrame:
+    """The frame, written to shared storage and read again: computed once, short lineage, safe from lost executors.
+
+    rows says about how many rows it has, so that a small table becomes few files.
+    """
     spark = frame.sparkSession
+    if rows is not None:
+        frame = frame.coalesce(1 + rows // 20_000)
     path = f"{shared_folder(spark)}/tablewright/{label}-{uuid.uuid4().hex}"
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
