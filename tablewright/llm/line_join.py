@@ -6,9 +6,9 @@ these tokens meet; the length filter, the positional filter and a bound from 128
 out nearly all pairs before any set is looked at, and the rest is verified with whole sets.
 
 Equal lines are one class from the start. A frequent token makes no region by itself: linked lines whose first common token
-it is have a second one, so its lines meet under pairs of tokens. A region of more than MANY classes, as a line with
-thousands of variants makes, is joined against its most copied lines first, and then only for lines that are not
-yet known to be late. Nothing is left out.
+it is have a second one, so its lines meet under pairs of tokens. In a region each line is compared with the FEW earlier ones that
+its bits say are nearest; only a line that none of them makes late is compared with the others. A region of more than MANY
+classes is joined against its most copied lines before that. Nothing is left out.
 """
 
 from __future__ import annotations
@@ -26,6 +26,8 @@ from .unit_dedup import PUNCTUATION, rebuilt
 MANY = 1024
 #: Counts of a word from which it makes regions only with a second one, and from which these are dealt out by class.
 OFTEN, ALWAYS = 1024, 65536
+#: Earlier lines that a line is compared with before any others.
+FEW = 2
 #: Rounds against a region's most copied lines.
 ROUNDS = 2
 #: A class of equal lines: a hash of its words in order, and the bits of its tokens.
@@ -105,17 +107,25 @@ def _scan(documents: DataFrame, min_words: int) -> DataFrame:
 
 
 def _distinct(owner: np.ndarray, words: np.ndarray, level: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(owner, word, level) once each, ordered by owner, level and word."""
-    order = np.lexsort((words, (owner.astype(np.uint64) << np.uint64(8)) | level.astype(np.uint64)))
-    owner, words, level = owner[order], words[order], level[order]
-    new = np.ones(len(owner), bool)
-    new[1:] = (owner[1:] != owner[:-1]) | (words[1:] != words[:-1])
-    return owner[new], words[new], level[new]
+    """(owner, token, level) once each, ordered by owner, level and token; a token is the upper 40 bits of a word's hash."""
+    tokens = words >> np.uint64(24)
+    if len(owner) and owner[-1] >= 1 << 16:  # owners ascend; one very long text can have more lines than a key has room for
+        order = np.lexsort((tokens, level, owner))
+        owner, tokens, level = owner[order], tokens[order], level[order]
+        new = np.ones(len(owner), bool)
+        new[1:] = (owner[1:] != owner[:-1]) | (tokens[1:] != tokens[:-1])
+        return owner[new], tokens[new], level[new]
+    key = np.sort((owner.astype(np.uint64) << np.uint64(48)) | (level.astype(np.uint64) << np.uint64(40)) | tokens)
+    new = np.ones(len(key), bool)
+    new[1:] = key[1:] != key[:-1]
+    key = key[new]
+    return (key >> np.uint64(48)).astype(np.int64), key & np.uint64((1 << 40) - 1), (key >> np.uint64(40)).astype(np.uint8)
 
 
 def _prefixes(documents: DataFrame, levels, percent: int, min_words: int) -> DataFrame:
     """token, class, n, place, salt: the first tokens of each line, or pairs of them, that another line may have."""
-    schema = pa.schema([("token", pa.int64()), *_KEY_FIELDS, ("n", pa.int32()), ("place", pa.int32()), ("salt", pa.int32())])
+    fields = [("doc_id", pa.int64()), ("line", pa.int32()), ("n", pa.int32()), ("place", pa.int32()), ("salt", pa.int32())]
+    schema = pa.schema([("token", pa.int64()), *_KEY_FIELDS, *fields])
     once, often, always = (rarity.code_of(count) for count in (1, OFTEN, ALWAYS))
 
     def run(batches):
@@ -138,35 +148,37 @@ def _prefixes(documents: DataFrame, levels, percent: int, min_words: int) -> Dat
                 token = np.concatenate([words[alone], hashing.mixed(words[one]) + words[two]])
                 at = np.concatenate([alone, one])
                 salt = np.where(level[at] >= always, 1 + (lines.a[owner[at]] >> np.uint64(58)).astype(np.int32), 0)
-                columns = [token.view(np.int64), *lines.key(owner[at]), size[at].astype(np.int32), place[at].astype(np.int32), salt.astype(np.int32)]
+                of = owner[at]
+                columns = [token.view(np.int64), *lines.key(of), lines.doc[of], lines.line[of], size[at].astype(np.int32), place[at].astype(np.int32), salt.astype(np.int32)]
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], schema=schema)
 
-    return documents.mapInArrow(run, f"token long, {_KEY_KINDS}, n int, place int, salt int")
+    return documents.mapInArrow(run, f"token long, {_KEY_KINDS}, doc_id long, line int, n int, place int, salt int")
 
 
 def _meet(rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs of classes that pass all filters (token null), and the rows of regions too large for pairs (a_2 null)."""
-    fields = [("token", pa.int64()), *_KEY_FIELDS, ("n", pa.int32()), ("window", pa.int64())]
+    """Pairs of classes that pass all filters, the later one first (token null), and rows of regions (a_2 null).
+
+    Each line is paired with up to FEW earlier ones of a region, the least different. The rows of a region where a line has
+    more go on too, and so do those of regions too large for pairs; ``more`` tells the lines that still have partners there.
+    """
+    fields = [("token", pa.int64()), *_KEY_FIELDS, ("n", pa.int32()), ("window", pa.int64()), ("more", pa.bool_())]
     schema = pa.schema([*fields, *((f"{k}_2", kind) for k, kind in _KEY_FIELDS)])
 
     def judged(batch: pa.RecordBatch):
-        tokens, a, m1, m2, n, place, salt = (c.to_numpy() for c in batch.columns)
-        fresh = np.ones(len(tokens), bool)  # the same class from several tasks
+        tokens, a, m1, m2, doc, line, n, place, salt = (c.to_numpy() for c in batch.columns)
+        # a class that several tasks have seen comes with its earliest place first
+        fresh = np.ones(len(tokens), bool)
         fresh[1:] = (tokens[1:] != tokens[:-1]) | (a[1:] != a[:-1]) | (m1[1:] != m1[:-1]) | (m2[1:] != m2[:-1])
-        tokens, a, m1, m2, n, place, salt = (x[fresh] for x in (tokens, a, m1, m2, n, place, salt))
+        tokens, a, m1, m2, doc, line, n, place, salt = (x[fresh] for x in (tokens, a, m1, m2, doc, line, n, place, salt))
         n = n.astype(np.int64)
         window = (100 + percent) * (n - place) // percent - n
         starts = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
         size = np.diff(np.append(starts, len(tokens)))
-        many = np.repeat(size > MANY, size) | (salt > 0)
-        some = np.flatnonzero(many)
-        if len(some):
-            columns = [pa.array(x[some]) for x in (tokens, a, m1, m2, n.astype(np.int32), window)]
-            yield pa.RecordBatch.from_arrays([*columns, *(pa.nulls(len(some), pa.int64()) for _ in KEY)], schema=schema)
+        large = np.repeat(size > MANY, size) | (salt > 0)
         # pairs by their distance in the region; rows drop out where the region ends
-        found = [(np.zeros(0, np.int64),) * 2]
+        found = [(np.zeros(0, np.int64),) * 3]
         ends = np.repeat(starts + size, size)
-        x = np.flatnonzero(~many & (np.arange(len(tokens)) + 1 < ends))
+        x = np.flatnonzero(~large & (np.arange(len(tokens)) + 1 < ends))
         gap = 1
         while len(x):
             y = x + gap
@@ -174,14 +186,26 @@ def _meet(rows: DataFrame, percent: int) -> DataFrame:
             i, j = x[fit], y[fit]
             differ = sum(np.bitwise_count((m[i] ^ m[j]).view(np.uint64)).astype(np.int64) for m in (m1, m2))
             near = differ * (100 + percent) <= (n[i] + n[j]) * (100 - percent)
-            found.append((i[near], j[near]))
+            found.append((i[near], j[near], differ[near]))
             gap += 1
             x = x[x + gap < ends[x]]
-        x, y = (np.concatenate(z) for z in zip(*found))
-        if len(x):
-            one, two = ([k[z] for k in (a, m1, m2)] for z in (x, y))
-            none = pa.nulls(len(x), pa.int64()), pa.nulls(len(x), pa.int32())
-            yield pa.RecordBatch.from_arrays([none[0], *map(pa.array, one), none[1], none[0], *map(pa.array, two)], schema=schema)
+        x, y, differ = (np.concatenate(z) for z in zip(*found))
+        x_late = (doc[x] > doc[y]) | ((doc[x] == doc[y]) & (line[x] > line[y]))
+        late, early = np.where(x_late, x, y), np.where(x_late, y, x)
+        order = np.lexsort((line[early], doc[early], differ, late))
+        late, early = late[order], early[order]
+        nth = np.arange(len(late)) - np.searchsorted(late, late)
+        more = large.copy()
+        more[late[nth >= FEW]] = True
+        region = np.flatnonzero(np.repeat(np.logical_or.reduceat(more, starts), size))
+        if len(region):
+            columns = [pa.array(z[region]) for z in (tokens, a, m1, m2, n.astype(np.int32), window, more)]
+            yield pa.RecordBatch.from_arrays([*columns, *(pa.nulls(len(region), pa.int64()) for _ in KEY)], schema=schema)
+        late, early = late[nth < FEW], early[nth < FEW]
+        if len(late):
+            one, two = ([k[z] for k in (a, m1, m2)] for z in (late, early))
+            none = [pa.nulls(len(late), kind) for _, kind in fields]
+            yield pa.RecordBatch.from_arrays([none[0], *map(pa.array, one), *none[4:], *map(pa.array, two)], schema=schema)
 
     def run(batches):
         held = None  # the rows of the last token; a token that is not frequent has few
@@ -191,15 +215,15 @@ def _meet(rows: DataFrame, percent: int) -> DataFrame:
             if not batch.num_rows:
                 continue
             tokens = batch.column(0).to_numpy()
-            last = batch.num_rows if batch.column(6)[batch.num_rows - 1].as_py() else int(np.searchsorted(tokens, tokens[-1]))
+            last = batch.num_rows if batch.column(8)[batch.num_rows - 1].as_py() else int(np.searchsorted(tokens, tokens[-1]))
             held = batch.slice(last)
             if last:
                 yield from judged(batch.slice(0, last))
         if held is not None and held.num_rows:
             yield from judged(held)
 
-    dealt = rows.repartition("token", "salt").sortWithinPartitions("token", *KEY)
-    return dealt.mapInArrow(run, f"token long, {_KEY_KINDS}, n int, window long, a_2 long, m1_2 long, m2_2 long")
+    dealt = rows.repartition("token", "salt").sortWithinPartitions("token", *KEY, "doc_id", "line")
+    return dealt.mapInArrow(run, f"token long, {_KEY_KINDS}, n int, window long, more boolean, a_2 long, m1_2 long, m2_2 long")
 
 
 def _classes(documents: DataFrame, hashes: DataFrame, min_words: int) -> DataFrame:
@@ -262,7 +286,7 @@ def near_repeats(documents: DataFrame, id_column: str = "doc_id", text_column: s
     levels = rarity.cell_levels(scan.where("part IS NOT NULL").select("part", "counts"), logarithmic=True)
     lines = scan.where("part IS NULL").select(*KEY, "doc_id", "line")
     met = stored(_meet(_prefixes(known, levels, percent, min_words), percent), "met")
-    pairs, regions = met.where("token IS NULL"), met.where("token IS NOT NULL").select("token", *KEY, "n", "window")
+    pairs, regions = met.where("token IS NULL"), met.where("token IS NOT NULL").select("token", *KEY, "n", "window", "more")
     hashes = met.select("a").unionAll(pairs.select(F.col("a_2").alias("a"))).distinct()
     classes = stored(_classes(known, hashes, min_words), "classes")
     late = stored(_late(pairs, classes, percent), "late")
@@ -271,19 +295,21 @@ def near_repeats(documents: DataFrame, id_column: str = "doc_id", text_column: s
     used = None
     for step in range(ROUNDS + 1):
         left = regions.join(late.withColumn("late", F.lit(True)), KEY, "left").withColumn("late", F.coalesce("late", F.lit(False)))
-        # a region is done when all its lines but one are late
-        unsettled = left.groupBy("token").agg(F.count_if(~F.col("late")).alias("open")).where("open > 1").select("token")
+        # a region is done when none of its lines that have more partners is still open
+        unsettled = left.where("more AND NOT late").select("token").distinct()
         left = stored(left.join(unsettled, "token", "left_semi"), "left")
+        if left.isEmpty():
+            break
         if step < ROUNDS:
             fresh = left if used is None else left.join(used, "token", "left").where("pivot IS NULL OR rank > pivot")
-            pivots = fresh.groupBy("token").agg(F.min(F.struct("rank", *KEY, "n", "window", "first", "late")).alias("p"))
+            pivots = fresh.groupBy("token").agg(F.min(F.struct("rank", *KEY, "n", "window", "first")).alias("p"))
             used = stored(pivots.select("token", F.col("p.rank").alias("pivot")), "pivots")
-            other = pivots.select("token", *(F.col(f"p.{c}").alias(f"{c}_2") for c in [*KEY, "n", "window", "first", "late"]))
-            asked = F.when(F.col("first") > F.col("first_2"), ~F.col("late")).otherwise(~F.col("late_2")) & (F.col("first") != F.col("first_2"))
+            other = pivots.select("token", *(F.col(f"p.{c}").alias(f"{c}_2") for c in [*KEY, "n", "window", "first"]))
+            asked = F.col("first") > F.col("first_2")
         else:
-            other = _named(left.where("NOT late").select("token", *KEY, "n", "window", "first"), "_2").withColumnRenamed("token_2", "token")
-            asked = F.col("first") < F.col("first_2")
-        more = left.join(other, "token").where(asked & _near(percent))
+            other = _named(left.select("token", *KEY, "n", "window", "first"), "_2").withColumnRenamed("token_2", "token")
+            asked = F.col("first") > F.col("first_2")
+        more = left.where("more AND NOT late").join(other, "token").where(asked & _near(percent))
         late = stored(late.unionAll(_late(more, classes, percent)).distinct(), "late")
 
     place = F.struct("doc_id", "line")

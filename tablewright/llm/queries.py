@@ -84,7 +84,11 @@ def _cleaned(documents: DataFrame) -> DataFrame:
 
 
 def op2_line_join(spark: SparkSession, folder: str) -> DataFrame:
-    return _cleaned(line_join.remove_near_repeats(_table(spark, folder, "documents").select("doc_id", "text")))
+    documents = _table(spark, folder, "documents").select("doc_id", "text")
+    removed = line_join.near_repeats(documents).withColumnRenamed("doc_id", "of")
+    both = documents.select("doc_id").join(removed, F.col("doc_id") == F.col("of"), "left")
+    lines = F.array_join(F.col("removed").cast("array<string>"), ",")
+    return both.select("doc_id", F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed"), F.coalesce(lines, F.lit("")).alias("removed"))
 
 
 def op3_perspectives(spark: SparkSession, folder: str) -> DataFrame:
@@ -162,8 +166,8 @@ OP2_SQL = f"""WITH {_LINES},
     r AS (SELECT x.first AS fx, y.first AS fy, x.k AS kx, y.k AS ky, len(list_intersect(x.k, y.k)) AS m, x.n + y.n AS total
           FROM q JOIN f x ON x.c = q.a JOIN f y ON y.c = q.b),
     l AS (SELECT DISTINCT CASE WHEN fx > fy THEN fx ELSE fy END AS late FROM r WHERE 100 * m >= 80 * (total - m)),
-    x AS (SELECT w.*, e.k IS NOT NULL AND ((w.doc_id, w.i) <> f.first OR (w.doc_id, w.i) IN (SELECT late FROM l)) AS gone
-          FROM w LEFT JOIN e USING (doc_id, i) LEFT JOIN f USING (k)), {_WITHOUT}"""
+    x AS (SELECT e.doc_id, e.i FROM e JOIN f USING (k) WHERE (e.doc_id, e.i) <> f.first OR (e.doc_id, e.i) IN (SELECT late FROM l))
+    SELECT doc_id, count(i) AS n_removed, coalesce(string_agg(i - 1, ',' ORDER BY i), '') AS removed FROM documents LEFT JOIN x USING (doc_id) GROUP BY doc_id"""
 
 
 #: Low quality comes first: what is junk tells something about what is toxic.
