@@ -38,7 +38,7 @@ def rotate_perspectives(
         F.coalesce(F.col(turn_column).cast("long"), F.lit(_LAST)).alias("turn"),
         F.translate(safe(F.coalesce(speaker_column, F.lit(NOBODY))), "\n", " ").alias("speaker"),
         safe(F.coalesce(text_column, F.lit(""))).alias("text"),
-    ).withColumn("part", F.floor(F.col("turn") / part_turns).cast("long"))
+    ).withColumn("part", F.expr(f"(turn - pmod(turn, {part_turns})) div {part_turns}"))
     parts = turns.groupBy("conv_id", "part").agg(F.array_sort(F.collect_list(F.struct("turn", "speaker", "text"))).alias("turns"))
     views = turns.where(F.col("speaker") != system).select("conv_id", "speaker").distinct()
     views = views.select(F.col("conv_id").alias("id"), "speaker")

@@ -63,7 +63,7 @@ def _unpacked(table: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 def _scores(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Exact inner products; beyond a long's range they stop at its ends."""
-    largest = a.shape[1] * np.abs(a).max(initial=0) * np.abs(b).max(initial=0)
+    largest = a.shape[1] * float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0))  # may be infinite
     if largest < 2**53:
         return (a @ b.T).astype(np.int64)
     if largest < 2**62:
