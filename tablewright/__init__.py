@@ -60,6 +60,6 @@ from .operators.writes import (
     insert_select,
     update_where,
 )
-from .sources.tables import TableSet, VersionConflict, load
+from .sources.tables import StoredBatch, load, store_batch
 
 __all__ = [name for name in dir() if not name.startswith("_") and name not in ("annotations", "functions", "operators", "sources")]

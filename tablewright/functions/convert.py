@@ -26,8 +26,19 @@ OTHER_DATE_TIME_FORMATS = (
     "yyyy/M/d",
     "d MMM yyyy H:m:s",
     "d MMM yyyy",
+    "yyyy-M-d H:m:s",
+    "yyyy-M-d H:m",
+    "yyyy-M-d",
+    "d-MMM-yyyy H:m:s",
+    "d-MMM-yyyy",
+    "MMM d, yyyy H:m:s",
+    "MMM d, yyyy",
+    "MMMM d, yyyy H:m:s",
+    "MMMM d, yyyy",
 )
 
+#: ISO with an offset that lacks its colon.
+_BARE_OFFSET = r"^(\d{4}-\d{2}-\d{2}[ T].*[+-]\d{2})(\d{2})$"
 _BLANKS = " \t\n\x0b\x0c\r\x85\xa0"
 _ISO = r"^\d{4}-\d{2}-\d{2}([ T]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?)?( ?(Z|z|[+-]\d{2}:\d{2}))?$"
 _OFFSET = r"(?i)( ?(Z|UTC|GMT|[+-]\d{2}:\d{2}))$"
@@ -89,13 +100,14 @@ def to_bool(value: Column, dtype: T.DataType, on_error: str = "raise") -> Column
 
 def _shape(form: str) -> str:
     """The pattern text must have before a date-time format is tried on it: a failed parse is dear, a look is cheap."""
-    tokens = {"yyyy": r"\d{4}", "MMM": "[A-Za-z]{3}", "a": "[AaPp][Mm]"}
+    tokens = {"yyyy": r"\d{4}", "MMMM": "[A-Za-z]{3,9}", "MMM": "[A-Za-z]{3}", "a": "[AaPp][Mm]"}
     parts = [tokens.get(t, r"\d{1,2}" if t.isalpha() else t) for t in re.findall(r"[A-Za-z]+|[^A-Za-z]", form)]
     return rf"^(?:[A-Za-z]{{3,9}}, )?{''.join(parts)}(?: ?(?:Z|UTC|GMT))?$"
 
 
 def _instant(text: Column) -> Column:
     """Text to an instant, null when no accepted form fits."""
+    text = F.regexp_replace(text, _BARE_OFFSET, "$1:$2")
     seconds_added = F.when(text.rlike(_NO_SECONDS), F.regexp_replace(text, _NO_SECONDS, "$1:00$2")).otherwise(text)
     with_offset = (
         F.when(text.rlike(_OFFSET), seconds_added)
@@ -347,7 +359,10 @@ def parse_json_list(text: Column, element: T.StructType, on_error: str = "raise"
         trimmed.startswith('"'), F.get_json_object(F.concat(F.lit('{"v":'), trimmed, F.lit("}")), "$.v")
     ).otherwise(trimmed)
     empty = text.isNull() | unwrapped.rlike(r"^\s*(\[\s*\]|null)?\s*$")
-    objects = F.from_json(F.when(unwrapped.rlike(r"^\s*\["), unwrapped), "array<map<string,string>>")
+    # the text must be one value to its end: what follows it would break the object it is put into
+    whole = F.concat(F.lit('{"v":['), unwrapped, F.lit('],"end":1}'))
+    read = F.from_json(F.when(unwrapped.rlike(r"^\s*\["), whole), "v array<array<map<string,string>>>, end int")
+    objects = F.when((read["end"] == 1) & (F.size(read["v"]) == 1), F.get(read["v"], 0))
 
     def texts(pairs: Column) -> Column:
         def found(name: str) -> Column:
@@ -366,11 +381,33 @@ def parse_json_list(text: Column, element: T.StructType, on_error: str = "raise"
     return F.when(empty, F.array().cast(target)).otherwise(F.coalesce(parsed.cast(target), refused))
 
 
+def _conformed(value: Column, source: T.DataType, target: T.DataType, on_error: str) -> Column:
+    """A value in the shape of ``target``; fields of structs are matched by name, at any depth."""
+    if source == target:
+        return value
+    if isinstance(target, T.ArrayType) and isinstance(source, T.ArrayType):
+        return F.transform(value, lambda item: _conformed(item, source.elementType, target.elementType, on_error))
+    if isinstance(target, T.ArrayType) and isinstance(source, T.StringType):
+        return parse_json_list(value, target.elementType, on_error)
+    if isinstance(target, T.StructType) and isinstance(source, T.StructType):
+        own = {f.name.lower(): f for f in source.fields}
+        fields = []
+        for field in target.fields:
+            found = own.get(field.name.lower())
+            made = F.lit(None).cast(field.dataType) if found is None else _conformed(value[found.name], found.dataType, field.dataType, on_error)
+            fields.append(made.alias(field.name))
+        return F.when(value.isNotNull(), F.struct(*fields))
+    if isinstance(target, (T.ArrayType, T.StructType, T.MapType, T.TimestampNTZType)):
+        return value.cast(target)
+    return convert_column(value, source, kind_of(target), on_error)
+
+
 def conform(df: DataFrame, schema: T.StructType, on_error: str = "raise") -> DataFrame:
     """The frame in the shape of ``schema``: columns match in any case, extra ones go, missing ones are null.
 
-    Text and numbers are converted strictly to the target type; JSON text becomes a list where the target is an array
-    of structs. A list column the frame lacks is an error.
+    The same holds for the fields of structs and of lists of structs, to any depth. Text and numbers are converted strictly
+    to the target type; JSON text becomes a list where the target is an array of structs. A list column the frame lacks is
+    an error.
     """
     by_name = {name.lower(): name for name in df.columns}
     made = []
@@ -381,12 +418,5 @@ def conform(df: DataFrame, schema: T.StructType, on_error: str = "raise") -> Dat
                 raise ValueError(f"no column for the list {target.name}")
             made.append(F.lit(None).cast(dtype).alias(target.name))
             continue
-        value, source = F.col(f"`{name}`"), df.schema[name].dataType
-        if isinstance(dtype, T.ArrayType) and isinstance(source, T.StringType):
-            value = parse_json_list(value, dtype.elementType, on_error)
-        elif isinstance(dtype, (T.ArrayType, T.StructType, T.MapType, T.TimestampNTZType)):
-            value = value.cast(dtype)
-        elif source != dtype:
-            value = convert_column(value, source, kind_of(dtype), on_error)
-        made.append(value.alias(target.name))
+        made.append(_conformed(F.col(f"`{name}`"), df.schema[name].dataType, dtype, on_error).alias(target.name))
     return df.select(*made)

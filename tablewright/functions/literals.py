@@ -8,7 +8,7 @@ import re
 from decimal import Decimal, InvalidOperation
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Row, functions as F, types as T
 
 _PLACEHOLDER = re.compile(r"'(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\"|`[^`]*`|\?")
 
@@ -72,6 +72,36 @@ def typed_literal(value: Any, dtype: T.DataType, name: str = "") -> Column:
     return F.lit(value)
 
 
+def stored_literal(value: Any, dtype: T.DataType, name: str = "") -> Column:
+    """``value`` as a literal to be stored in a column of type ``dtype``: the same readings as in predicates, to any depth.
+
+    Text adapts to the type, whole numbers of any Python type fit integers, a moment without an offset is UTC. What does not
+    fit is refused before any job starts.
+    """
+    if value is None:
+        return F.lit(None).cast(dtype)
+    if isinstance(dtype, T.ArrayType):
+        if isinstance(value, (str, bytes, dict)):
+            raise ValueError(f"{value!r} is no list, but column {name} is")
+        return F.array(*[stored_literal(x, dtype.elementType, name) for x in value]).cast(dtype)
+    if isinstance(dtype, T.StructType):
+        given = value.asDict() if isinstance(value, Row) else value if isinstance(value, dict) else dict(zip(dtype.names, value))
+        return F.struct(*[stored_literal(given.get(f.name), f.dataType, f"{name}.{f.name}").alias(f.name) for f in dtype.fields]).cast(dtype)
+    if isinstance(dtype, T.MapType):
+        pairs = [stored_literal(x, t, name) for k, v in value.items() for x, t in ((k, dtype.keyType), (v, dtype.valueType))]
+        return F.create_map(*pairs).cast(dtype)
+    if isinstance(dtype, T.BinaryType):
+        return F.lit(bytes(value) if isinstance(value, (bytes, bytearray)) else str(value).encode()).cast(dtype)
+    if isinstance(dtype, (T.FloatType, T.DoubleType)) and isinstance(value, str):
+        return F.lit(float(value)).cast(dtype)
+    if isinstance(dtype, T.IntegralType):
+        number = _number(value, name) if isinstance(value, str) else value
+        if not isinstance(number, (int, float, Decimal)) or number != int(number):
+            raise ValueError(f"{value!r} is not a whole number, but column {name} is {dtype.simpleString()}")
+        return F.lit(int(number)).cast(dtype)
+    return typed_literal(value, dtype, name).cast(dtype)
+
+
 def _sql_text(value: Any) -> str:
     if value is None:
         return "NULL"

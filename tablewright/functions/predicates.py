@@ -334,7 +334,22 @@ def _join_sub(df: DataFrame, term: Term) -> DataFrame:
     return df.join(keys, _pairs_match(sub.on, names), how)
 
 
-def _flag_sub(df: DataFrame, term: Term) -> tuple[DataFrame, Term, list[str]]:
+def without_matches(df: DataFrame, term: Term) -> DataFrame:
+    """The rows for which a sub-select term is not true: false and unknown stay."""
+    sub = term.sub
+    if term.relation == "in":
+        pairs = [(term.column, _in_column(sub.frame))]
+    elif sub.on is None:
+        return df.where(~sub.frame.exists())
+    elif isinstance(sub.on, str):
+        return df.join(sub.frame, F.expr(sub.on), "left_anti")
+    else:
+        pairs = sub.on
+    keys, names = _keys(sub.frame, [inner for _, inner in pairs])
+    return df.join(keys, _pairs_match(pairs, names), "left_anti")
+
+
+def _flag_sub(df: DataFrame, term: Term, unknown_matters: bool) -> tuple[DataFrame, Term, list[str]]:
     """The same question as a true/false/unknown column, for use under Or and inside groups.
 
     The keys are distinct, so the left join never multiplies rows.
@@ -345,13 +360,12 @@ def _flag_sub(df: DataFrame, term: Term) -> tuple[DataFrame, Term, list[str]]:
         return df.withColumn(flag, inner.exists()), replace(term, relation="flag", column=flag, value=None), [flag]
     if term.relation == "in":
         keys, names = _keys(sub.frame, [_in_column(sub.frame)])
-        pairs, column, counts = [(term.column, "")], F.col(term.column), _counts(sub.frame)
-        answer = (
-            F.when(F.col(mark), True)
-            .when(counts["n"] == 0, False)
-            .when(column.isNull() | (counts["n"] > counts["filled"]), F.lit(None).cast("boolean"))
-            .otherwise(False)
-        )
+        pairs, answer = [(term.column, "")], F.coalesce(F.col(mark), F.lit(False))
+        if unknown_matters:
+            # only under a negation do false and unknown differ; telling them apart takes counts of the sub-select
+            column, counts = F.col(term.column), _counts(sub.frame)
+            unknown = (counts["n"] > 0) & (column.isNull() | (counts["n"] > counts["filled"]))
+            answer = F.when(F.col(mark), True).when(unknown, F.lit(None).cast("boolean")).otherwise(False)
     else:
         keys, names = _keys(sub.frame, [inner for _, inner in sub.on])
         pairs, answer = sub.on, F.coalesce(F.col(mark), F.lit(False))
@@ -372,16 +386,16 @@ class Flagged:
         return condition(self.frame, self.tree)
 
 
-def flag_sub_selects(df: DataFrame, tree: Group) -> Flagged:
+def flag_sub_selects(df: DataFrame, tree: Group, negated: bool = False) -> Flagged:
     terms, flags = [], []
     for term in tree.terms:
         if term.sub is not None:
-            df, term, added = _flag_sub(df, term)
+            df, term, added = _flag_sub(df, term, negated or term.negated)
             flags += added
         terms.append(term)
     groups = []
     for inner in tree.groups:
-        done = flag_sub_selects(df, inner)
+        done = flag_sub_selects(df, inner, negated or tree.link in (AND_NOT, OR_NOT))
         df, flags = done.frame, flags + done.flags
         groups.append(done.tree)
     return Flagged(df, Group(tuple(terms), tuple(groups), tree.link), flags)

@@ -12,9 +12,9 @@ joined branch by branch, so no branch falls back to a nested loop over both tabl
 
 Size
 ----
-An array is one value in one row, so ``nested_list`` refuses (raises, never truncates) a parent with more than
-``max_items`` children. ``nested_chunks`` gives the whole list for such parents: consecutive pieces of bounded size, one
-row each, numbered across ranges of the sort key so that one parent's rows are spread over many tasks.
+An array is one value in one row, and a list is returned whole whatever its length. Where one parent has a large share of
+the children, ``ranges`` sorts its items in many tasks and only puts sorted pieces together in one. ``nested_chunks`` gives
+lists that are too large for a row: consecutive pieces of bounded size, one row each.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from dataclasses import dataclass
 from functools import reduce
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..functions.columns import all_of, fresh
 from ..functions.predicates import (
@@ -43,7 +43,6 @@ from ..functions.predicates import (
 from .ranges import SortKey, default_splits, range_bucket, sort_keys, split_points
 from .relational import resolves
 
-MAX_ITEMS = 1_000_000
 CHUNK_ROWS = 10_000
 _MIRRORED = {"=": "=", ">": "<", ">=": "<=", "<": ">", "<=": ">="}
 
@@ -148,25 +147,47 @@ def _branches(tree: Group, frames: Sequence[DataFrame]) -> list[Column]:
     return branches
 
 
-def _collected(
-    rows: DataFrame, keys: Sequence[str], items: _Items, alias: str, max_items: int, count_first: bool
-) -> DataFrame:
-    """Rows grouped into one ordered list per key.
+def _orderable(dtype: T.DataType) -> bool:
+    if isinstance(dtype, T.StructType):
+        return all(_orderable(f.dataType) for f in dtype.fields)
+    if isinstance(dtype, T.ArrayType):
+        return _orderable(dtype.elementType)
+    return not isinstance(dtype, (T.MapType, T.VariantType))
+
+
+def _sorted_values(rows: DataFrame, keys: Sequence[str], order: Sequence[Column], value: Column, ascending: bool) -> DataFrame:
+    """One list ``_list`` per key: values by their order columns, which come first in what is compared."""
+    pairs = rows.select(*keys, F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)]).alias("_o"), value.alias("_v"))
+    gathered = F.collect_list(F.struct("_o", "_v"))
+    if _orderable(pairs.schema["_v"].dataType):
+        return pairs.groupBy(*keys).agg(F.sort_array(gathered, ascending)["_v"].alias("_list"))
+    less, more = (-1, 1) if ascending else (1, -1)
+    by_order = lambda x, y: F.when(x["_o"] < y["_o"], less).when(x["_o"] > y["_o"], more).otherwise(0)
+    return pairs.groupBy(*keys).agg(F.array_sort(gathered, by_order)["_v"].alias("_list"))
 
-    The row number is what orders the list, so any mix of directions works; it runs over sorted, spillable input, and
-    stops an over-long list before any of it is gathered. Numbering and grouping share one shuffle on the key.
+
+def _collected(rows: DataFrame, keys: Sequence[str], items: _Items, alias: str, ranges: int | None) -> DataFrame:
+    """Rows grouped into one ordered list per key, in one shuffle on the key.
+
+    Sort keys of one direction are compared where the list is made. For mixed directions rows are numbered first. With
+    ``ranges``, lists are made for each (key, range of the sort keys) and the sorted pieces are joined, in order.
     """
-    too_many = F.lit(f"a list of {alias} has more than {max_items} items; read it with nested_chunks")
-    if count_first:
-        largest = rows.groupBy(*keys).count().agg(F.max("count")).scalar()
-        rows = rows.where(F.when(largest > max_items, F.raise_error(too_many).cast("boolean")).otherwise(True))
-    window = Window.partitionBy(*keys).orderBy(*([k.order for k in items.order] or [F.lit(0)]))
-    number = F.row_number().over(window)
-    guarded = F.when(number > max_items, F.raise_error(too_many)).otherwise(number)
-    numbered = rows.withColumn("_n", guarded)
-    gathered = F.collect_list(F.struct(F.col("_n").alias("n"), items.element.alias("v")))
-    gathered = F.sort_array(gathered) if items.order else gathered
-    return numbered.groupBy(*keys).agg(gathered["v"].alias(alias))
+    if not items.order:
+        return rows.groupBy(*keys).agg(F.collect_list(items.element).alias(alias))
+    by = list(keys)
+    if ranges:
+        rows, by = rows.withColumn("_range", range_bucket(split_points(rows, items.order, ranges))), [*keys, "_range"]
+    directions = {k.ascending for k in items.order}
+    if len(directions) == 1:
+        order, ascending = [F.col(k.name) for k in items.order], directions.pop()
+    else:
+        number = F.row_number().over(Window.partitionBy(*by).orderBy(*[k.order for k in items.order]))
+        rows, order, ascending = rows.withColumn("_n", number), [F.col("_n")], True
+    lists = _sorted_values(rows, by, order, items.element, ascending)
+    if ranges:
+        pieces = _sorted_values(lists, keys, [F.col("_range")], F.col("_list"), True)
+        lists = pieces.select(*keys, F.flatten("_list").alias("_list"))
+    return lists.withColumnRenamed("_list", alias)
 
 
 def _or_empty(df: DataFrame, alias: str) -> DataFrame:
@@ -183,16 +204,15 @@ def nested_list(
     *,
     reads: Sequence[str] | None = None,
     prune_child: bool = False,
-    max_items: int = MAX_ITEMS,
-    count_first: bool = False,
+    ranges: int | None = None,
 ) -> DataFrame:
     """The parent rows plus the array column ``alias``; ``[]``, never null, where no child matches.
 
     ``child`` is any frame: filter, join or group it first (for one list of groups per parent, group by the correlate
     column and the group keys). ``reads`` names the parent columns raw correlate text uses; without it all parent
     columns count. ``prune_child`` drops children of absent parents before they are shuffled: worth it when the parents
-    are a page or a narrow filter. ``count_first`` looks for over-long lists by a map-side count of the keys, before any
-    child row is shuffled or sorted: one more pass over the key columns, for data whose keys may be badly skewed.
+    are a page or a narrow filter. ``ranges`` is for a parent with a large share of the children: with sort keys, its
+    items are sorted in so many tasks; split points for that are sampled by a job when the frame is built.
     """
     if not alias or not alias.strip():
         raise ValueError("a nested list needs an alias")
@@ -208,7 +228,7 @@ def nested_list(
             present = parent.select(*[F.col(p).alias(w) for (_, p), w in zip(pairs, wanted)]).distinct()
             matches = all_of([F.col(k) == F.col(w) for k, w in zip(keys, wanted)])
             rows = rows.join(present, matches, "left_semi")
-        lists = _collected(rows, keys, items, alias, max_items, count_first)
+        lists = _collected(rows, keys, items, alias, ranges)
         match = all_of([F.col(p) == F.col(k) for (_, p), k in zip(pairs, keys)])
     else:
         names, has_raw = _parent_columns(tree)
@@ -225,7 +245,7 @@ def nested_list(
             earlier = [~F.coalesce(b, F.lit(False)) for b in branches[:i]]
             joined = values.join(named, all_of([branch, *earlier]), "inner")
             found.append(joined.select(*keys, *items.names))
-        lists = _collected(reduce(lambda a, b: a.union(b), found), keys, items, alias, max_items, count_first)
+        lists = _collected(reduce(lambda a, b: a.union(b), found), keys, items, alias, ranges)
         match = all_of([c.eqNullSafe(F.col(k)) for c, k in zip(columns, keys)])
     return _or_empty(parent.join(lists, match, "left").drop(*keys), alias)
 

@@ -11,8 +11,8 @@ from .ranges import SortKey, in_ranges, range_bucket, sort_keys, split_points
 
 Keys = Sequence[str | tuple[str, bool] | SortKey]
 
-# From this offset on, a page is found by counting ranges instead of by holding offset + size rows in one task.
-DEEP_OFFSET = 200_000
+# A deep page is cut down until about so many rows are left to sort.
+NEAR_ROWS = 200_000
 DEEP_SPLITS = 256
 
 
@@ -26,24 +26,21 @@ def _check(num: int, size: int) -> None:
         raise ValueError(f"page number and size start at 1, got {num} and {size}")
 
 
-def page(df: DataFrame, keys: Keys, num: int, size: int, deep_offset: int = DEEP_OFFSET) -> DataFrame:
-    """Page ``num`` (from 1) of ``size`` rows. The keys should order the rows totally.
+def page(df: DataFrame, keys: Keys, num: int, size: int) -> DataFrame:
+    """Page ``num`` (from 1) of ``size`` rows, one lazy top-k. The keys should order the rows totally.
 
-    Near the front this is one top-k. Beyond ``deep_offset`` rows it is :func:`deep_page`.
+    Every task keeps offset + size rows and one task sees them all; far from the front use :func:`deep_page`.
     """
     _check(num, size)
-    offset = (num - 1) * size
-    if offset > deep_offset:
-        return deep_page(df, keys, num, size, near=deep_offset)
-    return sort_rows(df, *keys).offset(offset).limit(size)
+    return sort_rows(df, *keys).offset((num - 1) * size).limit(size)
 
 
-def deep_page(df: DataFrame, keys: Keys, num: int, size: int, splits: int = DEEP_SPLITS, near: int = DEEP_OFFSET) -> DataFrame:
-    """The same page, for any depth.
+def deep_page(df: DataFrame, keys: Keys, num: int, size: int, splits: int = DEEP_SPLITS, near: int = NEAR_ROWS) -> DataFrame:
+    """The same page, for any depth. Jobs run when the frame is built.
 
-    A top-k would gather every row up to the page's end in one task. Here the rows are counted per sort-key range (one
-    aggregation whose result has ``splits`` rows) and the ranges before the page are skipped by their exact counts;
-    what is left is cut again until the page starts within ``near`` rows of its range. Only then is anything sorted.
+    Rows are counted per sort-key range (one aggregation whose result has ``splits`` rows) and the ranges before the page
+    are skipped by their exact counts; what is left is cut again until it holds at most ``near`` rows, or equal keys that
+    nothing can cut. Only then is anything sorted.
     """
     _check(num, size)
     keys, offset = sort_keys(keys), (num - 1) * size
@@ -59,12 +56,13 @@ def deep_page(df: DataFrame, keys: Keys, num: int, size: int, splits: int = DEEP
             if first is not None and before >= offset + size:
                 last = b
                 break
+        held = before - skipped
         if first is None:
             return df.where(F.lit(False))
         narrowed = (first, last) != (0, len(points.points))
         if narrowed:
             df, offset = df.where(in_ranges(points, first, last)), offset - skipped
-        if offset <= near or not narrowed:
+        if held <= max(near, 2 * size) or not narrowed:
             return sort_rows(df, *keys).offset(offset).limit(size)
 
 
@@ -78,11 +76,17 @@ def total_pages(total: int, size: int) -> int:
 
 
 def page_with_total(df: DataFrame, keys: Keys, num: int, size: int) -> DataFrame:
-    """The page with ``total_results`` and ``total_pages`` on every row; the total ignores the page."""
-    rows = page(df, keys, num, size)
-    total = total_count(df).scalar()
-    pages = F.when(total == 0, F.lit(0)).otherwise(F.floor((total - 1) / size) + 1).cast("long")
-    return rows.select("*", total.alias("total_results"), pages.alias("total_pages"))
+    """The page with ``total_results`` and ``total_pages`` on every row; the total ignores the page.
+
+    A page past the end is one row of nulls with the totals.
+    """
+    rows, total = page(df, keys, num, size), total_count(df)
+    pages = lambda n: F.when(n == 0, F.lit(0)).otherwise(F.floor((n - 1) / size) + 1).cast("long")
+    number = total.scalar()
+    found = rows.select("*", number.alias("total_results"), pages(number).alias("total_pages"))
+    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema.fields]
+    past = total.where(F.col("total") <= (num - 1) * size)
+    return found.unionAll(past.select(*nulls, F.col("total").alias("total_results"), pages(F.col("total")).alias("total_pages")))
 
 
 @dataclass(frozen=True)

@@ -5,16 +5,15 @@ Nothing here writes files. :mod:`tablewright.sources.tables` runs the same write
 
 from __future__ import annotations
 
-import datetime as dt
 from dataclasses import dataclass, field
 from functools import reduce
 from typing import Any, Callable, Mapping, Sequence, Union
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.columns import fresh
-from ..functions.predicates import Node, as_group, flag_sub_selects, where
+from ..functions.literals import stored_literal
+from ..functions.predicates import Node, Term, as_group, flag_sub_selects, where, without_matches
 
 Tables = Mapping[str, DataFrame]
 Terms = Union[Sequence[Node], Callable[[Tables], Sequence[Node]]]
@@ -33,10 +32,8 @@ def _column_names(df: DataFrame, names: Sequence[str]) -> dict[str, str]:
     return {n: own[n.lower()] for n in names}
 
 
-def _as_text(value: Any) -> str | None:
-    if value is None or isinstance(value, str):
-        return value
-    return value.isoformat(sep=" ") if isinstance(value, dt.datetime) else str(value)
+#: Rows of one literal array; a longer insert is a union of such arrays.
+_ROWS_AT_ONCE = 500
 
 
 def literal_rows(df: DataFrame, rows: Sequence[Mapping[str, Any]]) -> DataFrame:
@@ -45,19 +42,11 @@ def literal_rows(df: DataFrame, rows: Sequence[Mapping[str, Any]]) -> DataFrame:
         raise ValueError("an insert needs at least one row")
     own = _column_names(df, [n for row in rows for n in row])
     rows = [{own[n]: value for n, value in row.items()} for row in rows]
-    names = list(dict.fromkeys(own.values()))
-    fields = {f.name: f.dataType for f in df.schema.fields}
-    nested = (T.ArrayType, T.StructType, T.MapType, T.BinaryType)
-    as_is = {n for n in names if isinstance(fields[n], nested)}
-    if as_is:
-        schema = T.StructType([T.StructField(n, fields[n] if n in as_is else T.StringType()) for n in names])
-        data = [tuple(row.get(n) if n in as_is else _as_text(row.get(n)) for n in names) for row in rows]
-        texts = df.sparkSession.createDataFrame(data, schema)
-    else:
-        columns = {n: pa.array([_as_text(row.get(n)) for row in rows], pa.string()) for n in names}
-        texts = df.sparkSession.createDataFrame(pa.table(columns))
-    given = {n: F.col(f"`{n}`") for n in names}
-    return texts.select(*[given.get(c, F.lit(None)).cast(fields[c]).alias(c) for c in df.columns])
+    fields = T.StructType([T.StructField(f.name, f.dataType) for f in df.schema.fields])
+    made = [stored_literal(row, fields) for row in rows]
+    one = df.sparkSession.range(1)
+    parts = [one.select(F.inline(F.array(*made[i : i + _ROWS_AT_ONCE]))) for i in range(0, len(made), _ROWS_AT_ONCE)]
+    return reduce(lambda a, b: a.unionAll(b), parts)
 
 
 def selected_rows(df: DataFrame, query: DataFrame) -> DataFrame:
@@ -94,7 +83,7 @@ def update_where(df: DataFrame, values: Mapping[str, Any], *terms: Node) -> Data
     touched = fresh("touched")
     frame = frame.withColumn(touched, cond)
     changed = {
-        own[name]: F.when(F.col(touched), F.lit(_as_text(value)).cast(df.schema[own[name]].dataType)).otherwise(
+        own[name]: F.when(F.col(touched), stored_literal(value, df.schema[own[name]].dataType, name)).otherwise(
             F.col(f"`{own[name]}`")
         )
         for name, value in values.items()
@@ -104,6 +93,10 @@ def update_where(df: DataFrame, values: Mapping[str, Any], *terms: Node) -> Data
 
 def delete_where(df: DataFrame, *terms: Node) -> DataFrame:
     """The rows the chain is false or unknown for; none without a chain."""
+    only = terms[0] if len(terms) == 1 and isinstance(terms[0], Term) else None
+    if only is not None and only.sub is not None and not only.negated:
+        # what the sub-select answers yes for goes; an unknown answer matches no key and stays
+        return without_matches(df, only)
     frame, cond, flags = _matching(df, terms)
     return frame.where(~cond).drop(*flags)
 

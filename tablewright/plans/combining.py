@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from ..functions import predicates as P
 from ..functions.predicates import and_, or_, where
 from ..operators import setops
-from ..operators.paging import page, page_with_total, single_row_frame, sort_rows, total_count
+from ..operators.paging import deep_page, page, page_with_total, single_row_frame, sort_rows, total_count
 from ..operators.relational import aggregate, expression, inequality_join, join_on, project
 from .catalogue import Catalogue, Data
 
@@ -207,7 +207,7 @@ catalogue.add(
 )
 catalogue.add(
     "page_deep",
-    lambda t: page(t.orders, ["o_orderdate", ("o_totalprice", False), "o_orderkey"], 33, 40, deep_offset=1000),
+    lambda t: deep_page(t.orders, ["o_orderdate", ("o_totalprice", False), "o_orderkey"], 33, 40, near=1000),
     "SELECT * FROM orders ORDER BY o_orderdate, o_totalprice DESC, o_orderkey LIMIT 40 OFFSET 1280",
 )
 catalogue.add(
@@ -218,6 +218,12 @@ catalogue.add(
        FROM (SELECT * FROM orders WHERE o_orderstatus = 'P' ORDER BY o_totalprice DESC, o_orderkey LIMIT 25 OFFSET 25) p,
             (SELECT count(*) AS total_results FROM orders WHERE o_orderstatus = 'P') c""",
 )
+catalogue.add(
+    "page_with_total_empty",
+    lambda t: page_with_total(where(t.region, P.gt("r_regionkey", 1)), ["r_regionkey"], 9, 2),
+    """SELECT NULL::INTEGER AS r_regionkey, NULL::VARCHAR AS r_name, count(*) AS total_results,
+         CASE WHEN count(*) = 0 THEN 0 ELSE 1 + (count(*) - 1) // 2 END AS total_pages FROM region WHERE r_regionkey > 1""",
+)
 
 
 @query("SELECT * FROM customer WHERE c_custkey = (SELECT max(o_custkey) FROM orders)")

@@ -1,28 +1,14 @@
-"""Tables on shared storage that take writes.
-
-A :class:`TableSet` is a folder of Parquet data plus numbered version files. A version file lists, for every table, the
-schema and the Parquet folders or files that hold its rows; the highest number is current. A batch of writes stages its
-new data in folders no version names, and takes effect, for all tables at once, when its version file is put in place by
-one rename that fails if another batch got there first. Readers keep the version they opened.
-
-The work follows the rows touched, not the table: an insert only adds data; an update or delete rewrites the files that
-hold matching rows and goes on naming the others. Each write reads what the ones before it staged, so a lost executor
-costs a task, never the batch's earlier steps.
-"""
+"""Reading tables from a folder, and storing what a batch of writes made of them."""
 
 from __future__ import annotations
 
-import json
 import uuid
 from dataclasses import dataclass
 from typing import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession
 
-from ..functions.predicates import where
-from ..operators.writes import Insert, Update, Write, delete_where, new_rows, terms_of, update_where
-
-_FILE = "_source_file"
+from ..operators.writes import Tables, Write, apply_batch
 
 
 def load(spark: SparkSession, folder: str, *names: str) -> dict[str, DataFrame]:
@@ -30,167 +16,32 @@ def load(spark: SparkSession, folder: str, *names: str) -> dict[str, DataFrame]:
     return {name: spark.read.parquet(f"{folder}/{name}.parquet").alias(name) for name in names}
 
 
-def _tail(path: str) -> str:
-    """Folder and file name, which identify a staged file however the rest of its address is spelled."""
-    return "/".join(path.split("/")[-2:])
-
-
-class VersionConflict(RuntimeError):
-    """Another batch was published first; nothing of this one is visible."""
-
-
 @dataclass(frozen=True)
-class _Stored:
-    schema: T.StructType
-    paths: tuple[str, ...]
-
-
-class TableSet:
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
-        self._hadoop = spark._jvm.org.apache.hadoop.fs
-        self._conf = spark._jsc.hadoopConfiguration()
-        self._fs = self._path(self.root).getFileSystem(self._conf)
-
-    # ------------------------------------------------------------ versions
-
-    def _path(self, text: str):
-        return self._hadoop.Path(text)
-
-    def version(self) -> int:
-        """Number of the current version; 0 when nothing was stored yet."""
-        folder = self._path(f"{self.root}/versions")
-        if not self._fs.exists(folder):
-            return 0
-        names = [status.getPath().getName() for status in self._fs.listStatus(folder)]
-        return max([int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit()], default=0)
-
-    def _tables(self, version: int) -> dict[str, _Stored]:
-        if version == 0:
-            return {}
-        text = self.spark.read.text(f"{self.root}/versions/{version:010d}.json", wholetext=True).first()[0]
-        return {
-            name: _Stored(T.StructType.fromJson(entry["schema"]), tuple(entry["paths"]))
-            for name, entry in json.loads(text).items()
-        }
-
-    def _publish(self, version: int, tables: dict[str, _Stored]) -> None:
-        entries = {n: {"schema": t.schema.jsonValue(), "paths": list(t.paths)} for n, t in tables.items()}
-        draft = self._path(f"{self.root}/versions/draft-{uuid.uuid4().hex}")
-        stream = self._fs.create(draft, False)
-        try:
-            stream.write(bytearray(json.dumps(entries).encode()))
-        finally:
-            stream.close()
-        final = self._path(f"{self.root}/versions/{version:010d}.json")
-        files = self._hadoop.FileContext.getFileContext(final.toUri(), self._conf)
-        no_overwrite = self.spark._sc._gateway.new_array(self.spark._jvm.org.apache.hadoop.fs.Options.Rename, 0)
-        try:
-            files.rename(files.makeQualified(draft), files.makeQualified(final), no_overwrite)
-        except Exception as error:
-            self._fs.delete(draft, False)
-            if self._fs.exists(final):
-                raise VersionConflict(f"version {version} was published by someone else") from error
-            raise
-
-    # ------------------------------------------------------------ data
-
-    def _read(self, stored: _Stored, with_file: bool = False) -> DataFrame:
-        if not stored.paths:
-            empty = self.spark.createDataFrame([], stored.schema)
-            return empty.withColumn(_FILE, F.lit("")) if with_file else empty
-        df = self.spark.read.schema(stored.schema).parquet(*stored.paths)
-        return df.select("*", F.col("_metadata.file_path").alias(_FILE)) if with_file else df
-
-    def _stage(self, name: str, df: DataFrame, staged: list[str]) -> str:
-        folder = f"{self.root}/data/{name}/{uuid.uuid4().hex}"
-        staged.append(folder)
-        df.write.parquet(folder)
-        return folder
-
-    def read(self, name: str, version: int | None = None) -> DataFrame:
-        tables = self._tables(self.version() if version is None else version)
-        if name not in tables:
-            raise ValueError(f"no table {name}")
-        return self._read(tables[name]).alias(name)
-
-    def create(self, name: str, df: DataFrame) -> None:
-        """Store a frame as a new table, or as the new content of one."""
-        version, staged = self.version(), []
-        tables = self._tables(version)
-        try:
-            schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema.fields])
-            tables[name] = _Stored(schema, (self._stage(name, df, staged),))
-            self._publish(version + 1, tables)
-        except BaseException:
-            self._discard(staged)
-            raise
-
-    def _discard(self, staged: Sequence[str]) -> None:
-        for folder in staged:
-            self._fs.delete(self._path(folder), True)
-
-    # ------------------------------------------------------------ writes
-
-    def execute(self, *writes: Write) -> list[int]:
-        """Run the writes in order, all or nothing; how many rows each one touched."""
-        version, staged, counts = self.version(), [], []
-        tables = self._tables(version)
-        try:
-            for write in writes:
-                if write.table not in tables:
-                    raise ValueError(f"no table {write.table}")
-                step = self._insert if isinstance(write, Insert) else self._rewrite
-                tables[write.table], count = step(write, tables, staged)
-                counts.append(count)
-            if any(counts):
-                self._publish(version + 1, tables)
-            else:
-                self._discard(staged)
-        except BaseException:
-            self._discard(staged)
-            raise
-        return counts
-
-    def _views(self, tables: dict[str, _Stored]) -> dict[str, DataFrame]:
-        return {name: self._read(stored).alias(name) for name, stored in tables.items()}
-
-    def _insert(self, write: Insert, tables: dict[str, _Stored], staged: list[str]) -> tuple[_Stored, int]:
-        stored, views = tables[write.table], self._views(tables)
-        folder = self._stage(write.table, new_rows(write, views[write.table], views), staged)
-        added = _Stored(stored.schema, (folder,))
-        return _Stored(stored.schema, (*stored.paths, folder)), self._read(added).count()
-
-    def _rewrite(self, write: Write, tables: dict[str, _Stored], staged: list[str]) -> tuple[_Stored, int]:
-        stored = tables[write.table]
-        terms = terms_of(write, self._views(tables))
-        matching = where(self._read(stored, with_file=True).alias(write.table), *terms)
-        # one row per file that holds a match, never the matches themselves
-        touched = {r[0]: r[1] for r in matching.groupBy(_FILE).agg(F.count(F.lit(1))).collect()}
-        if not touched:
-            return stored, 0
-        kept, rewritten = self._split(stored, {_tail(file) for file in touched})
-        before = self._read(_Stored(stored.schema, rewritten)).alias(write.table)
-        after = update_where(before, write.values, *terms) if isinstance(write, Update) else delete_where(before, *terms)
-        folder = self._stage(write.table, after, staged)
-        return _Stored(stored.schema, (*kept, folder)), sum(touched.values())
-
-    def _split(self, stored: _Stored, touched: set[str]) -> tuple[tuple[str, ...], tuple[str, ...]]:
-        """Paths to keep naming, and files to rewrite. A folder is spelled out only once one of its files goes."""
-        kept, rewritten = [], []
-        folders = {tail.split("/")[0] for tail in touched}
-        for path in stored.paths:
-            if path.endswith(".parquet"):
-                files = [path]
-            elif path.rsplit("/", 1)[-1] not in folders:
-                files = []
-            else:
-                # the listing spells addresses its own way, so only the names are taken from it
-                names = [f.rsplit("/", 1)[-1] for f in self._read(_Stored(stored.schema, (path,))).inputFiles()]
-                files = [f"{path}/{name}" for name in names]
-            gone = [f for f in files if _tail(f) in touched]
-            rewritten += gone
-            kept += [f for f in files if _tail(f) not in touched] if gone else [path]
-        if len(rewritten) != len(touched):
-            raise RuntimeError("files with matching rows are missing from the table's list")
-        return tuple(kept), tuple(rewritten)
+class StoredBatch:
+    """The new folder of each table that the batch names, and how many rows each of its writes touched."""
+
+    folders: dict[str, str]
+    counts: list[int]
+
+
+def store_batch(tables: Tables, writes: Sequence[Write], root: str) -> StoredBatch:
+    """Run the writes in order, all or nothing, and write each table they name to a new folder under ``root``.
+
+    Nothing that existed is changed: the caller goes on with the new folders, or with the old ones if this raises, in which
+    case what was written so far is deleted. ``root`` must be storage that all machines see.
+    """
+    batch = apply_batch(tables, writes)
+    names = list(dict.fromkeys(write.table for write in writes))
+    spark = batch.counts.sparkSession
+    folders: dict[str, str] = {}
+    try:
+        for name in names:
+            folders[name] = f"{root.rstrip('/')}/{name}/{uuid.uuid4().hex}"
+            batch.tables[name].write.parquet(folders[name])
+        counts = [row["affected"] for row in batch.counts.orderBy("write").collect()]
+    except BaseException:
+        for folder in folders.values():
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        raise
+    return StoredBatch(folders, counts)

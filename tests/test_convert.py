@@ -146,3 +146,34 @@ def test_conform(spark):
     assert out.first().asDict(True) == {"Id": 1, "Name": "Ann", "Kids": [{"Id": 7}], "Born": None}
     with pytest.raises(ValueError):
         conform(df.drop("KIDS"), wanted)
+
+
+def test_json_lists_are_read_to_the_end(spark):
+    element = T.StructType([T.StructField("k", T.LongType())])
+    texts = ['[{"k":1}]', '[{"k":1}] junk', '[{"k":1}][{"k":2}]', '[{"k":1}],[{"k":2}]', '[{"k":1},]x', ' [ {"k" : 2} ] ', '[{"k":1}', '"[{\\"k\\":3}]"']
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r[0] for r in df.select(parse_json_list(F.col("t"), element, "null")).collect()]
+    assert [g and [e.k for e in g] for g in got] == [[1], None, None, None, None, [2], None, [3]]
+    with pytest.raises(Exception, match="JSON list"):
+        df.where("t like '%junk'").select(parse_json_list(F.col("t"), element)).collect()
+
+
+def test_conform_matches_inner_fields_by_name(spark):
+    df = spark.sql("select array(named_struct('first', 'A', 'last', 'B', 'flag', 'true')) as people, named_struct('x', '1') as one")
+    person = T.StructType([T.StructField("Last", T.StringType()), T.StructField("First", T.StringType()), T.StructField("Flag", T.BooleanType()), T.StructField("Age", T.LongType())])
+    wanted = T.StructType([T.StructField("People", T.ArrayType(person)), T.StructField("One", T.StructType([T.StructField("X", T.LongType())]))])
+    row = conform(df, wanted).first()
+    assert tuple(row.People[0]) == ("B", "A", True, None) and row.One.X == 1
+    bad = spark.sql("select array(named_struct('flag', 'yes')) as people, cast(null as struct<x:string>) as one")
+    with pytest.raises(Exception, match="bool"):
+        conform(bad, wanted).collect()
+    assert conform(bad, wanted, "null").first().One is None
+
+
+def test_general_date_forms(spark):
+    forms = {
+        "2020-9-7": "2020-09-07 00:00:00", "2020-9-7 5:03": "2020-09-07 05:03:00", "September 7, 2020": "2020-09-07 00:00:00",
+        "7-Sep-2020": "2020-09-07 00:00:00", "2020-09-07T10:00:00+0200": "2020-09-07 08:00:00", "Sep 7, 2020": "2020-09-07 00:00:00",
+    }
+    df = convert(spark.createDataFrame([(t,) for t in forms], "t string"), {"t": "timestamp"})
+    assert [r[0] for r in df.selectExpr("cast(t as string)").collect()] == list(forms.values())

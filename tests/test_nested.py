@@ -113,14 +113,30 @@ def test_refusals(spark):
             call()
 
 
-def test_a_list_too_long_is_refused_not_cut(spark):
-    p, c, _ = family(spark)
-    assert lists(nested_list(p, c, OF_PARENT, ["c.id"], "kids", ["c.id"], max_items=2))["p1"] == [("c1",), ("c2",)]
-    counted = nested_list(p, c, OF_PARENT, ["c.id"], "kids", ["c.id"], max_items=2, count_first=True)
-    assert lists(counted)["p1"] == [("c1",), ("c2",)]
-    for count_first in (False, True):
-        with pytest.raises(Exception, match="more than 1 items"):
-            nested_list(p, c, OF_PARENT, ["c.id"], "kids", ["c.id"], max_items=1, count_first=count_first).collect()
+def test_a_very_long_list_is_whole(spark):
+    m = spark.createDataFrame([(1,), (2,)], "k int").alias("m")
+    d = spark.range(1_200_000).selectExpr("id as i", "cast(1 as int) as k").alias("d")
+    for options in ({}, {"ranges": 16}):
+        made = nested_list(m, d, P.eq("d.k", other("m.k")), ["d.i"], "items", [("d.i", False)], **options)
+        got = made.selectExpr("k", "size(items) n", "get(items, 0).i a", "get(items, 1199999).i z").orderBy("k").collect()
+        assert [tuple(r) for r in got] == [(1, 1_200_000, 1_199_999, 0), (2, 0, None, None)]
+
+
+@pytest.mark.parametrize("sort", [["d.v", "d.i"], [("d.v", False), ("d.i", False)], [("d.v", False), "d.i"]])
+def test_map_fields_and_ranges_keep_the_order(spark, sort):
+    m = spark.createDataFrame([(1,), (2,)], "k int").alias("m")
+    d = spark.range(200).selectExpr("id as i", "cast(1 + id % 2 as int) as k", "if(id % 7 = 0, null, id % 5) as v", "map('a', id) as x").alias("d")
+    plain = {}
+    for r in d.collect():
+        plain.setdefault(r.k, []).append(r)
+    for k, rows in plain.items():
+        for name, ascending in reversed([s if isinstance(s, tuple) else (s, True) for s in sort]):
+            field = name.split(".")[1]
+            rows.sort(key=lambda r: (r[field] is not None, r[field] or 0), reverse=not ascending)
+    for options in ({}, {"ranges": 5}):
+        made = nested_list(m, d, P.eq("d.k", other("m.k")), ["d.i", "d.x"], "items", sort, **options)
+        for r in made.collect():
+            assert [(e.i, e.x) for e in r["items"]] == [(e.i, e.x) for e in plain[r.k]]
 
 
 @pytest.mark.parametrize("sort", [["d.v", "d.i"], [("d.v", False), "d.i"], [("d.i", False)]])

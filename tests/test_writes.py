@@ -10,7 +10,7 @@ from tablewright.functions import predicates as P
 from tablewright.functions.predicates import and_, and_not, or_, where
 from tablewright.operators import writes
 from tablewright.operators.writes import Delete, Insert, Update, apply_batch
-from tablewright.sources.tables import TableSet, VersionConflict
+from tablewright.sources.tables import store_batch
 
 
 def test_insert_adapts_values_and_fills_with_null(spark):
@@ -74,71 +74,67 @@ def test_batch_sees_earlier_writes(spark):
             apply_batch({"c": three(spark)}, bad)
 
 
-# ---------------------------------------------------------------- stored tables
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_stored_values_are_read_like_predicates(spark, zone):
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        df = spark.sql("select 1 i, cast(null as binary) b, array('x') l, timestamp'2020-01-01 00:00:00Z' t, named_struct('a', 1, 'b', 'x') s, map('k', 1) m, 1.5D d")
+        row = {"i": 3.0, "b": b"abc", "l": ["p", "q"], "t": "2020-01-02 00:00:00", "s": {"b": 5, "a": "7"}, "m": {"z": "4"}, "d": "2.5"}
+        for out in (writes.insert_rows(df, [row]).where("i = 3"), writes.update_where(df, row)):
+            got = where(out, P.eq("t", "2020-01-02 00:00:00")).collect()
+            assert len(got) == 1
+            assert (got[0].i, bytes(got[0].b), got[0].l, tuple(got[0].s), got[0].m, got[0].d) == (3, b"abc", ["p", "q"], (7, "5"), {"z": 4}, 2.5)
+        assert writes.update_where(df, {"i": True}).first().i == 1
+        for bad in ({"i": 2.5}, {"i": "x"}, {"l": "text"}):
+            with pytest.raises(ValueError):
+                writes.update_where(df, bad)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
-@pytest.fixture
-def stored(spark, tmp_path):
-    tables = TableSet(spark, str(tmp_path / "a folder"))
-    tables.create("canvas", canvas(spark, 100).repartitionByRange(4, "ordering"))
-    tables.create("three", three(spark))
-    return tables
+def test_many_literal_rows(spark):
+    rows = [{"id": f"n{i}", "ordering": str(i)} for i in range(1100)]
+    assert writes.insert_rows(three(spark), rows).where("id like 'n%'").count() == 1100
 
 
-def paths(tables, name="canvas"):
-    return tables._tables(tables.version())[name].paths
-
-
-def test_stored_round_trip(stored):
-    assert stored.version() == 2 and stored.read("canvas").count() == 100
-    assert stored.execute(
-        Insert("canvas", [{"id": "new", "ordering": "1"}]),
-        Update("canvas", {"color": "X"}, [P.lt("ordering", 31002)]),
-        Insert("canvas", query=lambda now: where(now["canvas"], P.eq("color", "X")).select("id")),
-        Delete("canvas", lambda now: [P.in_query("id", now["three"].select(F.lit("uuid-5").alias("id")))]),
-        Delete("three", [P.eq("color", "green"), and_(P.gt("ordering", 1))]),
-    ) == [1, 3, 3, 1, 1]
-    assert stored.read("canvas").count() == 100 + 1 + 3 - 1 and stored.read("three").count() == 2
-    assert stored.version() == 3 and stored.read("canvas", version=2).count() == 100
-
-
-def test_only_files_with_matches_are_rewritten(stored):
-    before = stored.read("canvas").inputFiles()
-    assert len(before) == 4
-    assert stored.execute(Update("canvas", {"color": "X"}, [P.eq("ordering", 31001)])) == [1]
-    after = stored.read("canvas").inputFiles()
-    assert len(set(before) & set(after)) == 3 and stored.read("canvas").count() == 100
-    assert stored.read("canvas").where("color = 'X'").count() == 1
-    assert stored.execute(Insert("canvas", [{"id": "z"}])) == [1]
-    assert set(after) < set(stored.read("canvas").inputFiles())
+def test_delete_by_sub_select_is_one_anti_join(spark):
+    df = nulls(spark)
+    plan = writes.delete_where(df, P.in_query("a", df.where("id < 4").select("a")))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("LeftAnti") == 1 and "LeftOuter" not in plan
 
 
-def test_a_failed_batch_leaves_everything_as_it_was(stored, tmp_path):
-    version, files = stored.version(), sorted((tmp_path / "a folder" / "data").rglob("*.parquet"))
-    for last in (Insert("three", [{"nope": 1}]), Insert("three", [{"ordering": "seven"}]), Delete("missing")):
-        with pytest.raises(Exception):
-            stored.execute(Delete("canvas"), Update("three", {"color": "X"}), last)
-    assert stored.version() == version
-    assert stored.read("canvas").count() == 100 and stored.read("three").where("color = 'X'").count() == 0
-    assert sorted((tmp_path / "a folder" / "data").rglob("*.parquet")) == files
+# ---------------------------------------------------------------- stored batches
 
 
-def test_no_match_publishes_nothing(stored):
-    version = stored.version()
-    assert stored.execute(Delete("canvas", [P.eq("id", "none")]), Update("three", {"color": "X"}, [P.eq("id", "none")])) == [0, 0]
-    assert stored.version() == version
+def folders(root):
+    return sorted(str(p) for p in root.rglob("*") if p.is_dir())
 
 
-def test_delete_everything_then_insert(stored):
-    assert stored.execute(Delete("canvas"), Delete("canvas"), Insert("canvas", [{"id": "only"}])) == [100, 0, 1]
-    assert ids(stored.read("canvas")) == ["only"]
+def test_stored_batch(spark, tmp_path):
+    tables = {"canvas": canvas(spark, 100), "three": three(spark), "other": nulls(spark)}
+    done = store_batch(
+        tables,
+        [
+            Insert("canvas", [{"id": "new", "ordering": "1"}]),
+            Update("canvas", {"color": "X"}, [P.lt("ordering", 31002)]),
+            Insert("canvas", query=lambda now: where(now["canvas"], P.eq("color", "X")).select("id")),
+            Delete("canvas", lambda now: [P.in_query("id", now["three"].select(F.lit("uuid-5").alias("id")))]),
+            Delete("three", [P.eq("color", "green"), and_(P.gt("ordering", 1))]),
+        ],
+        str(tmp_path / "a folder"),
+    )
+    assert done.counts == [1, 3, 3, 1, 1] and set(done.folders) == {"canvas", "three"}
+    assert spark.read.parquet(done.folders["canvas"]).count() == 100 + 1 + 3 - 1
+    assert spark.read.parquet(done.folders["three"]).count() == 2
 
 
-def test_the_second_of_two_batches_is_refused(stored, spark):
-    other = TableSet(spark, stored.root)
-    version = stored.version()
-    other.version = lambda: version
-    stored.execute(Delete("three"))
-    with pytest.raises(VersionConflict):
-        other.execute(Delete("canvas"))
-    assert stored.read("canvas").count() == 100 and stored.read("three").count() == 0
+def test_a_failed_batch_leaves_the_old_folders(spark, tmp_path):
+    old = store_batch({"three": three(spark)}, [Delete("three", [P.eq("color", "green")])], str(tmp_path))
+    before = folders(tmp_path)
+    tables = {"three": spark.read.parquet(old.folders["three"]), "canvas": canvas(spark, 5)}
+    broken = Update("three", {"color": "X"}, [P.raw("raise_error('no') is null")])
+    for last in (Insert("three", [{"nope": 1}]), Delete("missing"), broken):
+        with pytest.raises(Exception):
+            store_batch(tables, [Delete("canvas"), last], str(tmp_path))
+        assert [f for f in folders(tmp_path) if not f.endswith("canvas")] == before
+    assert spark.read.parquet(old.folders["three"]).count() == 1
