@@ -26,37 +26,38 @@ from .marks import mark, mark_table, marked
 from .shared import shared_folder, stored
 
 
-def _digest(tokens: np.ndarray) -> bytes:
-    return hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()
+def _key(tokens: np.ndarray) -> int:
+    """64 bits that stand for a set."""
+    return int.from_bytes(hashlib.blake2b(tokens.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
 def _scan(documents: DataFrame, shingle: int) -> DataFrame:
-    """A row (doc_id, n, digest) for each document, and rows of cell counts for each task."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()), *rarity.COUNTS_FIELDS])
+    """A row (doc_id, n, key) for each document, and rows of cell counts for each task."""
+    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("key", pa.int64()), *rarity.COUNTS_FIELDS])
 
     def run(batches):
         counts, recent = rarity.CellCounts(), rarity.Recent()
         for batch in batches:
-            sizes, digests = [], []
+            sizes, keys = [], []
             for tokens in hashing.shingle_sets(batch.column(1), shingle):
                 sizes.append(len(tokens))
-                digests.append(_digest(tokens) if len(tokens) else None)
-                if len(tokens) and not recent.again(digests[-1]):
+                keys.append(_key(tokens) if len(tokens) else None)
+                if len(tokens) and not recent.again(keys[-1]):
                     counts.add(tokens)
             none = pa.nulls(len(sizes), pa.int32()), pa.nulls(len(sizes), pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), *none], schema=schema)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.int64()), *none], schema=schema)
         for part, blob in counts.rows():
             yield pa.RecordBatch.from_pylist([dict(part=part, counts=blob)], schema=schema)
 
-    return documents.mapInArrow(run, "doc_id long, n long, digest binary, " + rarity.COUNTS)
+    return documents.mapInArrow(run, "doc_id long, n long, key long, " + rarity.COUNTS)
 
 
 def _prefixes(documents: DataFrame, levels, shingle: int, percent: int) -> DataFrame:
-    """token, doc_id, n, place, salt: the tokens of which a document shares one with every document it is linked to.
+    """token, key, n, place, salt: the tokens of which a set shares one with every set it is linked to.
 
     Two linked sets differ in so few tokens that their first n - ceil(percent * n / 100) + 1 in any common order meet.
     """
-    schema = pa.schema([("token", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int32()), ("place", pa.int32()), ("salt", pa.int32())])
+    schema = pa.schema([("token", pa.int64()), ("key", pa.int64()), ("n", pa.int32()), ("place", pa.int32()), ("salt", pa.int32())])
 
     def run(batches):
         recent, table = rarity.Recent(), levels.value
@@ -65,38 +66,40 @@ def _prefixes(documents: DataFrame, levels, shingle: int, percent: int) -> DataF
             for doc, tokens in zip(batch.column(0).to_pylist(), hashing.shingle_sets(batch.column(1), shingle)):
                 n = len(tokens)
                 # a set with no room for a difference is only linked to its copies
-                if doc is None or n * (100 - percent) < percent or recent.again(_digest(tokens)):
+                if doc is None or n * (100 - percent) < percent or recent.again(key := _key(tokens)):
                     continue
                 level = rarity.level_of(table, tokens)
                 keep = np.argsort(level, kind="stable")[: n + percent * n // -100 + 1]
-                salt = np.where(level[keep] >= rarity.FREQUENT, 1 + doc % 64, 0).astype(np.int32)
-                found.append((tokens[keep].view(np.int64), np.full(len(keep), doc, np.int64), np.full(len(keep), n, np.int32), np.arange(len(keep), dtype=np.int32), salt))
+                salt = np.where(level[keep] >= rarity.FREQUENT, 1 + key % 64, 0).astype(np.int32)
+                found.append((tokens[keep].view(np.int64), np.full(len(keep), key, np.int64), np.full(len(keep), n, np.int32), np.arange(len(keep), dtype=np.int32), salt))
                 if len(found) >= 500:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*found)], schema=schema)
                     found = []
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*found)], schema=schema)
 
-    return documents.mapInArrow(run, "token long, doc_id long, n int, place int, salt int")
+    return documents.mapInArrow(run, "token long, key long, n int, place int, salt int")
 
 
 def _shared_tokens(rows: DataFrame, percent: int) -> DataFrame:
-    """token, doc_id, n, window, fits of the rows whose token others may have, told in one pass over sorted rows.
+    """token, key, n, window, fits of the rows whose token other sets may have, told in one pass over sorted rows.
 
-    Two documents can be linked if each size is within the other's window, which narrows with the place of the first common
+    Two sets can be linked if each size is within the other's window, which narrows with the place of the first common
     token. ``fits`` says that some other row of the token may be in a row's window, and it in that row's.
     """
-    schema = pa.schema([("token", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int32()), ("window", pa.int64()), ("fits", pa.bool_())])
+    schema = pa.schema([("token", pa.int64()), ("key", pa.int64()), ("n", pa.int32()), ("window", pa.int64()), ("fits", pa.bool_())])
 
     def judged(batch: pa.RecordBatch) -> pa.RecordBatch:
-        tokens, docs, n, place = (batch.column(i).to_numpy() for i in range(4))
-        frequent = batch.column(4).to_numpy() > 0
+        tokens, keys, n, place, salt = (c.to_numpy() for c in batch.columns)
+        fresh = np.ones(len(tokens), bool)  # copies that several tasks have met
+        fresh[1:] = (tokens[1:] != tokens[:-1]) | (keys[1:] != keys[:-1])
+        tokens, keys, n, place, frequent = (x[fresh] for x in (tokens, keys, n, place, salt > 0))
         window = (100 + percent) * (n.astype(np.int64) - place) // percent - n
         starts = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
         size = np.diff(np.append(starts, len(tokens)))
         fits = (window >= np.repeat(np.minimum.reduceat(n, starts), size)) & (n <= np.repeat(np.maximum.reduceat(window, starts), size))
         keep = frequent | (np.repeat(size, size) > 1)
-        columns = [x[keep] for x in (tokens, docs, n, window, frequent | fits)]
+        columns = [x[keep] for x in (tokens, keys, n, window, frequent | fits)]
         return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], schema=schema)
 
     def run(batches):
@@ -117,18 +120,18 @@ def _shared_tokens(rows: DataFrame, percent: int) -> DataFrame:
             yield judged(held)
 
     # frequent tokens are dealt by document too, and kept unseen
-    dealt = rows.repartition("token", "salt").sortWithinPartitions("token")
-    return dealt.mapInArrow(run, "token long, doc_id long, n int, window long, fits boolean")
+    dealt = rows.repartition("token", "salt").sortWithinPartitions("token", "key")
+    return dealt.mapInArrow(run, "token long, key long, n int, window long, fits boolean")
 
 
 def _sets(documents: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
-    """doc_id, low, high of the documents with these ids (and of a few more), read from the texts again.
+    """key, low, high of the sets of the documents with these ids (and of a few more), read from the texts again.
 
     ``low`` has the tokens in the lowest quarter of the hashes' range, ``high`` the others.
     """
     marks = mark_table(ids.select(mark(F.xxhash64("id")).alias("mark")))
     several = pa.list_(pa.int64())
-    schema = pa.schema([("doc_id", pa.int64()), ("low", several), ("high", several)])
+    schema = pa.schema([("key", pa.int64()), ("low", several), ("high", several)])
 
     def run(batches):
         for batch in batches:
@@ -138,15 +141,16 @@ def _sets(documents: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
                 tokens = list(hashing.shingle_sets(part.column(1), shingle))
                 cut = [int(np.searchsorted(x, np.uint64(1 << 62))) for x in tokens]
                 halves = [x[:i].view(np.int64) for x, i in zip(tokens, cut)], [x[i:].view(np.int64) for x, i in zip(tokens, cut)]
-                yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(x, several) for x in halves)], schema=schema)
+                keys = pa.array([_key(x) for x in tokens], pa.int64())
+                yield pa.RecordBatch.from_arrays([keys, *(pa.array(x, several) for x in halves)], schema=schema)
 
     known = documents.where("doc_id IS NOT NULL").withColumn("mark", mark(F.xxhash64("doc_id")))
-    return known.mapInArrow(run, "doc_id long, low array<long>, high array<long>")
+    return known.mapInArrow(run, "key long, low array<long>, high array<long>")
 
 
 class _Join:
-    def __init__(self, documents: DataFrame, shingle: int, percent: int):
-        self.documents, self.shingle, self.percent = documents, shingle, percent
+    def __init__(self, documents: DataFrame, first: DataFrame, shingle: int, percent: int):
+        self.documents, self.first, self.shingle, self.percent = documents, first, shingle, percent
 
     def least_overlap(self, n, m):
         """The smallest intersection of linked sets of n and m tokens."""
@@ -154,8 +158,8 @@ class _Join:
 
     def pruned(self, prefixes: DataFrame, pairs: DataFrame) -> DataFrame:
         """Those of pairs (a, n_a, b, n_b) that share enough prefix tokens to reach the overlap with all tokens behind."""
-        of_a = prefixes.select(F.col("doc_id").alias("a"), F.col("tokens").alias("x"))
-        of_b = prefixes.select(F.col("doc_id").alias("b"), F.col("tokens").alias("y"))
+        of_a = prefixes.select(F.col("key").alias("a"), F.col("tokens").alias("x"))
+        of_b = prefixes.select(F.col("key").alias("b"), F.col("tokens").alias("y"))
         met = pairs.join(of_a, "a").join(of_b, "b").withColumn("met", F.size(F.array_intersect("x", "y")))
         behind = F.ceil(self.percent * F.greatest("n_a", "n_b") / 100) - 1
         return met.where(F.col("met") + behind >= self.least_overlap("n_a", "n_b")).select("a", "b")
@@ -163,13 +167,14 @@ class _Join:
     def measured(self, pairs: DataFrame) -> DataFrame:
         """a, b, distance, linked for those of pairs (a, b) that a quarter of their tokens doesn't rule out."""
         pairs = stored(pairs, "pairs")
-        ids = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).distinct()
+        keys = pairs.select(F.col("a").alias("key")).unionAll(pairs.select(F.col("b").alias("key"))).distinct()
+        ids = self.first.join(keys, "key").select(F.col("first").alias("id"))
         sets = stored(_sets(self.documents, ids, self.shingle), "sets")
 
         def joined(pairs: DataFrame, column: str) -> DataFrame:
             size = F.size("low") + F.size("high")
-            of_a = sets.select(F.col("doc_id").alias("a"), F.col(column).alias("x"), size.alias("n_a"))
-            of_b = sets.select(F.col("doc_id").alias("b"), F.col(column).alias("y"), size.alias("n_b"))
+            of_a = sets.select(F.col("key").alias("a"), F.col(column).alias("x"), size.alias("n_a"))
+            of_b = sets.select(F.col("key").alias("b"), F.col(column).alias("y"), size.alias("n_b"))
             return pairs.join(of_a, "a").join(of_b, "b")
 
         # few pairs need all tokens: those outside the quarter can at most all be common to the smaller rest
@@ -193,55 +198,64 @@ def jaccard_components(documents: DataFrame, id_column: str = "doc_id", text_col
     """
     shared_folder(documents.sparkSession)
     documents = documents.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
-    join = _Join(documents, shingle, percent)
-
     scan = stored(_scan(documents, shingle), "scan")
     levels = rarity.cell_levels(scan.where("part IS NOT NULL").select("part", "counts"))
-    sized = scan.where("part IS NULL").select("doc_id", "n", "digest")
-    first = sized.where("digest IS NOT NULL AND doc_id IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies"))
-    copies = sized.join(first.where("copies > 1"), "digest").where("doc_id IS NOT NULL").select("doc_id", "first").distinct()
-    copies = stored(copies, "copies")
-    links = copies.select(F.col("doc_id").alias("a"), F.col("first").alias("b"))
+    sized = scan.where("part IS NULL").select("doc_id", "n", "key")
+    # copies are one set from here on; an id that comes with several sets links them
+    named = sized.where("key IS NOT NULL AND doc_id IS NOT NULL")
+    first = stored(named.groupBy("key").agg(F.min("doc_id").alias("first")), "first")
+    twice = named.groupBy("doc_id").agg(F.min("key").alias("b"), F.max("key").alias("a")).where("a <> b").select("doc_id", "b")
+    links = named.join(twice, "doc_id").select(F.col("key").alias("a"), "b").where("a <> b")
+    join = _Join(documents, first, shingle, percent)
 
     members = stored(_shared_tokens(_prefixes(documents, levels, shingle, percent), percent), "members")
-    prefixes = stored(members.groupBy("doc_id").agg(F.collect_set("token").alias("tokens")), "prefixes")
-    central = prefixes.select("doc_id", F.size("tokens").alias("met"))
-    rows = members.where("fits").drop("fits").join(central, "doc_id")
-    rows = rows.withColumn("rank", F.struct((-F.col("met") / F.col("n")).alias("far"), "doc_id")).drop("met")
+    prefixes = stored(members.groupBy("key").agg(F.collect_set("token").alias("tokens")), "prefixes")
+    central = prefixes.select("key", F.size("tokens").alias("met"))
+    rows = members.where("fits").drop("fits").join(central, "key")
+    rows = rows.withColumn("rank", F.struct((-F.col("met") / F.col("n")).alias("far"), "key")).drop("met")
     regions = stored(rows, "regions")
-    known = None
+    known, before = None, None
     while True:
-        # copies are stars already
-        label = components(links).withColumnRenamed("id", "doc_id") if known is not None else copies.withColumnRenamed("first", "component")
-        regions = regions.drop("component").join(label, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+        if known is None:
+            regions = regions.withColumn("component", F.col("key"))
+        else:
+            label = components(links).withColumnRenamed("id", "key")
+            regions = regions.drop("component").join(label, "key", "left").withColumn("component", F.coalesce("component", "key"))
         several = regions.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
         regions = stored(regions.join(several.select("token"), "token", "left_semi"), "regions")
         # pairs of different components, counted without making them
         sizes = regions.groupBy("token", "component").count().groupBy("token").agg(F.sum("count").alias("all"), F.sum(F.col("count") * F.col("count")).alias("own"))
         work = sizes.agg(F.sum(F.col("all") * F.col("all") - F.col("own")), F.sum("all")).first()
-        if not work[1] or known is not None and work[0] <= 64 * work[1]:
+        # pivots go on as long as each settles a good part of what there is
+        if not work[1] or known is not None and (work[0] <= 64 * work[1] or before is not None and work[0] > 0.8 * before):
             break
+        before = work[0]
         # the next pivot of each region: the most central document that has not been one
         fresh = regions if known is None else regions.where("pivot_rank IS NULL OR rank > pivot_rank")
         pivots = fresh.groupBy("token").agg(F.min(F.struct("rank", "n", "component")).alias("p"))
-        pivots = pivots.select("token", F.col("p.rank").alias("pivot_rank"), F.col("p.n").alias("n_b"), F.col("p.component").alias("own"))
+        pivots = pivots.select("token", F.col("p.rank").alias("next_rank"), F.col("p.n").alias("n_b"), F.col("p.component").alias("own"))
         if pivots.isEmpty():
             break
-        regions = stored(regions.drop("pivot_rank", "n_b", "own").join(pivots, "token", "left"), "regions")
-        met = regions.where("component <> own AND n_b <= window").select(F.col("doc_id").alias("a"), F.col("n").alias("n_a"), F.col("pivot_rank.doc_id").alias("b"), "n_b").distinct()
+        past = F.col("next_rank") if known is None else F.coalesce("next_rank", "pivot_rank")
+        regions = regions.drop("n_b", "own", "next_rank").join(pivots, "token", "left").withColumn("pivot_rank", past)
+        regions = stored(regions, "regions")
+        met = regions.where("component <> own AND n_b <= window").select(F.col("key").alias("a"), F.col("n").alias("n_a"), F.col("next_rank.key").alias("b"), "n_b").distinct()
         distances = join.measured(join.pruned(prefixes, met))
         known = distances if known is None else known.unionAll(distances)
         links = links.unionAll(distances.where("linked").select("a", "b"))
     if work[1]:
         # what is left of each region pair by pair, in the windows of size, place and distance to the pivot
-        pivot = regions.select("token", F.col("doc_id").alias("a"), F.col("pivot_rank.doc_id").alias("b"))
-        near = pivot.join(known.select("a", "b", "distance"), ["a", "b"], "left").select("token", F.col("a").alias("doc_id"), "distance")
-        rows = regions.join(near, ["token", "doc_id"]).select("token", "doc_id", "n", "window", "component", "distance")
+        pivot = regions.select("token", F.col("key").alias("a"), F.col("pivot_rank.key").alias("b"))
+        near = pivot.join(known.select("a", "b", "distance"), ["a", "b"], "left").select("token", F.col("a").alias("key"), "distance")
+        rows = regions.join(near, ["token", "key"]).select("token", "key", "n", "window", "component", "distance")
         x, y = (rows.select("token", *(F.col(c).alias(f"{c}_{side}") for c in rows.columns if c != "token")) for side in "ab")
-        fits = "doc_id_a < doc_id_b AND component_a <> component_b AND n_a <= window_b AND n_b <= window_a"
+        fits = "key_a < key_b AND component_a <> component_b AND n_a <= window_b AND n_b <= window_a"
         triangle = F.coalesce(F.abs(F.col("distance_a") - F.col("distance_b")) <= 1 - percent / 100 + 1e-9, F.lit(True))
-        left = x.join(y, "token").where(fits).where(triangle).select(F.col("doc_id_a").alias("a"), "n_a", F.col("doc_id_b").alias("b"), "n_b").distinct()
+        left = x.join(y, "token").where(fits).where(triangle).select(F.col("key_a").alias("a"), "n_a", F.col("key_b").alias("b"), "n_b").distinct()
         links = links.unionAll(join.measured(join.pruned(prefixes, left)).where("linked").select("a", "b"))
-    label = components(links)
-    done = sized.join(label, F.col("doc_id") == F.col("id"), "left")
-    return done.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
+    # a component is called by its smallest document
+    label = stored(first.join(components(links).withColumnRenamed("id", "key"), "key", "left").withColumn("component", F.coalesce("component", "key")), "labels")
+    smallest = label.groupBy("component").agg(F.min("first").alias("component_id"))
+    called = label.join(smallest, "component").select(F.col("key").alias("of"), "component_id")
+    done = sized.join(called, F.col("key") == F.col("of"), "left")
+    return done.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
