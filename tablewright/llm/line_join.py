@@ -8,7 +8,7 @@ out nearly all pairs before any set is looked at, and the rest is verified with
 Equal lines are one class from the start. A frequent token makes no region by itself: linked lines whose first common token
 it is have a second one, so its lines meet under pairs of tokens. In a region each line is compared with the FEW earlier ones that
 its bits say are nearest; only a line that none of them makes late is compared with the others. A region of more than MANY
-classes is joined against its most copied lines before that. Nothing is left out.
+classes is first joined against its most copied lines. Nothing is left out.
 """
 
 from __future__ import annotations
@@ -124,7 +124,7 @@ def _distinct(owner: np.ndarray, words: np.ndarray, level: np.ndarray) -> tuple[
 
 def _prefixes(documents: DataFrame, levels, percent: int, min_words: int) -> DataFrame:
     """token, class, n, place, salt: the first tokens of each line, or pairs of them, that another line may have."""
-    fields = [("doc_id", pa.int64()), ("line", pa.int32()), ("n", pa.int32()), ("place", pa.int32()), ("salt", pa.int32())]
+    fields = [("doc_id", pa.int64()), ("line", pa.int32()), *((k, pa.int32()) for k in ("n", "place", "previous", "salt"))]
     schema = pa.schema([("token", pa.int64()), *_KEY_FIELDS, *fields])
     once, often, always = (rarity.code_of(count) for count in (1, OFTEN, ALWAYS))
 
@@ -146,30 +146,34 @@ def _prefixes(documents: DataFrame, levels, percent: int, min_words: int) -> Dat
                 one = np.repeat(first, behind)
                 two = one + 1 + np.arange(len(one)) - np.repeat(np.cumsum(behind) - behind, behind)
                 token = np.concatenate([words[alone], hashing.mixed(words[one]) + words[two]])
+                # the token before it in the line's order, 0 for none and for pairs of tokens
+                previous = np.zeros(len(token), np.uint64)
+                previous[: len(alone)] = np.where(place[alone] > 0, (words[alone - 1] >> np.uint64(9)) | np.uint64(1), 0)
                 at = np.concatenate([alone, one])
                 salt = np.where(level[at] >= always, 1 + (lines.a[owner[at]] >> np.uint64(58)).astype(np.int32), 0)
                 of = owner[at]
-                columns = [token.view(np.int64), *lines.key(of), lines.doc[of], lines.line[of], size[at].astype(np.int32), place[at].astype(np.int32), salt.astype(np.int32)]
+                columns = [token.view(np.int64), *lines.key(of), lines.doc[of], lines.line[of], *(x.astype(np.int32) for x in (size[at], place[at], previous, salt))]
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], schema=schema)
 
-    return documents.mapInArrow(run, f"token long, {_KEY_KINDS}, doc_id long, line int, n int, place int, salt int")
+    return documents.mapInArrow(run, f"token long, {_KEY_KINDS}, doc_id long, line int, n int, place int, previous int, salt int")
 
 
 def _meet(rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs of classes that pass all filters, the later one first (token null), and rows of regions (a_2 null).
+    """Pairs of classes that pass all filters, the later one first (token null), and rows of too large regions (a_2 null).
 
-    Each line is paired with up to FEW earlier ones of a region, the least different. The rows of a region where a line has
-    more go on too, and so do those of regions too large for pairs; ``more`` tells the lines that still have partners there.
+    ``more`` is false for the FEW least different earlier lines of each line in a region, which are compared first. A pair
+    is left to the region of its earlier common tokens if the tokens before this one are equal in both.
     """
     fields = [("token", pa.int64()), *_KEY_FIELDS, ("n", pa.int32()), ("window", pa.int64()), ("more", pa.bool_())]
     schema = pa.schema([*fields, *((f"{k}_2", kind) for k, kind in _KEY_FIELDS)])
 
     def judged(batch: pa.RecordBatch):
-        tokens, a, m1, m2, doc, line, n, place, salt = (c.to_numpy() for c in batch.columns)
+        columns = [c.to_numpy() for c in batch.columns]
+        tokens, a, m1, m2 = columns[:4]
         # a class that several tasks have seen comes with its earliest place first
         fresh = np.ones(len(tokens), bool)
         fresh[1:] = (tokens[1:] != tokens[:-1]) | (a[1:] != a[:-1]) | (m1[1:] != m1[:-1]) | (m2[1:] != m2[:-1])
-        tokens, a, m1, m2, doc, line, n, place, salt = (x[fresh] for x in (tokens, a, m1, m2, doc, line, n, place, salt))
+        tokens, a, m1, m2, doc, line, n, place, previous, salt = (x[fresh] for x in columns)
         n = n.astype(np.int64)
         window = (100 + percent) * (n - place) // percent - n
         starts = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
@@ -182,7 +186,7 @@ def _meet(rows: DataFrame, percent: int) -> DataFrame:
         gap = 1
         while len(x):
             y = x + gap
-            fit = (n[x] <= window[y]) & (n[y] <= window[x])
+            fit = (n[x] <= window[y]) & (n[y] <= window[x]) & ((previous[x] != previous[y]) | (previous[x] == 0))
             i, j = x[fit], y[fit]
             differ = sum(np.bitwise_count((m[i] ^ m[j]).view(np.uint64)).astype(np.int64) for m in (m1, m2))
             near = differ * (100 + percent) <= (n[i] + n[j]) * (100 - percent)
@@ -194,18 +198,15 @@ def _meet(rows: DataFrame, percent: int) -> DataFrame:
         late, early = np.where(x_late, x, y), np.where(x_late, y, x)
         order = np.lexsort((line[early], doc[early], differ, late))
         late, early = late[order], early[order]
-        nth = np.arange(len(late)) - np.searchsorted(late, late)
-        more = large.copy()
-        more[late[nth >= FEW]] = True
-        region = np.flatnonzero(np.repeat(np.logical_or.reduceat(more, starts), size))
+        more = np.arange(len(late)) - np.searchsorted(late, late) >= FEW
+        region = np.flatnonzero(large)
         if len(region):
-            columns = [pa.array(z[region]) for z in (tokens, a, m1, m2, n.astype(np.int32), window, more)]
+            columns = [pa.array(z[region]) for z in (tokens, a, m1, m2, n.astype(np.int32), window, large)]
             yield pa.RecordBatch.from_arrays([*columns, *(pa.nulls(len(region), pa.int64()) for _ in KEY)], schema=schema)
-        late, early = late[nth < FEW], early[nth < FEW]
         if len(late):
             one, two = ([k[z] for k in (a, m1, m2)] for z in (late, early))
             none = [pa.nulls(len(late), kind) for _, kind in fields]
-            yield pa.RecordBatch.from_arrays([none[0], *map(pa.array, one), *none[4:], *map(pa.array, two)], schema=schema)
+            yield pa.RecordBatch.from_arrays([none[0], *map(pa.array, one), *none[4:6], pa.array(more), *map(pa.array, two)], schema=schema)
 
     def run(batches):
         held = None  # the rows of the last token; a token that is not frequent has few
@@ -215,7 +216,7 @@ def _meet(rows: DataFrame, percent: int) -> DataFrame:
             if not batch.num_rows:
                 continue
             tokens = batch.column(0).to_numpy()
-            last = batch.num_rows if batch.column(8)[batch.num_rows - 1].as_py() else int(np.searchsorted(tokens, tokens[-1]))
+            last = batch.num_rows if batch.column(9)[batch.num_rows - 1].as_py() else int(np.searchsorted(tokens, tokens[-1]))
             held = batch.slice(last)
             if last:
                 yield from judged(batch.slice(0, last))
@@ -286,17 +287,20 @@ def near_repeats(documents: DataFrame, id_column: str = "doc_id", text_column: s
     levels = rarity.cell_levels(scan.where("part IS NOT NULL").select("part", "counts"), logarithmic=True)
     lines = scan.where("part IS NULL").select(*KEY, "doc_id", "line")
     met = stored(_meet(_prefixes(known, levels, percent, min_words), percent), "met")
-    pairs, regions = met.where("token IS NULL"), met.where("token IS NOT NULL").select("token", *KEY, "n", "window", "more")
+    pairs, regions = met.where("token IS NULL"), met.where("token IS NOT NULL").select("token", *KEY, "n", "window")
     hashes = met.select("a").unionAll(pairs.select(F.col("a_2").alias("a"))).distinct()
     classes = stored(_classes(known, hashes, min_words), "classes")
-    late = stored(_late(pairs, classes, percent), "late")
+    # each line's nearest earlier ones first, then for lines that these don't make late all others
+    late = stored(_late(pairs.where("NOT more"), classes, percent), "late")
+    rest = pairs.where("more").join(late, KEY, "left_anti")
+    late = stored(late.unionAll(_late(rest, classes, percent)).distinct(), "late")
 
     regions = stored(regions.join(classes.select(*KEY, "first", F.struct((-F.col("copies")).alias("few"), "first", *KEY).alias("rank")), KEY), "regions")
     used = None
     for step in range(ROUNDS + 1):
         left = regions.join(late.withColumn("late", F.lit(True)), KEY, "left").withColumn("late", F.coalesce("late", F.lit(False)))
-        # a region is done when none of its lines that have more partners is still open
-        unsettled = left.where("more AND NOT late").select("token").distinct()
+        # a region is done when all its lines but one are late
+        unsettled = left.groupBy("token").agg(F.count_if(~F.col("late")).alias("open")).where("open > 1").select("token")
         left = stored(left.join(unsettled, "token", "left_semi"), "left")
         if left.isEmpty():
             break
@@ -309,7 +313,7 @@ def near_repeats(documents: DataFrame, id_column: str = "doc_id", text_column: s
         else:
             other = _named(left.select("token", *KEY, "n", "window", "first"), "_2").withColumnRenamed("token_2", "token")
             asked = F.col("first") > F.col("first_2")
-        more = left.where("more AND NOT late").join(other, "token").where(asked & _near(percent))
+        more = left.where("NOT late").join(other, "token").where(asked & _near(percent))
         late = stored(late.unionAll(_late(more, classes, percent)).distinct(), "late")
 
     place = F.struct("doc_id", "line")
