@@ -41,7 +41,7 @@ from ..functions.predicates import (
     split_at_or,
 )
 from .ranges import SortKey, default_splits, range_bucket, sort_keys, split_points
-from .relational import resolves
+from .relational import inequality_join, resolves
 
 CHUNK_ROWS = 10_000
 _MIRRORED = {"=": "=", ">": "<", ">=": "<=", "<": ">", "<=": ">="}
@@ -118,6 +118,14 @@ def _equalities(tree: Group) -> list[tuple[str, str]] | None:
     return [(t.column, t.value.name) for t in tree.terms]
 
 
+def _only_ranges(tree: Group) -> Term | None:
+    """The first inequality of a plain conjunction that has no equality, else None."""
+    plain = not tree.groups and all(t.relation in _MIRRORED and not t.negated for t in tree.terms)
+    if not plain or any(t.link != AND for t in tree.terms[1:]) or any(t.relation == "=" for t in tree.terms):
+        return None
+    return tree.terms[0]
+
+
 def _parent_columns(tree: Group) -> tuple[list[str], bool]:
     """Parent columns named by the terms, and whether raw text may read others."""
     names, has_raw = [t.value.name for t in tree.terms if t.relation != "raw"], any(t.relation == "raw" for t in tree.terms)
@@ -241,9 +249,14 @@ def nested_list(
         named = child.select("*", *items.columns)
         found = []
         branches = _branches(tree, (child, values))
+        range_term = _only_ranges(tree)
         for i, branch in enumerate(branches):
             earlier = [~F.coalesce(b, F.lit(False)) for b in branches[:i]]
-            joined = values.join(named, all_of([branch, *earlier]), "inner")
+            if range_term is not None:  # no equality to hash on: parents and children meet by ranges of the first term
+                link = (range_term.value.name, range_term.column, _MIRRORED[range_term.relation])
+                joined = inequality_join(values, named, link).where(branch)
+            else:
+                joined = values.join(named, all_of([branch, *earlier]), "inner")
             found.append(joined.select(*keys, *items.names))
         lists = _collected(reduce(lambda a, b: a.union(b), found), keys, items, alias, ranges)
         match = all_of([c.eqNullSafe(F.col(k)) for c, k in zip(columns, keys)])

@@ -14,6 +14,7 @@ from ..functions.predicates import (
     OR,
     OR_NOT,
     COMPARISONS,
+    ColumnRef,
     Group,
     Node,
     Term,
@@ -106,14 +107,16 @@ def join_on(
     """Join two aliased frames on (left column, right column[, relation]) plus further ON terms.
 
     The terms follow the chain rules of predicates, and stay in ON: a left join keeps its unmatched rows. With an Or
-    among them, ``on AND t1 OR t2`` means ``(on AND t1) OR t2``. Broadcast or shuffle is Spark's choice, by size.
+    among them, ``on AND t1 OR t2`` means ``(on AND t1) OR t2``. Broadcast or shuffle is Spark's choice, by size. Where no
+    equality links the tables this is :func:`inequality_join`, whose split points are sampled when the frame is built.
     """
     if how not in JOIN_TYPES:
         raise ValueError(f"unknown join type {how!r}; known are {', '.join(JOIN_TYPES)}")
     parts = [(False, on_columns(*on)), *_extra_conditions((left, right), terms)]
     branches = [all_of(run) for run in split_at_or(parts)]
     if len(branches) == 1:
-        return left.join(right, branches[0], how)
+        equal = len(on) < 3 or on[2] == "=" or any(t.relation == "=" and isinstance(t.value, ColumnRef) and not t.negated for t in terms)
+        return left.join(right, branches[0], how) if equal else inequality_join(left, right, on, *terms, how=how)
     return _either_branch(left, right, branches, how)
 
 

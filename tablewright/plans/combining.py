@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from ..functions import predicates as P
-from ..functions.predicates import and_, or_, where
+from ..functions.predicates import and_, and_not, or_, where
 from ..operators import setops
 from ..operators.paging import deep_page, page, page_with_total, single_row_frame, sort_rows, total_count
 from ..operators.relational import aggregate, expression, inequality_join, join_on, project
@@ -232,6 +232,12 @@ def single_row(t: Data) -> DataFrame:
     return single_row_frame(where(t.customer, P.in_query("c_custkey", newest)))
 
 
+@query("""SELECT s_suppkey, n_nationkey FROM supplier JOIN nation ON s_nationkey < n_nationkey AND n_name <> 'JAPAN'""")
+def join_theta_only(t: Data) -> DataFrame:
+    found = join_on(t.supplier.alias("s"), t.nation.alias("n"), ("s.s_nationkey", "n.n_nationkey", "<"), and_not(P.eq("n.n_name", "JAPAN")))
+    return found.select("s_suppkey", "n_nationkey")
+
+
 # ---------------------------------------------------------------- set operations
 
 _FINISHED = "SELECT o_custkey AS k, o_orderstatus AS s FROM orders WHERE o_orderstatus = 'F'"

@@ -147,7 +147,7 @@ def typed_result(t: Data) -> DataFrame:
     return conform(texts, wanted)
 
 
-@query("""SELECT c_custkey AS "Id", to_json([{Key: c_custkey + 1, Note: NULL, Inner: [{N: c_nationkey, T: upper(c_name)}]}]) AS "Parts"
+@query("""SELECT c_custkey AS "Id", to_json([{Key: c_custkey + 1, Note: NULL, Sub: [{N: c_nationkey, T: upper(c_name)}]}]) AS "Parts"
           FROM customer""")
 def typed_result_nested(t: Data) -> DataFrame:
     """Fields of structs in lists by name: reordered, in other case, some too many, some missing, text to be converted."""
@@ -155,10 +155,10 @@ def typed_result_nested(t: Data) -> DataFrame:
     rows = project(
         t.customer,
         ("c_custkey", "id"),
-        expression(f"array(named_struct('inner', {inner}, 'unused', 2.5D, 'KEY', cast(c_custkey + 1 as string)))", "parts"),
+        expression(f"array(named_struct('sub', {inner}, 'unused', 2.5D, 'KEY', cast(c_custkey + 1 as string)))", "parts"),
     )
     inner_type = T.StructType([T.StructField("N", T.IntegerType()), T.StructField("T", T.StringType())])
-    part = T.StructType([T.StructField("Key", T.LongType()), T.StructField("Note", T.StringType()), T.StructField("Inner", T.ArrayType(inner_type))])
+    part = T.StructType([T.StructField("Key", T.LongType()), T.StructField("Note", T.StringType()), T.StructField("Sub", T.ArrayType(inner_type))])
     wanted = T.StructType([T.StructField("Id", T.LongType()), T.StructField("Parts", T.ArrayType(part))])
     made = conform(rows, wanted)
     return made.select("Id", to_json_list("Parts").alias("Parts"))

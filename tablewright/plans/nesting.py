@@ -142,6 +142,17 @@ def nested_list_range(t: Data) -> DataFrame:
     return _as_json(lists, "orders")
 
 
+@query("""SELECT s.s_suppkey, coalesce(to_json(k.l), '[]')::VARCHAR AS parts FROM supplier s LEFT JOIN
+            (SELECT s_acctbal, list({'key': p_partkey} ORDER BY p_partkey) AS l FROM (SELECT DISTINCT s_acctbal FROM supplier) x
+               JOIN part ON p_retailprice >= s_acctbal AND p_retailprice <= s_acctbal + 50 GROUP BY s_acctbal) k
+            ON k.s_acctbal = s.s_acctbal""")
+def nested_list_range_only(t: Data) -> DataFrame:
+    within = [P.ge("p.p_retailprice", other("s.s_acctbal")), and_(P.le("p.p_retailprice", other("s.top")))]
+    parents = t.supplier.selectExpr("s_suppkey", "s_acctbal", "s_acctbal + 50 AS top").alias("s")
+    lists = nested.nested_list(parents, t.part.alias("p"), within, [("p.p_partkey", "key")], "parts", ["p.p_partkey"])
+    return _as_json(lists, "parts").select("s_suppkey", "parts")
+
+
 @query(f"""SELECT c.c_custkey, c.c_name, coalesce(to_json(k.l), '[]')::VARCHAR AS orders FROM customer c LEFT JOIN
             (SELECT o_custkey, list({{'key': o_orderkey, 'status': o_orderstatus, 'lines': coalesce(i.l, [])}}
                                     ORDER BY o_orderkey) AS l
