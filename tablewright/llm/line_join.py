@@ -2,7 +2,7 @@
 
 A line's tokens are its distinct words. They are ordered with the rare ones first (counted over the whole corpus in cells, see
 ``rarity``); two lines with Jaccard >= percent / 100 share a token among their first n - ceil(percent * n / 100) + 1. Rows of
-these tokens meet; the length filter, the positional filter and a bound from 128 bits that stand for a line's tokens rule
+these tokens meet; the length filter, the positional filter and a bound from 64 bits that stand for a line's tokens rule
 out nearly all pairs before any set is looked at, and the rest is verified with whole sets.
 
 Equal lines are one class from the start. A frequent token makes no region by itself: linked lines whose first common token
@@ -30,9 +30,9 @@ OFTEN, ALWAYS = 1024, 65536
 FEW = 2
 #: Rounds against a region's most copied lines.
 ROUNDS = 2
-#: A class of equal lines: a hash of its words in order, and the bits of its tokens.
-KEY = ["a", "m1", "m2"]
-_KEY_KINDS = "a long, m1 long, m2 long"
+#: A class of equal lines: a hash of its words in order, and the parity of its tokens in 64 bins.
+KEY = ["a", "m"]
+_KEY_KINDS = "a long, m long"
 _KEY_FIELDS = [(k, pa.int64()) for k in KEY]
 
 
@@ -47,32 +47,20 @@ class _Lines:
         self.kept = np.flatnonzero(np.diff(at) >= max(1, min_words))
         self.doc = np.repeat(ids, size)[self.kept]
         self.line = (np.arange(len(bounds) - 1) - np.repeat(first[:-1], size))[self.kept].astype(np.int32)
-        a, _ = hashing.sequences(words, at)
-        self.a = a[self.kept]
+        a, b = hashing.sequences(words, at)
+        self.a, self.b = a[self.kept], b[self.kept]
         count = np.diff(at)
         self.starts, self.count = at[:-1][self.kept], count[self.kept]
         # words of the lines kept, with the number of their line
-        which = np.repeat(np.arange(len(self.kept)), self.count)
-        inside = np.arange(len(which)) - np.repeat(np.cumsum(self.count) - self.count, self.count)
-        self.words, self.owner = words[self.starts[which] + inside], which
-        bit = self.words & np.uint64(127)
-        one = np.uint64(1) << (bit & np.uint64(63))
-        zero = np.uint64(0)
-        edges = np.cumsum(self.count) - self.count
-        if len(edges):
-            self.m1 = np.bitwise_or.reduceat(np.where(bit < 64, one, zero), edges)
-            self.m2 = np.bitwise_or.reduceat(np.where(bit >= 64, one, zero), edges)
-        else:
-            self.m1 = self.m2 = np.zeros(0, np.uint64)
+        self.owner = np.repeat(np.arange(len(self.kept)), self.count)
+        inside = np.arange(len(self.owner)) - np.repeat(np.cumsum(self.count) - self.count, self.count)
+        self.words = words[self.starts[self.owner] + inside]
 
     def only(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(words, owner) of some lines, by a mask."""
         keep = chosen[self.owner]
         return self.words[keep], self.owner[keep]
 
-    def key(self, chosen) -> list[np.ndarray]:
-        return [x[chosen].view(np.int64) for x in (self.a, self.m1, self.m2)]
-
 
 def _steps(batch: pa.RecordBatch, min_words: int):
     raw, offsets = hashing.buffers(batch.column(1))
@@ -84,12 +72,12 @@ def _steps(batch: pa.RecordBatch, min_words: int):
 
 
 def _new(lines: _Lines, recent: rarity.Recent) -> np.ndarray:
-    return np.array([not recent.again(k) for k in zip(lines.a.tolist(), lines.m1.tolist())], bool)
+    return np.array([not recent.again(k) for k in zip(lines.a.tolist(), lines.b.tolist())], bool)
 
 
 def _scan(documents: DataFrame, min_words: int) -> DataFrame:
     """A row for each line, and rows of cell counts of their words for each task."""
-    fields = [*_KEY_FIELDS, ("doc_id", pa.int64()), ("line", pa.int32())]
+    fields = [("a", pa.int64()), ("b", pa.int64()), ("doc_id", pa.int64()), ("line", pa.int32())]
     schema = pa.schema([*fields, *rarity.COUNTS_FIELDS])
 
     def run(batches):
@@ -98,12 +86,12 @@ def _scan(documents: DataFrame, min_words: int) -> DataFrame:
             for lines in _steps(batch, min_words):
                 counts.add(lines.only(_new(lines, recent))[0])
                 size = len(lines.kept)
-                columns = [*lines.key(slice(None)), lines.doc, lines.line]
+                columns = [lines.a.view(np.int64), lines.b.view(np.int64), lines.doc, lines.line]
                 yield pa.RecordBatch.from_arrays([*(pa.array(x) for x in columns), pa.nulls(size, pa.int32()), pa.nulls(size, pa.binary())], schema=schema)
         for part, blob in counts.rows():
             yield pa.RecordBatch.from_pylist([dict(part=part, counts=blob)], schema=schema)
 
-    return documents.mapInArrow(run, f"{_KEY_KINDS}, doc_id long, line int, {rarity.COUNTS}")
+    return documents.mapInArrow(run, f"a long, b long, doc_id long, line int, {rarity.COUNTS}")
 
 
 def _distinct(owner: np.ndarray, words: np.ndarray, level: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -122,6 +110,16 @@ def _distinct(owner: np.ndarray, words: np.ndarray, level: np.ndarray) -> tuple[
     return (key >> np.uint64(48)).astype(np.int64), key & np.uint64((1 << 40) - 1), (key >> np.uint64(40)).astype(np.uint8)
 
 
+def _parity(owner: np.ndarray, tokens: np.ndarray, lines: int) -> np.ndarray:
+    """For each line 64 bits, each whether an odd number of its tokens fall in that bin; two lines' bits differ in no more
+    places than their sets in tokens."""
+    found = np.zeros(lines, np.uint64)
+    starts = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]])) if len(owner) else np.zeros(0, int)
+    if len(starts):
+        found[owner[starts]] = np.bitwise_xor.reduceat(np.uint64(1) << (tokens & np.uint64(63)), starts)
+    return found
+
+
 def _prefixes(documents: DataFrame, levels, percent: int, min_words: int) -> DataFrame:
     """token, class, n, place, salt: the first tokens of each line, or pairs of them, that another line may have."""
     fields = [("doc_id", pa.int64()), ("line", pa.int32()), *((k, pa.int32()) for k in ("n", "place", "previous", "salt"))]
@@ -135,6 +133,7 @@ def _prefixes(documents: DataFrame, levels, percent: int, min_words: int) -> Dat
                 words, owner = lines.only(_new(lines, recent))
                 owner, words, level = _distinct(owner, words, rarity.level_of(table, words))
                 n = np.bincount(owner, minlength=len(lines.kept))
+                parity = _parity(owner, words, len(n))
                 place = np.arange(len(owner)) - (np.cumsum(n) - n)[owner]
                 size = n[owner]
                 prefix = size - -(-percent * size // 100) + 1
@@ -152,7 +151,7 @@ def _prefixes(documents: DataFrame, levels, percent: int, min_words: int) -> Dat
                 at = np.concatenate([alone, one])
                 salt = np.where(level[at] >= always, 1 + (lines.a[owner[at]] >> np.uint64(58)).astype(np.int32), 0)
                 of = owner[at]
-                columns = [token.view(np.int64), *lines.key(of), lines.doc[of], lines.line[of], *(x.astype(np.int32) for x in (size[at], place[at], previous, salt))]
+                columns = [token.view(np.int64), lines.a[of].view(np.int64), parity[of].view(np.int64), lines.doc[of], lines.line[of], *(x.astype(np.int32) for x in (size[at], place[at], previous, salt))]
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], schema=schema)
 
     return documents.mapInArrow(run, f"token long, {_KEY_KINDS}, doc_id long, line int, n int, place int, previous int, salt int")
@@ -169,11 +168,11 @@ def _meet(rows: DataFrame, percent: int) -> DataFrame:
 
     def judged(batch: pa.RecordBatch):
         columns = [c.to_numpy() for c in batch.columns]
-        tokens, a, m1, m2 = columns[:4]
+        tokens, a, m = columns[:3]
         # a class that several tasks have seen comes with its earliest place first
         fresh = np.ones(len(tokens), bool)
-        fresh[1:] = (tokens[1:] != tokens[:-1]) | (a[1:] != a[:-1]) | (m1[1:] != m1[:-1]) | (m2[1:] != m2[:-1])
-        tokens, a, m1, m2, doc, line, n, place, previous, salt = (x[fresh] for x in columns)
+        fresh[1:] = (tokens[1:] != tokens[:-1]) | (a[1:] != a[:-1]) | (m[1:] != m[:-1])
+        tokens, a, m, doc, line, n, place, previous, salt = (x[fresh] for x in columns)
         n = n.astype(np.int64)
         window = (100 + percent) * (n - place) // percent - n
         starts = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
@@ -188,7 +187,7 @@ def _meet(rows: DataFrame, percent: int) -> DataFrame:
             y = x + gap
             fit = (n[x] <= window[y]) & (n[y] <= window[x]) & ((previous[x] != previous[y]) | (previous[x] == 0))
             i, j = x[fit], y[fit]
-            differ = sum(np.bitwise_count((m[i] ^ m[j]).view(np.uint64)).astype(np.int64) for m in (m1, m2))
+            differ = np.bitwise_count((m[i] ^ m[j]).view(np.uint64)).astype(np.int64)
             near = differ * (100 + percent) <= (n[i] + n[j]) * (100 - percent)
             found.append((i[near], j[near], differ[near]))
             gap += 1
@@ -201,12 +200,12 @@ def _meet(rows: DataFrame, percent: int) -> DataFrame:
         more = np.arange(len(late)) - np.searchsorted(late, late) >= FEW
         region = np.flatnonzero(large)
         if len(region):
-            columns = [pa.array(z[region]) for z in (tokens, a, m1, m2, n.astype(np.int32), window, large)]
+            columns = [pa.array(z[region]) for z in (tokens, a, m, n.astype(np.int32), window, large)]
             yield pa.RecordBatch.from_arrays([*columns, *(pa.nulls(len(region), pa.int64()) for _ in KEY)], schema=schema)
         if len(late):
-            one, two = ([k[z] for k in (a, m1, m2)] for z in (late, early))
+            one, two = ([k[z] for k in (a, m)] for z in (late, early))
             none = [pa.nulls(len(late), kind) for _, kind in fields]
-            yield pa.RecordBatch.from_arrays([none[0], *map(pa.array, one), *none[4:6], pa.array(more), *map(pa.array, two)], schema=schema)
+            yield pa.RecordBatch.from_arrays([none[0], *map(pa.array, one), *none[3:5], pa.array(more), *map(pa.array, two)], schema=schema)
 
     def run(batches):
         held = None  # the rows of the last token; a token that is not frequent has few
@@ -216,7 +215,7 @@ def _meet(rows: DataFrame, percent: int) -> DataFrame:
             if not batch.num_rows:
                 continue
             tokens = batch.column(0).to_numpy()
-            last = batch.num_rows if batch.column(9)[batch.num_rows - 1].as_py() else int(np.searchsorted(tokens, tokens[-1]))
+            last = batch.num_rows if batch.column(8)[batch.num_rows - 1].as_py() else int(np.searchsorted(tokens, tokens[-1]))
             held = batch.slice(last)
             if last:
                 yield from judged(batch.slice(0, last))
@@ -224,7 +223,7 @@ def _meet(rows: DataFrame, percent: int) -> DataFrame:
             yield from judged(held)
 
     dealt = rows.repartition("token", "salt").sortWithinPartitions("token", *KEY, "doc_id", "line")
-    return dealt.mapInArrow(run, f"token long, {_KEY_KINDS}, n int, window long, more boolean, a_2 long, m1_2 long, m2_2 long")
+    return dealt.mapInArrow(run, f"token long, {_KEY_KINDS}, n int, window long, more boolean, a_2 long, m_2 long")
 
 
 def _classes(documents: DataFrame, hashes: DataFrame, min_words: int) -> DataFrame:
@@ -242,7 +241,8 @@ def _classes(documents: DataFrame, hashes: DataFrame, min_words: int) -> DataFra
                 owner, words, _ = _distinct(owner, words, np.zeros(len(words), np.uint8))
                 edges = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(lines.kept))[asked])])
                 tokens = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(words.view(np.int64)))
-                columns = [*lines.key(asked), lines.doc[asked], lines.line[asked]]
+                parity = _parity(owner, words, len(lines.kept))[asked]
+                columns = [lines.a[asked].view(np.int64), parity.view(np.int64), lines.doc[asked], lines.line[asked]]
                 yield pa.RecordBatch.from_arrays([*(pa.array(x) for x in columns), tokens], schema=schema)
 
     found = documents.mapInArrow(run, f"{_KEY_KINDS}, doc_id long, line int, tokens array<long>")
@@ -269,9 +269,9 @@ def _late(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 
 def _near(percent: int) -> Column:
     """The length, positional and bit filters for a row and one with names ending in _2."""
-    xor = lambda m: F.bit_count(F.col(m).bitwiseXOR(F.col(m + "_2")))
+    differ = F.bit_count(F.col("m").bitwiseXOR(F.col("m_2")))
     fits = (F.col("n") <= F.col("window_2")) & (F.col("n_2") <= F.col("window"))
-    return fits & ((xor("m1") + xor("m2")) * (100 + percent) <= (F.col("n") + F.col("n_2")) * (100 - percent))
+    return fits & (differ * (100 + percent) <= (F.col("n") + F.col("n_2")) * (100 - percent))
 
 
 def near_repeats(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", percent: int = 80, min_words: int = 5) -> DataFrame:
@@ -285,7 +285,7 @@ def near_repeats(documents: DataFrame, id_column: str = "doc_id", text_column: s
     known = documents.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text")).where("doc_id IS NOT NULL AND text IS NOT NULL")
     scan = stored(_scan(known, min_words), "lines")
     levels = rarity.cell_levels(scan.where("part IS NOT NULL").select("part", "counts"), logarithmic=True)
-    lines = scan.where("part IS NULL").select(*KEY, "doc_id", "line")
+    lines = scan.where("part IS NULL").select("a", "b", "doc_id", "line")
     met = stored(_meet(_prefixes(known, levels, percent, min_words), percent), "met")
     pairs, regions = met.where("token IS NULL"), met.where("token IS NOT NULL").select("token", *KEY, "n", "window")
     hashes = met.select("a").unionAll(pairs.select(F.col("a_2").alias("a"))).distinct()
@@ -317,8 +317,8 @@ def near_repeats(documents: DataFrame, id_column: str = "doc_id", text_column: s
         late = stored(late.unionAll(_late(more, classes, percent)).distinct(), "late")
 
     place = F.struct("doc_id", "line")
-    first = lines.groupBy(*KEY).agg(F.min(place).alias("first"), F.max(place).alias("last"))
-    again = lines.join(first.where("first < last"), KEY).where(place > F.col("first")).select("doc_id", "line")
+    first = lines.groupBy("a", "b").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+    again = lines.join(first.where("first < last"), ["a", "b"]).where(place > F.col("first")).select("doc_id", "line")
     near = classes.join(late, KEY, "left_semi").select("first.doc_id", "first.line")
     return again.unionAll(near).groupBy("doc_id").agg(F.array_sort(F.collect_set("line")).alias("removed"))
 
