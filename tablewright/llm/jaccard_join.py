@@ -26,6 +26,10 @@ from .marks import mark, mark_table, marked
 from .shared import shared_folder, stored
 
 
+#: There are more distinct shingles than words, so a larger table of counts pays.
+_CELL_BITS = 23
+
+
 def _key(tokens: np.ndarray) -> int:
     """64 bits that stand for a set."""
     return int.from_bytes(hashlib.blake2b(tokens.tobytes(), digest_size=8).digest(), "little", signed=True)
@@ -36,7 +40,7 @@ def _scan(documents: DataFrame, shingle: int) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("key", pa.int64()), *rarity.COUNTS_FIELDS])
 
     def run(batches):
-        counts, recent = rarity.CellCounts(), rarity.Recent()
+        counts, recent = rarity.CellCounts(_CELL_BITS), rarity.Recent()
         for batch in batches:
             sizes, keys = [], []
             for tokens in hashing.shingle_sets(batch.column(1), shingle):
@@ -179,11 +183,12 @@ class _Join:
 
         # few pairs need all tokens: those outside the quarter can at most all be common to the smaller rest
         quarter = joined(pairs, "low").select("a", "b", "n_a", "n_b", F.size(F.array_intersect("x", "y")).alias("common"), F.least(F.col("n_a") - F.size("x"), F.col("n_b") - F.size("y")).alias("rest"))
-        able = stored(quarter.where(F.col("common") + F.col("rest") >= self.least_overlap("n_a", "n_b")).select("a", "b", "common"), "able")
+        able = stored(quarter.where(F.col("common") + F.col("rest") >= self.least_overlap("n_a", "n_b")).select("a", "b", "common").dropDuplicates(["a", "b"]), "able")
         whole = joined(able, "high").select("a", "b", (F.col("common") + F.size(F.array_intersect("x", "y"))).alias("common"), (F.col("n_a") + F.col("n_b")).alias("sum"))
         united = F.col("sum") - F.col("common")
         found = whole.select("a", "b", (1 - F.col("common") / united).alias("distance"), (100 * F.col("common") >= self.percent * united).alias("linked"))
-        return stored(found, "distances")
+        # a set that is read from several copies gives its pairs as often
+        return stored(found.dropDuplicates(["a", "b"]), "distances")
 
 
 def jaccard_components(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
@@ -199,7 +204,7 @@ def jaccard_components(documents: DataFrame, id_column: str = "doc_id", text_col
     shared_folder(documents.sparkSession)
     documents = documents.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
     scan = stored(_scan(documents, shingle), "scan")
-    levels = rarity.cell_levels(scan.where("part IS NOT NULL").select("part", "counts"))
+    levels = rarity.cell_levels(scan.where("part IS NOT NULL").select("part", "counts"), bits=_CELL_BITS)
     sized = scan.where("part IS NULL").select("doc_id", "n", "key")
     # copies are one set from here on; an id that comes with several sets links them
     named = sized.where("key IS NOT NULL AND doc_id IS NOT NULL")

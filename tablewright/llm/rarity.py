@@ -24,11 +24,11 @@ COUNTS_FIELDS = [("part", pa.int32()), ("counts", pa.binary())]
 class CellCounts:
     """A task's own counts, given away as one row for each part."""
 
-    def __init__(self) -> None:
-        self.cells = np.zeros(1 << CELL_BITS, np.uint16)
+    def __init__(self, bits: int = CELL_BITS) -> None:
+        self.bits, self.cells = bits, np.zeros(1 << bits, np.uint16)
 
     def add(self, hashes: np.ndarray) -> None:
-        where = (hashes >> np.uint64(64 - CELL_BITS)).astype(np.int64)
+        where = (hashes >> np.uint64(64 - self.bits)).astype(np.int64)
         before = self.cells[where]
         np.add.at(self.cells, where[before < 60000], np.uint16(1))
 
@@ -56,14 +56,14 @@ def _deviation_levels(cells: np.ndarray, mean: float) -> np.ndarray:
     return np.where(cells > end, np.minimum(coarse, 255), fine).astype(np.uint8)
 
 
-def cell_levels(counts: DataFrame, logarithmic: bool = False) -> Broadcast:
+def cell_levels(counts: DataFrame, logarithmic: bool = False, bits: int = CELL_BITS) -> Broadcast:
     """A byte for each cell, higher for fuller ones, shared with all tasks.
 
     By default a level tells by how much a cell is fuller than chance makes it, so frequent hashes stand out whatever the
     number of hashes; from FREQUENT on it is no chance. ``logarithmic`` gives ``code_of`` a cell's count: exact counts for a
     vocabulary that is not much larger than the table.
 
-    Counts are added up part by part in tasks. What comes to the driver has a fixed size, 2^CELL_BITS counts.
+    Counts are added up part by part in tasks. What comes to the driver has a fixed size, 2^bits counts.
     """
     kinds = pa.schema([("part", pa.int32()), ("total", pa.int64()), ("cells", pa.binary())])
 
@@ -78,10 +78,10 @@ def cell_levels(counts: DataFrame, logarithmic: bool = False) -> Broadcast:
             yield pa.RecordBatch.from_pylist([dict(part=part, total=int(cells.sum()), cells=blob)], schema=kinds)
 
     found = counts.repartition("part").mapInArrow(add, "part int, total long, cells binary").collect()
-    mean = sum(row.total for row in found) / (1 << CELL_BITS)
+    mean = sum(row.total for row in found) / (1 << bits)
     empty = np.zeros(1, np.int64)
     level = (lambda x: np.round(8 * np.log2(x + 1)).astype(np.uint8)) if logarithmic else (lambda x: _deviation_levels(x, mean))
-    levels = np.full(1 << CELL_BITS, level(empty)[0], np.uint8)
+    levels = np.full(1 << bits, level(empty)[0], np.uint8)
     for row in found:
         start = row.part << PART_BITS
         levels[start : start + (1 << PART_BITS)] = level(np.frombuffer(zlib.decompress(row.cells), np.uint32).astype(np.int64))
@@ -89,7 +89,7 @@ def cell_levels(counts: DataFrame, logarithmic: bool = False) -> Broadcast:
 
 
 def level_of(levels: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    return levels[(hashes >> np.uint64(64 - CELL_BITS)).astype(np.int64)]
+    return levels[(hashes >> np.uint64(65 - len(levels).bit_length())).astype(np.int64)]
 
 
 class Recent:
