@@ -25,7 +25,7 @@ from .unit_dedup import PUNCTUATION, rebuilt
 #: Regions of more classes than this are joined in rounds.
 MANY = 1024
 #: Counts of a word from which it makes regions only with a second one, and from which these are dealt out by class.
-OFTEN, ALWAYS = 1024, 65536
+OFTEN, ALWAYS = 1024, 1 << 24
 #: Earlier lines that a line is compared with before any others.
 FEW = 2
 #: Rounds against a region's most copied lines.
