@@ -145,9 +145,10 @@ def _prefixes(documents: DataFrame, levels, percent: int, min_words: int) -> Dat
                 one = np.repeat(first, behind)
                 two = one + 1 + np.arange(len(one)) - np.repeat(np.cumsum(behind) - behind, behind)
                 token = np.concatenate([words[alone], hashing.mixed(words[one]) + words[two]])
-                # the token before it in the line's order, 0 for none and for pairs of tokens
-                previous = np.zeros(len(token), np.uint64)
-                previous[: len(alone)] = np.where(place[alone] > 0, (words[alone - 1] >> np.uint64(9)) | np.uint64(1), 0)
+                # the token before it in the line's order: for pairs before the second, or if that is the first, before this
+                before = np.concatenate([alone, np.where(apart := two - 1 > one, two, one)]) - 1
+                none = np.concatenate([place[alone] == 0, ~apart & (place[one] == 0)])
+                previous = np.where(none, np.uint64(0), (words[before] >> np.uint64(9)) | np.uint64(1))
                 at = np.concatenate([alone, one])
                 salt = np.where(level[at] >= always, 1 + (lines.a[owner[at]] >> np.uint64(58)).astype(np.int32), 0)
                 of = owner[at]
@@ -161,7 +162,7 @@ def _meet(rows: DataFrame, percent: int) -> DataFrame:
     """Pairs of classes that pass all filters, the later one first (token null), and rows of too large regions (a_2 null).
 
     ``more`` is false for the FEW least different earlier lines of each line in a region, which are compared first. A pair
-    is left to the region of its earlier common tokens if the tokens before this one are equal in both.
+    is left to the region of its earlier common tokens if the tokens before this one are equal in both, which makes them common.
     """
     fields = [("token", pa.int64()), *_KEY_FIELDS, ("n", pa.int32()), ("window", pa.int64()), ("more", pa.bool_())]
     schema = pa.schema([*fields, *((f"{k}_2", kind) for k, kind in _KEY_FIELDS)])
