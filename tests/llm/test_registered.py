@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import duckdb
 import pytest
 from check_oracle import duck, rows_by_name
@@ -27,6 +29,16 @@ def test_agrees_with_sql(spark, connection, name):
     assert rows_by_name(ours.columns, ours.collect()) == rows_by_name(names, answer.fetchall())
 
 
+def test_line_join_rewrites_texts(spark):
+    """What op2 returns is of the new texts: the spans kept of each document, one after the other, have the digest given."""
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text").collect()}
+    found = queries.op2_line_join(spark, FOLDER).collect()
+    assert {r.doc_id for r in found} == set(texts) and sum(r.n_removed for r in found) > 0
+    for r in found:
+        spans = [tuple(map(int, x.split("-"))) for x in r.kept.split(",") if x]
+        assert hashlib.sha256("".join(texts[r.doc_id][a:b] for a, b in spans).encode()).hexdigest() == r.text_sha256
+
+
 @pytest.mark.parametrize("name", [n for n in queries.QUERIES if n not in queries.SQL])
 def test_covers_the_table(spark, name):
     assert queries.QUERIES[name](spark, FOLDER).select("doc_id").distinct().count() == spark.read.parquet(f"{FOLDER}/documents.parquet").count()
