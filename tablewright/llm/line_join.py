@@ -300,8 +300,9 @@ def near_repeats(documents: DataFrame, id_column: str = "doc_id", text_column: s
     used = None
     for step in range(ROUNDS + 1):
         left = regions.join(late.withColumn("late", F.lit(True)), KEY, "left").withColumn("late", F.coalesce("late", F.lit(False)))
-        # a region is done when all its lines but one are late
-        unsettled = left.groupBy("token").agg(F.count_if(~F.col("late")).alias("open")).where("open > 1").select("token")
+        # a region is done when none of its open lines has an earlier one in it, be that late or not
+        ends = left.groupBy("token").agg(F.min("first").alias("earliest"), F.max(F.when(~F.col("late"), F.col("first"))).alias("open"))
+        unsettled = ends.where("earliest < open").select("token")
         left = stored(left.join(unsettled, "token", "left_semi"), "left")
         if left.isEmpty():
             break

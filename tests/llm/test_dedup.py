@@ -92,6 +92,20 @@ def test_near_repeats(spark, monkeypatch, seed, small):
     assert found == plain_removed(rows, jaccard_late)
 
 
+def test_open_line_after_late_ones(spark, monkeypatch):
+    """A large region whose lines are all late by lines outside it, but for one that only its earliest line is similar to."""
+    monkeypatch.setattr(line_join, "MANY", 3)
+    some = lambda name: " ".join(f"{name}{i}" for i in range(8))
+    rows = [(1, f"outside {some('c')}"), (2, f"outside region {some('c')}")]
+    rows += [(3 + i, f"twin{i} {some('d')}") for i in range(5)] + [(10 + i, f"twin{i} region {some('d')}") for i in range(5)]
+    rows += [(20 + i, f"twin{i} region {some('d')}") for i in range(5)] + [(50, f"open region {some('c')}")]
+    # the words of some() are frequent, so they come last
+    rows += [(100 + 20 * j + i, f"{name}x{i} {name}y{i} {name}z{i} {some(name)}") for j, name in enumerate("cd") for i in range(20)]
+    expected = plain_removed(rows, jaccard_late)
+    assert expected[2] == expected[50] == [0]
+    assert {r.doc_id: r.removed for r in line_join.near_repeats(docs(spark, rows)).collect()} == expected
+
+
 def test_equal_lines(spark):
     rows = some_documents(3)
     found = {r.doc_id: r.removed for r in unit_dedup.repeated_units(docs(spark, rows).repartition(5)).collect()}
