@@ -75,6 +75,11 @@ def _new(lines: _Lines, recent: rarity.Recent) -> np.ndarray:
     return np.array([not recent.again(k) for k in zip(lines.a.tolist(), lines.b.tolist())], bool)
 
 
+def _earlier(lines: _Lines, earliest: rarity.Earliest) -> np.ndarray:
+    places = zip(lines.a.tolist(), lines.b.tolist(), lines.doc.tolist(), lines.line.tolist())
+    return np.array([earliest.lowers((a, b), (doc << 32) + line) for a, b, doc, line in places], bool)
+
+
 def _scan(documents: DataFrame, min_words: int) -> DataFrame:
     """A row for each line, and rows of cell counts of their words for each task."""
     fields = [("a", pa.int64()), ("b", pa.int64()), ("doc_id", pa.int64()), ("line", pa.int32())]
@@ -121,16 +126,22 @@ def _parity(owner: np.ndarray, tokens: np.ndarray, lines: int) -> np.ndarray:
 
 
 def _prefixes(documents: DataFrame, levels, percent: int, min_words: int) -> DataFrame:
-    """token, class, n, place, salt: the first tokens of each line, or pairs of them, that another line may have."""
+    """token, class, n, place, salt: the first tokens of each line, or pairs of them, that another line may have.
+
+    A task gives a class again where it meets it at a smaller place, so the least place among a class's rows is its first.
+    """
     fields = [("doc_id", pa.int64()), ("line", pa.int32()), *((k, pa.int32()) for k in ("n", "place", "previous", "salt"))]
     schema = pa.schema([("token", pa.int64()), *_KEY_FIELDS, *fields])
     once, often, always = (rarity.code_of(count) for count in (1, OFTEN, ALWAYS))
 
     def run(batches):
-        recent, table = rarity.Recent(), levels.value
+        earliest, table = rarity.Earliest(), levels.value
         for batch in batches:
+            ids = batch.column(0).to_numpy()
+            if (ids[1:] < ids[:-1]).any():
+                batch = batch.take(pa.array(np.argsort(ids, kind="stable")))
             for lines in _steps(batch, min_words):
-                words, owner = lines.only(_new(lines, recent))
+                words, owner = lines.only(_earlier(lines, earliest))
                 owner, words, level = _distinct(owner, words, rarity.level_of(table, words))
                 n = np.bincount(owner, minlength=len(lines.kept))
                 parity = _parity(owner, words, len(n))

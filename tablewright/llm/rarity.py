@@ -105,3 +105,23 @@ class Recent:
             self.new, self.old = set(), self.new
         self.new.add(key)
         return key in self.old
+
+
+class Earliest:
+    """The smallest place met lately with each key in a task. Bounded as ``Recent`` is."""
+
+    def __init__(self, size: int = 50_000) -> None:
+        self.size, self.new, self.old = size, {}, {}
+
+    def lowers(self, key, place: int) -> bool:
+        """Whether the key is met for the first time, or at a smaller place than before."""
+        before = self.new.get(key)
+        if before is None:
+            if len(self.new) >= self.size:
+                self.new, self.old = {}, self.new
+            before = self.old.get(key)
+        if before is not None and before <= place:
+            self.new[key] = before
+            return False
+        self.new[key] = place
+        return True

@@ -106,6 +106,26 @@ def test_open_line_after_late_ones(spark, monkeypatch):
     assert {r.doc_id: r.removed for r in line_join.near_repeats(docs(spark, rows)).collect()} == expected
 
 
+def test_places_of_unordered_documents(spark, monkeypatch):
+    """A line met late in a task stands early in the corpus; a nearer line makes it late, and it makes another one late."""
+    monkeypatch.setattr(line_join, "FEW", 1)
+    common = " ".join(f"c{i}" for i in range(9))
+    rows = [(500, f"{common} last"), (100, f"{common} other"), (10, f"{common} last"), (5, f"{common} last more")]
+    rows += [(600 + i, f"last x{i} y{i} z{i} v{i}") for i in range(6)]  # which comes last in the order of tokens
+    expected = {10: [0], 100: [0], 500: [0]}
+    assert plain_removed(rows, jaccard_late) == expected
+    assert {r.doc_id: r.removed for r in line_join.near_repeats(docs(spark, rows).coalesce(1)).collect()} == expected
+
+
+@pytest.mark.parametrize("size", [10, 1])
+def test_earliest_places(spark, monkeypatch, size):
+    monkeypatch.setattr(line_join, "FEW", 1)
+    rows = sorted(some_documents(5), key=lambda r: -(r[0] or 0))
+    monkeypatch.setattr(line_join.rarity.Earliest.__init__, "__defaults__", (size,))
+    found = {r.doc_id: r.removed for r in line_join.near_repeats(docs(spark, rows).coalesce(2)).collect()}
+    assert found == plain_removed(rows, jaccard_late)
+
+
 def test_equal_lines(spark):
     rows = some_documents(3)
     found = {r.doc_id: r.removed for r in unit_dedup.repeated_units(docs(spark, rows).repartition(5)).collect()}
