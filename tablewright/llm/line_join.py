@@ -6,9 +6,10 @@ these tokens meet; the length filter, the positional filter and a bound from 64
 out nearly all pairs before any set is looked at, and the rest is verified with whole sets.
 
 Equal lines are one class from the start. A frequent token makes no region by itself: linked lines whose first common token
-it is have a second one, so its lines meet under pairs of tokens. In a region each line is compared with the FEW earlier ones that
-its bits say are nearest; only a line that none of them makes late is compared with the others. A region of more than MANY
-classes is first joined against its most copied lines. Nothing is left out.
+it is have a second one, so its lines meet under pairs of tokens. Only lines of so few tokens that a single common one can
+link them (at 80 percent: of one distinct word) meet under it alone. In a region each line is compared with the FEW earlier
+ones that its bits say are nearest; only a line that none of them makes late is compared with the others. A region of more
+than MANY classes is first joined against its most copied lines. Nothing is left out.
 """
 
 from __future__ import annotations
@@ -148,8 +149,8 @@ def _prefixes(documents: DataFrame, levels, percent: int, min_words: int) -> Dat
                 place = np.arange(len(owner)) - (np.cumsum(n) - n)[owner]
                 size = n[owner]
                 prefix = size - -(-percent * size // 100) + 1
-                # a word counted once in the corpus is no one else's
-                alone = np.flatnonzero((place < prefix) & (level > once) & (level < often))
+                # a word counted once in the corpus is no one else's; one common word can be enough for small sets
+                alone = np.flatnonzero((place < prefix) & (level > once) & ((level < often) | (percent * size <= 100)))
                 # a second common word can lie one place behind the prefix
                 first = np.flatnonzero((place < prefix) & (level >= often))
                 behind = np.minimum(prefix, size - 1)[first] - place[first]

@@ -126,6 +126,15 @@ def test_earliest_places(spark, monkeypatch, size):
     assert found == plain_removed(rows, jaccard_late)
 
 
+def test_lines_of_one_frequent_word(spark, monkeypatch):
+    monkeypatch.setattr(line_join, "OFTEN", 6)
+    rows = [(i, " ".join(["na"] * (5 + i))) for i in range(4)] + [(4, "na na na na ba"), (5, "na ba na ba ba na")]
+    expected = plain_removed(rows, jaccard_late)
+    assert expected == {1: [0], 2: [0], 3: [0], 5: [0]}
+    assert {r.doc_id: r.removed for r in line_join.near_repeats(docs(spark, rows)).collect()} == expected
+    assert {r.doc_id: r.removed for r in line_join.near_repeats(docs(spark, rows), percent=50).collect()} == expected | {4: [0]}
+
+
 def test_equal_lines(spark):
     rows = some_documents(3)
     found = {r.doc_id: r.removed for r in unit_dedup.repeated_units(docs(spark, rows).repartition(5)).collect()}
