@@ -131,7 +131,7 @@ def _prefixes(documents: DataFrame, levels, percent: int, min_words: int) -> Dat
 
     A task gives a class again where it meets it at a smaller place, so the least place among a class's rows is its first.
     """
-    fields = [("doc_id", pa.int64()), ("line", pa.int32()), *((k, pa.int32()) for k in ("n", "place", "previous", "salt"))]
+    fields = [("doc_id", pa.int64()), ("line", pa.int32()), ("n", pa.int32()), ("place", pa.int32()), ("previous", pa.int64()), ("salt", pa.int32())]
     schema = pa.schema([("token", pa.int64()), *_KEY_FIELDS, *fields])
     once, often, always = (rarity.code_of(count) for count in (1, OFTEN, ALWAYS))
 
@@ -160,14 +160,14 @@ def _prefixes(documents: DataFrame, levels, percent: int, min_words: int) -> Dat
                 # the token before it in the line's order: for pairs before the second, or if that is the first, before this
                 before = np.concatenate([alone, np.where(apart := two - 1 > one, two, one)]) - 1
                 none = np.concatenate([place[alone] == 0, ~apart & (place[one] == 0)])
-                previous = np.where(none, np.uint64(0), (words[before] >> np.uint64(9)) | np.uint64(1))
+                previous = np.where(none, np.uint64(0), words[before] + np.uint64(1)).view(np.int64)
                 at = np.concatenate([alone, one])
                 salt = np.where(level[at] >= always, 1 + (lines.a[owner[at]] >> np.uint64(58)).astype(np.int32), 0)
                 of = owner[at]
-                columns = [token.view(np.int64), lines.a[of].view(np.int64), parity[of].view(np.int64), lines.doc[of], lines.line[of], *(x.astype(np.int32) for x in (size[at], place[at], previous, salt))]
+                columns = [token.view(np.int64), lines.a[of].view(np.int64), parity[of].view(np.int64), lines.doc[of], lines.line[of], size[at].astype(np.int32), place[at].astype(np.int32), previous, salt.astype(np.int32)]
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], schema=schema)
 
-    return documents.mapInArrow(run, f"token long, {_KEY_KINDS}, doc_id long, line int, n int, place int, previous int, salt int")
+    return documents.mapInArrow(run, f"token long, {_KEY_KINDS}, doc_id long, line int, n int, place int, previous long, salt int")
 
 
 def _meet(rows: DataFrame, percent: int) -> DataFrame:

@@ -6,9 +6,10 @@ import random
 import re
 from itertools import combinations
 
+import numpy as np
 import pytest
 
-from tablewright.llm import jaccard_join, line_join, unit_dedup
+from tablewright.llm import hashing, jaccard_join, line_join, unit_dedup
 from tablewright.llm.components import components
 
 LOWER = {i: i + 32 for i in range(65, 91)}
@@ -135,6 +136,22 @@ def test_lines_of_one_frequent_word(spark, monkeypatch):
     assert {r.doc_id: r.removed for r in line_join.near_repeats(docs(spark, rows), percent=50).collect()} == expected | {4: [0]}
 
 
+def test_previous_words_that_look_alike(spark):
+    """Two lines whose words before the first common one have hashes equal in the upper 30 bits."""
+    names = [f"v{i}" for i in range(200_000)]
+    raw = np.frombuffer(" ".join(names).encode(), np.uint8)
+    tokens = hashing.words(raw, np.array([0, len(raw)]))[0] >> np.uint64(24)
+    order = np.argsort(tokens)
+    alike = np.flatnonzero(np.diff(tokens[order] >> np.uint64(10)) == 0)
+    one, two = (names[order[alike[0] + i]] for i in (0, 1))
+    common = " ".join(f"c{i}" for i in range(8))
+    rows = [(1, f"{one} region {common}"), (2, f"{two} region {common}")]
+    rows += [(10 + i, f"region x{i} y{i} z{i} v{i}") for i in range(4)] + [(20 + i, f"s{i} t{i} u{i} {common}") for i in range(20)]
+    expected = plain_removed(rows, jaccard_late)
+    assert expected == {2: [0]}
+    assert {r.doc_id: r.removed for r in line_join.near_repeats(docs(spark, rows)).collect()} == expected
+
+
 def test_equal_lines(spark):
     rows = some_documents(3)
     found = {r.doc_id: r.removed for r in unit_dedup.repeated_units(docs(spark, rows).repartition(5)).collect()}
