@@ -61,6 +61,14 @@ def test_pipeline_stages(spark, tmp_path):
     assert before.select("doc_id").subtract(docs.select("doc_id")).count() == 0
 
 
+def test_pipeline_takes_short_lines(spark):
+    """Lines of fewer than five words go too, as do long ones in a script without spaces, which are one word."""
+    long = "\u8a9e\u6587" * 40
+    docs = spark.createDataFrame([(1, f"Read more\n{long}\n\n"), (2, f"own\n\nread MORE!\n{long}")], "doc_id long, text string")
+    for stage in (corpus_pipeline.drop_near_lines, corpus_pipeline.drop_repeated_lines):
+        assert {r.doc_id: r.text for r in stage(spark, docs, FOLDER).collect()} == {1: f"Read more\n{long}\n\n", 2: "own\n\n"}
+
+
 def test_pipeline_of_nothing(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
