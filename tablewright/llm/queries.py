@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, chat, jaccard_join, line_join, packing, quality, top_k, toxicity, unit_dedup, url_graph
+from . import bpe, chat, jaccard_join, line_join, packing, quality, spelling, top_k, toxicity, unit_dedup, url_graph
 from .url_graph import Rule
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -177,5 +177,43 @@ def op8_classifier_chain(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", F.round("p_low_quality", 6).alias("p_low_quality"), F.round("p_toxic", 6).alias("p_toxic"), toxic.alias("toxic"), (~toxic).alias("kept"))
 
 
-QUERIES = {f.__name__: f for f in (op1_robust_outliers, op2_line_join, op3_perspectives, op4_best_fit, op5_byte_bpe, op6_line_hashing, op7_jaccard_join, op8_classifier_chain, op9_url_graph, op10_exact_top_k)}
-SQL = {"op2_line_join": OP2_SQL, "op3_perspectives": OP3_SQL, "op6_line_hashing": OP6_SQL, "op7_jaccard_join": OP7_SQL, "op9_url_graph": _op9_sql(), "op10_exact_top_k": OP10_SQL}
+#: Every so many run would be spelled wrong.
+TYPO_EVERY = 97
+
+
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.spelling_variants(_table(spark, folder, "documents"), TYPO_EVERY)
+
+
+#: The CRC-32 table as a list, and the CRC-32 of a text by it.
+_CRC_TABLE = """list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)),
+                lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END))"""
+
+
+def _crc(text: str, table: str) -> str:
+    octets = f"list_transform(range(1, octet_length(encode({text})) + 1), lambda i: ('0x' || substr(hex(encode({text})), 2 * i - 1, 2))::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {octets}), lambda c, b: xor(c >> 8, {table}[(xor(c, b) & 255) + 1])), 4294967295::BIGINT)"
+
+
+#: Words as strings without one code point: two of a size that agree without the same one, or one that is the other without one.
+OP13_SQL = f"""
+    WITH RECURSIVE t AS (SELECT {_CRC_TABLE} AS crcs),
+    runs AS (SELECT coalesce(doc_id::VARCHAR, '') AS id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), '[a-z\u00C0-\u00FF]+')) AS run FROM documents),
+    d AS (SELECT id || ':' || run AS named, run, count(*) AS n FROM runs GROUP BY ALL),
+    h AS (SELECT run, n, {_crc("named", "crcs")} AS h FROM d, t),
+    w AS (SELECT CASE WHEN h % {TYPO_EVERY} = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM h),
+    v AS MATERIALIZED (SELECT word, sum(n)::BIGINT AS n FROM w WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+    i AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v),
+    l AS MATERIALIZED (SELECT word, n, i, left(word, i - 1) || substr(word, i + 1) AS rest FROM i),
+    p AS (SELECT a.word, b.word AS near, b.n AS near_n FROM l a JOIN l b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+          UNION SELECT l.word, v.word, v.n FROM l JOIN v ON l.rest = v.word UNION SELECT v.word, l.word, l.n FROM l JOIN v ON l.rest = v.word),
+    b AS (SELECT *, row_number() OVER (PARTITION BY word ORDER BY near_n DESC, near) AS place, count(*) OVER (PARTITION BY word) AS n_near FROM p),
+    f AS MATERIALIZED (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 2 * n THEN near END AS form,
+                       CASE WHEN near_n >= 2 * n THEN near_n END AS form_n FROM v LEFT JOIN b ON b.word = v.word AND place = 1),
+    r AS (SELECT word, word AS root, form AS next FROM f UNION ALL SELECT r.word, f.word, f.form FROM r JOIN f ON f.word = r.next)
+    SELECT f.word, f.form, r.root, f.n, f.n_near, f.form_n FROM f JOIN r ON r.word = f.word AND r.next IS NULL"""
+
+
+QUERIES = {f.__name__: f for f in (op1_robust_outliers, op2_line_join, op3_perspectives, op4_best_fit, op5_byte_bpe, op6_line_hashing, op7_jaccard_join, op8_classifier_chain, op9_url_graph, op10_exact_top_k, op13_spelling_variants)}
+SQL = {"op2_line_join": OP2_SQL, "op3_perspectives": OP3_SQL, "op6_line_hashing": OP6_SQL, "op7_jaccard_join": OP7_SQL, "op9_url_graph": _op9_sql(), "op10_exact_top_k": OP10_SQL, "op13_spelling_variants": OP13_SQL}
