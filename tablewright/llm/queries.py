@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, chat, jaccard_join, line_join, packing, quality, spelling, top_k, toxicity, unit_dedup, url_graph
+from . import bpe, chat, jaccard_join, line_join, packing, quality, spelling, top_k, toxicity, turn_trie, unit_dedup, url_graph
 from .url_graph import Rule
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -177,14 +177,6 @@ def op8_classifier_chain(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", F.round("p_low_quality", 6).alias("p_low_quality"), F.round("p_toxic", 6).alias("p_toxic"), toxic.alias("toxic"), (~toxic).alias("kept"))
 
 
-#: Every so many run would be spelled wrong.
-TYPO_EVERY = 97
-
-
-def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
-    return spelling.spelling_variants(_table(spark, folder, "documents"), TYPO_EVERY)
-
-
 #: The CRC-32 table as a list, and the CRC-32 of a text by it.
 _CRC_TABLE = """list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)),
                 lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END))"""
@@ -195,6 +187,41 @@ def _crc(text: str, table: str) -> str:
     return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {octets}), lambda c, b: xor(c >> 8, {table}[(xor(c, b) & 255) + 1])), 4294967295::BIGINT)"
 
 
+def op11_turn_trie(spark: SparkSession, folder: str) -> DataFrame:
+    conversations = _table(spark, folder, "conversations")
+    return turn_trie.prefix_trie(turn_trie.shared_openings(turn_trie.turns_of(conversations)), conversations)
+
+
+#: Every beginning of every conversation, then what each shares with those it begins.
+OP11_SQL = f"""
+    WITH t AS (SELECT {_CRC_TABLE} AS crcs),
+    o AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                 row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), md5(coalesce(text, ''))) AS i
+          FROM conversations WHERE conv_id IS NOT NULL),
+    c AS (SELECT conv_id, {_crc("conv_id::VARCHAR", "crcs")} % 4 AS h FROM (SELECT DISTINCT conv_id FROM o), t),
+    r AS (SELECT c.conv_id, i, 0 AS own, role, text FROM c JOIN o ON o.conv_id = c.conv_id - c.conv_id % 20 AND i <= h
+          UNION ALL SELECT c.conv_id, i, 1, role, text FROM c JOIN o ON o.conv_id = c.conv_id AND i > h),
+    s AS (SELECT c.conv_id, coalesce(list(struct_pack(role := role, text := text) ORDER BY own, i) FILTER (role IS NOT NULL), []) AS turns
+          FROM c LEFT JOIN r USING (conv_id) GROUP BY c.conv_id),
+    p AS MATERIALIZED (SELECT conv_id, turns, unnest(range(len(turns) + 1)) AS depth FROM s),
+    n AS MATERIALIZED (SELECT turns[:depth] AS k, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+                       coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (depth = len(turns)), '') AS ended FROM p GROUP BY ALL),
+    m AS MATERIALIZED (SELECT n.*, u.conv_id AS parent_conv_id, (n_convs - 1) * CASE WHEN depth > 0 THEN len(regexp_extract_all(k[-1].text, '[^\x20\x09-\x0D]+')) ELSE 0 END AS saved,
+                       coalesce(g.n, 0) AS n_children
+          FROM n LEFT JOIN (SELECT k[:-2] AS k, count(*) AS n FROM n WHERE depth > 0 GROUP BY ALL) g USING (k)
+          LEFT JOIN (SELECT k, conv_id FROM n) u ON n.depth > 0 AND u.k = n.k[:-2]),
+    a AS (SELECT k[:d] AS k, sum(saved)::BIGINT AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves
+          FROM (SELECT *, unnest(range(depth + 1)) AS d FROM m) GROUP BY ALL)
+    SELECT conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, sha256(ended) AS ends_sha256 FROM m JOIN a USING (k)"""
+
+#: Every so many run would be spelled wrong.
+TYPO_EVERY = 97
+
+
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.spelling_variants(_table(spark, folder, "documents"), TYPO_EVERY)
+
+
 #: Words as strings without one code point: two of a size that agree without the same one, or one that is the other without one.
 OP13_SQL = f"""
     WITH RECURSIVE t AS (SELECT {_CRC_TABLE} AS crcs),
@@ -215,5 +242,5 @@ OP13_SQL = f"""
     SELECT f.word, f.form, r.root, f.n, f.n_near, f.form_n FROM f JOIN r ON r.word = f.word AND r.next IS NULL"""
 
 
-QUERIES = {f.__name__: f for f in (op1_robust_outliers, op2_line_join, op3_perspectives, op4_best_fit, op5_byte_bpe, op6_line_hashing, op7_jaccard_join, op8_classifier_chain, op9_url_graph, op10_exact_top_k, op13_spelling_variants)}
-SQL = {"op2_line_join": OP2_SQL, "op3_perspectives": OP3_SQL, "op6_line_hashing": OP6_SQL, "op7_jaccard_join": OP7_SQL, "op9_url_graph": _op9_sql(), "op10_exact_top_k": OP10_SQL, "op13_spelling_variants": OP13_SQL}
+QUERIES = {f.__name__: f for f in (op1_robust_outliers, op2_line_join, op3_perspectives, op4_best_fit, op5_byte_bpe, op6_line_hashing, op7_jaccard_join, op8_classifier_chain, op9_url_graph, op10_exact_top_k, op11_turn_trie, op13_spelling_variants)}
+SQL = {"op2_line_join": OP2_SQL, "op3_perspectives": OP3_SQL, "op6_line_hashing": OP6_SQL, "op7_jaccard_join": OP7_SQL, "op9_url_graph": _op9_sql(), "op10_exact_top_k": OP10_SQL, "op11_turn_trie": OP11_SQL, "op13_spelling_variants": OP13_SQL}
