@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, chat, jaccard_join, line_join, packing, quality, spelling, top_k, toxicity, turn_trie, unit_dedup, url_graph
+from . import bpe, chat, jaccard_join, language, line_join, packing, quality, spelling, top_k, toxicity, turn_trie, unit_dedup, url_graph
 from .url_graph import Rule
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -214,6 +214,14 @@ OP11_SQL = f"""
           FROM (SELECT *, unnest(range(depth + 1)) AS d FROM m) GROUP BY ALL)
     SELECT conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, sha256(ended) AS ends_sha256 FROM m JOIN a USING (k)"""
 
+def op12_language_kernels(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _table(spark, folder, "documents").select("doc_id", "text", "lang")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    model = language.fit_languages(documents, ~held_out)
+    found = language.identify(documents.select("doc_id", "text"), model)
+    return found.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", F.round("score", 6).alias("score"))
+
+
 #: Every so many run would be spelled wrong.
 TYPO_EVERY = 97
 
@@ -242,5 +250,5 @@ OP13_SQL = f"""
     SELECT f.word, f.form, r.root, f.n, f.n_near, f.form_n FROM f JOIN r ON r.word = f.word AND r.next IS NULL"""
 
 
-QUERIES = {f.__name__: f for f in (op1_robust_outliers, op2_line_join, op3_perspectives, op4_best_fit, op5_byte_bpe, op6_line_hashing, op7_jaccard_join, op8_classifier_chain, op9_url_graph, op10_exact_top_k, op11_turn_trie, op13_spelling_variants)}
+QUERIES = {f.__name__: f for f in (op1_robust_outliers, op2_line_join, op3_perspectives, op4_best_fit, op5_byte_bpe, op6_line_hashing, op7_jaccard_join, op8_classifier_chain, op9_url_graph, op10_exact_top_k, op11_turn_trie, op12_language_kernels, op13_spelling_variants)}
 SQL = {"op2_line_join": OP2_SQL, "op3_perspectives": OP3_SQL, "op6_line_hashing": OP6_SQL, "op7_jaccard_join": OP7_SQL, "op9_url_graph": _op9_sql(), "op10_exact_top_k": OP10_SQL, "op11_turn_trie": OP11_SQL, "op13_spelling_variants": OP13_SQL}
