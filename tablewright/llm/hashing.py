@@ -143,12 +143,17 @@ def sequences(hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.nda
     return found[0], found[1]
 
 
-def lines(raw: np.ndarray, ends_at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def lines(raw: np.ndarray, ends_at: np.ndarray, sentences: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """(bounds of all lines, one more than lines; first line of each text and one more) of texts that lie in raw.
 
     A line feed belongs to the line it ends, and one at a text's end begins no line; an empty text has one empty line.
+    With sentences, lines are also cut behind white space that follows a full stop, an exclamation or a question mark.
     """
     feeds = np.flatnonzero(raw == 10) + 1
+    if sentences and len(raw) > 1:
+        ends = np.isin(raw[:-1], list(b".!?")) & _tables()[1][raw[1:]]
+        ends = np.flatnonzero(ends) + 1
+        feeds = np.union1d(feeds, ends[~np.isin(ends, ends_at)] + 1)
     feeds = feeds[~np.isin(feeds, ends_at)]
     text = np.searchsorted(ends_at, feeds, side="left")  # the text whose end is not before the feed's
     number = np.concatenate([np.arange(len(ends_at) - 1), text - 1])

@@ -287,12 +287,12 @@ def _near(percent: int) -> Column:
     return fits & (differ * (100 + percent) <= (F.col("n") + F.col("n_2")) * (100 - percent))
 
 
-def near_repeats(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", percent: int = 80, min_words: int = 5) -> DataFrame:
+def near_repeats(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", percent: int = 80, min_words: int = 1) -> DataFrame:
     """doc_id, removed (line numbers from 0, ascending) of the documents that lose lines.
 
     A line goes if a line before it (in a document with a smaller id, or earlier in its own) has a Jaccard similarity of
     percent / 100 or more on distinct words, whether that line goes itself or not. Words end at white space and ASCII
-    punctuation, A-Z count as a-z. Lines of fewer than min_words words, which are equal by chance, always stay. Rows without
+    punctuation, A-Z count as a-z. Lines without a word, or with fewer than min_words, always stay. Rows without
     id or text are not looked at; rows that repeat an id share their ranks.
     """
     known = documents.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text")).where("doc_id IS NOT NULL AND text IS NOT NULL")
@@ -332,12 +332,14 @@ def near_repeats(documents: DataFrame, id_column: str = "doc_id", text_column: s
 
     place = F.struct("doc_id", "line")
     first = lines.groupBy("a", "b").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-    again = lines.join(first.where("first < last"), ["a", "b"]).where(place > F.col("first")).select("doc_id", "line")
+    # written, so that a line with many places is split in the join: neither of its sides is an aggregate
+    first = stored(first.where("first < last").select("a", "b", "first"), "first-lines")
+    again = lines.join(first, ["a", "b"]).where(place > F.col("first")).select("doc_id", "line")
     near = classes.join(late, KEY, "left_semi").select("first.doc_id", "first.line")
     return again.unionAll(near).groupBy("doc_id").agg(F.array_sort(F.collect_set("line")).alias("removed"))
 
 
-def remove_near_repeats(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", percent: int = 80, min_words: int = 5) -> DataFrame:
+def remove_near_repeats(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", percent: int = 80, min_words: int = 1) -> DataFrame:
     """The documents without the lines that ``near_repeats`` names, with n_units, n_removed and kept (start, end) added.
 
     Rows, other columns, nulls and the shape of the new text are as at ``unit_dedup.remove_repeated_units``.

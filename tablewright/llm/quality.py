@@ -154,14 +154,19 @@ def _measured(rows: DataFrame, state: DataFrame) -> DataFrame:
 
 
 def _bin(d: Column) -> Column:
-    """Distances in steps of a hundredth of their size, so that a group's quantile is one over few distinct values."""
+    """Distances in steps of a hundredth of their size, so that a group's quantile is one over few distinct values.
+
+    All documents of the quantile's step are in the subset, so it can be somewhat larger than asked, and between two steps
+    of the concentration the determinant may rise a little where the subset's size changes.
+    """
     return F.floor(70 * F.log2(1 + 64 * d))
 
 
 def mcd(rows: DataFrame, subset: float = 0.75, steps: int = 6) -> DataFrame:
     """g_lang, g_source, m.., i.., scale: the MCD estimate of v0.. for each group of the rows (stored, read many times).
 
-    Two starts: medians with deviations from them, and the covariance of hyperbolic tangents of what these standardise. Each
+    Covariances are ridge estimates: the squares of PARTS' floors are added to the variances, of whole groups and of subsets
+    alike, so it is the determinant with the ridge that is made small. Two starts: medians with deviations from them, and the covariance of hyperbolic tangents of what these standardise. Each
     is concentrated ``steps`` times on the nearest ``subset`` of its group; the smaller determinant wins. ``scale`` brings
     the group's median distance to what a normal distribution has, and never below 1.
     """

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import bpe, chat, jaccard_join, language, line_join, packing, quality, spelling, top_k, toxicity, turn_trie, unit_dedup, url_graph
@@ -16,6 +15,8 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def op5_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers  # only this query needs it
+
     vocabulary = public_tokenizers.path(VOCABULARY)
     documents = _table(spark, folder, "documents").select("doc_id", "text")
     return bpe.round_trip_digests(documents, vocabulary)
@@ -132,14 +133,14 @@ def op6_line_hashing(spark: SparkSession, folder: str) -> DataFrame:
     return _cleaned(unit_dedup.remove_repeated_units(_table(spark, folder, "documents").select("doc_id", "text")))
 
 
-#: Lines with their number i, words joined by spaces (unit), and whether they have five words (counts); {gone} decides.
+#: Lines with their number i, words joined by spaces (unit), and whether they have a word (counts); {gone} decides.
 _LINES = r"""
     d AS (SELECT doc_id, text, string_split(text, chr(10)) AS parts FROM documents),
     u AS (SELECT doc_id, unnest(parts) AS part, generate_subscripts(parts, 1) AS i, len(parts) AS n FROM d),
     v AS (SELECT doc_id, i, part || CASE WHEN i < n THEN chr(10) ELSE '' END AS piece,
           trim(regexp_replace(translate(part, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x09-\x0D\x20-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]+', ' ', 'g'), ' ') AS unit
           FROM u WHERE i < n OR part <> '' OR n = 1),
-    w AS MATERIALIZED (SELECT *, len(unit) > 0 AND len(string_split(unit, ' ')) >= 5 AS counts FROM v)"""
+    w AS MATERIALIZED (SELECT *, len(unit) > 0 AS counts FROM v)"""
 _WITHOUT = """
     y AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, gone ORDER BY i) AS run,
           (sum(length(piece)) OVER (PARTITION BY doc_id ORDER BY i))::BIGINT AS stop FROM x),

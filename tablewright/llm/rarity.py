@@ -1,7 +1,7 @@
 """How often 64-bit hashes occur in a corpus, as a table of fixed size that every task can hold.
 
-Hashes are counted in cells by their upper bits. A count is never too small, and too large by what shares the cell, so
-it tells frequent hashes from the rest at any corpus size. Only orders of tokens are made of it: an order that
+Hashes are counted in cells by their upper bits. A count is too large by what shares the cell and, up to 2^31, never too
+small; beyond that it stops growing, in a task and in the corpus, but never turns small again. So it tells frequent hashes from the rest at any corpus size. Only orders of tokens are made of it: an order that
 puts frequent tokens last makes joins cheap, and any order keeps them exact.
 """
 
@@ -22,15 +22,17 @@ COUNTS_FIELDS = [("part", pa.int32()), ("counts", pa.binary())]
 
 
 class CellCounts:
-    """A task's own counts, given away as one row for each part."""
+    """A task's own counts, given away as one row for each part.
+
+    One step adds fewer than 2^31 hashes, since no text is longer, and a cell takes none from 2^31 on: nothing wraps.
+    """
 
     def __init__(self, bits: int = CELL_BITS) -> None:
-        self.bits, self.cells = bits, np.zeros(1 << bits, np.uint16)
+        self.bits, self.cells = bits, np.zeros(1 << bits, np.uint32)
 
     def add(self, hashes: np.ndarray) -> None:
         where = (hashes >> np.uint64(64 - self.bits)).astype(np.int64)
-        before = self.cells[where]
-        np.add.at(self.cells, where[before < 60000], np.uint16(1))
+        np.add.at(self.cells, where[self.cells[where] < 1 << 31], np.uint32(1))
 
     def rows(self) -> Iterator[tuple[int, bytes]]:
         for part, cells in enumerate(self.cells.reshape(-1, 1 << PART_BITS)):
@@ -43,8 +45,8 @@ FREQUENT = 160
 
 
 def code_of(count: float) -> int:
-    """The byte that stands for a count on a logarithmic scale: eight steps to a doubling."""
-    return int(np.round(8 * np.log2(count + 1)))
+    """The byte that stands for a count on a logarithmic scale: eight steps to a doubling, the last for all beyond."""
+    return int(np.minimum(np.round(8 * np.log2(count + 1)), 255))
 
 
 def _deviation_levels(cells: np.ndarray, mean: float) -> np.ndarray:
@@ -71,7 +73,7 @@ def cell_levels(counts: DataFrame, logarithmic: bool = False, bits: int = CELL_B
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for part, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
-                cells = np.frombuffer(zlib.decompress(blob.as_py()), np.uint16)
+                cells = np.frombuffer(zlib.decompress(blob.as_py()), np.uint32)
                 sums[part] = sums.get(part, 0) + cells.astype(np.int64)
         for part, cells in sums.items():
             blob = zlib.compress(np.minimum(cells, 2**32 - 1).astype(np.uint32).tobytes(), 1)
@@ -80,7 +82,7 @@ def cell_levels(counts: DataFrame, logarithmic: bool = False, bits: int = CELL_B
     found = counts.repartition("part").mapInArrow(add, "part int, total long, cells binary").collect()
     mean = sum(row.total for row in found) / (1 << bits)
     empty = np.zeros(1, np.int64)
-    level = (lambda x: np.round(8 * np.log2(x + 1)).astype(np.uint8)) if logarithmic else (lambda x: _deviation_levels(x, mean))
+    level = (lambda x: np.minimum(np.round(8 * np.log2(x + 1)), 255).astype(np.uint8)) if logarithmic else (lambda x: _deviation_levels(x, mean))
     levels = np.full(1 << bits, level(empty)[0], np.uint8)
     for row in found:
         start = row.part << PART_BITS

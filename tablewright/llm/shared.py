@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -14,9 +15,12 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all machines see: the cluster's spark.checkpoint.dir; a temporary one only where none is set."""
+    """The folder all machines see: the cluster's spark.checkpoint.dir; on one machine without it a temporary one."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        master = spark.conf.get("spark.master", "")
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise ValueError(f"spark.checkpoint.dir names no folder that all machines of {master or 'the cluster'} share; set it")
         folder = "file://" + tempfile.mkdtemp(prefix="tablewright-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")

@@ -114,12 +114,14 @@ def fit_chain(
 
     The sample is bounded: at most rows_of_each labelled rows for each combination of categories, those whose ids hash
     lowest. Labels without id or with a null condition, and of documents that are missing or have a null text, are left
-    out; of labels that repeat an id one counts. Without any labelled row every category is judged improbable.
+    out; of labels that repeat an id the one with the most counts (in the order of the categories), of documents that do
+    the one with the smallest text. Without any labelled row every category is judged improbable.
     """
     names = tuple(categories)
     marks = labels.select(F.col(id_column).cast("long").alias("id"), *(F.expr(sql).cast("int").alias(f"is_{k}") for k, sql in enumerate(categories.values())))
     kinds = [f"is_{k}" for k in range(len(names))]
-    marks = marks.na.drop().groupBy("id").agg(*(F.max(k).alias(k) for k in kinds)).withColumn("order", F.xxhash64("id"))
+    # a whole row of labels, so that no mix of two rows arises
+    marks = marks.na.drop().groupBy("id").agg(F.max(F.struct(*kinds)).alias("of")).select("id", "of.*").withColumn("order", F.xxhash64("id"))
     parts = None
     for combination in range(2 ** len(names)):
         wanted = marks
@@ -129,7 +131,7 @@ def fit_chain(
         parts = wanted if parts is None else parts.unionAll(wanted)
     # the sample's size is bounded by its definition, so it may be broadcast
     texts = documents.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text")).where("text IS NOT NULL")
-    labelled = texts.join(F.broadcast(parts), "id").select("id", "order", *kinds, "text")
+    labelled = texts.join(F.broadcast(parts), "id").groupBy("id", "order", *kinds).agg(F.min("text").alias("text"))
     where = labelled.columns.index("text")
     schema = pa.schema([("id", pa.int64()), ("order", pa.int64()), *((k, pa.int32()) for k in kinds), ("words", pa.list_(pa.int64()))])
 

@@ -1,5 +1,8 @@
 """Substring dedup by hashing lines or paragraphs: of equal units in a corpus the earliest stays, the others go.
 
+A passage that is broken into lines differently in each document has no equal lines; for such corpora lines can be cut further,
+at the ends of sentences.
+
 Units are normalised (A-Z lower-cased, runs of white space and ASCII punctuation taken as one space) and hashed to 128
 bits in the tasks that read the texts. Only hashes and places are shuffled: minima are taken before the shuffle, so a
 line that a third of all documents share costs one row for each task.
@@ -18,11 +21,11 @@ PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 def _units(text: pa.Array, unit: str):
-    """For texts taken a step at a time: (first text, bounds in bytes from the step's begin, first unit of each text, words and hashes of units)."""
+    """For texts taken a step at a time: (first text, bytes, bounds in them, first unit of each text, words, hashes and wholeness of units)."""
     raw, offsets = hashing.buffers(text)
     for start, stop in hashing.steps(offsets):
         part, ends = raw[offsets[start] : offsets[stop]], offsets[start : stop + 1] - offsets[start]
-        bounds, first = hashing.lines(part, ends)
+        bounds, first = hashing.lines(part, ends, unit == "sentence")
         words, begin, _, _ = hashing.words(part, bounds, PUNCTUATION)
         if unit == "paragraph":
             count = np.diff(np.searchsorted(begin, bounds))
@@ -33,16 +36,20 @@ def _units(text: pa.Array, unit: str):
             bounds = np.append(bounds[:-1][opens], len(part))
             first = np.concatenate([[0], np.cumsum(opens)])[first]
         at = np.searchsorted(begin, bounds)
-        yield start, part, bounds, first, np.diff(at), hashing.sequences(words, at)
+        opens = np.append(True, part[bounds[1:-1] - 1] == 10)
+        opens[first[:-1]] = True
+        whole = opens & np.append(opens[1:], True)
+        yield start, part, bounds, first, np.diff(at), hashing.sequences(words, at), whole
 
 
 def repeated_units(
-    documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", unit: str = "line", min_words: int = 5
+    documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", unit: str = "line", min_words: int = 1, min_piece: int = 5
 ) -> DataFrame:
     """doc_id, removed (unit numbers from 0, ascending) of the documents that lose units.
 
-    A unit goes if an equal one stands before it: in a document with a smaller id, or earlier in the same one. Units of
-    fewer than min_words words, which are equal by chance, always stay. Rows without id or text are not looked at; rows that
+    A unit (line, paragraph or sentence) goes if an equal one stands before it: in a document with a smaller id, or earlier
+    in the same one. Units without a word, or with fewer than min_words, always stay, as do sentences of fewer than min_piece
+    words, which are equal by chance, unless they are a whole line. Rows without id or text are not looked at; rows that
     repeat an id share their ranks, so none of them removes the other's units of the same number.
     """
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("doc_id", pa.int64()), ("unit", pa.int32())])
@@ -50,11 +57,11 @@ def repeated_units(
     def run(batches):
         for batch in batches:
             ids = batch.column(0).to_numpy()
-            for start, _, _, first, count, (a, b) in _units(batch.column(1), unit):
+            for start, _, _, first, count, (a, b), whole in _units(batch.column(1), unit):
                 size = np.diff(first)
                 number = np.arange(len(count)) - np.repeat(first[:-1], size)
                 owner = np.repeat(ids[start : start + len(size)], size)
-                keep = count >= max(1, min_words)
+                keep = (count >= max(1, min_words)) & (whole | (count >= min_piece) if unit == "sentence" else True)
                 columns = [a[keep].view(np.int64), b[keep].view(np.int64), owner[keep], number[keep].astype(np.int32)]
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], schema=schema)
 
@@ -62,12 +69,14 @@ def repeated_units(
     units = stored(known.mapInArrow(run, "a long, b long, doc_id long, unit int"), "units")
     place = F.struct("doc_id", "unit")
     first = units.groupBy("a", "b").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-    again = units.join(first.where("first < last"), ["a", "b"]).where(place > F.col("first"))
+    # written, so that a unit with many places is split in the join: neither of its sides is an aggregate
+    first = stored(first.where("first < last").select("a", "b", "first"), "first-units")
+    again = units.join(first, ["a", "b"]).where(place > F.col("first"))
     return again.groupBy("doc_id").agg(F.array_sort(F.collect_set("unit")).alias("removed"))
 
 
 def remove_repeated_units(
-    documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", unit: str = "line", min_words: int = 5
+    documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", unit: str = "line", min_words: int = 1, min_piece: int = 5
 ) -> DataFrame:
     """The documents without repeated units, with columns n_units, n_removed and kept (start, end) added.
 
@@ -76,7 +85,7 @@ def remove_repeated_units(
     ``repeated_units``. A null text stays null, with no units; an empty one has one empty unit. All rows and other columns
     stay; an added name that is taken gets underscores.
     """
-    return rebuilt(documents, repeated_units(documents, id_column, text_column, unit, min_words), id_column, text_column, unit)
+    return rebuilt(documents, repeated_units(documents, id_column, text_column, unit, min_words, min_piece), id_column, text_column, unit)
 
 
 def rebuilt(documents: DataFrame, removed: DataFrame, id_column: str, text_column: str, unit: str = "line") -> DataFrame:
@@ -97,7 +106,7 @@ def rebuilt(documents: DataFrame, removed: DataFrame, id_column: str, text_colum
                 part = batch.slice(begin, 500)
                 texts, lists = part.column(where), part.column(width)
                 made, counts, lost, kept = [], [], [], []
-                for start, raw, bounds, first, _, _ in _units(texts, unit):
+                for start, raw, bounds, first, *_ in _units(texts, unit):
                     for i in range(len(first) - 1):
                         null = not texts[start + i].is_valid
                         edges = bounds[first[i] : first[i + 1] + 1]
