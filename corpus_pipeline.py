@@ -29,7 +29,7 @@ def _with_length(docs: DataFrame, columns: list[str]) -> DataFrame:
 
 def drop_near_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 2: lines with a word that nearly repeat an earlier line go, however short; the documents stay."""
-    return _with_length(line_join.remove_near_repeats(docs, min_words=1), docs.columns)
+    return _with_length(line_join.remove_near_repeats(docs), docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,8 +40,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 6: lines with a word that repeat an earlier one go, however short; the documents stay."""
-    return _with_length(unit_dedup.remove_repeated_units(docs, min_words=1), docs.columns)
+    """Operator 6: lines that repeat an earlier one go, however short; so do sentences, which the stages before leave where
+    line breaks fall differently. The documents stay."""
+    return _with_length(unit_dedup.remove_repeated_units(docs, unit="sentence"), docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
