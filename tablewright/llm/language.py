@@ -125,20 +125,21 @@ def fit_languages(
 ) -> Model:
     """Learn from the rows where ``usable`` holds, with a letter in the text and a language that isn't null.
 
-    The sample is bounded: of_each rows, those whose ids and texts hash lowest, of each of the ``languages`` most frequent
+    The sample is bounded: of_each rows, those whose ids and texts hash lowest (repeated rows count once), of each of the ``languages`` most frequent
     languages (ties to the smaller name). Whole texts are read, in one task. Without such a row the model knows no language.
     """
     rows = documents.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"), F.col(lang_column).alias("lang"), usable.alias("usable"))
     rows = rows.where("usable AND lang IS NOT NULL AND text IS NOT NULL").where(F.col("text").rlike(r"\p{L}"))
     common = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(languages).select("lang")
     rows = rows.join(F.broadcast(common), "lang").withColumn("order", F.xxhash64("id", "text"))
-    # a task hands on its own lowest of_each rows of a language only
-    place = F.row_number().over(Window.partitionBy("lang").orderBy("order", "id"))
-    sample = rows.withColumn("place", place).where(F.col("place") <= of_each).select("lang", "order", "text")
+    # chosen by their hashes alone, of which a task hands on its own lowest of_each of a language; the texts follow
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("order"))
+    chosen = rows.select("lang", "order").withColumn("place", place).where(F.col("place") <= of_each).select("lang", "order").distinct()
+    sample = rows.join(F.broadcast(chosen), ["lang", "order"]).groupBy("lang", "order").agg(F.min("text").alias("text"))
     fields = pa.schema([("name", pa.string()), ("number", pa.int64()), ("value", pa.binary())])
 
     def train(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("lang", "ascending"), ("order", "ascending"), ("text", "ascending")])
+        table = table.sort_by([("lang", "ascending"), ("order", "ascending")])
         model = fit([grams_of(t.as_py()) for t in table.column("text")], table.column("lang").to_pylist(), landmarks_of_each, ridge)
         rows = [("language", i, x.encode()) for i, x in enumerate(model.languages)]
         rows += [("grams", len(model.grams), model.grams.tobytes()), ("presence", 0, np.packbits(model.presence.astype(bool)).tobytes())]

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .shared import SPACE, let, stored
 
 UNIT = 4096
-#: Name and floor of the standard deviation of each part of the vector; smaller spreads count as the floor.
+#: Name and floor of the standard deviation of each part of the vector; its square is added to the variance (a ridge).
 PARTS = {"words": 0.5, "word_length": 0.08, "symbols": 0.05, "dup_lines": 0.16, "repeats": 0.12}
 SIZE = len(PARTS)
 #: Quantiles of the chi-square distribution with five degrees of freedom: the middle, and all but one in 100,000.
@@ -166,7 +166,9 @@ def mcd(rows: DataFrame, subset: float = 0.75, steps: int = 6) -> DataFrame:
     """g_lang, g_source, m.., i.., scale: the MCD estimate of v0.. for each group of the rows (stored, read many times).
 
     Covariances are ridge estimates: the squares of PARTS' floors are added to the variances, of whole groups and of subsets
-    alike, so it is the determinant with the ridge that is made small. Two starts: medians with deviations from them, and the covariance of hyperbolic tangents of what these standardise. Each
+    alike, so it is the determinant with the ridge that is made small.
+
+    Two starts: medians with deviations from them, and the covariance of hyperbolic tangents of what these standardise. Each
     is concentrated ``steps`` times on the nearest ``subset`` of its group; the smaller determinant wins. ``scale`` brings
     the group's median distance to what a normal distribution has, and never below 1.
     """
