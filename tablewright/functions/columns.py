@@ -6,7 +6,7 @@ import uuid
 from functools import reduce
 from typing import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, functions as F
 
 
 def all_of(conditions: Sequence[Column]) -> Column:
@@ -20,3 +20,9 @@ def any_of(conditions: Sequence[Column]) -> Column:
 def fresh(prefix: str) -> str:
     """A column name no table has."""
     return f"_{prefix}_{uuid.uuid4().hex[:8]}"
+
+
+def let(value: Column, body) -> Column:
+    """body(value) with value computed once a row, however often body uses it: lambdas are not generated code, in which
+    Spark would find common parts by itself."""
+    return F.get(F.transform(F.array(value), body), 0)

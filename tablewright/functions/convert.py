@@ -12,6 +12,7 @@ from typing import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from .columns import let
 from .literals import column_type
 
 # Text forms accepted besides ISO 8601, tried in this order.
@@ -328,57 +329,112 @@ def kind_of(dtype: T.DataType) -> str:
     return _KINDS_BY_TYPE[type(dtype)]
 
 
-def _json_value(text: Column, dtype: T.DataType, on_error: str) -> Column:
-    """One JSON property, handed over by Spark as text, as its target type."""
+#: What a JSON value may be where a kind is wanted, as Spark names the types of VARIANT values; null is always taken.
+_JSON_TYPES = {
+    "bool": r"^(BOOLEAN|BIGINT|DECIMAL|DOUBLE|STRING)",
+    "decimal": r"^(BIGINT|DECIMAL|DOUBLE|STRING)",
+    "double": r"^(BIGINT|DECIMAL|DOUBLE|STRING)",
+    "float": r"^(BIGINT|DECIMAL|DOUBLE|STRING)",
+    "int": r"^(BIGINT|STRING)$",
+    "long": r"^(BIGINT|STRING)$",
+    "timestamp": r"^(BIGINT|STRING)$",
+    "date": r"^STRING$",
+    "string": r"^STRING$",
+}
+
+
+def _whole_json(text: Column) -> Column:
+    """The JSON value that is the whole text, as VARIANT; null where it's not one value.
+
+    The parser stops behind the first value. So the text becomes the first of two items of which the second is its own
+    hash: whatever closes the list early or adds to it lacks the second item or makes it another.
+    """
+    mark = F.xxhash64(text)
+    items = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), text, F.lit(","), mark, F.lit("]"))), "$", "array<variant>")
+    return let(items, lambda i: F.when((F.size(i) == 2) & (F.try_variant_get(F.get(i, 1), "$", "bigint") == mark), F.get(i, 0)))
+
+
+def _json_value(value: Column, dtype: T.DataType, on_error: str) -> Column:
+    """One JSON property (VARIANT) as its target type."""
+    nothing = value.isNull() | F.is_variant_null(value)
     if isinstance(dtype, T.ArrayType):
-        return parse_json_list(text, dtype.elementType, on_error)
-    kind, trimmed = kind_of(dtype), _text(text)
+        quoted = let(value.cast("string"), lambda text: parse_json_list(text, dtype.elementType, on_error))
+        plain = _list_of(value, dtype.elementType, on_error, value.cast("string"))
+        return F.when(nothing, F.array().cast(dtype)).when(F.schema_of_variant(value) == "STRING", quoted).otherwise(plain)
+    kind = kind_of(dtype)
+    allowed = F.schema_of_variant(value).rlike(_JSON_TYPES[kind.partition("(")[0]])
+    refused = _Target(f"JSON {kind}", on_error).refuse(value.cast("string"), dtype)
+    if kind == "string":
+        made = value.cast("string")
+    else:
+        made = let(value.cast("string"), lambda text: _json_text(text, kind, on_error))
+    return F.when(nothing, F.lit(None).cast(dtype)).when(allowed, made).otherwise(refused)
+
+
+def _json_text(text: Column, kind: str, on_error: str) -> Column:
+    """The text of a JSON number, boolean or string as the kind."""
+    trimmed = _text(text)
     if kind == "bool":
         number = F.when(trimmed.rlike(_DOUBLE), F.when(trimmed.try_cast("double") != 0, "1").otherwise("0"))
         return to_bool(F.coalesce(number, text), T.StringType(), on_error)
-    if kind in ("timestamp", "date"):
-        blank_is_null = F.when(trimmed != "", text)
-        parsed = convert_column(blank_is_null, T.StringType(), kind, on_error)
-        if kind == "date":
-            return parsed
-        seconds = F.when(trimmed.rlike(_INTEGER), trimmed.try_cast("long"))
-        return F.when(seconds.isNotNull(), F.timestamp_seconds(seconds)).otherwise(parsed)
-    return convert_column(text, T.StringType(), kind, on_error)
+    if kind not in ("timestamp", "date"):
+        return convert_column(text, T.StringType(), kind, on_error)
+    made = convert_column(F.when(trimmed != "", text), T.StringType(), kind, on_error)
+    if kind == "date":
+        return made
+    seconds = F.when(trimmed.rlike(_INTEGER), trimmed.try_cast("long"))
+    return F.when(seconds.isNotNull(), F.timestamp_seconds(seconds)).otherwise(made)
+
+
+def _list_of(value: Column, element: T.StructType, on_error: str, shown: Column) -> Column:
+    """A JSON array (VARIANT) as ``array<element>``; refused where it's not one, or holds what is no object and not null."""
+    target = T.ArrayType(element)
+
+    def texts(item: Column) -> Column:
+        pairs = F.try_variant_get(item, "$", "map<string,variant>")
+
+        def of(pairs: Column) -> Column:
+            def found(name: str) -> Column:
+                matching = F.filter(F.map_entries(pairs), lambda e: F.lower(e["key"]) == name.lower())
+                return F.coalesce(F.try_element_at(pairs, F.lit(name)), F.try_element_at(matching, F.lit(-1))["value"])
+
+            known = pairs.isNotNull()
+            return F.when(known | F.is_variant_null(item), F.struct(known.alias("known"), *[found(f.name).alias(f"f{i}") for i, f in enumerate(element.fields)]))
+
+        return let(pairs, of)
+
+    def typed(found: Column) -> Column:
+        made = F.struct(*[_json_value(found[f"f{i}"], f.dataType, on_error).alias(f.name) for i, f in enumerate(element.fields)])
+        return F.when(found["known"], made)
+
+    # two passes, so that each property is looked up once however often its conversion reads it
+    items = F.transform(F.try_variant_get(value, "$", "array<variant>"), texts)
+    refused = _Target("JSON list", on_error).refuse(shown, target)
+    return let(items, lambda i: F.when(F.forall(i, lambda x: x.isNotNull()), F.transform(i, typed).cast(target)).otherwise(refused))
 
 
 def parse_json_list(text: Column, element: T.StructType, on_error: str = "raise") -> Column:
     """JSON array text as ``array<element>``.
 
     Null, blank, ``[]`` and ``null`` are the empty list. Property names match in any case (the exact one first, then
-    the last of several), unknown ones are ignored and missing ones are null. The whole list, or an inner one, may be a JSON string that
-    holds the array text. Numbers stand for Unix seconds where a timestamp is expected.
+    the last of several), unknown ones are ignored and missing ones are null; the same name twice in an object is refused, as
+    Spark's parser does unless ``spark.sql.variant.allowDuplicateKeys`` is set. The whole list, or an inner one, may be a
+    JSON string that holds the array text. The text is one JSON value to its end.
+
+    Values keep their JSON types. Text is asked of strings alone; a number may be quoted; whole numbers have no fraction or
+    exponent; true, false, numbers and text such as ``"1"`` are taken for booleans; numbers stand for Unix seconds where a
+    timestamp is expected. Anything else, such as an object where text is asked, is refused.
     """
     target = T.ArrayType(element)
     trimmed = F.trim(text)
-    unwrapped = F.when(
-        trimmed.startswith('"'), F.get_json_object(F.concat(F.lit('{"v":'), trimmed, F.lit("}")), "$.v")
-    ).otherwise(trimmed)
-    empty = text.isNull() | unwrapped.rlike(r"^\s*(\[\s*\]|null)?\s*$")
-    # the text must be one value to its end: what follows it would break the object it is put into
-    whole = F.concat(F.lit('{"v":['), unwrapped, F.lit('],"end":1}'))
-    read = F.from_json(F.when(unwrapped.rlike(r"^\s*\["), whole), "v array<array<map<string,string>>>, end int")
-    objects = F.when((read["end"] == 1) & (F.size(read["v"]) == 1), F.get(read["v"], 0))
-
-    def texts(pairs: Column) -> Column:
-        def found(name: str) -> Column:
-            matching = F.filter(F.map_entries(pairs), lambda e: F.lower(e["key"]) == name.lower())
-            return F.coalesce(F.try_element_at(pairs, F.lit(name)), F.try_element_at(matching, F.lit(-1))["value"])
-
-        return F.when(pairs.isNotNull(), F.struct(*[found(f.name).alias(f.name) for f in element.fields]))
+    inner = let(_whole_json(trimmed), lambda v: F.when(F.schema_of_variant(v) == "STRING", v.cast("string")))
 
-    def typed(found: Column) -> Column:
-        made = F.struct(*[_json_value(found[f.name], f.dataType, on_error).alias(f.name) for f in element.fields])
-        return F.when(found.isNotNull(), made)
+    def read(unwrapped: Column) -> Column:
+        empty = text.isNull() | unwrapped.rlike(r"^\s*(\[\s*\]|null)?\s*$")
+        value = F.when(unwrapped.rlike(r"^\s*\["), _whole_json(unwrapped))
+        return F.when(empty, F.array().cast(target)).otherwise(_list_of(value, element, on_error, text))
 
-    # two passes, so that each property is looked up once however often its conversion reads it
-    parsed = F.transform(F.transform(objects, texts), typed)
-    refused = _Target("JSON list", on_error).refuse(text, target)
-    return F.when(empty, F.array().cast(target)).otherwise(F.coalesce(parsed.cast(target), refused))
+    return let(F.when(trimmed.startswith('"'), inner).otherwise(trimmed), read)
 
 
 def _conformed(value: Column, source: T.DataType, target: T.DataType, on_error: str) -> Column:
