@@ -21,6 +21,7 @@ from typing import Any, Callable, Iterable, Sequence, Union
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from ..operators.pairs import has_match, semi_join
 from .columns import all_of, any_of, fresh
 from .literals import bind, column_type, typed_literal
 
@@ -329,7 +330,7 @@ def _join_sub(df: DataFrame, term: Term) -> DataFrame:
     if sub.on is None:
         return df.where(~sub.frame.exists() if negated else sub.frame.exists())
     if isinstance(sub.on, str):
-        return df.join(sub.frame, F.expr(sub.on), how)
+        return semi_join(df, sub.frame, F.expr(sub.on), anti=negated)
     keys, names = _keys(sub.frame, [inner for _, inner in sub.on])
     return df.join(keys, _pairs_match(sub.on, names), how)
 
@@ -342,7 +343,7 @@ def without_matches(df: DataFrame, term: Term) -> DataFrame:
     elif sub.on is None:
         return df.where(~sub.frame.exists())
     elif isinstance(sub.on, str):
-        return df.join(sub.frame, F.expr(sub.on), "left_anti")
+        return semi_join(df, sub.frame, F.expr(sub.on), anti=True)
     else:
         pairs = sub.on
     keys, names = _keys(sub.frame, [inner for _, inner in pairs])
@@ -355,6 +356,10 @@ def _flag_sub(df: DataFrame, term: Term, unknown_matters: bool) -> tuple[DataFra
     The keys are distinct, so the left join never multiplies rows.
     """
     sub, flag, mark = term.sub, fresh("flag"), fresh("mark")
+    if term.relation == "exists" and isinstance(sub.on, str):
+        found = has_match(df, sub.frame, F.expr(sub.on))
+        if found is not None:
+            return df.withColumn(flag, found), replace(term, relation="flag", column=flag, value=None), [flag]
     if term.relation == "exists" and (sub.on is None or isinstance(sub.on, str)):
         inner = sub.frame if sub.on is None else sub.frame.where(F.expr(sub.on).outer())
         return df.withColumn(flag, inner.exists()), replace(term, relation="flag", column=flag, value=None), [flag]

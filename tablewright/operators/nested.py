@@ -7,8 +7,8 @@ Plans
 -----
 *Equalities only*: the child is grouped by its key on its own and joined to the parent once: one shuffle per side.
 *Anything else*: the distinct values the correlate reads from the parent are joined to the child, the pairs are grouped
-by those values, and the lists are joined back. Equalities in the tree are what that join hashes on; a tree with Or is
-joined branch by branch, so no branch falls back to a nested loop over both tables for the sake of another.
+by those values, and the lists are joined back. How they meet follows from the tree's links, those in raw text included
+(see ``pairs``): equalities are hashed on, inequalities meet by ranges, and no branch of an Or is a nested loop.
 
 Size
 ----
@@ -20,12 +20,11 @@ lists that are too large for a row: consecutive pieces of bounded size, one row
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from ..functions.columns import all_of, fresh
+from ..functions.columns import all_of, any_of, fresh
 from ..functions.predicates import (
     AND,
     AND_NOT,
@@ -41,7 +40,8 @@ from ..functions.predicates import (
     split_at_or,
 )
 from .ranges import SortKey, default_splits, range_bucket, sort_keys, split_points
-from .relational import inequality_join, resolves
+from .pairs import pair_join
+from .relational import resolves
 
 CHUNK_ROWS = 10_000
 _MIRRORED = {"=": "=", ">": "<", ">=": "<=", "<": ">", "<=": ">="}
@@ -118,14 +118,6 @@ def _equalities(tree: Group) -> list[tuple[str, str]] | None:
     return [(t.column, t.value.name) for t in tree.terms]
 
 
-def _only_ranges(tree: Group) -> Term | None:
-    """The first inequality of a plain conjunction that has no equality, else None."""
-    plain = not tree.groups and all(t.relation in _MIRRORED and not t.negated for t in tree.terms)
-    if not plain or any(t.link != AND for t in tree.terms[1:]) or any(t.relation == "=" for t in tree.terms):
-        return None
-    return tree.terms[0]
-
-
 def _parent_columns(tree: Group) -> tuple[list[str], bool]:
     """Parent columns named by the terms, and whether raw text may read others."""
     names, has_raw = [t.value.name for t in tree.terms if t.relation != "raw"], any(t.relation == "raw" for t in tree.terms)
@@ -247,18 +239,8 @@ def nested_list(
         values = parent.select(*columns, *[c.alias(k) for c, k in zip(columns, keys)]).distinct()
         # what the list needs is named before the join, where parent and child columns may be called alike
         named = child.select("*", *items.columns)
-        found = []
-        branches = _branches(tree, (child, values))
-        range_term = _only_ranges(tree)
-        for i, branch in enumerate(branches):
-            earlier = [~F.coalesce(b, F.lit(False)) for b in branches[:i]]
-            if range_term is not None:  # no equality to hash on: parents and children meet by ranges of the first term
-                link = (range_term.value.name, range_term.column, _MIRRORED[range_term.relation])
-                joined = inequality_join(values, named, link).where(branch)
-            else:
-                joined = values.join(named, all_of([branch, *earlier]), "inner")
-            found.append(joined.select(*keys, *items.names))
-        lists = _collected(reduce(lambda a, b: a.union(b), found), keys, items, alias, ranges)
+        joined = pair_join(values, named, any_of(_branches(tree, (child, values))))
+        lists = _collected(joined.select(*keys, *items.names), keys, items, alias, ranges)
         match = all_of([c.eqNullSafe(F.col(k)) for c, k in zip(columns, keys)])
     return _or_empty(parent.join(lists, match, "left").drop(*keys), alias)
 

@@ -2,19 +2,17 @@
 
 from __future__ import annotations
 
-from functools import reduce
 from typing import Any, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.columns import all_of
+from ..functions.columns import all_of, any_of
 from ..functions.predicates import (
     AND_NOT,
     OR,
     OR_NOT,
     COMPARISONS,
-    ColumnRef,
     Group,
     Node,
     Term,
@@ -23,7 +21,7 @@ from ..functions.predicates import (
     split_at_or,
     where,
 )
-from .ranges import SortKey, default_splits, range_bucket, split_points
+from .pairs import pair_join
 
 JOIN_TYPES = ("inner", "left")
 
@@ -81,22 +79,6 @@ def _extra_conditions(frames: Sequence[DataFrame], terms: Sequence[Term]) -> lis
     return parts
 
 
-def _either_branch(left: DataFrame, right: DataFrame, branches: Sequence[Column], how: str) -> DataFrame:
-    """A join on ``b1 OR b2 OR …`` as one join per branch.
-
-    A single join on an Or has no equality to hash on and becomes a nested loop over both tables. Branch by branch each
-    equality is usable; a pair already found by an earlier branch is left out of the later ones.
-    """
-    pieces = []
-    for i, branch in enumerate(branches):
-        earlier = [~F.coalesce(b, F.lit(False)) for b in branches[:i]]
-        pieces.append(left.join(right, all_of([branch, *earlier]), "inner"))
-    if how == "left":
-        lonely = reduce(lambda rows, b: rows.join(right, b, "left_anti"), branches, left)
-        pieces.append(lonely.join(right.where(F.lit(False)), F.lit(True), "left"))
-    return reduce(lambda a, b: a.union(b), pieces)
-
-
 def join_on(
     left: DataFrame,
     right: DataFrame,
@@ -107,17 +89,14 @@ def join_on(
     """Join two aliased frames on (left column, right column[, relation]) plus further ON terms.
 
     The terms follow the chain rules of predicates, and stay in ON: a left join keeps its unmatched rows. With an Or
-    among them, ``on AND t1 OR t2`` means ``(on AND t1) OR t2``. Broadcast or shuffle is Spark's choice, by size. Where no
-    equality links the tables this is :func:`inequality_join`, whose split points are sampled when the frame is built.
+    among them, ``on AND t1 OR t2`` means ``(on AND t1) OR t2``. How the sides meet follows from the analysed condition, raw
+    text included (see ``pairs``): where an equality links them it is Spark's choice, by size; where none does they meet
+    by ranges, whose split points are sampled when the frame is built.
     """
     if how not in JOIN_TYPES:
         raise ValueError(f"unknown join type {how!r}; known are {', '.join(JOIN_TYPES)}")
     parts = [(False, on_columns(*on)), *_extra_conditions((left, right), terms)]
-    branches = [all_of(run) for run in split_at_or(parts)]
-    if len(branches) == 1:
-        equal = len(on) < 3 or on[2] == "=" or any(t.relation == "=" and isinstance(t.value, ColumnRef) and not t.negated for t in terms)
-        return left.join(right, branches[0], how) if equal else inequality_join(left, right, on, *terms, how=how)
-    return _either_branch(left, right, branches, how)
+    return pair_join(left, right, any_of([all_of(run) for run in split_at_or(parts)]), how)
 
 
 def inequality_join(
@@ -125,31 +104,16 @@ def inequality_join(
 ) -> DataFrame:
     """A join whose only link is an inequality between two columns, without a nested loop over both tables.
 
-    Both columns are cut at the same points. A left row lies in one range; a right row is sent to every range whose
-    left rows it can match, so the join hashes on the range number and the condition decides inside it. Left rows are
-    never repeated, hence a left join works unchanged. The right side is repeated up to ``splits`` times, so put the
-    smaller table there.
+    ``splits`` is about the number of cells in which rows meet; each side is repeated about twice its square root at most.
     """
     if how not in JOIN_TYPES:
         raise ValueError(f"unknown join type {how!r}; known are {', '.join(JOIN_TYPES)}")
-    left_name, right_name, relation = on
-    if relation not in (">", ">=", "<", "<="):
-        raise ValueError(f"an inequality join uses > >= < or <=, not {relation!r}")
-    points = split_points(left, [SortKey(left_name)], splits or default_splits(left))
-    last = len(points.points)
-    own = range_bucket(points, [right_name])
-    if relation in (">", ">="):
-        reach = F.sequence(own, F.lit(last))
-    else:
-        reach = F.sequence(F.lit(0), own)
-    cut_left = left.withColumn("_range_left", range_bucket(points))
-    cut_right = right.where(F.col(right_name).isNotNull()).withColumn("_range_right", F.explode(reach))
+    if on[2] not in (">", ">=", "<", "<="):
+        raise ValueError(f"an inequality join uses > >= < or <=, not {on[2]!r}")
     parts = [(False, on_columns(*on)), *_extra_conditions((left, right), terms)]
     if any(starts for starts, _ in parts):
         raise ValueError("an Or among the further terms is for join_on")
-    same_range = F.col("_range_left") == F.col("_range_right")
-    matched = all_of([same_range, *[cond for _, cond in parts]])
-    return cut_left.join(cut_right, matched, how).drop("_range_left", "_range_right")
+    return pair_join(left, right, all_of([cond for _, cond in parts]), how, splits)
 
 
 # ---------------------------------------------------------------- grouping

@@ -52,6 +52,43 @@ def join_inequality(t: Data) -> DataFrame:
     return project(joined, "c.c_custkey", "s.s_nationkey", "s.best")
 
 
+@query("""SELECT s.s_suppkey, l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_extendedprice FROM supplier s JOIN lineitem l
+          ON s.s_acctbal > l.l_extendedprice AND s.s_acctbal - l.l_extendedprice < 1""")
+def join_theta_large(t: Data) -> DataFrame:
+    """No equality, and the larger table on the right."""
+    near = P.raw("s.s_acctbal - l.l_extendedprice < ?", 1)
+    joined = join_on(t.supplier.alias("s"), t.lineitem.alias("l"), ("s.s_acctbal", "l.l_extendedprice", ">"), near)
+    return project(joined, "s.s_suppkey", "l.l_orderkey", "l.l_linenumber", "l.l_partkey", "l.l_extendedprice")
+
+
+_BANDS = "(SELECT s_suppkey, s_acctbal AS low, s_acctbal + 20 AS high FROM supplier) b"
+
+
+def _bands(t: Data) -> DataFrame:
+    return project(t.supplier, "s_suppkey", ("s_acctbal", "low"), expression("s_acctbal + 20", "high")).alias("b")
+
+
+@query(f"""SELECT c.c_custkey, b.s_suppkey FROM customer c LEFT JOIN {_BANDS} ON c.c_acctbal >= b.low AND c.c_acctbal < b.high
+           AND b.s_suppkey <> c.c_custkey""")
+def join_between(t: Data) -> DataFrame:
+    joined = join_on(
+        t.customer.alias("c"),
+        _bands(t),
+        ("c.c_acctbal", "b.low", ">="),
+        and_(P.raw("c.c_acctbal < b.high AND b.s_suppkey <> c.c_custkey")),
+        how="left",
+    )
+    return project(joined, "c.c_custkey", "b.s_suppkey")
+
+
+@query(f"SELECT b.s_suppkey, c.c_custkey FROM {_BANDS} LEFT JOIN customer c ON c.c_acctbal BETWEEN b.low AND b.high AND c.c_nationkey < 12")
+def join_between_left(t: Data) -> DataFrame:
+    """The intervals on the left, some without a value."""
+    within = P.raw("c.c_acctbal BETWEEN b.low AND b.high AND c.c_nationkey < ?", 12)
+    joined = join_on(_bands(t), t.customer.alias("c"), ("b.high", "c.c_acctbal", ">="), within, how="left")
+    return project(joined, "b.s_suppkey", "c.c_custkey")
+
+
 @query("""SELECT o.o_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey FROM orders o LEFT JOIN lineitem l
           ON o.o_orderkey = l.l_orderkey AND l.l_returnflag = 'R' AND l.l_quantity > 30""")
 def join_left_on_literal(t: Data) -> DataFrame:

@@ -153,6 +153,31 @@ def nested_list_range_only(t: Data) -> DataFrame:
     return _as_json(lists, "parts").select("s_suppkey", "parts")
 
 
+_CHOICE = "(SELECT s_suppkey, 905 + s_acctbal / 1000 AS low, 48 + s_suppkey % 3 AS top FROM supplier) s"
+
+
+@query(f"""SELECT s.s_suppkey, coalesce(to_json(k.l), '[]')::VARCHAR AS parts FROM {_CHOICE} LEFT JOIN
+            (SELECT s_suppkey, list({{'key': p_partkey}} ORDER BY p_partkey) AS l FROM {_CHOICE}
+               JOIN part ON p_retailprice < low OR p_size > top GROUP BY s_suppkey) k ON k.s_suppkey = s.s_suppkey""")
+def nested_list_range_or(t: Data) -> DataFrame:
+    """Two inequalities on different columns, either of which links."""
+    either = [P.lt("p.p_retailprice", other("s.low")), or_(P.gt("p.p_size", other("s.top")))]
+    parents = t.supplier.selectExpr("s_suppkey", "905 + s_acctbal / 1000 AS low", "48 + s_suppkey % 3 AS top").alias("s")
+    lists = nested.nested_list(parents, t.part.alias("p"), either, [("p.p_partkey", "key")], "parts", ["p.p_partkey"])
+    return _as_json(lists, "parts").select("s_suppkey", "parts")
+
+
+@query(f"""SELECT s.s_suppkey, coalesce(to_json(k.l), '[]')::VARCHAR AS parts FROM {_CHOICE} LEFT JOIN
+            (SELECT s_suppkey, list({{'key': p_partkey}} ORDER BY p_partkey) AS l FROM {_CHOICE}
+               JOIN part ON p_retailprice BETWEEN low - 3 AND low GROUP BY s_suppkey) k ON k.s_suppkey = s.s_suppkey""")
+def nested_list_range_raw(t: Data) -> DataFrame:
+    """An interval given as text."""
+    parents = t.supplier.selectExpr("s_suppkey", "905 + s_acctbal / 1000 AS low").alias("s")
+    within = P.raw("p.p_retailprice BETWEEN s.low - ? AND s.low", 3)
+    lists = nested.nested_list(parents, t.part.alias("p"), within, [("p.p_partkey", "key")], "parts", ["p.p_partkey"], reads=["s.low"])
+    return _as_json(lists, "parts").select("s_suppkey", "parts")
+
+
 @query(f"""SELECT c.c_custkey, c.c_name, coalesce(to_json(k.l), '[]')::VARCHAR AS orders FROM customer c LEFT JOIN
             (SELECT o_custkey, list({{'key': o_orderkey, 'status': o_orderstatus, 'lines': coalesce(i.l, [])}}
                                     ORDER BY o_orderkey) AS l

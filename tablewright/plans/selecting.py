@@ -204,6 +204,27 @@ def exists_subquery_or(t: Data) -> DataFrame:
     return where(t.orders, P.gt("o_totalprice", 450000), or_not(P.exists(returned, [("o_orderkey", "l_orderkey")])))
 
 
+@query("""SELECT * FROM customer WHERE c_nationkey < 20
+          AND EXISTS (SELECT 1 FROM supplier WHERE s_nationkey < 10 AND s_acctbal - 500 > c_acctbal)""")
+def exists_inequality(t: Data) -> DataFrame:
+    richer = P.exists(t.supplier, "s_nationkey < 10 AND s_acctbal - 500 > c_acctbal")
+    return where(t.customer, P.lt("c_nationkey", 20), and_(richer))
+
+
+@query("""SELECT * FROM customer WHERE c_mktsegment = 'BUILDING'
+          OR NOT EXISTS (SELECT 1 FROM supplier WHERE s_acctbal >= c_acctbal + 300 OR s_nationkey = 3 AND s_acctbal > c_acctbal)""")
+def exists_inequality_or(t: Data) -> DataFrame:
+    richer = P.exists(t.supplier, "s_acctbal >= c_acctbal + 300 OR s_nationkey = 3 AND s_acctbal > c_acctbal")
+    return where(t.customer, P.eq("c_mktsegment", "BUILDING"), or_not(richer))
+
+
+@query("""SELECT * FROM customer WHERE NOT EXISTS
+          (SELECT 1 FROM supplier WHERE s_acctbal > c_acctbal AND s_acctbal < c_acctbal + 50 AND s_nationkey <> c_nationkey)""")
+def not_exists_between(t: Data) -> DataFrame:
+    near = P.exists(t.supplier, "s_acctbal > c_acctbal AND s_acctbal < c_acctbal + 50 AND s_nationkey <> c_nationkey")
+    return where(t.customer, and_not(near))
+
+
 # ---------------------------------------------------------------- chains and groups
 
 _orders_where(
