@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, functions as F
 from . import hashing, rarity
 from .components import components
 from .marks import mark, mark_table, marked
-from .shared import shared_folder, stored
+from .shared import discard, free_shuffles, shared_folder, stored
 
 
 #: There are more distinct shingles than words, so a larger table of counts pays.
@@ -188,7 +188,10 @@ class _Join:
         united = F.col("sum") - F.col("common")
         found = whole.select("a", "b", (1 - F.col("common") / united).alias("distance"), (100 * F.col("common") >= self.percent * united).alias("linked"))
         # a set that is read from several copies gives its pairs as often
-        return stored(found.dropDuplicates(["a", "b"]), "distances")
+        found = stored(found.dropDuplicates(["a", "b"]), "distances")
+        discard(pairs, sets, able)
+        free_shuffles(pairs.sparkSession)
+        return found
 
 
 def jaccard_components(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
@@ -214,11 +217,13 @@ def jaccard_components(documents: DataFrame, id_column: str = "doc_id", text_col
     join = _Join(documents, first, shingle, percent)
 
     members = stored(_shared_tokens(_prefixes(documents, levels, shingle, percent), percent), "members")
+    free_shuffles(documents.sparkSession)
     prefixes = stored(members.groupBy("key").agg(F.collect_set("token").alias("tokens")), "prefixes")
     central = prefixes.select("key", F.size("tokens").alias("met"))
     rows = members.where("fits").drop("fits").join(central, "key")
     rows = rows.withColumn("rank", F.struct((-F.col("met") / F.col("n")).alias("far"), "key")).drop("met")
-    regions = stored(rows, "regions")
+    regions = held = stored(rows, "regions")
+    discard(members)
     known, before = None, None
     while True:
         if known is None:
@@ -228,6 +233,8 @@ def jaccard_components(documents: DataFrame, id_column: str = "doc_id", text_col
             regions = regions.drop("component").join(label, "key", "left").withColumn("component", F.coalesce("component", "key"))
         several = regions.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
         regions = stored(regions.join(several.select("token"), "token", "left_semi"), "regions")
+        discard(held)
+        held = regions
         # pairs of different components, counted without making them
         sizes = regions.groupBy("token", "component").count().groupBy("token").agg(F.sum("count").alias("all"), F.sum(F.col("count") * F.col("count")).alias("own"))
         work = sizes.agg(F.sum(F.col("all") * F.col("all") - F.col("own")), F.sum("all")).first()
@@ -244,6 +251,8 @@ def jaccard_components(documents: DataFrame, id_column: str = "doc_id", text_col
         past = F.col("next_rank") if known is None else F.coalesce("next_rank", "pivot_rank")
         regions = regions.drop("n_b", "own", "next_rank").join(pivots, "token", "left").withColumn("pivot_rank", past)
         regions = stored(regions, "regions")
+        discard(held)
+        held = regions
         met = regions.where("component <> own AND n_b <= window").select(F.col("key").alias("a"), F.col("n").alias("n_a"), F.col("next_rank.key").alias("b"), "n_b").distinct()
         distances = join.measured(join.pruned(prefixes, met))
         known = distances if known is None else known.unionAll(distances)
@@ -260,6 +269,7 @@ def jaccard_components(documents: DataFrame, id_column: str = "doc_id", text_col
         links = links.unionAll(join.measured(join.pruned(prefixes, left)).where("linked").select("a", "b"))
     # a component is called by its smallest document
     label = stored(first.join(components(links).withColumnRenamed("id", "key"), "key", "left").withColumn("component", F.coalesce("component", "key")), "labels")
+    discard(held, prefixes, first)
     smallest = label.groupBy("component").agg(F.min("first").alias("component_id"))
     called = label.join(smallest, "component").select(F.col("key").alias("of"), "component_id")
     done = sized.join(called, F.col("key") == F.col("of"), "left")

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from . import hashing, rarity
 from .marks import mark, mark_of, mark_table, marked
-from .shared import stored
+from .shared import discard, free_shuffles, stored
 from .unit_dedup import PUNCTUATION, rebuilt
 
 #: Regions of more classes than this are joined in rounds.
@@ -126,10 +126,10 @@ def _parity(owner: np.ndarray, tokens: np.ndarray, lines: int) -> np.ndarray:
     return found
 
 
-def _prefixes(documents: DataFrame, levels, percent: int, min_words: int) -> DataFrame:
+def _prefixes(documents: DataFrame, levels, percent: int, min_words: int, classes=None, tokens=None) -> DataFrame:
     """token, class, n, place, salt: the first tokens of each line, or pairs of them, that another line may have.
 
-    A task gives a class again where it meets it at a smaller place, so the least place among a class's rows is its first.
+    With tables of marks only rows of marked classes or of marked tokens are given. A task gives a class again where it meets it at a smaller place, so the least place among a class's rows is its first.
     """
     fields = [("doc_id", pa.int64()), ("line", pa.int32()), ("n", pa.int32()), ("place", pa.int32()), ("previous", pa.int64()), ("salt", pa.int32())]
     schema = pa.schema([("token", pa.int64()), *_KEY_FIELDS, *fields])
@@ -142,7 +142,10 @@ def _prefixes(documents: DataFrame, levels, percent: int, min_words: int) -> Dat
             if (ids[1:] < ids[:-1]).any():
                 batch = batch.take(pa.array(np.argsort(ids, kind="stable")))
             for lines in _steps(batch, min_words):
-                words, owner = lines.only(_earlier(lines, earliest))
+                wanted = _earlier(lines, earliest)
+                if classes is not None:
+                    wanted &= marked(classes.value, mark_of(lines.a))
+                words, owner = lines.only(wanted)
                 owner, words, level = _distinct(owner, words, rarity.level_of(table, words))
                 n = np.bincount(owner, minlength=len(lines.kept))
                 parity = _parity(owner, words, len(n))
@@ -156,7 +159,8 @@ def _prefixes(documents: DataFrame, levels, percent: int, min_words: int) -> Dat
                 behind = np.minimum(prefix, size - 1)[first] - place[first]
                 one = np.repeat(first, behind)
                 two = one + 1 + np.arange(len(one)) - np.repeat(np.cumsum(behind) - behind, behind)
-                token = np.concatenate([words[alone], hashing.mixed(words[one]) + words[two]])
+                # both are even over 64 bits, which marks need
+                token = np.concatenate([hashing.mixed(words[alone]), hashing.mixed(words[one]) + words[two]])
                 # the token before it in the line's order: for pairs before the second, or if that is the first, before this
                 before = np.concatenate([alone, np.where(apart := two - 1 > one, two, one)]) - 1
                 none = np.concatenate([place[alone] == 0, ~apart & (place[one] == 0)])
@@ -165,18 +169,21 @@ def _prefixes(documents: DataFrame, levels, percent: int, min_words: int) -> Dat
                 salt = np.where(level[at] >= always, 1 + (lines.a[owner[at]] >> np.uint64(58)).astype(np.int32), 0)
                 of = owner[at]
                 columns = [token.view(np.int64), lines.a[of].view(np.int64), parity[of].view(np.int64), lines.doc[of], lines.line[of], size[at].astype(np.int32), place[at].astype(np.int32), previous, salt.astype(np.int32)]
+                if tokens is not None:
+                    chosen = marked(tokens.value, mark_of(token))
+                    columns = [x[chosen] for x in columns]
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], schema=schema)
 
     return documents.mapInArrow(run, f"token long, {_KEY_KINDS}, doc_id long, line int, n int, place int, previous long, salt int")
 
 
-def _meet(rows: DataFrame, percent: int) -> DataFrame:
+def _meet(rows: DataFrame, percent: int, asked=None) -> DataFrame:
     """Pairs of classes that pass all filters, the later one first (token null), and rows of too large regions (a_2 null).
 
-    ``more`` is false for the FEW least different earlier lines of each line in a region, which are compared first. A pair
-    is left to the region of its earlier common tokens if the tokens before this one are equal in both, which makes them common.
+    Of each line in a region only the FEW least different earlier lines are given; ``more`` says that there are others. With
+    a table of marks, all of them are given for the marked classes, and nothing else. A pair is left to the region of its earlier common tokens if the tokens before this one are equal in both, which makes them common.
     """
-    fields = [("token", pa.int64()), *_KEY_FIELDS, ("n", pa.int32()), ("window", pa.int64()), ("more", pa.bool_())]
+    fields = [("token", pa.int64()), *_KEY_FIELDS, ("n", pa.int32()), ("window", pa.int64()), ("differ", pa.int32()), ("more", pa.bool_())]
     schema = pa.schema([*fields, *((f"{k}_2", kind) for k, kind in _KEY_FIELDS)])
 
     def judged(batch: pa.RecordBatch):
@@ -202,23 +209,33 @@ def _meet(rows: DataFrame, percent: int) -> DataFrame:
             i, j = x[fit], y[fit]
             differ = np.bitwise_count((m[i] ^ m[j]).view(np.uint64)).astype(np.int64)
             near = differ * (100 + percent) <= (n[i] + n[j]) * (100 - percent)
-            found.append((i[near], j[near], differ[near]))
+            i, j, differ = i[near], j[near], differ[near]
+            if asked is not None:
+                later = np.where((doc[i] > doc[j]) | ((doc[i] == doc[j]) & (line[i] > line[j])), i, j)
+                wanted = marked(asked.value, mark_of(a[later].view(np.uint64)))
+                i, j, differ = i[wanted], j[wanted], differ[wanted]
+            found.append((i, j, differ))
             gap += 1
             x = x[x + gap < ends[x]]
         x, y, differ = (np.concatenate(z) for z in zip(*found))
         x_late = (doc[x] > doc[y]) | ((doc[x] == doc[y]) & (line[x] > line[y]))
         late, early = np.where(x_late, x, y), np.where(x_late, y, x)
         order = np.lexsort((line[early], doc[early], differ, late))
-        late, early = late[order], early[order]
-        more = np.arange(len(late)) - np.searchsorted(late, late) >= FEW
-        region = np.flatnonzero(large)
+        late, early, differ = late[order], early[order], differ[order]
+        number = np.bincount(late, minlength=len(tokens))
+        if asked is None:
+            few = np.arange(len(late)) - np.searchsorted(late, late) < FEW
+            late, early, differ = late[few], early[few], differ[few]
+        region = np.flatnonzero(large) if asked is None else []
         if len(region):
-            columns = [pa.array(z[region]) for z in (tokens, a, m, n.astype(np.int32), window, large)]
+            columns = [pa.array(z[region]) for z in (tokens, a, m, n.astype(np.int32), window)]
+            columns += [pa.nulls(len(region), pa.int32()), pa.array(large[region])]
             yield pa.RecordBatch.from_arrays([*columns, *(pa.nulls(len(region), pa.int64()) for _ in KEY)], schema=schema)
         if len(late):
             one, two = ([k[z] for k in (a, m)] for z in (late, early))
             none = [pa.nulls(len(late), kind) for _, kind in fields]
-            yield pa.RecordBatch.from_arrays([none[0], *map(pa.array, one), *none[3:5], pa.array(more), *map(pa.array, two)], schema=schema)
+            more = [pa.array(differ.astype(np.int32)), pa.array(number[late] > FEW)]
+            yield pa.RecordBatch.from_arrays([none[0], *map(pa.array, one), *none[3:5], *more, *map(pa.array, two)], schema=schema)
 
     def run(batches):
         held = None  # the rows of the last token; a token that is not frequent has few
@@ -236,7 +253,7 @@ def _meet(rows: DataFrame, percent: int) -> DataFrame:
             yield from judged(held)
 
     dealt = rows.repartition("token", "salt").sortWithinPartitions("token", *KEY, "doc_id", "line")
-    return dealt.mapInArrow(run, f"token long, {_KEY_KINDS}, n int, window long, more boolean, a_2 long, m_2 long")
+    return dealt.mapInArrow(run, f"token long, {_KEY_KINDS}, n int, window long, differ int, more boolean, a_2 long, m_2 long")
 
 
 def _classes(documents: DataFrame, hashes: DataFrame, min_words: int) -> DataFrame:
@@ -299,16 +316,36 @@ def near_repeats(documents: DataFrame, id_column: str = "doc_id", text_column: s
     scan = stored(_scan(known, min_words), "lines")
     levels = rarity.cell_levels(scan.where("part IS NOT NULL").select("part", "counts"), logarithmic=True)
     lines = scan.where("part IS NULL").select("a", "b", "doc_id", "line")
+    spark = documents.sparkSession
     met = stored(_meet(_prefixes(known, levels, percent, min_words), percent), "met")
-    pairs, regions = met.where("token IS NULL"), met.where("token IS NOT NULL").select("token", *KEY, "n", "window")
-    hashes = met.select("a").unionAll(pairs.select(F.col("a_2").alias("a"))).distinct()
-    classes = stored(_classes(known, hashes, min_words), "classes")
-    # each line's nearest earlier ones first, then for lines that these don't make late all others
-    late = stored(_late(pairs.where("NOT more"), classes, percent), "late")
-    rest = pairs.where("more").join(late, KEY, "left_anti")
-    late = stored(late.unionAll(_late(rest, classes, percent)).distinct(), "late")
+    free_shuffles(spark)
+    regions = met.where("token IS NOT NULL").select("token", *KEY, "n", "window")
+    # of all regions of a line its nearest earlier lines
+    near = F.array_sort(F.collect_set(F.struct("differ", *_KEY_2)))
+    near = met.where("token IS NULL").groupBy(*KEY).agg(near.alias("near"), F.max("more").alias("more"))
+    near = near.select(*KEY, (F.col("more") | (F.size("near") > FEW)).alias("more"), F.slice("near", 1, FEW).alias("near"))
+    near = stored(near, "near")
+    pairs = near.select(*KEY, F.explode("near").alias("of")).select(*KEY, "of.a_2", "of.m_2")
+    in_regions = regions.select("a").unionAll(pairs.select("a")).unionAll(pairs.select(F.col("a_2").alias("a")))
+    classes = stored(_classes(known, in_regions.distinct(), min_words), "classes")
+    late = stored(_late(pairs, classes, percent), "late")
+    # for lines that these don't make late all others, which are found again: their tokens, then all lines with one of these
+    unsettled = stored(near.where("more").select(*KEY).join(late, KEY, "left_anti"), "unsettled")
+    if not unsettled.isEmpty():
+        asked = mark_table(unsettled.select(mark(F.col("a")).alias("mark")))
+        tokens = _prefixes(known, levels, percent, min_words, classes=asked).select("token").distinct()
+        tokens = mark_table(tokens.select(mark(F.col("token")).alias("mark")))
+        others = _meet(_prefixes(known, levels, percent, min_words, tokens=tokens), percent, asked)
+        others = stored(others.select(*KEY, *_KEY_2).distinct().join(unsettled, KEY, "left_semi"), "others")
+        hashes = others.select("a").unionAll(others.select(F.col("a_2").alias("a"))).distinct()
+        more = stored(_classes(known, hashes, min_words), "classes")
+        late = stored(late.unionAll(_late(others, more, percent)).distinct(), "late")
+        classes = stored(classes.unionByName(more).dropDuplicates(KEY), "classes")
+        discard(others, more)
 
     regions = stored(regions.join(classes.select(*KEY, "first", F.struct((-F.col("copies")).alias("few"), "first", *KEY).alias("rank")), KEY), "regions")
+    discard(met, near, unsettled)
+    free_shuffles(spark)
     used = None
     for step in range(ROUNDS + 1):
         left = regions.join(late.withColumn("late", F.lit(True)), KEY, "left").withColumn("late", F.coalesce("late", F.lit(False)))
@@ -336,7 +373,10 @@ def near_repeats(documents: DataFrame, id_column: str = "doc_id", text_column: s
     first = stored(first.where("first < last").select("a", "b", "first"), "first-lines")
     again = lines.join(first, ["a", "b"]).where(place > F.col("first")).select("doc_id", "line")
     near = classes.join(late, KEY, "left_semi").select("first.doc_id", "first.line")
-    return again.unionAll(near).groupBy("doc_id").agg(F.array_sort(F.collect_set("line")).alias("removed"))
+    removed = stored(again.unionAll(near).groupBy("doc_id").agg(F.array_sort(F.collect_set("line")).alias("removed")), "removed")
+    discard(scan, first, classes, regions)
+    free_shuffles(spark)
+    return removed
 
 
 def remove_near_repeats(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", percent: int = 80, min_words: int = 1) -> DataFrame:

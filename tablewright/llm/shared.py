@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import re
 import tempfile
 import uuid
@@ -36,7 +37,23 @@ def stored(frame: DataFrame, label: str, rows: int | None = None) -> DataFrame:
         frame = frame.coalesce(1 + rows // 20_000)
     path = f"{shared_folder(spark)}/tablewright/{label}-{uuid.uuid4().hex}"
     frame.write.parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
+    made = spark.read.schema(frame.schema).parquet(path)
+    made.stored_at = path  # type: ignore[attr-defined]
+    return made
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete stored tables that no frame in use reads any more."""
+    for frame in frames:
+        jvm, context = frame.sparkSession._jvm, frame.sparkSession._jsc
+        path = jvm.org.apache.hadoop.fs.Path(frame.stored_at)
+        path.getFileSystem(context.hadoopConfiguration()).delete(path, True)
+
+
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of jobs that are over, which it does when the driver's memory is cleared of them."""
+    gc.collect()
+    spark._jvm.System.gc()
 
 
 def ascii_lower(column: Column) -> Column:

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from . import hashing
-from .shared import stored, unused
+from .shared import discard, free_shuffles, stored, unused
 
 PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
@@ -72,7 +72,10 @@ def repeated_units(
     # written, so that a unit with many places is split in the join: neither of its sides is an aggregate
     first = stored(first.where("first < last").select("a", "b", "first"), "first-units")
     again = units.join(first, ["a", "b"]).where(place > F.col("first"))
-    return again.groupBy("doc_id").agg(F.array_sort(F.collect_set("unit")).alias("removed"))
+    removed = stored(again.groupBy("doc_id").agg(F.array_sort(F.collect_set("unit")).alias("removed")), "removed")
+    discard(units, first)
+    free_shuffles(documents.sparkSession)
+    return removed
 
 
 def remove_repeated_units(
