@@ -17,10 +17,14 @@ from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, types as T
 
 from .shared import unused
 
+#: Fixed: the pattern whose matches are encoded separately.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
 #: Texts in the tokenizer's hands at a time.
 _TEXTS = 32
 
@@ -142,27 +146,83 @@ def decode(encoded: DataFrame, vocabulary: str, ids_column: str = "ids", bytes_c
     return encoded.mapInArrow(run, schema)
 
 
-def round_trip_digests(texts: DataFrame, vocabulary: str, text_column: str = "text") -> DataFrame:
-    """The frame without its texts, with n_tokens, ids_sha256 and decoded_sha256: encoded, decoded and hashed in one pass.
+class Pieces:
+    """What a task knows of pieces of texts, as the pattern cuts them: tokens never cross a cut, and few pieces are new.
+
+    For each piece its decimal ids joined by a space, its decoded bytes, how many characters its tokens' offsets cover, and
+    how many characters are split between tokens. Bounded: a full table is begun anew, and long pieces are kept for one step.
+    """
 
-    ids_sha256 is of the decimal ids joined by a space, decoded_sha256 of the decoded bytes, both in lower-case hex. The
-    ids never leave the task. Nulls, names and row order as in ``encode``.
+    def __init__(self, vocabulary: str, pattern: str = PATTERN, most: int = 300_000):
+        self.vocabulary, self.pattern, self.most = vocabulary, regex.compile(pattern), most
+        self.ids: dict[str, str] = {}
+        self.decoded: dict[str, bytes] = {}
+        self.covered: dict[str, int] = {}
+        self.splits: dict[str, int] = {}
+
+    def _learn(self, pieces: list[str]) -> None:
+        table = token_bytes(self.vocabulary)
+        for start in range(0, len(pieces), 1000):
+            part = pieces[start : start + 1000]
+            for piece, encoding in zip(part, _tokenizer(self.vocabulary).encode_batch_fast(part, add_special_tokens=False)):
+                ids = encoding.ids
+                self.ids[piece] = " ".join(map(str, ids))
+                self.decoded[piece] = b"".join(map(table.__getitem__, ids))
+                self.covered[piece] = len(piece)
+                if not piece.isascii():  # a byte is a character elsewhere
+                    raw = piece.encode()
+                    _, at = offsets(ids, raw, self.vocabulary)
+                    ends = np.cumsum([len(table[i]) for i in ids])[:-1]
+                    self.covered[piece] = int(at[-1])
+                    split = sum((raw[e] & 0xC0) == 0x80 for e in ends.tolist())
+                    if split:
+                        self.splits[piece] = split
+
+    def step(self, texts: list[str]) -> Iterator[tuple[str, bytes, int, int]]:
+        """(ids joined by a space, decoded bytes, characters covered, cuts inside characters) of each text."""
+        cut = [self.pattern.findall(text) for text in texts]
+        if len(self.ids) >= self.most:
+            for known in (self.ids, self.decoded, self.covered, self.splits):
+                known.clear()
+        new = set().union(*cut).difference(self.ids)
+        self._learn(list(new))
+        for pieces in cut:
+            joined = " ".join(map(self.ids.__getitem__, pieces))
+            splits = 0 if self.splits.keys().isdisjoint(pieces) else sum(self.splits.get(p, 0) for p in pieces)
+            yield joined, b"".join(map(self.decoded.__getitem__, pieces)), sum(map(self.covered.__getitem__, pieces)), splits
+        for piece in new:
+            if len(piece) > 100:
+                for known in (self.ids, self.decoded, self.covered, self.splits):
+                    known.pop(piece, None)
+
+
+def round_trip_digests(texts: DataFrame, vocabulary: str, text_column: str = "text", pattern: str = PATTERN) -> DataFrame:
+    """The frame without its texts, with n_tokens, ids_sha256, decoded_sha256, n_chars and n_split: encoded, decoded and hashed
+    in one pass.
+
+    ids_sha256 is of the decimal ids joined by a space, decoded_sha256 of the decoded bytes, both in lower-case hex. n_chars
+    is how many characters the tokens' offsets cover, n_split how many cuts between tokens lie inside a character. The
+    matches of ``pattern`` are encoded separately. The ids never leave the task. Nulls, names and row order as in ``encode``.
     """
     rest = [c for c in texts.columns if c != text_column]
-    names = [unused(name, texts) for name in ("n_tokens", "ids_sha256", "decoded_sha256")]
-    kinds = [T.LongType(), T.StringType(), T.StringType()]
+    names = [unused(name, texts) for name in ("n_tokens", "ids_sha256", "decoded_sha256", "n_chars", "n_split")]
+    kinds = [T.LongType(), T.StringType(), T.StringType(), T.LongType(), T.LongType()]
     schema = T.StructType([*(texts.schema[c] for c in rest), *(T.StructField(n, k, False) for n, k in zip(names, kinds))])
     where, others = texts.columns.index(text_column), [texts.columns.index(c) for c in rest]
 
     def run(batches):
-        decimal = list(map(str, range(len(token_bytes(vocabulary)))))
+        known = Pieces(vocabulary, pattern)
         for batch in batches:
-            counts, hashes, decoded = [], [], []
-            for ids in encoded_lists(batch.column(where), vocabulary):
-                counts.append(len(ids))
-                hashes.append(hashlib.sha256(" ".join(map(decimal.__getitem__, ids)).encode()).hexdigest())
-                decoded.append(hashlib.sha256(decode_bytes(ids, vocabulary)).hexdigest())
+            counts, hashes, decoded, covered, split = [], [], [], [], []
+            for start in range(0, batch.num_rows, _TEXTS):
+                for ids, raw, chars, cuts in known.step([t or "" for t in batch.column(where).slice(start, _TEXTS).to_pylist()]):
+                    counts.append(ids.count(" ") + 1 if ids else 0)
+                    hashes.append(hashlib.sha256(ids.encode()).hexdigest())
+                    decoded.append(hashlib.sha256(raw).hexdigest())
+                    covered.append(chars)
+                    split.append(cuts)
             columns = [pa.array(counts, pa.int64()), pa.array(hashes, pa.string()), pa.array(decoded, pa.string())]
+            columns += [pa.array(covered, pa.int64()), pa.array(split, pa.int64())]
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in others), *columns], names=[*rest, *names])
 
     return texts.mapInArrow(run, schema)

@@ -19,7 +19,7 @@ def op5_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
     vocabulary = public_tokenizers.path(VOCABULARY)
     documents = _table(spark, folder, "documents").select("doc_id", "text")
-    return bpe.round_trip_digests(documents, vocabulary)
+    return bpe.round_trip_digests(documents, vocabulary, pattern=public_tokenizers.PATTERN)
 
 
 def op10_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
