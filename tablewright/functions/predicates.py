@@ -302,6 +302,38 @@ def _keys(sub: DataFrame, names: Sequence[str]) -> tuple[DataFrame, list[str]]:
     return keys.where(all_of([F.col(k).isNotNull() for k in made])).distinct(), made
 
 
+@dataclass(frozen=True)
+class _Members:
+    """The distinct values of a one-column sub-select, nulls under a default value, and what is known of it as a whole.
+
+    ``keys`` (key, real: whether the value itself occurs) and the counts are made of the same aggregate, in which no key is
+    null, so Spark reads and shuffles the sub-select once for both.
+    """
+
+    keys: DataFrame
+    key: str
+    real: str
+    stand_in: Column
+    empty: Column
+    has_null: Column
+
+
+def _members(sub: DataFrame) -> _Members | None:
+    """None for a type without a default value."""
+    dtype = sub.schema.fields[0].dataType
+    plain = {T.StringType: "", T.BooleanType: "false", T.DateType: "1970-01-01", T.TimestampType: "1970-01-01", T.TimestampNTZType: "1970-01-01"}
+    default = "0" if isinstance(dtype, T.NumericType) else plain.get(type(dtype))
+    if default is None:
+        return None
+    key, real, rows, nulls = (fresh(n) for n in ("key", "real", "rows", "nulls"))
+    column, stand_in = F.col(_in_column(sub)), F.lit(default).cast(dtype)
+    keys = sub.select(F.coalesce(column, stand_in).alias(key), column.isNull().alias("_null")).groupBy(key)
+    # always true, but both counts are read by whoever reads a key
+    keys = keys.agg(F.count(F.lit(1)).alias(rows), F.count_if("_null").alias(nulls)).where((F.col(rows) > 0) & (F.col(nulls) >= 0))
+    whole = keys.agg(F.struct(F.count(F.lit(1)).alias("keys"), F.coalesce(F.sum(nulls), F.lit(0)).alias("nulls"))).scalar()
+    return _Members(keys.select(key, (F.col(rows) > F.col(nulls)).alias(real)), key, real, stand_in, whole["keys"] == 0, whole["nulls"] > 0)
+
+
 def _pairs_match(pairs: Sequence[tuple[str, str]], names: Sequence[str]) -> Column:
     return all_of([F.col(outer) == F.col(k) for (outer, _), k in zip(pairs, names)])
 
@@ -321,9 +353,15 @@ def _join_sub(df: DataFrame, term: Term) -> DataFrame:
     sub, negated = term.sub, term.negated
     how = "left_anti" if negated else "left_semi"
     if term.relation == "in":
+        column, members = F.col(term.column), _members(sub.frame) if negated else None
+        if members is not None:
+            # one case that reads the column, and a key that isn't the bare column: else what is asked of the column
+            # is asked of the keys as well, and the sub-select would be read once with that and once without
+            df = df.where(F.when(column.isNull(), members.empty).otherwise(members.empty | ~members.has_null))
+            return df.join(members.keys, F.coalesce(column, members.stand_in) == F.col(members.key), how)
         keys, names = _keys(sub.frame, [_in_column(sub.frame)])
         if negated:
-            counts, column = _counts(sub.frame), F.col(term.column)
+            counts = _counts(sub.frame)
             empty = counts["n"] == 0
             df = df.where(empty | (column.isNotNull() & (counts["n"] == counts["filled"])))
         return df.join(keys, F.col(term.column) == F.col(names[0]), how)
@@ -363,11 +401,18 @@ def _flag_sub(df: DataFrame, term: Term, unknown_matters: bool) -> tuple[DataFra
     if term.relation == "exists" and (sub.on is None or isinstance(sub.on, str)):
         inner = sub.frame if sub.on is None else sub.frame.where(F.expr(sub.on).outer())
         return df.withColumn(flag, inner.exists()), replace(term, relation="flag", column=flag, value=None), [flag]
+    # only under a negation do false and unknown differ; telling them apart takes counts of the sub-select
+    members = _members(sub.frame) if term.relation == "in" and unknown_matters else None
+    if members is not None:
+        column = F.col(term.column)
+        unknown = ~members.empty & (column.isNull() | members.has_null)
+        answer = F.when(column.isNotNull() & F.col(members.real), True).when(unknown, F.lit(None).cast("boolean")).otherwise(False)
+        joined = df.join(members.keys, F.coalesce(column, members.stand_in) == F.col(members.key), "left").withColumn(flag, answer)
+        return joined.drop(members.key, members.real), replace(term, relation="flag", column=flag, value=None), [flag]
     if term.relation == "in":
         keys, names = _keys(sub.frame, [_in_column(sub.frame)])
         pairs, answer = [(term.column, "")], F.coalesce(F.col(mark), F.lit(False))
         if unknown_matters:
-            # only under a negation do false and unknown differ; telling them apart takes counts of the sub-select
             column, counts = F.col(term.column), _counts(sub.frame)
             unknown = (counts["n"] > 0) & (column.isNull() | (counts["n"] > counts["filled"]))
             answer = F.when(F.col(mark), True).when(unknown, F.lit(None).cast("boolean")).otherwise(False)

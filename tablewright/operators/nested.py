@@ -155,6 +155,38 @@ def _orderable(dtype: T.DataType) -> bool:
     return not isinstance(dtype, (T.MapType, T.VariantType))
 
 
+def _falling(value: Column, dtype: T.DataType) -> Column | None:
+    """A value that sorts ascending as this one does descending, nulls last; None for a type that has none."""
+    if isinstance(dtype, T.IntegralType):
+        turned = F.bitwise_not(value)
+    elif isinstance(dtype, T.DecimalType):
+        turned = -value
+    elif isinstance(dtype, (T.FloatType, T.DoubleType)):
+        turned = F.struct(~F.isnan(value), -value)  # not-a-number is the largest
+    elif isinstance(dtype, T.BooleanType):
+        turned = ~value
+    elif isinstance(dtype, T.DateType):
+        turned = -F.unix_date(value)
+    elif isinstance(dtype, T.TimestampType):
+        turned = F.bitwise_not(F.unix_micros(value))
+    elif isinstance(dtype, T.TimestampNTZType):
+        turned = F.bitwise_not(F.unix_micros(F.to_timestamp_ltz(value)))
+    elif type(dtype) in (T.StringType, T.BinaryType) and getattr(dtype, "collation", "UTF8_BINARY") in (None, "UTF8_BINARY"):
+        # bytes in reverse order, and an end that comes after any byte, so that a longer text comes before its beginning
+        turned = F.concat(F.translate(F.hex(value), "0123456789ABCDEF", "FEDCBA9876543210"), F.lit("G"))
+    else:
+        return None
+    return F.struct(value.isNull(), turned)
+
+
+def _rising(df: DataFrame, order: Sequence[SortKey]) -> list[Column] | None:
+    """Columns that, compared ascending one after the other, give the order of keys of mixed directions, where there are."""
+    made = []
+    for key in order:
+        made.append(F.col(key.name) if key.ascending else _falling(F.col(key.name), df.schema[key.name].dataType))
+    return None if any(m is None for m in made) else made
+
+
 def _sorted_values(rows: DataFrame, keys: Sequence[str], order: Sequence[Column], value: Column, ascending: bool) -> DataFrame:
     """One list ``_list`` per key: values by their order columns, which come first in what is compared."""
     pairs = rows.select(*keys, F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)]).alias("_o"), value.alias("_v"))
@@ -169,7 +201,8 @@ def _sorted_values(rows: DataFrame, keys: Sequence[str], order: Sequence[Column]
 def _collected(rows: DataFrame, keys: Sequence[str], items: _Items, alias: str, ranges: int | None) -> DataFrame:
     """Rows grouped into one ordered list per key, in one shuffle on the key.
 
-    Sort keys of one direction are compared where the list is made. For mixed directions rows are numbered first. With
+    Sort keys are compared where the list is made, those that fall by values in reverse order; rows are numbered first only
+    where the directions are mixed and a falling key's type (a struct, say) has no reverse. With
     ``ranges``, lists are made for each (key, range of the sort keys) and the sorted pieces are joined, in order.
     """
     if not items.order:
@@ -180,6 +213,8 @@ def _collected(rows: DataFrame, keys: Sequence[str], items: _Items, alias: str,
     directions = {k.ascending for k in items.order}
     if len(directions) == 1:
         order, ascending = [F.col(k.name) for k in items.order], directions.pop()
+    elif (rising := _rising(rows, items.order)) is not None:
+        order, ascending = rising, True
     else:
         number = F.row_number().over(Window.partitionBy(*by).orderBy(*[k.order for k in items.order]))
         rows, order, ascending = rows.withColumn("_n", number), [F.col("_n")], True

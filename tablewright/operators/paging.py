@@ -5,8 +5,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 from typing import Any, Sequence
 
-from pyspark.sql import DataFrame, Row, functions as F
+from pyspark.sql import DataFrame, Row, functions as F, types as T
 
+from ..functions.columns import all_of
+from ..functions.literals import column_type
 from .ranges import SortKey, in_ranges, range_bucket, sort_keys, split_points
 
 Keys = Sequence[str | tuple[str, bool] | SortKey]
@@ -14,6 +16,8 @@ Keys = Sequence[str | tuple[str, bool] | SortKey]
 # A deep page is cut down until about so many rows are left to sort.
 NEAR_ROWS = 200_000
 DEEP_SPLITS = 256
+# Steps of the sketch that finds a deep page's surroundings, and its accuracy (rows / accuracy is the error of a rank).
+SKETCH_STEPS, SKETCH_ACCURACY = 2000, 20_000
 
 
 def sort_rows(df: DataFrame, *keys: str | tuple[str, bool] | SortKey) -> DataFrame:
@@ -38,13 +42,16 @@ def page(df: DataFrame, keys: Keys, num: int, size: int) -> DataFrame:
 def deep_page(df: DataFrame, keys: Keys, num: int, size: int, splits: int = DEEP_SPLITS, near: int = NEAR_ROWS) -> DataFrame:
     """The same page, for any depth. Jobs run when the frame is built.
 
-    Rows are counted per sort-key range (one aggregation whose result has ``splits`` rows) and the ranges before the page
+    Where the leading key is a number, a date or a time, one job sketches its quantiles and counts rows and nulls, and a second
+    counts exactly what lies before and between the values around the page; only what lies between is sorted, if that is
+    at most ``near`` rows. Otherwise, as for text or a key with few values, rows are counted per sort-key range (one aggregation whose result has ``splits`` rows) and the ranges before the page
     are skipped by their exact counts; what is left is cut again until it holds at most ``near`` rows, or equal keys that
     nothing can cut. Only then is anything sorted.
     """
     _check(num, size)
     keys, offset = sort_keys(keys), (num - 1) * size
-    while True:
+    df, offset, done = _surroundings(df, keys[0], offset, size, max(near, 2 * size))
+    while not done:
         points = split_points(df, keys, splits)
         counted = df.groupBy(range_bucket(points).alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()
         counts, before, first, skipped = {r["b"]: r["n"] for r in counted}, 0, None, 0
@@ -62,8 +69,41 @@ def deep_page(df: DataFrame, keys: Keys, num: int, size: int, splits: int = DEEP
         narrowed = (first, last) != (0, len(points.points))
         if narrowed:
             df, offset = df.where(in_ranges(points, first, last)), offset - skipped
-        if held <= max(near, 2 * size) or not narrowed:
-            return sort_rows(df, *keys).offset(offset).limit(size)
+        done = held <= max(near, 2 * size) or not narrowed
+    return sort_rows(df, *keys).offset(offset).limit(size)
+
+
+def _surroundings(df: DataFrame, lead: SortKey, offset: int, size: int, near: int) -> tuple[DataFrame, int, bool]:
+    """The rows around a page by the leading key, the page's offset in them, and whether they are near enough to be sorted."""
+    dtype = column_type(df, lead.name)
+    if not isinstance(dtype, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return df, offset, False
+    value = F.col(lead.name)
+    steps = [i / SKETCH_STEPS for i in range(SKETCH_STEPS + 1)]
+    cuts = F.percentile_approx(value, steps, SKETCH_ACCURACY).cast("array<string>")
+    sketch = df.agg(F.count(F.lit(1)).alias("rows"), F.count(value).alias("filled"), cuts.alias("cuts")).first()
+    if sketch.rows <= near:
+        return df, offset, True
+    nulls, filled = sketch.rows - sketch.filled, sketch.filled
+    # ranks among the values, from the smallest; the page's rows come from the other end if the key falls
+    low = offset - nulls if lead.ascending else filled - offset - size
+    slack = 2 * sketch.rows // SKETCH_ACCURACY + 1
+    at = lambda rank: sketch.cuts[min(max(rank * SKETCH_STEPS // max(filled, 1), 0), SKETCH_STEPS)]
+    first = None if low - slack <= 0 else at(low - slack)
+    last = None if low + size + slack >= filled else at(low + size + slack + filled // SKETCH_STEPS + 1)
+    if not filled or (first is None and last is None):
+        return df, offset, False
+    # text keeps the values as they are; nulls are the smallest
+    above = F.lit(True) if first is None else F.coalesce(value >= F.lit(first).cast(dtype), F.lit(False))
+    below = F.lit(True) if last is None else F.coalesce(value <= F.lit(last).cast(dtype), F.lit(True))
+    before = ~above if lead.ascending else ~below
+    found = df.agg(F.count_if(before).alias("before"), F.count_if(above & below).alias("held")).first()
+    if not found.before <= offset or offset + size > found.before + found.held and found.before + found.held < sketch.rows:
+        return df, offset, False
+    bounds = [value >= F.lit(first).cast(dtype)] if first is not None else []
+    if last is not None:
+        bounds.append(value <= F.lit(last).cast(dtype) if bounds else (value <= F.lit(last).cast(dtype)) | value.isNull())
+    return df.where(all_of(bounds)), offset - found.before, found.held <= near
 
 
 def total_count(df: DataFrame, alias: str = "total") -> DataFrame:

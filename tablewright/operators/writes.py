@@ -74,21 +74,24 @@ def _matching(df: DataFrame, terms: Sequence[Node]) -> tuple[DataFrame, Column,
     return flagged.frame, F.lit(True) if cond is None else F.coalesce(cond, F.lit(False)), flagged.flags
 
 
+def _changed(df: DataFrame, values: Mapping[str, Any], touched: str, columns: Sequence[str]) -> dict[str, Column]:
+    """The named columns with their new values where the column ``touched`` is true."""
+    own = {name: made for name, made in _column_names(df.select(*[F.col(f"`{c}`") for c in columns]), list(values)).items()}
+    return {
+        own[name]: F.when(F.col(touched), stored_literal(value, df.schema[own[name]].dataType, name)).otherwise(F.col(f"`{own[name]}`"))
+        for name, value in values.items()
+    }
+
+
 def update_where(df: DataFrame, values: Mapping[str, Any], *terms: Node) -> DataFrame:
     """Literal values for the rows the chain is true for; every row without a chain."""
     if not values:
         raise ValueError("an update needs at least one value")
-    own = _column_names(df, list(values))
+    _column_names(df, list(values))
     frame, cond, flags = _matching(df, terms)
     touched = fresh("touched")
     frame = frame.withColumn(touched, cond)
-    changed = {
-        own[name]: F.when(F.col(touched), stored_literal(value, df.schema[own[name]].dataType, name)).otherwise(
-            F.col(f"`{own[name]}`")
-        )
-        for name, value in values.items()
-    }
-    return frame.withColumns(changed).drop(touched, *flags)
+    return frame.withColumns(_changed(frame, values, touched, df.columns)).drop(touched, *flags)
 
 
 def delete_where(df: DataFrame, *terms: Node) -> DataFrame:
@@ -146,33 +149,84 @@ def new_rows(write: Insert, df: DataFrame, tables: Tables) -> DataFrame:
     return selected_rows(df, write.query(tables) if callable(write.query) else write.query)
 
 
-def _apply(write: Write, df: DataFrame, tables: Tables) -> tuple[DataFrame, DataFrame]:
-    if isinstance(write, Insert):
-        rows = new_rows(write, df, tables)
-        return df.unionByName(rows), rows.agg(F.count(F.lit(1)).alias("affected"))
-    terms = terms_of(write, tables)
-    after = update_where(df, write.values, *terms) if isinstance(write, Update) else delete_where(df, *terms)
-    return after, affected(df, *terms)
+@dataclass(frozen=True)
+class Watched:
+    """A table with a mark for each write so far on the rows it touched; deleted rows stay, no longer alive.
+
+    So all counts of a table, and what is left of it, come from one pass over one frame.
+    """
+
+    frame: DataFrame
+    columns: tuple[str, ...]
+    alive: str
+    marks: dict[int, str]
+
+    @property
+    def rows(self) -> DataFrame:
+        """What the table holds after the writes."""
+        return self.frame.where(F.col(self.alive)).select(*[F.col(f"`{c}`") for c in self.columns])
+
+    @property
+    def counts(self) -> list[Column]:
+        """An aggregate for each write: how many rows it touched."""
+        return [F.count(F.when(F.col(mark), 1)).alias(f"write_{i}") for i, mark in self.marks.items()]
+
+
+def _watch(df: DataFrame) -> Watched:
+    alive = fresh("alive")
+    return Watched(df.withColumn(alive, F.lit(True)), tuple(df.columns), alive, {})
+
+
+def _inserted(watched: Watched, number: int, rows: DataFrame) -> Watched:
+    mark, old = fresh("touched"), {m: F.lit(False) for m in watched.marks.values()}
+    new = rows.withColumns({watched.alive: F.lit(True), **old, mark: F.lit(True)})
+    return Watched(watched.frame.withColumn(mark, F.lit(False)).unionByName(new), watched.columns, watched.alive, {**watched.marks, number: mark})
+
+
+def _touched(watched: Watched, number: int, write: Update | Delete, terms: Sequence[Node]) -> Watched:
+    mark, alive = fresh("touched"), F.col(watched.alive)
+    frame, cond, flags = _matching(watched.frame, terms)
+    frame = frame.withColumn(mark, alive & cond)
+    if isinstance(write, Update):
+        frame = frame.withColumns(_changed(frame, write.values, mark, watched.columns))
+    else:
+        frame = frame.withColumn(watched.alive, alive & ~F.col(mark))
+    return Watched(frame.drop(*flags), watched.columns, watched.alive, {**watched.marks, number: mark})
 
 
 @dataclass(frozen=True)
 class Batch:
+    """The tables after the batch, the count of each write, and the tables with their marks, from which both can be had at once."""
+
     tables: dict[str, DataFrame]
     counts: DataFrame
+    watched: dict[str, Watched]
 
 
 def apply_batch(tables: Tables, writes: Sequence[Write]) -> Batch:
     """All writes in order over named frames, each seeing what the earlier ones did.
 
-    ``counts`` has one row (write, affected) per write, numbered from 0. Frames are values, so nothing is changed
-    unless the caller stores the result; a write that is refused leaves the given frames as they were.
+    ``counts`` has one row (write, affected) per write, numbered from 0; all counts of a table are one pass over it. Frames
+    are values, so nothing is changed unless the caller stores the result; a write that is refused leaves the given frames
+    as they were.
     """
     if not writes:
         raise ValueError("a batch needs at least one write")
-    now, counts = dict(tables), []
+    now, watched = dict(tables), {}
     for i, write in enumerate(writes):
         if write.table not in now:
             raise ValueError(f"no table {write.table}")
-        now[write.table], count = _apply(write, now[write.table], now)
-        counts.append(count.select(F.lit(i).alias("write"), "affected"))
-    return Batch(now, reduce(lambda a, b: a.union(b), counts))
+        df = now[write.table]
+        before = watched.get(write.table) or _watch(df)
+        if isinstance(write, Insert):
+            rows = new_rows(write, df, now)
+            now[write.table], watched[write.table] = df.unionByName(rows), _inserted(before, i, rows)
+            continue
+        terms = terms_of(write, now)
+        watched[write.table] = _touched(before, i, write, terms)
+        now[write.table] = update_where(df, write.values, *terms) if isinstance(write, Update) else delete_where(df, *terms)
+    counts = []
+    for table in watched.values():
+        each = [F.struct(F.lit(i).alias("write"), F.col(f"write_{i}").alias("affected")) for i in table.marks]
+        counts.append(table.frame.agg(*table.counts).select(F.inline(F.array(*each))))
+    return Batch(now, reduce(lambda a, b: a.union(b), counts), watched)

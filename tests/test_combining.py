@@ -234,3 +234,19 @@ def test_a_chain_takes_one_shuffle(spark):
     df = three(spark)
     chain = setops.combine(df, [(setops.UNION, df), (setops.INTERSECT, df), (setops.EXCEPT, df)])
     assert chain._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+
+
+@pytest.mark.parametrize("key", ["i", "d", "t", "z", "x"])
+@pytest.mark.parametrize("ascending", [True, False])
+def test_deep_pages_by_the_sketch(spark, key, ascending):
+    """Numbers, dates and times with ties and nulls, not-a-number among them; the page is Spark's own."""
+    df = spark.range(6000).selectExpr(
+        "id", "CASE WHEN id % 50 = 0 THEN NULL WHEN id % 3 = 0 THEN 700 ELSE cast(id * 7919 % 5000 AS int) END AS i",
+        "date_add(date'2000-01-01', cast(id * 31 % 900 AS int)) AS d", "timestamp_micros(id * 7919 % 6000 - 3000) AS t",
+        "timestamp_ntz'2001-01-01 00:00:00' + make_dt_interval(0, 0, 0, id * 7919 % 6000) AS z",
+        "CASE WHEN id % 11 = 0 THEN double('nan') WHEN id % 13 = 0 THEN NULL ELSE id * 7919 % 6000 / 8 END AS x",
+    )
+    for num in (1, 2, 40, 75, 119, 120, 121, 500):
+        got = paging.deep_page(df, [(key, ascending), "id"], num, 50, splits=6, near=300)
+        want = paging.page(df, [(key, ascending), "id"], num, 50)
+        assert [r.id for r in got.collect()] == [r.id for r in want.collect()], num

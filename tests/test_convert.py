@@ -177,3 +177,26 @@ def test_general_date_forms(spark):
     }
     df = convert(spark.createDataFrame([(t,) for t in forms], "t string"), {"t": "timestamp"})
     assert [r[0] for r in df.selectExpr("cast(t as string)").collect()] == list(forms.values())
+
+
+def test_json_values_keep_their_types(spark):
+    """What closes the list early is refused, and so is a value of another JSON type than asked."""
+    element = T.StructType([T.StructField("k", T.StringType()), T.StructField("n", T.LongType()), T.StructField("x", T.DoubleType()), T.StructField("d", T.DateType())])
+    good = {
+        '[{"k":"1","n":2,"x":0.1,"d":"2024-02-03"}]': ("1", 2, 0.1, dt.date(2024, 2, 3)),
+        '[{"K":null,"n":"7","X":"1e3"}]': (None, 7, 1000.0, None),
+        '"[{\\"n\\":-5}]"': (None, -5, None, None),
+    }
+    bad = ['[{"k":"1"}]],"x":[[{"k":"2"}]', '[{"k":"1"}],0] junk', '[{"k":"1"}]] junk', "[1]", '["a"]', '[[{"k":"1"}]]', '"[{}] junk"', '[{"k":"1","k":"2"}]']
+    refused = ['[{"k":{"a":1}}]', '[{"k":1}]', '[{"k":true}]', '[{"n":1.0}]', '[{"n":1e3}]', '[{"n":true}]', '[{"x":[1]}]', '[{"d":20240203}]']
+    read = lambda text, how: spark.createDataFrame([(text,)], "t string").select(parse_json_list(F.col("t"), element, how)).first()[0]
+    for text, want in good.items():
+        assert [tuple(e) for e in read(text, "raise")] == [want]
+    for text in bad:
+        assert read(text, "null") is None
+        with pytest.raises(Exception, match="JSON list"):
+            read(text, "raise")
+    for text in refused:
+        assert [tuple(e) for e in read(text, "null")] == [(None,) * 4]
+        with pytest.raises(Exception, match="not a valid JSON"):
+            read(text, "raise")

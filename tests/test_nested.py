@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import datetime as dt
 import json
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -164,3 +166,28 @@ def test_one_shuffle_per_side(spark):
         assert plan._jdf.queryExecution().executedPlan().toString().count("Exchange") == 2
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize(
+    "kind, values",
+    [
+        ("int", [3, -(2**31), 2**31 - 1, 0, None]), ("bigint", [-(2**63), 2**63 - 1, 5, None]), ("double", [float("nan"), float("inf"), -1.5, 0.0, None]),
+        ("string", ["a", "ab", "", "b", "\u00e9", "a\x00", None]), ("boolean", [True, False, None]), ("decimal(6,2)", [Decimal("1.50"), Decimal("-3"), None]),
+        ("date", [dt.date(1960, 1, 1), dt.date(2024, 5, 6), None]), ("timestamp", [dt.datetime(1960, 1, 1, 1), dt.datetime(2024, 5, 6, 7, 8, 9, 10), None]),
+        ("struct<x:int>", [(2,), (1,), (None,)]),
+    ],
+)
+def test_mixed_directions_of_every_type(spark, kind, values):
+    """A rising and a falling key; where a type has no reverse, rows are numbered. The reference is Spark's own sort."""
+    rows = [(i % 3, v, j) for i, v in enumerate(values * 3) for j in (1, 0)]
+    child = spark.createDataFrame(rows, f"r int, v {kind}, j int").withColumn("n", F.monotonically_increasing_id()).alias("d")
+    child = spark.createDataFrame(child.collect(), child.schema).alias("d")
+    parent = spark.createDataFrame([(1,)], "one int").alias("p")
+    order = [("d.v", False), "d.r", ("d.j", False), "d.n"]
+    child = child.withColumn("one", F.lit(1)).alias("d")
+    made = nested_list(parent, child, P.eq("d.one", other("p.one")), ["d.n"], "found", order)
+    got = [e.n for e in made.first().found]
+    want = [r.n for r in child.orderBy(F.col("v").desc_nulls_last(), "r", F.col("j").desc(), "n").collect()]
+    assert got == want
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert ("Window" in plan) == kind.startswith("struct")

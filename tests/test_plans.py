@@ -102,3 +102,53 @@ def test_predicates_reach_the_scan(spark, name, pushed):
 def test_only_needed_columns_are_read(spark):
     plan = driver.queries()["nested_list_deep"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     assert "l_extendedprice" not in plan and "o_totalprice" not in plan
+
+
+def scans(frame) -> int:
+    return frame._jdf.queryExecution().executedPlan().toString().count("FileScan")
+
+
+def test_sub_selects_and_counts_read_their_table_once(spark):
+    from tablewright.functions.predicates import and_, eq, gt, in_query, or_not
+    from tablewright.operators.writes import Delete, Insert, Update, apply_batch
+
+    t = lambda name: spark.read.parquet(f"{FOLDER}/{name}.parquet")
+    keys = t("orders").where("o_totalprice > 100000").select("o_custkey")
+    for chain in ([and_not_in(keys)], [eq("c_mktsegment", "BUILDING"), or_not(in_query("c_custkey", keys))]):
+        frame = where_of(t("customer"), chain)
+        frame.collect()
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        final = plan.split("== Initial Plan ==")[0]
+        assert "ReusedExchange" in plan, plan
+        assert len(set(re.findall(r"FileScan parquet \[o_custkey", final))) <= 1
+    writes = [Update("orders", {"o_orderstatus": "X"}, [gt("o_totalprice", 1000)]), Delete("orders", [eq("o_orderstatus", "X"), and_(gt("o_custkey", 100))]),
+              Insert("orders", [{"o_orderkey": 1}]), Delete("orders")]
+    assert scans(apply_batch({"orders": t("orders")}, writes).counts) == 1
+
+
+def and_not_in(keys):
+    from tablewright.functions.predicates import and_not, in_query
+
+    return and_not(in_query("c_custkey", keys))
+
+
+def where_of(frame, chain):
+    from tablewright.functions.predicates import where
+
+    return where(frame, *chain)
+
+
+def test_lists_of_mixed_directions_need_no_window(spark):
+    plan = driver.queries()["nested_list_sorted_desc"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan
+
+
+def test_deep_page_takes_two_jobs(spark):
+    spark.sparkContext.setJobGroup("deep", "deep page")
+    try:
+        driver.queries()["page_deep"](spark, "/root/testdata/sf0.01")
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("deep")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    # one read of the schema, and with adaptive plans a job for each stage
+    assert len(jobs) <= 5
