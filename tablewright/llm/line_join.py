@@ -126,10 +126,10 @@ def _parity(owner: np.ndarray, tokens: np.ndarray, lines: int) -> np.ndarray:
     return found
 
 
-def _prefixes(documents: DataFrame, levels, percent: int, min_words: int, classes=None, tokens=None) -> DataFrame:
+def _prefixes(documents: DataFrame, levels, percent: int, min_words: int, tokens=None) -> DataFrame:
     """token, class, n, place, salt: the first tokens of each line, or pairs of them, that another line may have.
 
-    With tables of marks only rows of marked classes or of marked tokens are given. A task gives a class again where it meets it at a smaller place, so the least place among a class's rows is its first.
+    With a table of marks only rows of marked tokens are given. A task gives a class again where it meets it at a smaller place, so the least place among a class's rows is its first.
     """
     fields = [("doc_id", pa.int64()), ("line", pa.int32()), ("n", pa.int32()), ("place", pa.int32()), ("previous", pa.int64()), ("salt", pa.int32())]
     schema = pa.schema([("token", pa.int64()), *_KEY_FIELDS, *fields])
@@ -142,10 +142,7 @@ def _prefixes(documents: DataFrame, levels, percent: int, min_words: int, classe
             if (ids[1:] < ids[:-1]).any():
                 batch = batch.take(pa.array(np.argsort(ids, kind="stable")))
             for lines in _steps(batch, min_words):
-                wanted = _earlier(lines, earliest)
-                if classes is not None:
-                    wanted &= marked(classes.value, mark_of(lines.a))
-                words, owner = lines.only(wanted)
+                words, owner = lines.only(_earlier(lines, earliest))
                 owner, words, level = _distinct(owner, words, rarity.level_of(table, words))
                 n = np.bincount(owner, minlength=len(lines.kept))
                 parity = _parity(owner, words, len(n))
@@ -180,10 +177,10 @@ def _prefixes(documents: DataFrame, levels, percent: int, min_words: int, classe
 def _meet(rows: DataFrame, percent: int, asked=None) -> DataFrame:
     """Pairs of classes that pass all filters, the later one first (token null), and rows of too large regions (a_2 null).
 
-    Of each line in a region only the FEW least different earlier lines are given; ``more`` says that there are others. With
+    Of each line in a region only the FEW least different earlier lines are given; ``more`` says that the region has others. With
     a table of marks, all of them are given for the marked classes, and nothing else. A pair is left to the region of its earlier common tokens if the tokens before this one are equal in both, which makes them common.
     """
-    fields = [("token", pa.int64()), *_KEY_FIELDS, ("n", pa.int32()), ("window", pa.int64()), ("differ", pa.int32()), ("more", pa.bool_())]
+    fields = [("token", pa.int64()), *_KEY_FIELDS, ("n", pa.int32()), ("window", pa.int64()), ("differ", pa.int32()), ("more", pa.bool_()), ("region", pa.int64())]
     schema = pa.schema([*fields, *((f"{k}_2", kind) for k, kind in _KEY_FIELDS)])
 
     def judged(batch: pa.RecordBatch):
@@ -229,12 +226,12 @@ def _meet(rows: DataFrame, percent: int, asked=None) -> DataFrame:
         region = np.flatnonzero(large) if asked is None else []
         if len(region):
             columns = [pa.array(z[region]) for z in (tokens, a, m, n.astype(np.int32), window)]
-            columns += [pa.nulls(len(region), pa.int32()), pa.array(large[region])]
+            columns += [pa.nulls(len(region), pa.int32()), pa.array(large[region]), pa.nulls(len(region), pa.int64())]
             yield pa.RecordBatch.from_arrays([*columns, *(pa.nulls(len(region), pa.int64()) for _ in KEY)], schema=schema)
         if len(late):
             one, two = ([k[z] for k in (a, m)] for z in (late, early))
             none = [pa.nulls(len(late), kind) for _, kind in fields]
-            more = [pa.array(differ.astype(np.int32)), pa.array(number[late] > FEW)]
+            more = [pa.array(differ.astype(np.int32)), pa.array(number[late] > FEW), pa.array(tokens[late])]
             yield pa.RecordBatch.from_arrays([none[0], *map(pa.array, one), *none[3:5], *more, *map(pa.array, two)], schema=schema)
 
     def run(batches):
@@ -253,7 +250,7 @@ def _meet(rows: DataFrame, percent: int, asked=None) -> DataFrame:
             yield from judged(held)
 
     dealt = rows.repartition("token", "salt").sortWithinPartitions("token", *KEY, "doc_id", "line")
-    return dealt.mapInArrow(run, f"token long, {_KEY_KINDS}, n int, window long, differ int, more boolean, a_2 long, m_2 long")
+    return dealt.mapInArrow(run, f"token long, {_KEY_KINDS}, n int, window long, differ int, more boolean, region long, a_2 long, m_2 long")
 
 
 def _classes(documents: DataFrame, hashes: DataFrame, min_words: int) -> DataFrame:
@@ -320,21 +317,26 @@ def near_repeats(documents: DataFrame, id_column: str = "doc_id", text_column: s
     met = stored(_meet(_prefixes(known, levels, percent, min_words), percent), "met")
     free_shuffles(spark)
     regions = met.where("token IS NOT NULL").select("token", *KEY, "n", "window")
+    met_pairs = met.where("token IS NULL")
     # of all regions of a line its nearest earlier lines
     near = F.array_sort(F.collect_set(F.struct("differ", *_KEY_2)))
-    near = met.where("token IS NULL").groupBy(*KEY).agg(near.alias("near"), F.max("more").alias("more"))
+    near = met_pairs.groupBy(*KEY).agg(near.alias("near"), F.max("more").alias("more"))
     near = near.select(*KEY, (F.col("more") | (F.size("near") > FEW)).alias("more"), F.slice("near", 1, FEW).alias("near"))
     near = stored(near, "near")
     pairs = near.select(*KEY, F.explode("near").alias("of")).select(*KEY, "of.a_2", "of.m_2")
-    in_regions = regions.select("a").unionAll(pairs.select("a")).unionAll(pairs.select(F.col("a_2").alias("a")))
+    in_regions = met.select("a").unionAll(met_pairs.select(F.col("a_2").alias("a")))
     classes = stored(_classes(known, in_regions.distinct(), min_words), "classes")
     late = stored(_late(pairs, classes, percent), "late")
-    # for lines that these don't make late all others, which are found again: their tokens, then all lines with one of these
+    # for lines that these don't make late all others: those given, then those of regions that have more, which are met again
     unsettled = stored(near.where("more").select(*KEY).join(late, KEY, "left_anti"), "unsettled")
     if not unsettled.isEmpty():
-        asked = mark_table(unsettled.select(mark(F.col("a")).alias("mark")))
-        tokens = _prefixes(known, levels, percent, min_words, classes=asked).select("token").distinct()
-        tokens = mark_table(tokens.select(mark(F.col("token")).alias("mark")))
+        given = met_pairs.join(unsettled, KEY, "left_semi")
+        late = stored(late.unionAll(_late(given, classes, percent)).distinct(), "late")
+        unsettled = stored(met_pairs.where("more").select(*KEY, "region").join(unsettled, KEY, "left_semi").join(late, KEY, "left_anti").distinct(), "unsettled")
+    if not unsettled.isEmpty():
+        asked = mark_table(unsettled.select(mark(F.col("a")).alias("mark")).distinct())
+        tokens = mark_table(unsettled.select(mark(F.col("region")).alias("mark")).distinct())
+        unsettled = unsettled.select(*KEY).distinct()
         others = _meet(_prefixes(known, levels, percent, min_words, tokens=tokens), percent, asked)
         others = stored(others.select(*KEY, *_KEY_2).distinct().join(unsettled, KEY, "left_semi"), "others")
         hashes = others.select("a").unionAll(others.select(F.col("a_2").alias("a"))).distinct()
@@ -344,7 +346,7 @@ def near_repeats(documents: DataFrame, id_column: str = "doc_id", text_column: s
         discard(others, more)
 
     regions = stored(regions.join(classes.select(*KEY, "first", F.struct((-F.col("copies")).alias("few"), "first", *KEY).alias("rank")), KEY), "regions")
-    discard(met, near, unsettled)
+    discard(met, near)
     free_shuffles(spark)
     used = None
     for step in range(ROUNDS + 1):
