@@ -56,6 +56,20 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def sequences(packed: DataFrame, encoded: DataFrame, id_column: str = "doc_id", ids_column: str = "ids") -> DataFrame:
+    """bin_id, capacity, ids, starts: the token sequences that ``pack`` has laid out, from the ids of each document.
+
+    ``packed`` must be of the same ids' lengths, and ids of documents must be unique. ``starts`` has where each document's piece
+    begins in the sequence; from its last token to the capacity a sequence is free. A bin is never larger than its
+    capacity, so no group is unbounded. Documents without tokens are in no sequence.
+    """
+    of = encoded.select(F.col(id_column).cast("long").alias("doc_id"), F.col(ids_column).alias("ids"))
+    pieces = packed.where("bin_id IS NOT NULL").join(of, "doc_id")
+    own = F.slice("ids", (F.col("start") + 1).cast("int"), F.col("n_tokens").cast("int"))
+    both = pieces.groupBy("bin_id").agg(F.first("capacity").alias("capacity"), F.sort_array(F.collect_list(F.struct("position", own.alias("ids")))).alias("all"))
+    return both.select("bin_id", "capacity", F.flatten("all.ids").alias("ids"), F.col("all.position").alias("starts"))
+
+
 def pack(
     documents: DataFrame,
     id_column: str = "doc_id",

@@ -5,9 +5,11 @@ from __future__ import annotations
 import base64
 import hashlib
 
+import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 
 from tablewright.llm import bpe, packing
 
@@ -121,3 +123,32 @@ def test_packing_places_everything_once(spark):
         assert all(r.start == r.piece * 64 for r in placed)
     assert packing.pack(docs.limit(0)).count() == 0
     assert [r.doc_id for r in packing.pack(spark.createDataFrame([(None, "a b")], "doc_id long, text string")).collect()] == [None]
+
+
+def test_sequences_of_packed_ids(spark):
+    """Packed by token counts, every document's ids lie where its pieces say, and nothing overlaps."""
+    texts = ["word " * (40 * i % 700) + f"end {i}" for i in range(120)] + [None, "", "x " * 9000]
+    encoded = bpe.encode(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), VOCABULARY).cache()
+    packed = packing.pack(encoded, length=F.size("ids"), capacities=(256, 512, 1024), block=50).cache()
+    bins = {r.bin_id: r for r in packing.sequences(packed, encoded).collect()}
+    ids = {r.doc_id: list(r.ids) for r in encoded.collect()}
+    found, filled = {d: [None] * len(x) for d, x in ids.items()}, {b: 0 for b in bins}
+    for p in packed.where("bin_id IS NOT NULL").collect():
+        found[p.doc_id][p.start : p.start + p.n_tokens] = bins[p.bin_id].ids[p.position : p.position + p.n_tokens]
+        assert p.position in bins[p.bin_id].starts
+        filled[p.bin_id] += p.n_tokens
+    assert found == ids
+    assert all(filled[b] == len(r.ids) <= r.capacity for b, r in bins.items())
+
+
+def test_pieces_are_forgotten(spark, plain):
+    """A full table is begun anew, and long pieces are not kept; n_split counts cuts inside characters."""
+    known = bpe.Pieces(VOCABULARY, most=3)
+    texts = [t or "" for t in TEXTS]
+    for start in range(0, len(texts), 2):
+        for text, (ids, raw, chars, splits) in zip(texts[start : start + 2], known.step(texts[start : start + 2])):
+            expected = plain.encode_ordinary(text)
+            assert ids == " ".join(map(str, expected)) and raw == text.encode() and chars == len(text)
+            ends = np.cumsum([len(plain.decode_single_token_bytes(i)) for i in expected])[:-1]
+            assert splits == sum((raw[e] & 0xC0) == 0x80 for e in ends.tolist())
+    assert not any(len(p) > 100 for p in known.ids)

@@ -9,7 +9,7 @@ from itertools import combinations
 import numpy as np
 import pytest
 
-from tablewright.llm import hashing, jaccard_join, line_join, unit_dedup
+from tablewright.llm import hashing, jaccard_join, line_join, rarity, shared, unit_dedup
 from tablewright.llm.components import components
 
 LOWER = {i: i + 32 for i in range(65, 91)}
@@ -71,7 +71,7 @@ def plain_removed(rows, late):
     removed, before = {}, []
     for (i, k), line in places:
         words = words_of(line)
-        if len(words) >= 5:
+        if words:
             if late(before, words):
                 removed.setdefault(i, []).append(k)
             before.append(words)
@@ -248,3 +248,65 @@ def test_components(spark):
     links = [(i, i + 1) for i in range(0, 40)] + [(100, i) for i in range(101, 160)] + [(7, 7), (205, 200), (205, 203)]
     found = {r.id: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert found == {i: 0 for i in range(41)} | {i: 100 for i in range(100, 160)} | {200: 200, 203: 200, 205: 200}
+
+
+@pytest.mark.parametrize("repeats", [65_535, 65_536, 65_537])
+def test_counts_in_one_step_do_not_wrap(spark, repeats):
+    """A word that one text repeats more often than 16 bits hold is still frequent, so its lines still meet."""
+    rows = [(1, "ab ab ab ab ab"), (2, "ab ab ab ab ab ab"), (3, " ".join(["ab"] * (repeats - 11)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    assert {r.doc_id for r in line_join.near_repeats(docs).collect()} == {2, 3}
+
+
+def test_cells_saturate(spark):
+    counts = rarity.CellCounts(18)
+    cell = np.uint64(5) << np.uint64(64 - 18)
+    counts.cells[5] = (1 << 31) + 7
+    counts.add(np.array([cell, cell, cell + (np.uint64(1) << np.uint64(46))]))
+    assert counts.cells[5] == (1 << 31) + 7 and counts.cells[6] == 1
+    # the corpus adds up tasks beyond 32 bits; the level is the highest, not the lowest
+    row = [(part, bytearray(blob)) for part, blob in counts.rows()]
+    frame = spark.createDataFrame(row * 4, "part int, counts binary")
+    levels = rarity.cell_levels(frame, logarithmic=True, bits=18).value
+    assert levels[5] == 255 and levels[6] == rarity.code_of(4) and levels[7] == 0 and rarity.code_of(1 << 40) == 255
+
+
+@pytest.mark.parametrize("few", [1, 2])
+def test_lines_that_their_nearest_do_not_settle(spark, monkeypatch, few):
+    """Near misses stand nearer by their bits than the line that makes one late; regions with more are met again."""
+    monkeypatch.setattr(line_join, "FEW", few)
+    draw = random.Random(few)
+    words = [f"w{i}" for i in range(14)]
+    rows = [(i, " ".join(draw.sample(words, 10))) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    sets = [(i, set(t.split())) for i, t in rows]
+    late = {i for i, x in sets for j, y in sets if j < i and 100 * len(x & y) >= 80 * len(x | y)}
+    assert {r.doc_id for r in line_join.near_repeats(docs).collect()} == late
+
+
+def test_sentences(spark):
+    """Passages broken into lines differently; short sentences stay unless they are a line."""
+    one = "Alpha beta gamma delta epsilon. Short one. Zeta eta theta iota kappa!\nOwn words of the first text here."
+    two = "Alpha beta gamma\tdelta epsilon. Zeta eta theta iota kappa! Short one.\nNew words of the second text here.\nShort one."
+    docs = spark.createDataFrame([(1, one), (2, two), (3, "Short one.\n"), (4, None), (5, "")], "doc_id long, text string")
+    made = {r.doc_id: r for r in unit_dedup.remove_repeated_units(docs, unit="sentence").collect()}
+    assert made[1].text == one and made[2].text == "Short one.\nNew words of the second text here.\nShort one."
+    assert made[3].text == "" and made[4].text is None and made[5].text == ""
+    assert made[2].n_removed == 2
+
+
+def test_no_folder_but_a_shared_one(spark):
+    class Conf:
+        def __init__(self, master):
+            self.master = master
+
+        def get(self, key, default=None):
+            return self.master if key == "spark.master" else default
+
+    class Session:
+        def __init__(self, master):
+            self.conf = Conf(master)
+
+    for master in ("yarn", "local-cluster[2,1,1024]", "spark://host:7077"):
+        with pytest.raises(ValueError, match="checkpoint"):
+            shared.shared_folder(Session(master))

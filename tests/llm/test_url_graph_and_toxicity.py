@@ -6,6 +6,7 @@ import math
 import random
 import re
 
+import pyarrow as pa
 import pytest
 
 from tablewright.llm import toxicity, url_graph
@@ -144,3 +145,44 @@ def test_out_of_fold():
     truth = np.column_stack([first, first]).astype(float)
     chain = toxicity.train_chain(rows, truth, np.arange(400) % 3, ("one", "two"), 3)
     assert chain.chained[1][0] > 0.1
+
+
+def test_labels_that_repeat_an_id(spark):
+    """Of two rows for one document a whole one counts, and a document that comes twice is one example."""
+    texts = [(i, f"word{i % 7} " + ("bad stuff here" if i % 2 else "good news today")) for i in range(200)]
+    docs = spark.createDataFrame(texts + texts[:150] * 3, "doc_id long, text string")
+    rows = [(i, 0, i % 2) for i in range(200)] + [(i, 1, 0) for i in range(50)]
+    labels = spark.createDataFrame(rows, "doc_id long, a int, b int")
+    both = toxicity.fit_chain(docs, labels, {"a": "a = 1", "b": "b = 1"})
+    # as if the mixed row (1, 1) never was
+    chosen = {}
+    for i, a, b in rows:
+        chosen[i] = max(chosen.get(i, (0, 0)), (a, b))
+    single = spark.createDataFrame([(i, a, b) for i, (a, b) in chosen.items()], "doc_id long, a int, b int")
+    once = spark.createDataFrame(texts, "doc_id long, text string")
+    plain = toxicity.fit_chain(once, single, {"a": "a = 1", "b": "b = 1"})
+    assert both == plain
+
+
+def test_fit_and_score_are_the_plain_ones(spark):
+    """One category, few words: the weights solve the penalised likelihood's own equations, and scores follow from them."""
+    draw = random.Random(2)
+    texts = [(i, " ".join(draw.choice(["ill", "vile", "mean"] if i % 2 else ["calm", "kind", "fair"]) if draw.random() < 0.8 else "the" for _ in range(6))) for i in range(300)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 2 and i % 10 != 1 or i % 20 == 0)) for i in range(300)], "doc_id long, y int")
+    chain = toxicity.fit_chain(docs, labels, {"y": "y = 1"})
+    truth = {r.doc_id: r.y for r in labels.collect()}
+    weight = {w: v for w, v in chain.words[0].items()}
+    (part,) = toxicity.word_sets(pa.array([t for _, t in texts]))
+    _, _, owner, word = part
+    sets = [set() for _ in texts]
+    for o, w in zip(owner.tolist(), word.tolist()):
+        sets[o].add(w)
+    odds = [chain.bias[0] + sum(weight.get(w, 0) for w in s) for s in sets]
+    p = [1 / (1 + math.exp(-o)) for o in odds]
+    # gradient of the log-likelihood less the ridge is nothing in every direction
+    for w, v in weight.items():
+        assert abs(sum(truth[i] - p[i] for i in range(300) if w in sets[i]) - 0.1 * v) < 1e-3
+    assert abs(sum(truth[i] - p[i] for i in range(300)) - 1e-3 * chain.bias[0]) < 1e-3
+    scored = {r.doc_id: r.p_y for r in toxicity.score(docs, chain).collect()}
+    assert all(abs(scored[i] - p[i]) < 1e-9 for i in range(300))
