@@ -301,8 +301,37 @@ def convert_column(value: Column, dtype: T.DataType, kind: Kind, on_error: str =
     return CONVERTERS[kind](value, dtype, on_error)
 
 
+def fitting_decimal(df: DataFrame, names: Sequence[str]) -> dict[str, T.DecimalType]:
+    """For text columns the smallest decimal types that hold all their numbers exactly. One job for all columns.
+
+    Text that is no number doesn't count. A column that needs more than 38 digits is an error.
+    """
+    sizes = []
+    for i, name in enumerate(names):
+        if not isinstance(column_type(df, name), T.StringType):
+            raise ValueError(f"decimal(*) looks at text; {name} is none")
+        text = _text(F.col(name))
+        digits = F.when(text.rlike(_DECIMAL), F.regexp_replace(text, r"[,+-]", ""))
+        whole = F.length(F.regexp_extract(digits, r"^0*(\d*)", 1))
+        sizes += [F.coalesce(F.max(size), F.lit(0)).alias(f"{part}{i}") for part, size in (("w", whole), ("s", F.length(F.regexp_extract(digits, r"\.(\d*?)0*$", 1))))]
+    found, types = df.agg(*sizes).first(), {}
+    for i, name in enumerate(names):
+        whole, scale = found[f"w{i}"], found[f"s{i}"]
+        if whole + scale > 38:
+            raise ValueError(f"column {name} needs {whole} digits before the point and {scale} behind it, together more than 38")
+        types[name] = T.DecimalType(max(1, whole + scale), scale)
+    return types
+
+
 def convert(df: DataFrame, kinds: Mapping[str, Kind], on_error: str = "raise") -> DataFrame:
-    """The frame with the named columns converted in place."""
+    """The frame with the named columns converted in place.
+
+    ``decimal`` has ten digits behind the point and ``decimal(p,s)`` what it says; ``decimal(*)`` takes the smallest type
+    that holds a text column's numbers exactly, up to 38 digits, which a job finds when the frame is built.
+    """
+    if wide := [name for name, kind in kinds.items() if kind == "decimal(*)"]:
+        found = fitting_decimal(df, wide)
+        kinds = {**kinds, **{name: f"decimal({t.precision},{t.scale})" for name, t in found.items()}}
     made = {name: convert_column(F.col(name), column_type(df, name), kind, on_error) for name, kind in kinds.items()}
     return df.withColumns(made)
 

@@ -131,6 +131,15 @@ def json_list_stringified(t: Data) -> DataFrame:
     return _items(texts.withColumn("items", parse_json_list(F.col("items"), _ELEMENT)))
 
 
+@query("""SELECT l_orderkey, l_linenumber, CAST(l_orderkey || '.' || lpad((l_partkey * 10 + 1)::VARCHAR, 24, '0') AS DECIMAL(38, 24))::VARCHAR AS amount
+          FROM lineitem""")
+def to_decimal_wide(t: Data) -> DataFrame:
+    """More digits behind the point than a plain decimal has."""
+    text = "concat(l_orderkey, '.', lpad(cast(l_partkey * 10 + 1 AS string), 24, '0'))"
+    typed = convert(project(t.lineitem, "l_orderkey", "l_linenumber", expression(text, "amount")), {"amount": "decimal(*)"})
+    return typed.withColumn("amount", F.col("amount").cast("string"))
+
+
 @query("""SELECT c_custkey AS Id, c_name AS Name, CAST(c_nationkey AS BIGINT) AS Nation, CAST(NULL AS VARCHAR) AS Note
           FROM customer""")
 def typed_result(t: Data) -> DataFrame:

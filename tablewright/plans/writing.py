@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
 
 from ..functions import predicates as P
 from ..functions.predicates import and_, and_not, or_, where
 from ..operators import writes
 from ..operators.relational import aggregate, expression, project
 from ..operators.writes import Delete, Insert, Update, apply_batch
+from ..sources.tables import store_batch
 from .catalogue import Catalogue, Data
 
 catalogue = Catalogue()
@@ -86,9 +89,9 @@ def delete_with_cte(t: Data) -> DataFrame:
     return writes.delete_where(t.orders, P.in_query("o_orderkey", full))
 
 
-def _batch(t: Data) -> writes.Batch:
+def _batch_of(t: Data) -> tuple[dict[str, DataFrame], list[writes.Write]]:
     """Later writes see earlier ones: the updated orders are copied, and what the deleted customers ordered goes."""
-    return apply_batch(
+    return (
         {"orders": t.orders, "customer": t.customer},
         [
             Update("orders", {"o_orderstatus": "X"}, [P.eq("o_orderstatus", "P"), and_(P.gt("o_totalprice", 200000))]),
@@ -107,6 +110,18 @@ def _batch(t: Data) -> writes.Batch:
     )
 
 
+def _batch(t: Data) -> writes.Batch:
+    return apply_batch(*_batch_of(t))
+
+
+def _root(spark: SparkSession) -> str:
+    """Storage that all machines see: the session's checkpoint folder, or on one machine without it a temporary one."""
+    folder, master = spark.conf.get("spark.checkpoint.dir", None), spark.conf.get("spark.master", "")
+    if not folder and master != "local" and not master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir names no folder that all machines share; set it")
+    return f"{folder or tempfile.mkdtemp(prefix='tablewright-')}/stored"
+
+
 _AFTER_UPDATE = """u AS (SELECT o_orderkey, o_custkey, CASE WHEN o_orderstatus = 'P' AND o_totalprice > 200000 THEN 'X'
                            ELSE o_orderstatus END AS o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders),
                    i AS (SELECT * FROM u UNION ALL SELECT o_orderkey + 900000000, o_custkey, NULL, o_totalprice, NULL, NULL
@@ -126,3 +141,20 @@ def batch_writes(t: Data) -> DataFrame:
            UNION ALL SELECT 3, count(*) FROM i WHERE o_custkey NOT IN (SELECT c_custkey FROM c)""")
 def write_counts(t: Data) -> DataFrame:
     return _batch(t).counts
+
+
+@query(f"WITH {_AFTER_UPDATE} SELECT * FROM i WHERE o_custkey IN (SELECT c_custkey FROM c)")
+def batch_stored(t: Data) -> DataFrame:
+    """The batch written to new folders, and its first table read from there."""
+    return t.spark.read.parquet(store_batch(*_batch_of(t), _root(t.spark)).folders["orders"])
+
+
+@query(f"""WITH {_AFTER_UPDATE}
+           SELECT 0 AS "write", count(*) AS affected FROM orders WHERE o_orderstatus = 'P' AND o_totalprice > 200000
+           UNION ALL SELECT 1, count(*) FROM u WHERE o_orderstatus = 'X'
+           UNION ALL SELECT 2, count(*) FROM customer WHERE c_acctbal < 0
+           UNION ALL SELECT 3, count(*) FROM i WHERE o_custkey NOT IN (SELECT c_custkey FROM c)""")
+def stored_counts(t: Data) -> DataFrame:
+    """The counts that were observed while the batch was written."""
+    counts = store_batch(*_batch_of(t), _root(t.spark)).counts
+    return t.spark.createDataFrame(list(enumerate(counts)), "write int, affected long")

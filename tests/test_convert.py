@@ -200,3 +200,18 @@ def test_json_values_keep_their_types(spark):
         assert [tuple(e) for e in read(text, "null")] == [(None,) * 4]
         with pytest.raises(Exception, match="not a valid JSON"):
             read(text, "raise")
+
+
+def test_decimals_that_fit_their_column(spark):
+    df = spark.createDataFrame([("1,234.5000", "-0.0000000000000000000000000001", None), ("-7", "3.", "x"), (" .25 ", None, "00012")], "a string, b string, c string")
+    made = convert(df, {"a": "decimal(*)", "b": "decimal(*)", "c": "decimal(*)"}, "null")
+    assert [f.dataType for f in made.schema.fields] == [T.DecimalType(6, 2), T.DecimalType(29, 28), T.DecimalType(2, 0)]
+    assert [tuple(r) for r in made.collect()] == [
+        (Decimal("1234.50"), Decimal("-0.0000000000000000000000000001"), None), (Decimal(-7), Decimal(3), None), (Decimal("0.25"), None, Decimal(12))
+    ]
+    wide = spark.createDataFrame([("1" * 30,), ("0." + "0" * 11 + "1",)], "a string")
+    with pytest.raises(ValueError, match="more than 38"):
+        convert(wide, {"a": "decimal(*)"})
+    with pytest.raises(ValueError, match="text"):
+        convert(spark.range(1), {"id": "decimal(*)"})
+    assert convert(df.limit(0), {"a": "decimal(*)"}).schema["a"].dataType == T.DecimalType(1, 0)
