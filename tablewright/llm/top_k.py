@@ -101,8 +101,8 @@ def exact_top_k(
 
     A component x counts as floor(scale * x). Both frames may have any further columns, they are not read.
 
-    Defined cases: a vector that is null or holds a null or non-finite component takes no part, nor does a row without an
-    id. Rows with a query's id are never its results. Only vectors of a query's length are candidates. Rows that repeat
+    Defined cases: a vector that is null or holds a component that is null or not finite, also only after scaling, takes no
+    part, nor does a row without an id. Rows with a query's id are never its results. Only vectors of a query's length are candidates. Rows that repeat
     id and vector count once; a repeated query id with another vector is a query of its own, ranked by itself. Ties go to
     the smaller id; a query with fewer than k candidates gets all of them; with none it has no row. Scores beyond a long
     stop at its ends. Empty input gives no rows.

@@ -53,7 +53,11 @@ def host_edges(pages: DataFrame) -> DataFrame:
 
 
 def propagate(seeds: DataFrame, edges: DataFrame, damping: float = 0.85, rounds: int = 20) -> DataFrame:
-    """host, trust, distrust from seeds (host, trust, distrust in parts of ONE) over edges (src, dst, links)."""
+    """host, trust, distrust from seeds (host, trust, distrust in parts of ONE) over edges (src, dst, links).
+
+    The number of rounds is fixed, so scores are those of walks of at most that many links. What reaches a host without links
+    to go on along is not dealt back to the seeds: it stays counted there and leaves the next round.
+    """
     out = edges.groupBy("src").agg(F.sum("links").alias("of_src"))
     into = edges.groupBy("dst").agg(F.sum("links").alias("of_dst"))
     edges = stored(edges.join(out, "src").join(into, "dst"), "edges")
