@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .functions.convert import conform, convert, parse_json_list
+from .functions.convert import conform, convert, fitting_decimal, parse_json_list
 from .functions.predicates import (
     and_,
     and_not,
@@ -38,6 +38,7 @@ from .operators.paging import (
     sort_rows,
     total_count,
 )
+from .operators.pairs import pair_join, semi_join
 from .operators.relational import (
     aggregate,
     column,
