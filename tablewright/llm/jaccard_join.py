@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, functions as F
 from . import hashing, rarity
 from .components import components
 from .marks import mark, mark_table, marked
-from .shared import discard, free_shuffles, shared_folder, stored
+from .shared import discard, shared_folder, stored
 
 
 #: There are more distinct shingles than words, so a larger table of counts pays.
@@ -190,7 +190,6 @@ class _Join:
         # a set that is read from several copies gives its pairs as often
         found = stored(found.dropDuplicates(["a", "b"]), "distances")
         discard(pairs, sets, able)
-        free_shuffles(pairs.sparkSession)
         return found
 
 
@@ -217,7 +216,6 @@ def jaccard_components(documents: DataFrame, id_column: str = "doc_id", text_col
     join = _Join(documents, first, shingle, percent)
 
     members = stored(_shared_tokens(_prefixes(documents, levels, shingle, percent), percent), "members")
-    free_shuffles(documents.sparkSession)
     prefixes = stored(members.groupBy("key").agg(F.collect_set("token").alias("tokens")), "prefixes")
     central = prefixes.select("key", F.size("tokens").alias("met"))
     rows = members.where("fits").drop("fits").join(central, "key")

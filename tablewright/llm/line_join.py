@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from . import hashing, rarity
 from .marks import mark, mark_of, mark_table, marked
-from .shared import discard, free_shuffles, stored
+from .shared import discard, stored
 from .unit_dedup import PUNCTUATION, rebuilt
 
 #: Regions of more classes than this are joined in rounds.
@@ -315,7 +315,6 @@ def near_repeats(documents: DataFrame, id_column: str = "doc_id", text_column: s
     lines = scan.where("part IS NULL").select("a", "b", "doc_id", "line")
     spark = documents.sparkSession
     met = stored(_meet(_prefixes(known, levels, percent, min_words), percent), "met")
-    free_shuffles(spark)
     regions = met.where("token IS NOT NULL").select("token", *KEY, "n", "window")
     met_pairs = met.where("token IS NULL")
     # of all regions of a line its nearest earlier lines
@@ -347,7 +346,6 @@ def near_repeats(documents: DataFrame, id_column: str = "doc_id", text_column: s
 
     regions = stored(regions.join(classes.select(*KEY, "first", F.struct((-F.col("copies")).alias("few"), "first", *KEY).alias("rank")), KEY), "regions")
     discard(met, near)
-    free_shuffles(spark)
     used = None
     for step in range(ROUNDS + 1):
         left = regions.join(late.withColumn("late", F.lit(True)), KEY, "left").withColumn("late", F.coalesce("late", F.lit(False)))
@@ -377,7 +375,6 @@ def near_repeats(documents: DataFrame, id_column: str = "doc_id", text_column: s
     near = classes.join(late, KEY, "left_semi").select("first.doc_id", "first.line")
     removed = stored(again.unionAll(near).groupBy("doc_id").agg(F.array_sort(F.collect_set("line")).alias("removed")), "removed")
     discard(scan, first, classes, regions)
-    free_shuffles(spark)
     return removed
 
 

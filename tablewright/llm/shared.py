@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import re
 import tempfile
 import uuid
@@ -15,6 +14,10 @@ WORD = r"[^\x20\x09-\x0D]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+#: Spark's own switch to delete a query's shuffle files when it ends, not when the driver happens to collect garbage.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all machines see: the cluster's spark.checkpoint.dir; on one machine without it a temporary one."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -36,7 +39,12 @@ def stored(frame: DataFrame, label: str, rows: int | None = None) -> DataFrame:
     if rows is not None:
         frame = frame.coalesce(1 + rows // 20_000)
     path = f"{shared_folder(spark)}/tablewright/{label}-{uuid.uuid4().hex}"
-    frame.write.parquet(path)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        frame.write.parquet(path)
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
     made = spark.read.schema(frame.schema).parquet(path)
     made.stored_at = path  # type: ignore[attr-defined]
     return made
@@ -50,12 +58,6 @@ def discard(*frames: DataFrame) -> None:
         path.getFileSystem(context.hadoopConfiguration()).delete(path, True)
 
 
-def free_shuffles(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of jobs that are over, which it does when the driver's memory is cleared of them."""
-    gc.collect()
-    spark._jvm.System.gc()
-
-
 def ascii_lower(column: Column) -> Column:
     """Lower-case A-Z and nothing else."""
     return F.translate(column, _UPPER, _LOWER)

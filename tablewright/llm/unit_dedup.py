@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from . import hashing
-from .shared import discard, free_shuffles, stored, unused
+from .shared import discard, stored, unused
 
 PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
@@ -74,7 +74,6 @@ def repeated_units(
     again = units.join(first, ["a", "b"]).where(place > F.col("first"))
     removed = stored(again.groupBy("doc_id").agg(F.array_sort(F.collect_set("unit")).alias("removed")), "removed")
     discard(units, first)
-    free_shuffles(documents.sparkSession)
     return removed
 
 
