@@ -21,7 +21,7 @@ from typing import Any, Callable, Iterable, Sequence, Union
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from ..operators.pairs import has_match, semi_join
+from ..operators.pairs import match_flag, semi_join
 from .columns import all_of, any_of, fresh
 from .literals import bind, column_type, typed_literal
 
@@ -395,9 +395,9 @@ def _flag_sub(df: DataFrame, term: Term, unknown_matters: bool) -> tuple[DataFra
     """
     sub, flag, mark = term.sub, fresh("flag"), fresh("mark")
     if term.relation == "exists" and isinstance(sub.on, str):
-        found = has_match(df, sub.frame, F.expr(sub.on))
-        if found is not None:
-            return df.withColumn(flag, found), replace(term, relation="flag", column=flag, value=None), [flag]
+        flagged = match_flag(df, sub.frame, F.expr(sub.on), flag)
+        if flagged is not None:
+            return flagged, replace(term, relation="flag", column=flag, value=None), [flag]
     if term.relation == "exists" and (sub.on is None or isinstance(sub.on, str)):
         inner = sub.frame if sub.on is None else sub.frame.where(F.expr(sub.on).outer())
         return df.withColumn(flag, inner.exists()), replace(term, relation="flag", column=flag, value=None), [flag]

@@ -229,6 +229,25 @@ def semi_join(left: DataFrame, right: DataFrame, on: Column, anti: bool = False)
     return one_sided_join(left, right, branches[0].links[0], on, how)
 
 
+def match_flag(left: DataFrame, right: DataFrame, on: Column, flag: str) -> DataFrame | None:
+    """The left rows with a column that is true where they have a match, else false, where inequalities link; None elsewhere.
+
+    Where one aggregate can't tell, the different values that the condition reads find their matches, and are joined back.
+    """
+    found = has_match(left, right, on)
+    if found is not None:
+        return left.withColumn(flag, found)
+    condition = condition_of(left, right, on)
+    if all(b.equal for b in condition.branches) or not all(b.links for b in condition.branches):
+        return None
+    columns, mark = [F.expr(text) for text in condition.left_reads], fresh("mark")
+    keys = [fresh("key") for _ in columns]
+    matched = semi_join(left.select(*columns).distinct(), right, on)
+    matched = matched.select(*[c.alias(k) for c, k in zip(columns, keys)], F.lit(True).alias(mark))
+    same = all_of([c.eqNullSafe(F.col(k)) for c, k in zip(columns, keys)])
+    return left.join(matched, same, "left").withColumn(flag, F.coalesce(mark, F.lit(False))).drop(*keys, mark)
+
+
 def pair_join(left: DataFrame, right: DataFrame, on: Column, how: str = "inner", splits: int | None = None) -> DataFrame:
     """``left.join(right, on, how)`` for an inner or left join, by the way the condition's links allow."""
     branches = condition_of(left, right, on).branches

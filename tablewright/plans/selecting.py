@@ -225,6 +225,13 @@ def not_exists_between(t: Data) -> DataFrame:
     return where(t.customer, and_not(near))
 
 
+@query("""SELECT * FROM customer WHERE c_mktsegment = 'BUILDING' OR NOT EXISTS
+          (SELECT 1 FROM supplier WHERE s_acctbal > c_acctbal AND s_acctbal < c_acctbal + 50 AND s_nationkey <> c_nationkey)""")
+def not_exists_between_or(t: Data) -> DataFrame:
+    near = P.exists(t.supplier, "s_acctbal > c_acctbal AND s_acctbal < c_acctbal + 50 AND s_nationkey <> c_nationkey")
+    return where(t.customer, P.eq("c_mktsegment", "BUILDING"), or_not(near))
+
+
 # ---------------------------------------------------------------- chains and groups
 
 _orders_where(

@@ -69,6 +69,16 @@ def test_exists(sides, text, anti):
     assert sorted(map(tuple, got.collect()), key=key) == sorted(want, key=key)
 
 
+@pytest.mark.parametrize("text", CASES)
+def test_exists_under_or(sides, text):
+    one, two, left, right = sides
+    got = P.where(one, P.eq("l.s", "b"), P.or_not(P.exists(two, text)))
+    assert got.columns == one.columns
+    want = [a for a in left if a[3] == "b" or not any(CASES[text](a, b) for b in right)]
+    key = lambda row: tuple((v is not None, v) for v in row)
+    assert sorted(map(tuple, got.collect()), key=key) == sorted(want, key=key)
+
+
 def test_exists_against_nothing(sides):
     one, two, left, _ = sides
     none = two.where("id < 0").alias("r")
