@@ -116,22 +116,27 @@ def _distinct(owner: np.ndarray, words: np.ndarray, level: np.ndarray) -> tuple[
     return (key >> np.uint64(48)).astype(np.int64), key & np.uint64((1 << 40) - 1), (key >> np.uint64(40)).astype(np.uint8)
 
 
-def _parity(owner: np.ndarray, tokens: np.ndarray, lines: int) -> np.ndarray:
+#: Parities by other bins of the tokens, with which pairs of a second meeting are told apart better.
+_LANES = ["m1", "m2", "m3"]
+
+
+def _parity(owner: np.ndarray, tokens: np.ndarray, lines: int, lane: int = 0) -> np.ndarray:
     """For each line 64 bits, each whether an odd number of its tokens fall in that bin; two lines' bits differ in no more
-    places than their sets in tokens."""
+    places than their sets in tokens. Bins of each lane are other six bits of the token."""
     found = np.zeros(lines, np.uint64)
     starts = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]])) if len(owner) else np.zeros(0, int)
     if len(starts):
-        found[owner[starts]] = np.bitwise_xor.reduceat(np.uint64(1) << (tokens & np.uint64(63)), starts)
+        found[owner[starts]] = np.bitwise_xor.reduceat(np.uint64(1) << (tokens >> np.uint64(6 * lane) & np.uint64(63)), starts)
     return found
 
 
 def _prefixes(documents: DataFrame, levels, percent: int, min_words: int, tokens=None) -> DataFrame:
     """token, class, n, place, salt: the first tokens of each line, or pairs of them, that another line may have.
 
-    With a table of marks only rows of marked tokens are given. A task gives a class again where it meets it at a smaller place, so the least place among a class's rows is its first.
+    With a table of marks only rows of marked tokens are given, with the parities of _LANES. A task gives a class again where it meets it at a smaller place, so the least place among a class's rows is its first.
     """
     fields = [("doc_id", pa.int64()), ("line", pa.int32()), ("n", pa.int32()), ("place", pa.int32()), ("previous", pa.int64()), ("salt", pa.int32())]
+    fields += [(lane, pa.int64()) for lane in _LANES] if tokens is not None else []
     schema = pa.schema([("token", pa.int64()), *_KEY_FIELDS, *fields])
     once, often, always = (rarity.code_of(count) for count in (1, OFTEN, ALWAYS))
 
@@ -168,17 +173,18 @@ def _prefixes(documents: DataFrame, levels, percent: int, min_words: int, tokens
                 columns = [token.view(np.int64), lines.a[of].view(np.int64), parity[of].view(np.int64), lines.doc[of], lines.line[of], size[at].astype(np.int32), place[at].astype(np.int32), previous, salt.astype(np.int32)]
                 if tokens is not None:
                     chosen = marked(tokens.value, mark_of(token))
+                    columns += [_parity(owner, words, len(n), 1 + i)[of].view(np.int64) for i in range(len(_LANES))]
                     columns = [x[chosen] for x in columns]
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], schema=schema)
 
-    return documents.mapInArrow(run, f"token long, {_KEY_KINDS}, doc_id long, line int, n int, place int, previous long, salt int")
+    return documents.mapInArrow(run, f"token long, {_KEY_KINDS}, doc_id long, line int, n int, place int, previous long, salt int" + "".join(f", {x} long" for x in _LANES if tokens is not None))
 
 
 def _meet(rows: DataFrame, percent: int, asked=None) -> DataFrame:
     """Pairs of classes that pass all filters, the later one first (token null), and rows of too large regions (a_2 null).
 
     Of each line in a region only the FEW least different earlier lines are given; ``more`` says that the region has others. With
-    a table of marks, all of them are given for the marked classes, and nothing else. A pair is left to the region of its earlier common tokens if the tokens before this one are equal in both, which makes them common.
+    a table of marks, all that the further parities don't rule out are given for the marked classes, and nothing else. A pair is left to the region of its earlier common tokens if the tokens before this one are equal in both, which makes them common.
     """
     fields = [("token", pa.int64()), *_KEY_FIELDS, ("n", pa.int32()), ("window", pa.int64()), ("differ", pa.int32()), ("more", pa.bool_()), ("region", pa.int64())]
     schema = pa.schema([*fields, *((f"{k}_2", kind) for k, kind in _KEY_FIELDS)])
@@ -189,7 +195,7 @@ def _meet(rows: DataFrame, percent: int, asked=None) -> DataFrame:
         # a class that several tasks have seen comes with its earliest place first
         fresh = np.ones(len(tokens), bool)
         fresh[1:] = (tokens[1:] != tokens[:-1]) | (a[1:] != a[:-1]) | (m[1:] != m[:-1])
-        tokens, a, m, doc, line, n, place, previous, salt = (x[fresh] for x in columns)
+        tokens, a, m, doc, line, n, place, previous, salt, *lanes = (x[fresh] for x in columns)
         n = n.astype(np.int64)
         window = (100 + percent) * (n - place) // percent - n
         starts = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
@@ -206,6 +212,10 @@ def _meet(rows: DataFrame, percent: int, asked=None) -> DataFrame:
             i, j = x[fit], y[fit]
             differ = np.bitwise_count((m[i] ^ m[j]).view(np.uint64)).astype(np.int64)
             near = differ * (100 + percent) <= (n[i] + n[j]) * (100 - percent)
+            for lane in lanes:
+                i, j, differ = i[near], j[near], differ[near]
+                other = np.bitwise_count((lane[i] ^ lane[j]).view(np.uint64)).astype(np.int64)
+                near = other * (100 + percent) <= (n[i] + n[j]) * (100 - percent)
             i, j, differ = i[near], j[near], differ[near]
             if asked is not None:
                 later = np.where((doc[i] > doc[j]) | ((doc[i] == doc[j]) & (line[i] > line[j])), i, j)
