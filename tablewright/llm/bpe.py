@@ -25,6 +25,9 @@ from .shared import unused
 #: Fixed: the pattern whose matches are encoded separately.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
+#: Pieces that stay whole wherever others of their kind stand next to them.
+_WORD = regex.compile(r" \p{L}+")
+
 #: Texts in the tokenizer's hands at a time.
 _TEXTS = 32
 
@@ -149,51 +152,68 @@ def decode(encoded: DataFrame, vocabulary: str, ids_column: str = "ids", bytes_c
 class Pieces:
     """What a task knows of pieces of texts, as the pattern cuts them: tokens never cross a cut, and few pieces are new.
 
-    For each piece its decimal ids joined by a space, its decoded bytes, how many characters its tokens' offsets cover, and
-    how many characters are split between tokens. Bounded: a full table is begun anew, and long pieces are kept for one step.
+    For each piece its decimal ids joined by a space and its decoded bytes; for those with a character split between tokens
+    also how many cuts lie inside characters and how many characters the tokens' offsets cover. Bounded: a full table is
+    begun anew, and long pieces are kept for one step.
     """
 
-    def __init__(self, vocabulary: str, pattern: str = PATTERN, most: int = 300_000):
+    def __init__(self, vocabulary: str, pattern: str = PATTERN, most: int = 600_000):
         self.vocabulary, self.pattern, self.most = vocabulary, regex.compile(pattern), most
-        self.ids: dict[str, str] = {}
-        self.decoded: dict[str, bytes] = {}
-        self.covered: dict[str, int] = {}
-        self.splits: dict[str, int] = {}
+        self.table = token_bytes(vocabulary)
+        self.lengths = np.array([len(t) for t in self.table])
+        self.decimal = list(map(str, range(len(self.table))))
+        self.known: dict[str, tuple[str, bytes]] = {}
+        self.splits: dict[str, tuple[int, int]] = {}
 
     def _learn(self, pieces: list[str]) -> None:
-        table = token_bytes(self.vocabulary)
-        for start in range(0, len(pieces), 1000):
-            part = pieces[start : start + 1000]
-            for piece, encoding in zip(part, _tokenizer(self.vocabulary).encode_batch_fast(part, add_special_tokens=False)):
-                ids = encoding.ids
-                self.ids[piece] = " ".join(map(str, ids))
-                self.decoded[piece] = b"".join(map(table.__getitem__, ids))
-                self.covered[piece] = len(piece)
-                if not piece.isascii():  # a byte is a character elsewhere
-                    raw = piece.encode()
-                    _, at = offsets(ids, raw, self.vocabulary)
-                    ends = np.cumsum([len(table[i]) for i in ids])[:-1]
-                    self.covered[piece] = int(at[-1])
-                    split = sum((raw[e] & 0xC0) == 0x80 for e in ends.tolist())
-                    if split:
-                        self.splits[piece] = split
+        tokenizer = _tokenizer(self.vocabulary)
+        # words after a space are cut the same way when they stand behind each other, so one call encodes them all
+        words = [p for p in pieces if _WORD.fullmatch(p)]
+        for start in range(0, len(words), 2000):
+            part = words[start : start + 2000]
+            ids = tokenizer.encode("".join(part), add_special_tokens=False).ids
+            at = np.cumsum(self.lengths[ids])
+            stops = np.searchsorted(at, np.cumsum([len(p.encode()) for p in part])) + 1
+            self._keep(part, ids, [0, *stops.tolist()])
+        others = [p for p in pieces if not _WORD.fullmatch(p)]
+        for start in range(0, len(others), 1000):
+            part = others[start : start + 1000]
+            for piece, encoding in zip(part, tokenizer.encode_batch_fast(part, add_special_tokens=False)):
+                self._keep([piece], encoding.ids, [0, len(encoding.ids)])
+
+    def _keep(self, pieces: list[str], ids: list[int], bounds: list[int]) -> None:
+        """What is known of pieces whose tokens are ids[bounds[i]:bounds[i + 1]]."""
+        for piece, start, stop in zip(pieces, bounds, bounds[1:]):
+            own = ids[start:stop]
+            self.known[piece] = " ".join(map(self.decimal.__getitem__, own)), b"".join(map(self.table.__getitem__, own))
+            if not piece.isascii() and len(own) > 1:  # a byte is a character elsewhere
+                raw = piece.encode()
+                end, split = 0, 0
+                for i in own[:-1]:
+                    end += len(self.table[i])
+                    split += (raw[end] & 0xC0) == 0x80
+                if split:
+                    self.splits[piece] = split, int(offsets(own, raw, self.vocabulary)[1][-1])
 
     def step(self, texts: list[str]) -> Iterator[tuple[str, bytes, int, int]]:
         """(ids joined by a space, decoded bytes, characters covered, cuts inside characters) of each text."""
         cut = [self.pattern.findall(text) for text in texts]
-        if len(self.ids) >= self.most:
-            for known in (self.ids, self.decoded, self.covered, self.splits):
-                known.clear()
-        new = set().union(*cut).difference(self.ids)
+        if len(self.known) >= self.most:
+            self.known.clear()
+            self.splits.clear()
+        new = set().union(*cut).difference(self.known)
         self._learn(list(new))
         for pieces in cut:
-            joined = " ".join(map(self.ids.__getitem__, pieces))
-            splits = 0 if self.splits.keys().isdisjoint(pieces) else sum(self.splits.get(p, 0) for p in pieces)
-            yield joined, b"".join(map(self.decoded.__getitem__, pieces)), sum(map(self.covered.__getitem__, pieces)), splits
+            found = list(map(self.known.__getitem__, pieces))
+            chars, splits = sum(map(len, pieces)), 0
+            for piece in [p for p in pieces if p in self.splits]:
+                split, covered = self.splits[piece]
+                chars, splits = chars + covered - len(piece), splits + split
+            yield " ".join([f[0] for f in found]), b"".join([f[1] for f in found]), chars, splits
         for piece in new:
             if len(piece) > 100:
-                for known in (self.ids, self.decoded, self.covered, self.splits):
-                    known.pop(piece, None)
+                self.known.pop(piece, None)
+                self.splits.pop(piece, None)
 
 
 def round_trip_digests(texts: DataFrame, vocabulary: str, text_column: str = "text", pattern: str = PATTERN) -> DataFrame:

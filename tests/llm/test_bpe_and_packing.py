@@ -151,4 +151,4 @@ def test_pieces_are_forgotten(spark, plain):
             assert ids == " ".join(map(str, expected)) and raw == text.encode() and chars == len(text)
             ends = np.cumsum([len(plain.decode_single_token_bytes(i)) for i in expected])[:-1]
             assert splits == sum((raw[e] & 0xC0) == 0x80 for e in ends.tolist())
-    assert not any(len(p) > 100 for p in known.ids)
+    assert not any(len(p) > 100 for p in known.known)
