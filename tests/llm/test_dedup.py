@@ -310,3 +310,20 @@ def test_no_folder_but_a_shared_one(spark):
     for master in ("yarn", "local-cluster[2,1,1024]", "spark://host:7077"):
         with pytest.raises(ValueError, match="checkpoint"):
             shared.shared_folder(Session(master))
+
+
+def test_region_whose_sets_have_all_met(spark):
+    """Sets that share the token before this one meet there; the rows stay, as their tokens count for pairs."""
+    fields = "token long, key long, n int, place int, previous long, salt int"
+    rows = [(7, 1, 50, 0, 0, 0), (7, 2, 50, 0, 0, 0), (8, 1, 50, 1, 7, 0), (8, 2, 50, 1, 7, 0), (9, 1, 50, 2, 8, 0), (9, 2, 50, 2, 8, 0), (9, 3, 50, 1, 5, 0), (5, 3, 50, 0, 0, 0)]
+    found = jaccard_join._shared_tokens(spark.createDataFrame(rows, fields), 80).collect()
+    assert {(r.token, r.key): r.fits for r in found} == {(7, 1): True, (7, 2): True, (8, 1): False, (8, 2): False, (9, 1): True, (9, 2): True, (9, 3): True}
+
+
+def test_parities_of_sets():
+    rng = np.random.default_rng(6)
+    for size, apart in ((800, 100), (800, 400), (5, 2)):
+        common, one, two = (rng.integers(0, 1 << 63, k, dtype=np.uint64) for k in (size - apart, apart, apart))
+        x, y = (jaccard_join._parity(np.concatenate([common, z])) for z in (one, two))
+        differ = int(np.bitwise_count((x ^ y).view(np.uint64)).sum())
+        assert 0.8 * 2 * apart < differ <= 2 * apart
