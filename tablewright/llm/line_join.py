@@ -116,27 +116,36 @@ def _distinct(owner: np.ndarray, words: np.ndarray, level: np.ndarray) -> tuple[
     return (key >> np.uint64(48)).astype(np.int64), key & np.uint64((1 << 40) - 1), (key >> np.uint64(40)).astype(np.uint8)
 
 
-#: Parities by other bins of the tokens, with which pairs of a second meeting are told apart better.
-_LANES = ["m1", "m2", "m3"]
+#: Parities of shares of the tokens, one for each value but 0 of further bits of a token. That of the share 0 is what they
+#: lack to all tokens' parity, so with k - 1 of them pairs are told apart by 64 * k bins: when they first meet and again.
+_SHARES, _SHARES_AGAIN = 2, 8
 
 
-def _parity(owner: np.ndarray, tokens: np.ndarray, lines: int, lane: int = 0) -> np.ndarray:
+def _lanes(shares: int) -> list[str]:
+    return [f"m{i}" for i in range(1, shares)]
+
+
+def _parity(owner: np.ndarray, tokens: np.ndarray, lines: int, shares: int = 1, share: int = 0) -> np.ndarray:
     """For each line 64 bits, each whether an odd number of its tokens fall in that bin; two lines' bits differ in no more
-    places than their sets in tokens. Bins of each lane are other six bits of the token."""
+    places than their sets in tokens. With shares only the tokens of one share count."""
     found = np.zeros(lines, np.uint64)
     starts = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]])) if len(owner) else np.zeros(0, int)
     if len(starts):
-        found[owner[starts]] = np.bitwise_xor.reduceat(np.uint64(1) << (tokens >> np.uint64(6 * lane) & np.uint64(63)), starts)
+        bits = np.uint64(1) << (tokens & np.uint64(63))
+        if shares > 1:
+            bits[(tokens >> np.uint64(6)) % np.uint64(shares) != share] = 0
+        found[owner[starts]] = np.bitwise_xor.reduceat(bits, starts)
     return found
 
 
 def _prefixes(documents: DataFrame, levels, percent: int, min_words: int, tokens=None) -> DataFrame:
     """token, class, n, place, salt: the first tokens of each line, or pairs of them, that another line may have.
 
-    With a table of marks only rows of marked tokens are given, with the parities of _LANES. A task gives a class again where it meets it at a smaller place, so the least place among a class's rows is its first.
+    Parities of _SHARES of the tokens follow. With a table of marks only rows of marked tokens are given, with parities of _SHARES_AGAIN. A task gives a class again where it meets it at a smaller place, so the least place among a class's rows is its first.
     """
     fields = [("doc_id", pa.int64()), ("line", pa.int32()), ("n", pa.int32()), ("place", pa.int32()), ("previous", pa.int64()), ("salt", pa.int32())]
-    fields += [(lane, pa.int64()) for lane in _LANES] if tokens is not None else []
+    shares = _SHARES if tokens is None else _SHARES_AGAIN
+    fields += [(lane, pa.int64()) for lane in _lanes(shares)]
     schema = pa.schema([("token", pa.int64()), *_KEY_FIELDS, *fields])
     once, often, always = (rarity.code_of(count) for count in (1, OFTEN, ALWAYS))
 
@@ -171,13 +180,13 @@ def _prefixes(documents: DataFrame, levels, percent: int, min_words: int, tokens
                 salt = np.where(level[at] >= always, 1 + (lines.a[owner[at]] >> np.uint64(58)).astype(np.int32), 0)
                 of = owner[at]
                 columns = [token.view(np.int64), lines.a[of].view(np.int64), parity[of].view(np.int64), lines.doc[of], lines.line[of], size[at].astype(np.int32), place[at].astype(np.int32), previous, salt.astype(np.int32)]
+                columns += [_parity(owner, words, len(n), shares, i)[of].view(np.int64) for i in range(1, shares)]
                 if tokens is not None:
                     chosen = marked(tokens.value, mark_of(token))
-                    columns += [_parity(owner, words, len(n), 1 + i)[of].view(np.int64) for i in range(len(_LANES))]
                     columns = [x[chosen] for x in columns]
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], schema=schema)
 
-    return documents.mapInArrow(run, f"token long, {_KEY_KINDS}, doc_id long, line int, n int, place int, previous long, salt int" + "".join(f", {x} long" for x in _LANES if tokens is not None))
+    return documents.mapInArrow(run, f"token long, {_KEY_KINDS}, doc_id long, line int, n int, place int, previous long, salt int" + "".join(f", {x} long" for x in _lanes(shares)))
 
 
 def _meet(rows: DataFrame, percent: int, asked=None) -> DataFrame:
@@ -212,10 +221,14 @@ def _meet(rows: DataFrame, percent: int, asked=None) -> DataFrame:
             i, j = x[fit], y[fit]
             differ = np.bitwise_count((m[i] ^ m[j]).view(np.uint64)).astype(np.int64)
             near = differ * (100 + percent) <= (n[i] + n[j]) * (100 - percent)
+            i, j = i[near], j[near]
+            rest, differ = m[i] ^ m[j], np.zeros(len(i), np.int64)
             for lane in lanes:
-                i, j, differ = i[near], j[near], differ[near]
-                other = np.bitwise_count((lane[i] ^ lane[j]).view(np.uint64)).astype(np.int64)
-                near = other * (100 + percent) <= (n[i] + n[j]) * (100 - percent)
+                share = lane[i] ^ lane[j]
+                differ += np.bitwise_count(share.view(np.uint64))
+                rest ^= share
+            differ += np.bitwise_count(rest.view(np.uint64))
+            near = differ * (100 + percent) <= (n[i] + n[j]) * (100 - percent)
             i, j, differ = i[near], j[near], differ[near]
             if asked is not None:
                 later = np.where((doc[i] > doc[j]) | ((doc[i] == doc[j]) & (line[i] > line[j])), i, j)

@@ -312,6 +312,25 @@ def test_no_folder_but_a_shared_one(spark):
             shared.shared_folder(Session(master))
 
 
+def test_shares_tell_long_lines_apart():
+    """Two sets that lack each other's 20 tokens: 64 bins alone hide more of them than 128 and 512."""
+    rng = np.random.default_rng(5)
+    shown = {shares: [] for shares in (1, 2, 8)}
+    for _ in range(50):
+        common, one, two = (rng.integers(0, 1 << 40, k, dtype=np.uint64) for k in (50, 10, 10))
+        owner, tokens = np.repeat([0, 1], 60), np.concatenate([common, one, common, two])
+        whole = line_join._parity(owner, tokens, 2)
+        for shares, found in shown.items():
+            parts = [line_join._parity(owner, tokens, 2, shares, i) for i in range(shares)]
+            assert (np.bitwise_xor.reduce(parts) == whole).all()
+            found.append(sum(int(np.bitwise_count(x[0] ^ x[1])) for x in parts))
+            assert found[-1] <= 20
+    # linked lines of 60 tokens differ in 13 at most
+    assert np.mean(np.array(shown[2]) > 13) > 0.9 > np.mean(np.array(shown[1]) > 13)
+    assert min(shown[8]) > 13
+    assert line_join._SHARES >= 2 and len(line_join._lanes(line_join._SHARES_AGAIN)) == 7
+
+
 def test_region_whose_sets_have_all_met(spark):
     """Sets that share the token before this one meet there; the rows stay, as their tokens count for pairs."""
     fields = "token long, key long, n int, place int, previous long, salt int"
