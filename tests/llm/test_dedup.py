@@ -312,6 +312,13 @@ def test_no_folder_but_a_shared_one(spark):
             shared.shared_folder(Session(master))
 
 
+@pytest.mark.parametrize("remove", [unit_dedup.remove_repeated_units, line_join.remove_near_repeats])
+def test_texts_meet_their_removed_units_by_one_plan_at_any_size(spark, remove):
+    docs = spark.createDataFrame([(i, "one line of words here\nown " + str(i)) for i in range(40)], "doc_id long, text string")
+    plan = remove(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_shares_tell_long_lines_apart():
     """Two sets that lack each other's 20 tokens: 64 bins alone hide more of them than 128 and 512."""
     rng = np.random.default_rng(5)
