@@ -118,6 +118,26 @@ def test_places_of_unordered_documents(spark, monkeypatch):
     assert {r.doc_id: r.removed for r in line_join.near_repeats(docs(spark, rows).coalesce(1)).collect()} == expected
 
 
+def test_second_meeting_reads_few_documents(spark, monkeypatch):
+    """Only the documents are read again in which a line's further candidates stand; rows meet in steps of any size."""
+    read, prefixes = [], line_join._prefixes
+
+    def counted(documents, *others, **more):
+        read.append(documents.count())
+        return prefixes(documents, *others, **more)
+
+    for name, value in (("FEW", 1), ("AT_ONCE", 7), ("_prefixes", counted)):
+        monkeypatch.setattr(line_join, name, value)
+    # lines so long that their bits can't tell them apart, with words that other documents have oftener than theirs in common
+    common = " ".join(f"c{i}" for i in range(300))
+    own = [[f"v{j}x{i}" for i in range(100)] for j in range(4)]
+    rows = [(1 + j, f"{common} {' '.join(own[j])}") for j in range(4)] + [(5, f"{common} {' '.join(own[3][:90])}")]
+    rows += [(10 + 50 * k + j, " ".join(own[j // 10][10 * (j % 10) : 10 * (j % 10) + 10] + [f"y{k}x{i}" for i in range(5)])) for j in range(40) for k in range(6)]
+    expected = plain_removed(rows, jaccard_late)
+    assert {r.doc_id: r.removed for r in line_join.near_repeats(docs(spark, rows).repartition(3)).collect()} == expected
+    assert expected == {5: [0]} and len(read) == 2 and read[0] == len(rows) and read[1] <= 5
+
+
 @pytest.mark.parametrize("size", [10, 1])
 def test_earliest_places(spark, monkeypatch, size):
     monkeypatch.setattr(line_join, "FEW", 1)
